@@ -188,3 +188,60 @@ def q_image_detections_msg(spark, sf_dir):
     fd = model_for(spark, sf_dir).fct_image_detections
     sk = fd.agg(F.min("message_sk")).first()[0]
     return R.image_detections(fd, sk)
+
+
+# --- data quality (Q1-Q7) ---------------------------------------------------
+
+from chanlytics.operators import quality as Q  # noqa: E402
+
+_CHECK_ALIASES = [
+    "raw_telegram_messages AS (SELECT * FROM raw_messages)",
+    "raw_image_detections AS (SELECT * FROM raw_detections)",
+    "stg_telegram_messages AS (SELECT * FROM staging)",
+]
+
+
+@register("q1_q5_q7_quality_suite",
+          O.with_model(Q.checks_sql(), "fct_image_detections", extra=_CHECK_ALIASES))
+def q_quality(spark, sf_dir):
+    return Q.run_checks(Q.model_tables(model_for(spark, sf_dir)))
+
+
+def _health(spark, sf_dir, part):
+    m = model_for(spark, sf_dir)
+    return Q.detection_health(m.raw_detections, m.raw_messages)[part]
+
+
+@register("q6_detections_total", O.with_model(
+    "SELECT count(*) AS total_detections FROM raw_detections", "raw_detections"))
+def q_health_total(spark, sf_dir):
+    return _health(spark, sf_dir, "total")
+
+
+@register("q6_detections_by_channel", O.with_model(
+    "SELECT channel_username, count(*) AS detections FROM raw_detections GROUP BY channel_username",
+    "raw_detections"))
+def q_health_by_channel(spark, sf_dir):
+    return _health(spark, sf_dir, "by_channel")
+
+
+@register("q6_duplicate_detection_ids", O.with_model(
+    "SELECT detection_id, count(*) AS n FROM raw_detections GROUP BY detection_id HAVING count(*) > 1",
+    "raw_detections"))
+def q_health_dups(spark, sf_dir):
+    return _health(spark, sf_dir, "duplicates")
+
+
+@register("q6_detection_sample", O.with_model(
+    "SELECT detection_id, message_id, channel_username, image_path, detected_object_class, "
+    "confidence_score FROM raw_detections ORDER BY detection_id LIMIT 5", "raw_detections"))
+def q_health_sample(spark, sf_dir):
+    return _health(spark, sf_dir, "sample")
+
+
+@register("q6_orphan_detections", O.with_model(
+    "SELECT d.message_id, d.channel_username FROM raw_detections d "
+    "LEFT JOIN raw_messages m ON d.message_id = m.message_id AND d.channel_username = m.channel_username "
+    "WHERE m.message_id IS NULL", "raw_detections", "raw_messages"))
+def q_health_orphans(spark, sf_dir):
+    return _health(spark, sf_dir, "orphans")
