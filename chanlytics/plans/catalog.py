@@ -245,3 +245,194 @@ def q_health_sample(spark, sf_dir):
     "WHERE m.message_id IS NULL", "raw_detections", "raw_messages"))
 def q_health_orphans(spark, sf_dir):
     return _health(spark, sf_dir, "orphans")
+
+
+# --- ingest (I3-I7, S7, J6) -------------------------------------------------
+
+from chanlytics import model as _model  # noqa: E402
+from chanlytics.operators import ingest as I  # noqa: E402
+
+_LINEITEM_KEYS = ["l_orderkey", "l_linenumber"]
+_LINEITEM_ORDER = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                   "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LINEITEM_COLS = _LINEITEM_KEYS + _LINEITEM_ORDER
+
+
+@register("i3_insert_if_absent_lineitem", f"""
+WITH ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY {', '.join(_LINEITEM_ORDER)}) AS rn
+  FROM lineitem
+), stored AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R')
+SELECT {', '.join(_LINEITEM_COLS)} FROM ranked r
+WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM stored s
+                             WHERE s.l_orderkey = r.l_orderkey AND s.l_linenumber = r.l_linenumber)""")
+def q_insert_if_absent(spark, sf_dir):
+    """Batch = all lineitem rows (duplicate keys inside), stored = the returned ('R') lines."""
+    li = D.table(spark, sf_dir, "lineitem")
+    stored = li.filter(F.col("l_returnflag") == "R").select(*_LINEITEM_KEYS)
+    tagged = I.insert_if_absent(li, stored, _LINEITEM_KEYS, [F.col(c) for c in _LINEITEM_ORDER])
+    return tagged.filter("is_new").select(*_LINEITEM_COLS)
+
+
+_EXPORT_ROWS_SQL = """
+export_rows AS (
+  SELECT doc_id AS message_id, source AS channel,
+         (DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) + CAST(doc_id % 5 AS INTEGER)) AS scrape_date,
+         CAST(DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) + CAST(doc_id % 5 AS INTEGER) AS VARCHAR)
+           || '/' || source || '.json' AS source_file,
+         doc_id AS source_pos, lang
+  FROM documents
+)"""
+
+
+@register("i5_load_accounting", f"""
+WITH {_EXPORT_ROWS_SQL.strip()},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY message_id, channel ORDER BY source_file, source_pos) AS rn
+           FROM export_rows),
+stored AS (SELECT DISTINCT message_id, channel FROM export_rows WHERE lang = 'en')
+SELECT source_file,
+       CAST(count(*) FILTER (WHERE rn = 1 AND s.message_id IS NULL) AS BIGINT) AS recorded,
+       CAST(count(*) FILTER (WHERE NOT (rn = 1 AND s.message_id IS NULL)) AS BIGINT) AS skipped
+FROM ranked r LEFT JOIN stored s ON s.message_id = r.message_id AND s.channel = r.channel
+GROUP BY source_file""")
+def q_load_accounting(spark, sf_dir):
+    """A day's exports loaded into a table that already holds the English documents."""
+    ex = D.export_rows(spark, sf_dir)
+    raw = I.to_raw_messages(ex, F.col("scrape_date"))
+    stored = D.raw_messages(spark, sf_dir).join(
+        D.table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+        .select(F.col("doc_id").alias("message_id")), "message_id", "left_semi")
+    tagged = I.insert_if_absent(raw, stored, _model.RAW_MESSAGES_KEY,
+                                [F.col("source_file"), F.col("source_pos")])
+    return I.load_accounting(tagged)
+
+
+@register("s7_j6_new_images", O.with_model("""
+SELECT DISTINCT photo_path AS image_path FROM raw_messages m
+WHERE photo_path IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM raw_detections d WHERE d.image_path = m.photo_path)""",
+    "raw_messages", "raw_detections"))
+def q_new_images(spark, sf_dir):
+    """Photos referenced by messages that have no detection yet."""
+    m = model_for(spark, sf_dir)
+    images = m.raw_messages.filter(F.col("photo_path").isNotNull()) \
+        .select(F.col("photo_path").alias("image_path")).distinct()
+    return I.new_images(images, m.raw_detections)
+
+
+_TARGETS = {f"@src{i}": f"Src{i}" for i in range(10)}
+_PHOTO = ["Src0", "Src1"]
+
+
+@register("e3_normalise_export", f"""
+WITH fetched AS (
+  SELECT doc_id AS message_id, '@' || source AS channel_username,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) AS posted_at,
+         text,
+         CASE WHEN doc_id % 11 = 0 THEN NULL ELSE CAST(n_chars % 500 AS INTEGER) END AS views,
+         CAST(doc_id % 7 AS INTEGER) AS forwards,
+         CASE WHEN doc_id % 3 = 0 THEN 'photo' WHEN doc_id % 3 = 1 THEN 'document' END AS media_type
+  FROM documents
+), known AS (
+  SELECT f.*, 'Src' || substr(channel_username, 5) AS channel FROM fetched f
+  WHERE channel_username IN ({', '.join("'" + k + "'" for k in sorted(_TARGETS))})
+), latest AS (
+  SELECT *, row_number() OVER (PARTITION BY channel ORDER BY message_id DESC) AS rn FROM known
+)
+SELECT message_id, channel, CAST(posted_at AS DATE) AS date, coalesce(text, '') AS text,
+       CAST(coalesce(views, 0) AS INTEGER) AS views, CAST(coalesce(forwards, 0) AS INTEGER) AS forwards,
+       coalesce(media_type = 'photo', false) AS has_photo,
+       CASE WHEN channel IN ({', '.join("'" + c + "'" for c in _PHOTO)}) AND coalesce(media_type = 'photo', false)
+            THEN 'data/images/' || channel || '_' || CAST(message_id AS VARCHAR) || '.jpg' END AS photo_path
+FROM latest WHERE rn <= {_model.EXPORT_LIMIT_PER_CHANNEL}""")
+def q_normalise_export(spark, sf_dir):
+    from chanlytics.operators.export import normalise_export
+
+    export, _ = normalise_export(D.fetched_messages(spark, sf_dir), _TARGETS, _PHOTO)
+    return export
+
+
+# --- business questions (B1-B6) ---------------------------------------------
+
+@register("b1_daily_volume", O.with_model("""
+SELECT dd.full_date AS activity_date, count(fm.message_sk) AS message_count
+FROM fct_messages fm JOIN dim_dates dd ON fm.message_date_sk = dd.date_sk
+GROUP BY dd.full_date ORDER BY dd.full_date""", "fct_messages"))
+def q_daily_volume(spark, sf_dir):
+    m = model_for(spark, sf_dir)
+    return R.daily_volume(m.fct_messages, m.dim_dates)
+
+
+@register("b3_visual_share", O.with_model("""
+SELECT dc.channel_username, CAST(count(*) AS BIGINT) AS message_count,
+       CAST(sum(CASE WHEN fm.has_photo THEN 1 ELSE 0 END) AS BIGINT) AS photo_count,
+       CAST(floor(sum(CASE WHEN fm.has_photo THEN 1 ELSE 0 END) * 1000 / count(*)) AS BIGINT) AS photo_per_mille
+FROM fct_messages fm LEFT JOIN dim_channels dc ON fm.channel_sk = dc.channel_sk
+GROUP BY fm.channel_sk, dc.channel_username""", "fct_messages"))
+def q_visual_share(spark, sf_dir):
+    m = model_for(spark, sf_dir)
+    return R.visual_share(m.fct_messages, m.dim_channels)
+
+
+@register("b4_object_mix", O.with_model("""
+SELECT fm.channel_username, fd.detected_object_class, CAST(sum(fd.detection_count) AS BIGINT) AS detection_count
+FROM fct_image_detections fd JOIN fct_messages fm ON fd.message_sk = fm.message_sk
+WHERE fd.message_sk IS NOT NULL
+GROUP BY fm.channel_username, fd.detected_object_class""", "fct_image_detections"))
+def q_object_mix(spark, sf_dir):
+    m = model_for(spark, sf_dir)
+    return R.object_mix(m.fct_image_detections, m.fct_messages)
+
+
+@register("b5_product_by_channel", _top_products_sql(PARITY_KEYWORDS, 0, group=True))
+def q_product_by_channel(spark, sf_dir):
+    return R.product_by_channel(model_for(spark, sf_dir).fct_messages, PARITY_KEYWORDS)
+
+
+def _hit_filter_sql(keywords: list[str]) -> str:
+    from chanlytics.operators.keywords import split_keywords
+
+    words, phrases = split_keywords(keywords)
+    toks = "regexp_extract_all(lower(message_text), '[\\p{L}\\p{N}_]+')"
+    conds = []
+    if words:
+        wl = ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+        conds.append(f"list_has_any({toks}, [{wl}])")
+    for p in phrases:
+        conds.append(f"(contains(lower(message_text), '{p}') AND len({toks}) > 0)")
+    return "message_text IS NOT NULL AND (" + (" OR ".join(conds) or "false") + ")"
+
+
+@register("b2_weekly_keyword_volume", O.with_model(f"""
+SELECT CAST(date_trunc('week', dd.full_date) AS DATE) AS week_start,
+       CAST(count(*) AS BIGINT) AS message_count
+FROM fct_messages fm JOIN dim_dates dd ON fm.message_date_sk = dd.date_sk
+WHERE {_hit_filter_sql(PARITY_KEYWORDS)}
+GROUP BY 1 ORDER BY 1""", "fct_messages"))
+def q_weekly_keyword_volume(spark, sf_dir):
+    m = model_for(spark, sf_dir)
+    return R.weekly_keyword_volume(m.fct_messages, m.dim_dates, PARITY_KEYWORDS)
+
+
+def _price_sql(keywords: list[str]) -> str:
+    arms = []
+    for kw in dict.fromkeys(keywords):
+        pat = R.price_pattern(kw).replace("'", "''")
+        arms.append(f"SELECT channel_username, '{kw}' AS product_name, "
+                    f"unnest(regexp_extract_all(lower(message_text), '{pat}', 1)) AS amount "
+                    f"FROM fct_messages WHERE message_text IS NOT NULL")
+    return O.with_model(f"""
+SELECT channel_username, product_name, count(*) AS n_prices,
+       min(price) AS min_price,
+       percentile_disc(0.5) WITHIN GROUP (ORDER BY price) AS median_price,
+       max(price) AS max_price
+FROM (SELECT channel_username, product_name,
+             TRY_CAST(replace(amount, ',', '.') AS DECIMAL(18,2)) AS price
+      FROM ({' UNION ALL '.join(arms)}) a) p
+GROUP BY channel_username, product_name""", "fct_messages")
+
+
+@register("b6_price_variation", _price_sql(PARITY_KEYWORDS))
+def q_price_variation(spark, sf_dir):
+    return R.price_variation(model_for(spark, sf_dir).fct_messages, PARITY_KEYWORDS)

@@ -159,38 +159,44 @@ def product_by_channel(fct_messages: DataFrame,
                         group_cols=["channel_username"])
 
 
-# An amount: digits with an optional decimal part, right after a keyword
-# and at most three words/separators away from it.
-PRICE_AFTER_KEYWORD = r"(?:\s+\S+){0,3}?\s+(\d+(?:[.,]\d+)?)"
+# Fixed values of B6.  A price is the first amount (1-12 digits, optional
+# 1-2 decimals after '.' or ',') that follows a keyword mention within at
+# most three words.  A mention starts at a non-word character or the text
+# start and ends at whitespace.  Written to mean the same in Java regex
+# and RE2 (no look-behind, explicit whitespace class).
+_WS = "[ \\t\\r\\n]"
+PRICE_AMOUNT = r"(\d{1,12}(?:[.,]\d{1,2})?)"
+MENTION_START = r"(?:^|[^\p{L}\p{N}_])"
+
+
+def price_pattern(keyword: str) -> str:
+    import re
+
+    kw = re.escape(keyword.lower()).replace(r"\ ", _WS + "+")
+    return MENTION_START + kw + "(?:" + _WS + "+[^ \\t\\r\\n]+){0,3}?" + _WS + "+" + PRICE_AMOUNT
 
 
 def price_variation(fct_messages: DataFrame, keywords: list[str] | None = None) -> DataFrame:
-    """(channel_username, product_name, n_prices, min, median, max) of amounts.
+    """(channel_username, product_name, n_prices, min/median/max price).
 
-    A price of a keyword is the first number within three words after a
-    mention of the keyword.  The median is the lower middle value
-    (``percentile_disc(0.5)``), exact and computed per group by Spark.
+    The median is the lower middle value (``percentile_disc(0.5)``),
+    exact, aggregated per (channel, product) with partial aggregation.
     """
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
-    rows = []
     lt = F.lower(F.col("message_text"))
-    for kw in dict.fromkeys(keywords):
-        pat = r"(?<![\p{L}\p{N}_])" + _quote(kw) + PRICE_AFTER_KEYWORD
-        amounts = F.regexp_extract_all(lt, F.lit(pat), 1)
-        rows.append(F.struct(F.lit(kw).alias("product_name"), amounts.alias("amounts")))
+    per_kw = [F.struct(F.lit(kw).alias("product_name"),
+                       F.regexp_extract_all(lt, F.lit(price_pattern(kw)), 1).alias("amounts"))
+              for kw in dict.fromkeys(keywords)]
     src = fct_messages.filter(F.col("message_text").isNotNull()).select(
-        "channel_username", F.explode(F.array(*rows)).alias("kw"))
+        "channel_username", F.explode(F.array(*per_kw)).alias("kw"))
     prices = src.select("channel_username", F.col("kw.product_name").alias("product_name"),
                         F.explode("kw.amounts").alias("amount"))
-    prices = prices.select("channel_username", "product_name",
-                           F.regexp_replace("amount", ",", ".").cast("decimal(18,2)").alias("price"))
+    prices = prices.select(
+        "channel_username", "product_name",
+        F.expr("try_cast(replace(amount, ',', '.') AS DECIMAL(18,2))").alias("price"))
     return (prices.groupBy("channel_username", "product_name")
             .agg(F.count(F.lit(1)).alias("n_prices"),
                  F.min("price").alias("min_price"),
-                 F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY price)").alias("median_price"),
+                 F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY price)")
+                 .cast("decimal(18,2)").alias("median_price"),
                  F.max("price").alias("max_price")))
-
-
-def _quote(s: str) -> str:
-    import re
-    return re.escape(s).replace(r"\ ", r"\s+")

@@ -114,3 +114,24 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         conf.cast("decimal(5,4)").alias("confidence_score"),
         F.lit(DETECTION_TIME).cast("timestamp_ntz").alias("detection_timestamp"),
     )
+
+
+def fetched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> platform messages as fetched (input of the exporter, E3).
+
+    posted_at = 2024-01-01 + doc_id minutes; views NULL for every 11th id;
+    media: photo when doc_id % 3 = 0, document when doc_id % 3 = 1.
+    """
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        F.col("doc_id").alias("message_id"),
+        F.concat(F.lit("@"), F.col("source")).alias("channel_username"),
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+         + F.make_dt_interval(mins=F.col("doc_id").cast("int"))).alias("posted_at"),
+        F.col("text"),
+        F.when(F.col("doc_id") % 11 == 0, F.lit(None)).otherwise(F.col("n_chars") % 500)
+        .cast("int").alias("views"),
+        (F.col("doc_id") % 7).cast("int").alias("forwards"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("photo"))
+        .when(F.col("doc_id") % 3 == 1, F.lit("document")).alias("media_type"),
+    )
