@@ -1,0 +1,18 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition a scan that has fewer partitions than task slots.
+
+    For CPU-heavy per-row work (tokenising, scoring) on a scan of a few
+    large files.  At cluster scale a scan already has far more partitions
+    than slots and this is a no-op, so no shuffle is added there.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)

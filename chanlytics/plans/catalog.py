@@ -436,3 +436,73 @@ GROUP BY channel_username, product_name""", "fct_messages")
 @register("b6_price_variation", _price_sql(PARITY_KEYWORDS))
 def q_price_variation(spark, sf_dir):
     return R.price_variation(model_for(spark, sf_dir).fct_messages, PARITY_KEYWORDS)
+
+
+# --- enrichment (E1, E2) ----------------------------------------------------
+
+DETECT_MIN_CONFIDENCE = 0.2
+
+
+def _detector_inputs(spark, sf_dir):
+    from chanlytics.operators.detect import CentroidScorer, fit_centroids
+    from chanlytics.operators.partitioning import spread
+
+    img = D.image_paths(spark, sf_dir)
+    cents, labels = fit_centroids(D.table(spark, sf_dir, "embeddings"))
+    scorer = CentroidScorer(cents, [f"class{k}" for k in labels], DETECT_MIN_CONFIDENCE)
+    # the loader's own channel mapping, derived from the messages
+    mapping = D.raw_messages(spark, sf_dir).select(
+        F.col("channel_name").alias("channel"), "channel_username").distinct()
+    images = spread(img.select(F.col("image_path").alias("path"),
+                               F.col("embedding").alias("content")), "path")
+    return images, scorer, mapping
+
+
+_DETECT_SQL = f"""
+WITH image_src AS (
+  SELECT v.vec_id, coalesce(d.source, 'src0') AS channel, v.label, v.embedding
+  FROM embeddings v LEFT JOIN documents d ON d.doc_id = v.vec_id
+), mapping AS (SELECT DISTINCT source AS channel, source AS channel_username FROM documents),
+cent_dim AS (
+  SELECT label, pos, avg(CAST(x AS DOUBLE)) AS v
+  FROM (SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM embeddings) e
+  GROUP BY label, pos
+), cent AS (SELECT label, list(v ORDER BY pos) AS c FROM cent_dim GROUP BY label),
+scored AS (
+  SELECT i.vec_id, i.channel, m.channel_username, c.label AS cls,
+         list_cosine_similarity(CAST(i.embedding AS DOUBLE[]), c.c) AS sim
+  FROM image_src i JOIN mapping m ON m.channel = i.channel CROSS JOIN cent c
+), boxes AS (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, cls) - 1 AS box_idx
+  FROM scored WHERE sim >= {DETECT_MIN_CONFIDENCE}
+)
+SELECT channel || '_' || CAST(vec_id AS VARCHAR) || '_class' || CAST(cls AS VARCHAR) || '_' || CAST(box_idx AS VARCHAR) AS detection_id,
+       vec_id AS message_id, channel_username,
+       'data/images/' || channel || '_' || CAST(vec_id AS VARCHAR) || '.jpg' AS image_path,
+       'class' || CAST(cls AS VARCHAR) AS detected_object_class,
+       CAST(round(sim, 4) AS DECIMAL(5, 4)) AS confidence_score,
+       TIMESTAMP '1970-01-01 00:00:00' AS detection_timestamp
+FROM boxes"""
+
+
+@register("e1_detect_objects", _DETECT_SQL)
+def q_detect(spark, sf_dir):
+    """Every image of the embeddings table scored by the centroid stand-in detector."""
+    from chanlytics.operators.detect import detect_objects
+
+    images, scorer, mapping = _detector_inputs(spark, sf_dir)
+    return detect_objects(images, scorer, mapping).detections
+
+
+@register("e2_scan_log", f"""
+WITH b AS ({_DETECT_SQL})
+SELECT 'data/images/' || coalesce(d.source, 'src0') || '_' || CAST(v.vec_id AS VARCHAR) || '.jpg' AS image_path,
+       CAST((SELECT count(*) FROM b WHERE b.message_id = v.vec_id) AS INTEGER) AS n_boxes,
+       TIMESTAMP '1970-01-01 00:00:00' AS scored_at
+FROM embeddings v LEFT JOIN documents d ON d.doc_id = v.vec_id""")
+def q_scan_log(spark, sf_dir):
+    """One row per scored image, zero-box images included."""
+    from chanlytics.operators.detect import detect_objects
+
+    images, scorer, mapping = _detector_inputs(spark, sf_dir)
+    return detect_objects(images, scorer, mapping).scan_log
