@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
-from chanlytics.operators.lookup import bounded_broadcast, map_channel_with_fallback
+from chanlytics.operators.lookup import MAX_BROADCAST_ROWS, map_channel_with_fallback
 
 
 def _reason_sql(mapping: dict[str, str]) -> str:
@@ -106,15 +106,20 @@ def rank_in_batch(batch: DataFrame, keys: list[str], order: list[Column]) -> Dat
     return batch.withColumn("__first", F.row_number().over(w) == 1)
 
 
-def existing_keys(target_keys: DataFrame, candidate_keys: DataFrame, keys: list[str]) -> DataFrame:
+def existing_keys(target_keys: DataFrame, batch: DataFrame, keys: list[str],
+                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Keys of the batch already stored.
 
-    The stored table is only probed: the batch's keys are broadcast behind
-    a size check and the target is scanned (key columns only) without a
-    shuffle; the result is never larger than the batch.
+    The stored table is only probed: when the batch has at most
+    ``max_rows`` rows (a bounded scan of the batch, no shuffle) its
+    distinct keys are broadcast and the target is scanned - key columns
+    only - without a shuffle.  A larger batch falls back to a shuffle semi
+    join.  The result is never larger than the batch.
     """
-    return target_keys.select(*keys).join(bounded_broadcast(candidate_keys.select(*keys)),
-                                          keys, "left_semi")
+    cand = batch.select(*keys).distinct()
+    if batch.limit(max_rows + 1).count() <= max_rows:
+        cand = F.broadcast(cand)
+    return target_keys.select(*keys).join(cand, keys, "left_semi")
 
 
 def tag_new_rows(ranked: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -129,8 +134,7 @@ def insert_if_absent(batch: DataFrame, target_keys: DataFrame, keys: list[str],
                      order: list[Column]) -> DataFrame:
     """Pure form: the batch tagged with ``is_new`` (no write)."""
     ranked = rank_in_batch(batch, keys, order)
-    cand = ranked.filter("__first").select(*keys)
-    return tag_new_rows(ranked, existing_keys(target_keys, cand, keys), keys)
+    return tag_new_rows(ranked, existing_keys(target_keys, batch, keys), keys)
 
 
 def load_accounting(tagged: DataFrame, file_col: str = "source_file",
@@ -178,8 +182,7 @@ def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, sc
     ensure_checkpoint_dir(spark)
     target = read_table(spark, target_path, schema)
     ranked = rank_in_batch(batch, keys, order).checkpoint(eager=True)
-    cand = ranked.filter("__first").select(*keys)
-    existing = existing_keys(target, cand, keys).checkpoint(eager=True)
+    existing = existing_keys(target, ranked, keys).checkpoint(eager=True)
     tagged = tag_new_rows(ranked, existing, keys)
     cols = [f.name for f in schema.fields]
     tagged.filter("is_new").select(*cols).write.mode("append").parquet(target_path)

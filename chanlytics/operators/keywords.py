@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlytics.functions.text import tokens
+from chanlytics.operators.partitioning import spread
 
 MAX_INLINE_KEYWORDS = 10_000
 
@@ -46,7 +47,7 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
                  keyword_col: str = "keyword") -> DataFrame:
     """(group_cols..., product_name, mention_count) over non-NULL texts."""
     group_cols = group_cols or []
-    src = texts.filter(F.col(text_col).isNotNull()).select(
+    src = spread(texts.filter(F.col(text_col).isNotNull())).select(
         *group_cols, F.lower(F.col(text_col)).alias("__lt"))
     src = src.select(*group_cols, "__lt", tokens("__lt").alias("__tok"))
     kw = keywords if isinstance(keywords, list) else _collect_keywords(keywords, keyword_col)
@@ -109,4 +110,4 @@ def messages_with_hits(fct_messages: DataFrame, keywords: "DataFrame | list[str]
     for p in phrases:
         # a phrase counts once per token, so a text without tokens adds nothing
         cond = cond | (lt.contains(p) & (F.size(tokens(lt)) > 0))
-    return fct_messages.filter(F.col(text_col).isNotNull() & cond)
+    return spread(fct_messages.filter(F.col(text_col).isNotNull())).filter(cond)

@@ -114,7 +114,14 @@ def build_fct_image_detections(raw_detections: DataFrame, fct_messages: DataFram
 
 
 class Marts:
-    """The staged model, built lazily from a raw messages/detections pair."""
+    """The staged model, built lazily from a raw messages/detections pair.
+
+    Used where the marts are not stored (ad-hoc runs, the registered
+    queries).  The two dimensions are cached: they are small, the size
+    check before their broadcast fills the cache, and the fact build then
+    reads it instead of computing them again.  The daily job stores every
+    mart as a table instead (``plans.pipeline``).
+    """
 
     def __init__(self, raw_messages: DataFrame, raw_detections: DataFrame | None = None):
         from chanlytics.plans.staging import stage_messages
@@ -127,13 +134,13 @@ class Marts:
     @property
     def dim_channels(self) -> DataFrame:
         if self._dc is None:
-            self._dc = build_dim_channels(self.staging)
+            self._dc = build_dim_channels(self.staging).cache()
         return self._dc
 
     @property
     def dim_dates(self) -> DataFrame:
         if self._dd is None:
-            self._dd = build_dim_dates(self.staging)
+            self._dd = build_dim_dates(self.staging).cache()
         return self._dd
 
     @property

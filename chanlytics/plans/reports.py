@@ -16,6 +16,7 @@ from chanlytics.functions.keys import surrogate_key
 from chanlytics.functions.text import like_ci
 from chanlytics.operators.keywords import keyword_hits
 from chanlytics.operators.lookup import bounded_broadcast
+from chanlytics.operators.partitioning import spread
 
 
 def top_products(fct_messages: DataFrame, keywords: "DataFrame | list[str] | None" = None,
@@ -187,7 +188,7 @@ def price_variation(fct_messages: DataFrame, keywords: list[str] | None = None)
     per_kw = [F.struct(F.lit(kw).alias("product_name"),
                        F.regexp_extract_all(lt, F.lit(price_pattern(kw)), 1).alias("amounts"))
               for kw in dict.fromkeys(keywords)]
-    src = fct_messages.filter(F.col("message_text").isNotNull()).select(
+    src = spread(fct_messages.filter(F.col("message_text").isNotNull())).select(
         "channel_username", F.explode(F.array(*per_kw)).alias("kw"))
     prices = src.select("channel_username", F.col("kw.product_name").alias("product_name"),
                         F.explode("kw.amounts").alias("amount"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
+from chanlytics.operators.partitioning import spread
 
 # Fixed values of the adapter (shared with the oracle SQL).
 BASE_DATE = dt.date(2024, 1, 1)
@@ -86,7 +87,7 @@ def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: vec_id, channel, image_path, embedding, label.  Embeddings
     without a document take the default channel.
     """
-    v = table(spark, sf_dir, "embeddings")
+    v = spread(table(spark, sf_dir, "embeddings"), "vec_id")
     d = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("source"))
     ch = F.coalesce(F.col("source"), F.lit(DEFAULT_CHANNEL))
@@ -122,7 +123,7 @@ def fetched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     posted_at = 2024-01-01 + doc_id minutes; views NULL for every 11th id;
     media: photo when doc_id % 3 = 0, document when doc_id % 3 = 1.
     """
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         F.col("doc_id").alias("message_id"),
         F.concat(F.lit("@"), F.col("source")).alias("channel_username"),
