@@ -3,21 +3,22 @@
 * ``validate_export_files``  per-file accept/reject with a reason (I6)
 * ``export_records``         accepted files -> typed rows with file position
 * ``to_raw_messages``        export rows -> raw table rows (P16, P18, I7)
-* ``tag_new_rows``           first-in-batch and not-yet-stored flags (I3/I4)
+* ``new_rows``               first in batch and not yet stored (I3/I4)
 * ``load_accounting``        recorded / skipped per file (I5)
-* ``append_if_absent``       the writer: tag, checkpoint, append
+* ``append_if_absent``       the writer: new rows, checkpoint, append
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
 from chanlytics.operators.lookup import MAX_BROADCAST_ROWS, map_channel_with_fallback
+from chanlytics.operators.topk import latest_per_key
 
 
 def _reason_sql(mapping: dict[str, str]) -> str:
@@ -100,10 +101,14 @@ def to_raw_messages(export: DataFrame, scrape_date: "dt.date | Column",
     )
 
 
-def rank_in_batch(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Add ``__first`` = the row is the first of its key in the batch (in-batch first wins)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return batch.withColumn("__first", F.row_number().over(w) == 1)
+def first_rows(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """In-batch first write wins: the first row of every key under ``order``.
+
+    Planned as a ``WindowGroupLimit``: every map task keeps one row per key
+    before the shuffle, so a key repeated in a third of the batch costs one
+    row per task, not a third of the batch in one task.
+    """
+    return latest_per_key(batch, keys, order)
 
 
 def existing_keys(target_keys: DataFrame, batch: DataFrame, keys: list[str],
@@ -122,27 +127,26 @@ def existing_keys(target_keys: DataFrame, batch: DataFrame, keys: list[str],
     return target_keys.select(*keys).join(cand, keys, "left_semi")
 
 
-def tag_new_rows(ranked: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """``is_new`` = first of its key in the batch and key not stored (ON CONFLICT DO NOTHING)."""
-    ex = existing.select(*keys).distinct().withColumn("__stored", F.lit(True))
-    tagged = ranked.join(ex, keys, "left")
-    return (tagged.withColumn("is_new", F.col("__first") & F.col("__stored").isNull())
-            .drop("__first", "__stored"))
-
+def new_rows(batch: DataFrame, target_keys: DataFrame, keys: list[str],
+             order: list[Column]) -> DataFrame:
+    """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` of the batch would add."""
+    first = first_rows(batch, keys, order)
+    return first.join(existing_keys(target_keys, batch, keys), keys, "left_anti")
 
-def insert_if_absent(batch: DataFrame, target_keys: DataFrame, keys: list[str],
-                     order: list[Column]) -> DataFrame:
-    """Pure form: the batch tagged with ``is_new`` (no write)."""
-    ranked = rank_in_batch(batch, keys, order)
-    return tag_new_rows(ranked, existing_keys(target_keys, batch, keys), keys)
 
-
-def load_accounting(tagged: DataFrame, file_col: str = "source_file",
+def load_accounting(batch: DataFrame, new: DataFrame, file_col: str = "source_file",
                     files: DataFrame | None = None) -> DataFrame:
-    """(source_file, recorded, skipped); ``files`` adds files with no rows as 0/0."""
-    acc = tagged.groupBy(file_col).agg(
-        F.count(F.when(F.col("is_new"), 1)).alias("recorded"),
-        F.count(F.when(~F.col("is_new"), 1)).alias("skipped"))
+    """(source_file, recorded, skipped) per file.
+
+    recorded = new rows from the file, skipped = the file's other rows.
+    Both are partial aggregates per file; ``files`` adds files with no
+    rows as 0/0.
+    """
+    total = batch.groupBy(file_col).agg(F.count(F.lit(1)).alias("__n"))
+    rec = new.groupBy(file_col).agg(F.count(F.lit(1)).alias("recorded"))
+    acc = total.join(rec, file_col, "left").select(
+        file_col, F.coalesce("recorded", F.lit(0)).cast("long").alias("recorded"),
+        (F.col("__n") - F.coalesce("recorded", F.lit(0))).cast("long").alias("skipped"))
     if files is not None:
         acc = (files.select(file_col).distinct().join(acc, file_col, "left")
                .select(file_col, F.coalesce("recorded", F.lit(0)).cast("long").alias("recorded"),
@@ -171,22 +175,19 @@ def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, sc
                      keys: list[str], order: list[Column]) -> DataFrame:
     """Append the new rows of ``batch`` to the parquet table at ``target_path``.
 
-    Returns the batch tagged with ``is_new``.  The ranked batch and the
-    set of already-stored keys are checkpointed (reliable storage) before
-    the append, so the tags cannot change when the target grows and a
-    retried run appends nothing twice.  Two concurrent writers to one
-    table are not supported.
+    Returns the appended rows.  They are checkpointed (reliable storage)
+    before the append, so they cannot change when the target grows, and a
+    retried run finds them stored and appends nothing twice.  Two
+    concurrent writers to one table are not supported.
     """
     from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     target = read_table(spark, target_path, schema)
-    ranked = rank_in_batch(batch, keys, order).checkpoint(eager=True)
-    existing = existing_keys(target, ranked, keys).checkpoint(eager=True)
-    tagged = tag_new_rows(ranked, existing, keys)
+    new = new_rows(batch, target, keys, order).checkpoint(eager=True)
     cols = [f.name for f in schema.fields]
-    tagged.filter("is_new").select(*cols).write.mode("append").parquet(target_path)
-    return tagged
+    new.select(*cols).write.mode("append").parquet(target_path)
+    return new
 
 
 def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
@@ -206,10 +207,10 @@ def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: st
     if quarantine_path:
         rejected.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(quarantine_path)
     raw = to_raw_messages(export_records(validated), run_date, mapping)
-    tagged = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
-                              model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
+    new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
+                           model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
     accepted = validated.filter(F.col("reason").isNull()).select("source_file")
-    return load_accounting(tagged, files=accepted), rejected
+    return load_accounting(raw, new, files=accepted), rejected
 
 
 def new_images(images: DataFrame, processed: DataFrame, path_col: str = "image_path") -> DataFrame:

@@ -271,8 +271,8 @@ def q_insert_if_absent(spark, sf_dir):
     """Batch = all lineitem rows (duplicate keys inside), stored = the returned ('R') lines."""
     li = D.table(spark, sf_dir, "lineitem")
     stored = li.filter(F.col("l_returnflag") == "R").select(*_LINEITEM_KEYS)
-    tagged = I.insert_if_absent(li, stored, _LINEITEM_KEYS, [F.col(c) for c in _LINEITEM_ORDER])
-    return tagged.filter("is_new").select(*_LINEITEM_COLS)
+    new = I.new_rows(li, stored, _LINEITEM_KEYS, [F.col(c) for c in _LINEITEM_ORDER])
+    return new.select(*_LINEITEM_COLS)
 
 
 _EXPORT_ROWS_SQL = """
@@ -303,9 +303,9 @@ def q_load_accounting(spark, sf_dir):
     stored = D.raw_messages(spark, sf_dir).join(
         D.table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
         .select(F.col("doc_id").alias("message_id")), "message_id", "left_semi")
-    tagged = I.insert_if_absent(raw, stored, _model.RAW_MESSAGES_KEY,
-                                [F.col("source_file"), F.col("source_pos")])
-    return I.load_accounting(tagged)
+    new = I.new_rows(raw, stored, _model.RAW_MESSAGES_KEY,
+                     [F.col("source_file"), F.col("source_pos")])
+    return I.load_accounting(raw, new)
 
 
 @register("s7_j6_new_images", O.with_model("""

@@ -68,11 +68,23 @@ def test_load_exports_cases(spark, tmp_dir):
 
 def test_insert_if_absent_pure(spark):
     batch = spark.createDataFrame(
-        [(1, "a", 0), (1, "a", 1), (2, "a", 0), (3, "b", 0)], "k long, c string, pos int")
+        [(1, "a", 1, "f1"), (1, "a", 0, "f2"), (2, "a", 0, "f1"), (3, "b", 0, "f2")],
+        "k long, c string, pos int, source_file string")
     target = spark.createDataFrame([(2, "a")], "k long, c string")
-    tagged = I.insert_if_absent(batch, target, ["k", "c"], [F.col("pos")])
-    got = sorted((r.k, r.c, r.pos, r.is_new) for r in tagged.collect())
-    assert got == [(1, "a", 0, True), (1, "a", 1, False), (2, "a", 0, False), (3, "b", 0, True)]
+    new = I.new_rows(batch, target, ["k", "c"], [F.col("pos")])
+    assert sorted((r.k, r.c, r.pos) for r in new.collect()) == [(1, "a", 0), (3, "b", 0)]
+    acc = {r.source_file: (r.recorded, r.skipped) for r in I.load_accounting(batch, new).collect()}
+    assert acc == {"f1": (0, 2), "f2": (2, 0)}
+
+
+def test_insert_if_absent_hot_key(spark):
+    """One key holding most of the batch still yields its first row only."""
+    rows = [(7, i) for i in range(5000)] + [(k, 0) for k in range(100)]
+    batch = spark.createDataFrame(rows, "k long, pos int").repartition(4)
+    target = spark.createDataFrame([], "k long")
+    new = I.new_rows(batch, target, ["k"], [F.col("pos")])
+    assert new.count() == 100
+    assert new.filter("k = 7").first().pos == 0
 
 
 def test_new_images(spark):
