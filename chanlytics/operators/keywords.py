@@ -6,13 +6,18 @@ Rule (per message, on the lower-cased text):
   when it is a substring of the text (the reference tests phrases inside
   its per-token loop), so a phrase hit adds ``size(tokens)``.
 
-Plan: the dictionary is a small argument.  When it is at most
-``MAX_INLINE_KEYWORDS`` entries it is inlined as literals: words are kept
-with a higher-order ``filter`` (hash-set membership) before anything is
-exploded, phrases are tested with ``contains``.  Each message emits only
-its (keyword, count) hits; a partial aggregate per task then shuffles at
-most one row per keyword per task.  A larger dictionary is joined
-instead: per-task pre-aggregated token counts semi-joined to it.
+Plan: the dictionary is an argument, read with a bound
+(``MAX_DICTIONARY`` entries).
+* words: up to ``MAX_INLINE_WORDS`` they are a literal hash set used by a
+  higher-order ``filter`` on the token array before anything is exploded;
+  a larger word list is joined instead (tokens counted per task first,
+  then semi-joined to the list);
+* phrases: up to ``MAX_INLINE_PHRASES`` they are literal ``contains``
+  tests; more are matched in one pass per text by an Aho-Corasick
+  automaton inside ``mapInPandas`` (built once per worker), which emits
+  only real hits - never all message x phrase pairs.
+Each message emits only its (keyword, count) hits; a partial aggregate
+per task then shuffles at most one row per keyword per task.
 """
 
 from __future__ import annotations
@@ -23,7 +28,9 @@ from pyspark.sql import functions as F
 from chanlytics.functions.text import tokens
 from chanlytics.operators.partitioning import spread
 
-MAX_INLINE_KEYWORDS = 10_000
+MAX_DICTIONARY = 5_000_000
+MAX_INLINE_WORDS = 10_000
+MAX_INLINE_PHRASES = 64
 
 
 def split_keywords(keywords: list[str]) -> tuple[list[str], list[str]]:
@@ -34,14 +41,17 @@ def split_keywords(keywords: list[str]) -> tuple[list[str], list[str]]:
     return words, phrases
 
 
-def _collect_keywords(keywords: DataFrame, column: str) -> list[str] | None:
+def _collect_keywords(keywords: DataFrame, column: str) -> list[str]:
     rows = keywords.select(column).filter(F.col(column).isNotNull()) \
-        .limit(MAX_INLINE_KEYWORDS + 1).collect()
-    if len(rows) > MAX_INLINE_KEYWORDS:
-        return None
+        .limit(MAX_DICTIONARY + 1).collect()
+    if len(rows) > MAX_DICTIONARY:
+        raise ValueError(f"keyword dictionary above {MAX_DICTIONARY} entries")
     return [r[0] for r in rows]
 
 
+_HIT_TYPE = "array<struct<k:string,n:bigint>>"
+
+
 def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
                  text_col: str = "message_text", group_cols: list[str] | None = None,
                  keyword_col: str = "keyword") -> DataFrame:
@@ -51,44 +61,91 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
         *group_cols, F.lower(F.col(text_col)).alias("__lt"))
     src = src.select(*group_cols, "__lt", tokens("__lt").alias("__tok"))
     kw = keywords if isinstance(keywords, list) else _collect_keywords(keywords, keyword_col)
-    if kw is None:
-        return _keyword_hits_join(src, keywords, keyword_col, group_cols)
     words, phrases = split_keywords(kw)
+    inline_words = words if len(words) <= MAX_INLINE_WORDS else []
+    inline_phrases = phrases if len(phrases) <= MAX_INLINE_PHRASES else []
     parts: list[Column] = []
-    if words:
-        hits = F.filter("__tok", lambda t: t.isin(words))
+    if inline_words:
+        hits = F.filter("__tok", lambda t: t.isin(inline_words))
         parts.append(F.transform(hits, lambda t: F.struct(t.alias("k"), F.lit(1).cast("long").alias("n"))))
-    if phrases:
-        n_tok = F.size("__tok").cast("long")
-        phrase_hits = [F.when(F.col("__lt").contains(p),
-                              F.array(F.struct(F.lit(p).alias("k"), n_tok.alias("n"))))
-                       .otherwise(F.array().cast("array<struct<k:string,n:bigint>>"))
-                       for p in phrases]
-        parts.extend(phrase_hits)
-    if not parts:
+    n_tok = F.size("__tok").cast("long")
+    for p in inline_phrases:
+        parts.append(F.when(F.col("__lt").contains(p), F.array(F.struct(F.lit(p).alias("k"), n_tok.alias("n"))))
+                     .otherwise(F.array().cast(_HIT_TYPE)))
+    results: list[DataFrame] = []
+    if parts:
+        all_hits = parts[0] if len(parts) == 1 else F.concat(*parts)
+        exploded = src.select(*group_cols, F.explode(all_hits).alias("h"))
+        results.append(exploded.select(*group_cols, F.col("h.k").alias("product_name"),
+                                       F.col("h.n").alias("n")))
+    if words and not inline_words:
+        results.append(_word_hits_join(src, words, group_cols))
+    if phrases and not inline_phrases:
+        results.append(_phrase_hits_automaton(src, phrases, group_cols))
+    if not results:
         return _empty(texts, group_cols)
-    all_hits = parts[0] if len(parts) == 1 else F.concat(*parts)
-    exploded = src.select(*group_cols, F.explode(all_hits).alias("h"))
-    return (exploded.groupBy(*group_cols, F.col("h.k").alias("product_name"))
-            .agg(F.sum("h.n").alias("mention_count"))
+    hits_df = results[0]
+    for r in results[1:]:
+        hits_df = hits_df.unionByName(r)
+    return (hits_df.groupBy(*group_cols, "product_name")
+            .agg(F.sum("n").cast("long").alias("mention_count"))
             .filter(F.col("mention_count") > 0))
 
 
-def _keyword_hits_join(src: DataFrame, keywords: DataFrame, keyword_col: str,
-                       group_cols: list[str]) -> DataFrame:
-    """Large dictionary: count tokens per task first, then join the dictionary."""
-    kw = keywords.select(F.col(keyword_col).alias("product_name")).distinct()
-    is_phrase = F.size(F.split(F.trim(F.col("product_name")), r"\s+")) > 1
-    words = kw.filter(~is_phrase)
-    phrases = kw.filter(is_phrase)
-    word_counts = (src.select(*group_cols, F.explode("__tok").alias("product_name"))
-                   .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("mention_count"))
-                   .join(words, "product_name", "left_semi"))
-    phrase_counts = (src.join(phrases, F.col("__lt").contains(F.col("product_name")))
-                     .groupBy(*group_cols, "product_name")
-                     .agg(F.sum(F.size("__tok").cast("long")).alias("mention_count")))
-    return (word_counts.unionByName(phrase_counts)
-            .filter(F.col("mention_count") > 0))
+def _word_hits_join(src: DataFrame, words: list[str], group_cols: list[str]) -> DataFrame:
+    """Large word list: count tokens per task first, then keep the listed ones."""
+    spark = src.sparkSession
+    wl = spark.createDataFrame([(w,) for w in words], "product_name string")
+    counts = (src.select(*group_cols, F.explode("__tok").alias("product_name"))
+              .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("n")))
+    return counts.join(wl, "product_name", "left_semi")
+
+
+def _phrase_hits_automaton(src: DataFrame, phrases: list[str], group_cols: list[str]) -> DataFrame:
+    """Large phrase list: Aho-Corasick over each lower-cased text (exact substring hits)."""
+    fields = {f.name: f.dataType.simpleString() for f in src.schema.fields}
+    schema = ", ".join([f"`{g}` {fields[g]}" for g in group_cols]
+                       + ["product_name string", "n bigint"])
+    token = f"phrases-{len(phrases)}-{hash(tuple(phrases))}"
+
+    def run(batches):
+        import pandas as pd
+
+        automaton = _worker_automaton(token, phrases)
+        for pdf in batches:
+            idx, names, counts = [], [], []
+            for i, (lt, n) in enumerate(zip(pdf["__lt"], pdf["__n"])):
+                if not n:
+                    continue
+                for p in {v for _, v in automaton.iter(lt)}:
+                    idx.append(i)
+                    names.append(p)
+                    counts.append(int(n))
+            if not idx:
+                continue
+            out = pdf.iloc[idx][group_cols].reset_index(drop=True)
+            out["product_name"] = pd.Series(names, dtype="object")
+            out["n"] = pd.Series(counts, dtype="int64")
+            yield out
+
+    return src.select(*group_cols, "__lt", F.size("__tok").cast("long").alias("__n")) \
+        .mapInPandas(run, schema)
+
+
+_AUTOMATA: dict[str, object] = {}
+
+
+def _worker_automaton(token: str, phrases: list[str]):
+    a = _AUTOMATA.get(token)
+    if a is None:
+        import ahocorasick
+
+        a = ahocorasick.Automaton()
+        for p in phrases:
+            a.add_word(p, p)
+        a.make_automaton()
+        _AUTOMATA[token] = a
+    return a
 
 
 def _empty(texts: DataFrame, group_cols: list[str]) -> DataFrame:
@@ -100,9 +157,10 @@ def messages_with_hits(fct_messages: DataFrame, keywords: "DataFrame | list[str]
                        text_col: str = "message_text") -> DataFrame:
     """Messages with at least one keyword hit under the counting rule (a filter, no shuffle)."""
     kw = keywords if isinstance(keywords, list) else _collect_keywords(keywords, "keyword")
-    if kw is None:
-        raise ValueError("keyword dictionary too large for a row filter")
     words, phrases = split_keywords(kw)
+    if len(words) > MAX_INLINE_WORDS or len(phrases) > MAX_INLINE_PHRASES:
+        hits = keyword_hits(fct_messages.select("message_sk", text_col), kw, text_col, ["message_sk"])
+        return fct_messages.join(hits.select("message_sk").distinct(), "message_sk", "left_semi")
     lt = F.lower(F.col(text_col))
     cond = F.lit(False)
     if words:

@@ -91,3 +91,19 @@ def test_price_variation(spark):
                        "insulins 5", "no price insulin"])
     r = R.price_variation(fct, ["insulin"]).first()
     assert (r.n_prices, str(r.min_price), str(r.median_price), str(r.max_price)) == (3, "1.00", "250.00", "300.50")
+
+
+def test_large_dictionary_paths_match_replay(spark, monkeypatch):
+    """Word join and Aho-Corasick phrase paths give the inline result."""
+    from chanlytics.operators import keywords as K
+
+    texts = CASES + ["the test kit and blood pressure monitor", "contest kit", "a b c d"]
+    kws = model.DEFAULT_KEYWORDS + ["a b", "b c d", "c"]
+    fct = _fct(spark, texts)
+    monkeypatch.setattr(K, "MAX_INLINE_WORDS", 1)
+    monkeypatch.setattr(K, "MAX_INLINE_PHRASES", 1)
+    got = {(r.product_name, r.mention_count) for r in K.keyword_hits(fct, kws).collect()}
+    assert got == set(replay_counts(texts, kws).items())
+    sel = {r.message_id for r in K.messages_with_hits(fct, kws).collect()}
+    want = {i for i, t in enumerate(texts) if t and replay_counts([t], kws)}
+    assert sel == want
