@@ -166,6 +166,8 @@ def messages_with_hits(fct_messages: DataFrame, keywords: "DataFrame | list[str]
     if words:
         cond = cond | F.exists(tokens(lt), lambda t: t.isin(words))
     for p in phrases:
-        # a phrase counts once per token, so a text without tokens adds nothing
-        cond = cond | (lt.contains(p) & (F.size(tokens(lt)) > 0))
+        # a phrase counts once per token, so a text without tokens adds
+        # nothing; a phrase with a word character implies a token
+        has_word_char = any(ch.isalpha() or ch.isdigit() or ch == "_" for ch in p)
+        cond = cond | (lt.contains(p) if has_word_char else lt.contains(p) & (F.size(tokens(lt)) > 0))
     return spread(fct_messages.filter(F.col(text_col).isNotNull())).filter(cond)

@@ -33,7 +33,7 @@ def register(name: str, sql: str | None = None):
 
 
 def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
-    return M.Marts(D.raw_messages(spark, sf_dir), D.raw_detections(spark, sf_dir))
+    return M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
 
 
 # Report arguments used by the registered queries (fixed values).
@@ -506,3 +506,17 @@ def q_scan_log(spark, sf_dir):
 
     images, scorer, mapping = _detector_inputs(spark, sf_dir)
     return detect_objects(images, scorer, mapping).scan_log
+
+
+@register("i4_insert_if_absent_detections", "WITH " + O.RAW_DETECTIONS.strip() + f""",
+scored AS ({_DETECT_SQL})
+SELECT s.* FROM scored s
+WHERE NOT EXISTS (SELECT 1 FROM raw_detections r WHERE r.detection_id = s.detection_id)""")
+def q_insert_detections(spark, sf_dir):
+    """Detector output appended to the stored detections: ids already stored are skipped."""
+    from chanlytics.operators.detect import detect_objects
+
+    images, scorer, mapping = _detector_inputs(spark, sf_dir)
+    batch = detect_objects(images, scorer, mapping).detections
+    stored = D.raw_detections(spark, sf_dir)
+    return I.new_rows(batch, stored, _model.RAW_DETECTIONS_KEY, [F.col("detection_id")])

@@ -123,14 +123,21 @@ class Marts:
     mart as a table instead (``plans.pipeline``).
     """
 
-    def __init__(self, raw_messages: DataFrame, raw_detections: DataFrame | None = None):
+    def __init__(self, raw_messages: DataFrame, raw_detections=None):
+        """``raw_detections`` may be a DataFrame or a no-argument callable (built on first use)."""
         from chanlytics.plans.staging import stage_messages
 
         self.raw_messages = raw_messages
-        self.raw_detections = raw_detections
+        self._raw_det = raw_detections
         self.staging = stage_messages(raw_messages)
         self._dc = self._dd = self._fm = self._fd = None
 
+    @property
+    def raw_detections(self) -> DataFrame | None:
+        if callable(self._raw_det):
+            self._raw_det = self._raw_det()
+        return self._raw_det
+
     @property
     def dim_channels(self) -> DataFrame:
         if self._dc is None:

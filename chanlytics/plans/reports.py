@@ -15,7 +15,6 @@ from chanlytics import model
 from chanlytics.functions.keys import surrogate_key
 from chanlytics.functions.text import like_ci
 from chanlytics.operators.keywords import keyword_hits
-from chanlytics.operators.lookup import bounded_broadcast
 from chanlytics.operators.partitioning import spread
 
 
@@ -41,13 +40,16 @@ def channel_activity(fct_messages: DataFrame, dim_channels: DataFrame,
     messages without a date key drop out.  ``channel_sk`` of a username is
     its surrogate key by construction of dim_channels, so the same filter
     is also put on the fact, where it reaches the parquet scan.
+
+    The dimensions are stored tables (or cached ones in the lazy model), so
+    Spark knows their size and broadcasts them under its own threshold.
     """
     dc = dim_channels.filter(F.col("channel_username") == F.lit(channel_username)) \
         .select("channel_sk")
-    dd = bounded_broadcast(dim_dates.select("date_sk", "full_date"))
+    dd = dim_dates.select("date_sk", "full_date")
     fm = fct_messages.filter(F.col("channel_sk") == surrogate_key(F.lit(channel_username))) \
         .select("channel_sk", "message_date_sk", "message_sk")
-    joined = (fm.join(bounded_broadcast(dc), "channel_sk")
+    joined = (fm.join(dc, "channel_sk")
               .join(dd, F.col("message_date_sk") == F.col("date_sk")))
     return (joined.groupBy(F.col("full_date").alias("activity_date"))
             .agg(F.count("message_sk").alias("message_count"))
@@ -100,7 +102,7 @@ def daily_volume(fct_messages: DataFrame, dim_dates: DataFrame) -> DataFrame:
     task), then the few day rows meet the date dimension.
     """
     per_key = fct_messages.groupBy("message_date_sk").agg(F.count("message_sk").alias("message_count"))
-    dd = bounded_broadcast(dim_dates.select("date_sk", F.col("full_date").alias("activity_date")))
+    dd = dim_dates.select("date_sk", F.col("full_date").alias("activity_date"))
     return (per_key.join(dd, F.col("message_date_sk") == F.col("date_sk"))
             .select("activity_date", "message_count").orderBy("activity_date"))
 
@@ -117,7 +119,7 @@ def weekly_keyword_volume(fct_messages: DataFrame, dim_dates: DataFrame,
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
     hits = messages_with_hits(fct_messages, keywords)
     per_key = hits.groupBy("message_date_sk").agg(F.count("message_sk").alias("n"))
-    dd = bounded_broadcast(dim_dates.select("date_sk", "full_date"))
+    dd = dim_dates.select("date_sk", "full_date")
     week = F.to_date(F.date_trunc("week", F.col("full_date")))
     return (per_key.join(dd, F.col("message_date_sk") == F.col("date_sk"))
             .groupBy(week.alias("week_start"))
@@ -130,7 +132,7 @@ def visual_share(fct_messages: DataFrame, dim_channels: DataFrame) -> DataFrame:
     per = (fct_messages.groupBy("channel_sk")
            .agg(F.count(F.lit(1)).alias("message_count"),
                 F.sum(F.when(F.col("has_photo"), 1).otherwise(0)).cast("long").alias("photo_count")))
-    dc = bounded_broadcast(dim_channels.select("channel_sk", "channel_username"))
+    dc = dim_channels.select("channel_sk", "channel_username")
     return (per.join(dc, "channel_sk", "left")
             .select("channel_username", "message_count", "photo_count",
                     F.floor(F.col("photo_count") * 1000 / F.col("message_count"))
