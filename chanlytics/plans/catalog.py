@@ -520,3 +520,49 @@ def q_insert_detections(spark, sf_dir):
     batch = detect_objects(images, scorer, mapping).detections
     stored = D.raw_detections(spark, sf_dir)
     return I.new_rows(batch, stored, _model.RAW_DETECTIONS_KEY, [F.col("detection_id")])
+
+
+# --- the same operators over the larger driver tables -------------------------
+
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("w1_latest_event_per_user", f"""
+SELECT {', '.join(_EVENT_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC) AS rn
+  FROM events) e
+WHERE rn = 1""")
+def q_latest_event(spark, sf_dir):
+    """W1/F5 on a history table: the latest event of every user (ties by event id)."""
+    from chanlytics.operators.topk import latest_per_key
+
+    ev = D.table(spark, sf_dir, "events")
+    return latest_per_key(ev, ["user_id"],
+                          [F.col("ts").desc_nulls_first(), F.col("event_id").desc()]) \
+        .select(*_EVENT_COLS)
+
+
+_KEY_CHECKS = [
+    Q.Check("not_null", "customer", "c_custkey"),
+    Q.Check("not_null", "orders", "o_orderkey"),
+    Q.Check("not_null", "lineitem", "l_orderkey"),
+    Q.Check("not_null", "documents", "text"),
+    Q.Check("unique", "customer", "c_custkey"),
+    Q.Check("unique", "orders", "o_orderkey"),
+    Q.Check("unique", "documents", "doc_id"),
+    Q.Check("unique", "lineitem", "l_orderkey"),
+    Q.Check("relationships", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    Q.Check("relationships", "orders", "o_custkey", "customer", "c_custkey"),
+    Q.Check("relationships", "customer", "c_nationkey", "nation", "n_nationkey"),
+    Q.Check("relationships", "nation", "n_regionkey", "region", "r_regionkey"),
+    Q.Check("relationships", "labels", "doc_id", "documents", "doc_id"),
+    Q.Check("expression", "lineitem", "l_discount", predicate="NOT (l_discount BETWEEN 0 AND 1)",
+            name="custom:lineitem_discount_between_0_and_1"),
+]
+
+
+@register("q_key_checks_driver_tables", Q.checks_sql(_KEY_CHECKS))
+def q_key_checks(spark, sf_dir):
+    """The check suite (not_null, unique, relationships, predicate) over the whole driver tables."""
+    names = {c.table for c in _KEY_CHECKS} | {c.to_table for c in _KEY_CHECKS if c.to_table}
+    return Q.run_checks({n: D.table(spark, sf_dir, n) for n in names}, _KEY_CHECKS)

@@ -10,7 +10,6 @@ from chanlytics.functions.dates import date_attributes
 from chanlytics.functions.keys import date_key, surrogate_key
 from chanlytics.functions.text import contains_ci
 from chanlytics.operators.lookup import bounded_broadcast
-from chanlytics.operators.topk import latest_per_key
 
 DIM_DATES_COLUMNS = [
     "date_sk", "full_date", "year", "month", "month_name", "day_of_month",
@@ -20,19 +19,17 @@ DIM_DATES_COLUMNS = [
 
 
 def build_dim_channels(staging: DataFrame) -> DataFrame:
-    """One row per channel_username, named as on its latest scrape (M2).
+    """One row per channel_username, named as on its latest scrape.
 
     Latest = greatest scrape_date with NULL ranked first (the reference's
     ``ORDER BY scrape_date DESC``), ties broken by the greatest message_id,
-    which is unique inside a username.  ``latest_per_key`` keeps one row
-    per key on the map side before the shuffle, so a channel holding a
-    third of all messages costs one row per input partition.
+    which is unique inside a username.  Written as a ``max_by`` aggregate:
+    it is partial per task before the shuffle, so a channel holding a
+    third of all messages costs one row per task.
     """
-    latest = latest_per_key(
-        staging.select("channel_username", "channel_name", "scrape_date", "message_id"),
-        keys=["channel_username"],
-        order=[F.col("scrape_date").desc_nulls_first(), F.col("message_id").desc_nulls_last()],
-    )
+    order = F.struct(F.col("scrape_date").isNull(), F.col("scrape_date"), F.col("message_id"))
+    latest = staging.groupBy("channel_username").agg(
+        F.max_by("channel_name", order).alias("channel_name"))
     return latest.select(
         surrogate_key("channel_username").alias("channel_sk"),
         "channel_username",
@@ -117,10 +114,10 @@ class Marts:
     """The staged model, built lazily from a raw messages/detections pair.
 
     Used where the marts are not stored (ad-hoc runs, the registered
-    queries).  The two dimensions are cached: they are small, the size
-    check before their broadcast fills the cache, and the fact build then
-    reads it instead of computing them again.  The daily job stores every
-    mart as a table instead (``plans.pipeline``).
+    queries); the daily job stores every mart as a table instead
+    (``plans.pipeline``).  The two dimensions are cached: they are small,
+    the size check before their broadcast fills the cache, and the fact
+    build then reads it instead of computing them again.
     """
 
     def __init__(self, raw_messages: DataFrame, raw_detections=None):
