@@ -41,12 +41,34 @@ def split_keywords(keywords: list[str]) -> tuple[list[str], list[str]]:
     return words, phrases
 
 
-def _collect_keywords(keywords: DataFrame, column: str) -> list[str]:
-    rows = keywords.select(column).filter(F.col(column).isNotNull()) \
-        .limit(MAX_DICTIONARY + 1).collect()
-    if len(rows) > MAX_DICTIONARY:
-        raise ValueError(f"keyword dictionary above {MAX_DICTIONARY} entries")
-    return [r[0] for r in rows]
+def _phrase_col(c: Column) -> Column:
+    return F.size(F.split(F.trim(c), r"\s+")) > 1
+
+
+def _resolve_keywords(keywords: "DataFrame | list[str]", column: str
+                      ) -> tuple[list[str] | None, DataFrame | None, list[str]]:
+    """(inline words or None, word DataFrame for a join or None, phrases).
+
+    A list is used as given.  A DataFrame is only collected when small:
+    words up to ``MAX_INLINE_WORDS`` are inlined, a longer word list stays
+    distributed and is joined; phrases are collected (bounded by
+    ``MAX_DICTIONARY``) because every task matches every phrase.
+    """
+    if isinstance(keywords, list):
+        words, phrases = split_keywords(keywords)
+        if len(words) > MAX_INLINE_WORDS:
+            return None, None, phrases  # caller builds the join input
+        return words, None, phrases
+    kw = keywords.select(F.col(column).alias("k")).filter(F.col("k").isNotNull())
+    word_df = kw.filter(~_phrase_col(F.col("k")))
+    phrase_rows = kw.filter(_phrase_col(F.col("k"))).limit(MAX_DICTIONARY + 1).collect()
+    if len(phrase_rows) > MAX_DICTIONARY:
+        raise ValueError(f"more than {MAX_DICTIONARY} phrases")
+    phrases = list(dict.fromkeys(r[0] for r in phrase_rows))
+    few = word_df.limit(MAX_INLINE_WORDS + 1).collect()
+    if len(few) <= MAX_INLINE_WORDS:
+        return list(dict.fromkeys(r[0] for r in few)), None, phrases
+    return None, word_df.select(F.col("k").alias("product_name")).distinct(), phrases
 
 
 _HIT_TYPE = "array<struct<k:string,n:bigint>>"
@@ -60,9 +82,11 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
     src = spread(texts.filter(F.col(text_col).isNotNull())).select(
         *group_cols, F.lower(F.col(text_col)).alias("__lt"))
     src = src.select(*group_cols, "__lt", tokens("__lt").alias("__tok"))
-    kw = keywords if isinstance(keywords, list) else _collect_keywords(keywords, keyword_col)
-    words, phrases = split_keywords(kw)
-    inline_words = words if len(words) <= MAX_INLINE_WORDS else []
+    inline_words, word_df, phrases = _resolve_keywords(keywords, keyword_col)
+    if inline_words is None and word_df is None:  # a long python list
+        word_df = src.sparkSession.createDataFrame(
+            [(w,) for w in split_keywords(keywords)[0]], "product_name string")
+    inline_words = inline_words or []
     inline_phrases = phrases if len(phrases) <= MAX_INLINE_PHRASES else []
     parts: list[Column] = []
     if inline_words:
@@ -78,8 +102,8 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
         exploded = src.select(*group_cols, F.explode(all_hits).alias("h"))
         results.append(exploded.select(*group_cols, F.col("h.k").alias("product_name"),
                                        F.col("h.n").alias("n")))
-    if words and not inline_words:
-        results.append(_word_hits_join(src, words, group_cols))
+    if word_df is not None:
+        results.append(_word_hits_join(src, word_df, group_cols))
     if phrases and not inline_phrases:
         results.append(_phrase_hits_automaton(src, phrases, group_cols))
     if not results:
@@ -92,10 +116,8 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
             .filter(F.col("mention_count") > 0))
 
 
-def _word_hits_join(src: DataFrame, words: list[str], group_cols: list[str]) -> DataFrame:
+def _word_hits_join(src: DataFrame, wl: DataFrame, group_cols: list[str]) -> DataFrame:
     """Large word list: count tokens per task first, then keep the listed ones."""
-    spark = src.sparkSession
-    wl = spark.createDataFrame([(w,) for w in words], "product_name string")
     counts = (src.select(*group_cols, F.explode("__tok").alias("product_name"))
               .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("n")))
     return counts.join(wl, "product_name", "left_semi")
@@ -156,10 +178,10 @@ def _empty(texts: DataFrame, group_cols: list[str]) -> DataFrame:
 def messages_with_hits(fct_messages: DataFrame, keywords: "DataFrame | list[str]",
                        text_col: str = "message_text") -> DataFrame:
     """Messages with at least one keyword hit under the counting rule (a filter, no shuffle)."""
-    kw = keywords if isinstance(keywords, list) else _collect_keywords(keywords, "keyword")
-    words, phrases = split_keywords(kw)
-    if len(words) > MAX_INLINE_WORDS or len(phrases) > MAX_INLINE_PHRASES:
-        hits = keyword_hits(fct_messages.select("message_sk", text_col), kw, text_col, ["message_sk"])
+    words, word_df, phrases = _resolve_keywords(keywords, "keyword")
+    if words is None or len(phrases) > MAX_INLINE_PHRASES:
+        hits = keyword_hits(fct_messages.select("message_sk", text_col), keywords, text_col,
+                            ["message_sk"])
         return fct_messages.join(hits.select("message_sk").distinct(), "message_sk", "left_semi")
     lt = F.lower(F.col(text_col))
     cond = F.lit(False)

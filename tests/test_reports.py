@@ -107,3 +107,15 @@ def test_large_dictionary_paths_match_replay(spark, monkeypatch):
     sel = {r.message_id for r in K.messages_with_hits(fct, kws).collect()}
     want = {i for i, t in enumerate(texts) if t and replay_counts([t], kws)}
     assert sel == want
+
+
+def test_keyword_dataframe_large_word_list_stays_distributed(spark, monkeypatch):
+    from chanlytics.operators import keywords as K
+
+    texts = CASES + ["the test kit and blood pressure monitor"]
+    kws = model.DEFAULT_KEYWORDS + ["a b"]
+    fct = _fct(spark, texts)
+    monkeypatch.setattr(K, "MAX_INLINE_WORDS", 3)
+    kdf = spark.createDataFrame([(k,) for k in kws], "keyword string")
+    got = {(r.product_name, r.mention_count) for r in K.keyword_hits(fct, kdf).collect()}
+    assert got == set(replay_counts(texts, kws).items())
