@@ -4,15 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _bytes(conf_value: str) -> int:
+    v = conf_value.strip().lower().rstrip("b") or "0"
+    if v[-1] in _UNITS:
+        return int(float(v[:-1]) * _UNITS[v[-1]])
+    return int(v)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the plan (no job runs)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition a scan that has fewer partitions than task slots.
+    """Repartition small inputs over all task slots before CPU-heavy per-row work.
 
-    For CPU-heavy per-row work (tokenising, scoring) on a scan of a few
-    large files.  At cluster scale a scan already has far more partitions
-    than slots and this is a no-op, so no shuffle is added there.
+    A plan whose estimated size is below ``slots x maxPartitionBytes``
+    cannot have enough scan partitions to keep every slot busy (a few
+    large files, one row group each); it is hash- or round-robin-
+    repartitioned to one partition per slot, which is cheap because the
+    data is small.  Anything larger already has at least that many scan
+    partitions, and nothing is added - so at cluster scale this is a
+    no-op.  Decided from the optimizer's estimate: no job is run.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if estimated_bytes(df) >= slots * split:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
