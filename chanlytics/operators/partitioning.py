@@ -14,16 +14,25 @@ def _bytes(conf_value: str) -> int:
     return int(v)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the plan (no job runs)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+def _as_int(size) -> int:
     return int(size if isinstance(size, int) else size.toString())
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Sum of the optimizer's size estimates of the plan's leaf relations.
+
+    This is what the scans read (no job runs).  The estimate of the plan
+    itself is no use here: without cost-based statistics a join is
+    estimated as the product of its inputs.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(_as_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition small inputs over all task slots before CPU-heavy per-row work.
 
-    A plan whose estimated size is below ``slots x maxPartitionBytes``
+    A plan whose inputs are estimated below ``slots x maxPartitionBytes``
     cannot have enough scan partitions to keep every slot busy (a few
     large files, one row group each); it is hash- or round-robin-
     repartitioned to one partition per slot, which is cheap because the
@@ -34,6 +43,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if estimated_bytes(df) >= slots * split:
+    if input_bytes(df) >= slots * split:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)

@@ -17,8 +17,6 @@ The result has one row per check:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,70 +120,77 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None)
 
     Plan: row-predicate checks (not_null, expression) of a table share one
     aggregate pass; all unique checks share one shuffle on (check, value);
-    all relationship checks share one anti join on (check, key).  Keys are
-    compared as text so checks of different types can share a shuffle.
+    all relationship checks share one anti join of child keys that are
+    counted per (check, key) first - a partial aggregate, so a foreign key
+    shared by a third of the fact (a big channel, a busy day) costs one
+    row per task.  Keys are compared as text so checks of different types
+    share a shuffle.  The plan is one Spark SQL statement over the given
+    DataFrames, analysed once.
     """
     checks = all_checks() if checks is None else checks
+    for c in checks:
+        if c.kind not in ("not_null", "expression", "unique", "relationships"):
+            raise ValueError(f"unknown check kind {c.kind}")
+    names = sorted({c.table for c in checks} | {c.to_table for c in checks if c.to_table})
+    ref = {n: f"t{i}" for i, n in enumerate(names)}
     ids = {id(c): i for i, c in enumerate(checks)}
-    counts: list[DataFrame] = []  # each: (check_id int, failures long)
+    parts: list[str] = []
 
     by_table: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in ("not_null", "expression"):
             by_table.setdefault(c.table, []).append(c)
-        elif c.kind not in ("unique", "relationships"):
-            raise ValueError(f"unknown check kind {c.kind}")
     for table, cs in by_table.items():
-        aggs = []
-        for c in cs:
-            bad = F.col(c.column).isNull() if c.kind == "not_null" else F.expr(c.predicate)
-            aggs.append(F.count(F.when(bad, 1)).alias(f"f{ids[id(c)]}"))
-        one = tables[table].agg(*aggs)
+        aggs = ", ".join(
+            f"count(CASE WHEN {_violation(c)} THEN 1 END) AS f{ids[id(c)]}" for c in cs)
         pairs = ", ".join(f"{ids[id(c)]}, f{ids[id(c)]}" for c in cs)
-        counts.append(one.selectExpr(f"stack({len(cs)}, {pairs}) AS (check_id, failures)"))
+        parts.append(f"SELECT stack({len(cs)}, {pairs}) AS (check_id, failures) "
+                     f"FROM (SELECT {aggs} FROM {{{ref[table]}}}) a")
 
     uniq = [c for c in checks if c.kind == "unique"]
     if uniq:
-        vals = reduce(DataFrame.unionByName, [
-            tables[c.table].select(F.lit(ids[id(c)]).alias("check_id"),
-                                   F.col(c.column).cast("string").alias("v"))
-            for c in uniq])
-        dup = (vals.filter(F.col("v").isNotNull()).groupBy("check_id", "v").count()
-               .filter(F.col("count") > 1).groupBy("check_id")
-               .agg(F.count(F.lit(1)).alias("failures")))
-        counts.append(dup)
+        vals = " UNION ALL ".join(
+            f"SELECT {ids[id(c)]} AS check_id, CAST(`{c.column}` AS STRING) AS v FROM {{{ref[c.table]}}}"
+            for c in uniq)
+        parts.append(f"SELECT check_id, count(*) AS failures FROM ("
+                     f"SELECT check_id, v FROM ({vals}) u WHERE v IS NOT NULL "
+                     f"GROUP BY check_id, v HAVING count(*) > 1) d GROUP BY check_id")
 
     rel = [c for c in checks if c.kind == "relationships"]
     if rel:
-        # Child keys are counted per (check, key) first - a partial
-        # aggregate, so a foreign key shared by a third of the fact (a big
-        # channel, a busy day) costs one row per task - and only the
-        # distinct keys meet the parent in the anti join.
-        child = reduce(DataFrame.unionByName, [
-            tables[c.table].select(F.lit(ids[id(c)]).alias("check_id"),
-                                   F.col(c.column).cast("string").alias("k"))
-            for c in rel]).filter(F.col("k").isNotNull()) \
-            .groupBy("check_id", "k").agg(F.count(F.lit(1)).alias("n"))
-        parent = reduce(DataFrame.unionByName, [
-            tables[c.to_table].select(F.lit(ids[id(c)]).alias("check_id"),
-                                      F.col(c.to_column).cast("string").alias("k"))
-            for c in rel])
-        orphans = (child.join(parent, ["check_id", "k"], "left_anti")
-                   .groupBy("check_id").agg(F.sum("n").alias("failures")))
-        counts.append(orphans)
-
-    spark = next(iter(tables.values())).sparkSession
-    meta = spark.createDataFrame(
-        [(ids[id(c)], c.test_name, c.table, c.column) for c in checks],
-        "check_id int, test_name string, table_name string, column_name string")
-    found = reduce(DataFrame.unionByName, counts) if counts else None
-    out = meta if found is None else meta.join(
-        F.broadcast(found.select(F.col("check_id").cast("int"),
-                                 F.col("failures").cast("long"))), "check_id", "left")
-    failures = F.coalesce(F.col("failures"), F.lit(0)).cast("long") if found is not None \
-        else F.lit(0).cast("long")
-    return out.select("test_name", "table_name", "column_name", failures.alias("failures"),
-                      (failures == 0).alias("passed"))
+        child = " UNION ALL ".join(
+            f"SELECT {ids[id(c)]} AS check_id, CAST(`{c.column}` AS STRING) AS k FROM {{{ref[c.table]}}}"
+            for c in rel)
+        parent = " UNION ALL ".join(
+            f"SELECT {ids[id(c)]} AS check_id, CAST(`{c.to_column}` AS STRING) AS k "
+            f"FROM {{{ref[c.to_table]}}}" for c in rel)
+        parts.append(f"SELECT ch.check_id, sum(ch.n) AS failures FROM ("
+                     f"SELECT check_id, k, count(*) AS n FROM ({child}) c WHERE k IS NOT NULL "
+                     f"GROUP BY check_id, k) ch LEFT ANTI JOIN ({parent}) p "
+                     f"ON ch.check_id = p.check_id AND ch.k = p.k GROUP BY ch.check_id")
+
+    meta = ", ".join(
+        f"({ids[id(c)]}, {_lit(c.test_name)}, {_lit(c.table)}, {_lit(c.column)})" for c in checks)
+    found = " UNION ALL ".join(f"SELECT CAST(check_id AS INT) AS check_id, "
+                               f"CAST(failures AS BIGINT) AS failures FROM ({p}) x{i}"
+                               for i, p in enumerate(parts))
+    # at most one row per check: a bounded broadcast
+    sql = f"""
+SELECT m.test_name, m.table_name, m.column_name,
+       CAST(coalesce(f.failures, 0) AS BIGINT) AS failures,
+       coalesce(f.failures, 0) = 0 AS passed
+FROM (VALUES {meta}) AS m(check_id, test_name, table_name, column_name)
+LEFT JOIN (SELECT /*+ BROADCAST(r) */ * FROM ({found}) r) f ON m.check_id = f.check_id"""
+    spark = tables[names[0]].sparkSession
+    return spark.sql(sql, **{ref[n]: tables[n] for n in names})
+
+
+def _violation(c: Check) -> str:
+    return f"`{c.column}` IS NULL" if c.kind == "not_null" else f"({c.predicate})"
+
+
+def _lit(v: str | None) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"
 
 
 def checks_sql(checks: list[Check] | None = None) -> str:
