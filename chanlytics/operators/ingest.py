@@ -213,6 +213,74 @@ def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: st
     return load_accounting(raw, new, files=accepted), rejected
 
 
+LINES_SCHEMA = ("message_id string, date string, text string, views string, forwards string, "
+                "has_photo string, photo_path string, _corrupt_record string")
+
+
+def read_landing_day(spark: SparkSession, base: str, run_date: dt.date) -> DataFrame:
+    """One day of the JSON-lines landing layout (``write_landing``), values kept as text.
+
+    Splittable input: a large day is read by many tasks.  ``channel`` and
+    ``scrape_date`` come from the partition folders.
+    """
+    return (spark.read.schema(LINES_SCHEMA)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+            .option("basePath", base)
+            .json(f"{base.rstrip('/')}/scrape_date={run_date.isoformat()}")
+            .withColumn("source_file", F.col("_metadata.file_path")))
+
+
+def validate_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None
+                          ) -> tuple[DataFrame, DataFrame]:
+    """(accepted typed export rows, rejected files with a reason) for JSON-lines input.
+
+    Same record rules as ``validate_export_files`` (a line that does not
+    parse is 'unparsable'; in this layout a missing key reads as NULL).
+    Any bad line rejects its whole file: the bad files are found with a
+    partial aggregate per file and removed with an anti join, broadcast
+    behind a size check (one row per bad file).
+    """
+    from chanlytics.operators.lookup import bounded_broadcast
+
+    mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
+    rec = F.create_map(*[x for k in model.EXPORT_KEYS for x in (F.lit(k), F.col(k).cast("string"))])
+    reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unparsable")) \
+        .otherwise(F.expr(_reason_sql(mapping)))
+    checked = rows.withColumn("r", rec).withColumn("reason", reason)
+    bad_files = (checked.filter(F.col("reason").isNotNull()).groupBy("source_file")
+                 .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_bad_records")))
+    ok = checked.filter(F.col("reason").isNull()).join(
+        bounded_broadcast(bad_files.select("source_file")), "source_file", "left_anti")
+    typed = ok.select(
+        F.col("message_id").cast("bigint").alias("message_id"), "channel",
+        F.col("date").cast("date").alias("date"), "text",
+        F.col("views").cast("int").alias("views"), F.col("forwards").cast("int").alias("forwards"),
+        F.col("has_photo").cast("boolean").alias("has_photo"), "photo_path", "source_file")
+    return typed, bad_files
+
+
+def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
+                     quarantine_path: str | None = None,
+                     mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The loader for the JSON-lines landing layout: (accounting per file, rejected files).
+
+    In-batch first write wins by (file, then the row's values), as lines
+    carry no position.
+    """
+    rows = read_landing_day(spark, base, run_date)
+    typed, rejected = validate_landing_rows(rows, mapping)
+    rejected = rejected.checkpoint(eager=True)
+    if quarantine_path:
+        rejected.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(quarantine_path)
+    raw = to_raw_messages(typed.withColumn("source_pos", F.lit(None).cast("long")), run_date, mapping)
+    order = [F.col(c).asc_nulls_first() for c in
+             ["source_file", "message_date", "message_text", "views", "forwards", "has_photo",
+              "photo_path", "channel_name"]]
+    new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
+                           model.RAW_MESSAGES_KEY, order)
+    return load_accounting(raw, new), rejected
+
+
 def new_images(images: DataFrame, processed: DataFrame, path_col: str = "image_path") -> DataFrame:
     """Images whose path is not yet processed."""
     done = processed.select(path_col).distinct()

@@ -21,6 +21,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS
+                          ) -> list[DataFrame]:
+    """``bounded_broadcast`` for several sides, checked together in one job."""
+    if not dfs:
+        return []
+    tagged = None
+    for i, df in enumerate(dfs):
+        part = df.limit(max_rows + 1).select(F.lit(i).alias("__side"))
+        tagged = part if tagged is None else tagged.unionAll(part)
+    counts = {r[0]: r[1] for r in tagged.groupBy("__side").count().collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join a fact to a dimension; the dimension is broadcast when small."""

@@ -9,7 +9,7 @@ from chanlytics import model
 from chanlytics.functions.dates import date_attributes
 from chanlytics.functions.keys import date_key, surrogate_key
 from chanlytics.functions.text import contains_ci
-from chanlytics.operators.lookup import bounded_broadcast
+from chanlytics.operators.lookup import bounded_broadcast_all
 
 DIM_DATES_COLUMNS = [
     "date_sk", "full_date", "year", "month", "month_name", "day_of_month",
@@ -75,9 +75,9 @@ def build_fct_messages(staging: DataFrame, dim_channels: DataFrame,
     Both dimensions are small (channels, days) and joined by broadcast
     behind a row-count check; the fact is never shuffled.
     """
-    dc = bounded_broadcast(dim_channels.select("channel_username", "channel_sk"))
-    dd = bounded_broadcast(dim_dates.select(F.col("full_date").alias("__d"),
-                                            F.col("date_sk").alias("message_date_sk")))
+    dc, dd = bounded_broadcast_all([
+        dim_channels.select("channel_username", "channel_sk"),
+        dim_dates.select(F.col("full_date").alias("__d"), F.col("date_sk").alias("message_date_sk"))])
     joined = (staging.join(dc, "channel_username", "left")
               .join(dd, F.col("message_date") == F.col("__d"), "left"))
     flags = [contains_ci("message_text", needle).alias(name)

@@ -27,6 +27,9 @@ class Layout:
     warehouse: str
     landing: str
     images: str | None = None
+    # "array": one JSON array per channel and day (the exporter's files);
+    # "lines": the splittable JSON-lines layout written by write_landing
+    landing_format: str = "array"
 
     def table(self, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{name}"
@@ -76,8 +79,9 @@ def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=Non
     ensure_checkpoint_dir(spark)
     raw_path = layout.table("raw_telegram_messages")
     det_path = layout.table("raw_image_detections")
-    accounting, rejected = I.load_exports(spark, layout.landing, run_date, raw_path,
-                                          layout.table("quarantine_files"), mapping)
+    loader = I.load_landing_day if layout.landing_format == "lines" else I.load_exports
+    accounting, rejected = loader(spark, layout.landing, run_date, raw_path,
+                                  layout.table("quarantine_files"), mapping)
     accounting = write_table(accounting, layout.table(f"load_accounting/run_date={run_date}"))
     if scorer is not None and layout.images:
         from chanlytics.operators.detect import read_images, run_detection

@@ -12,6 +12,12 @@ from chanlytics.operators import ingest as I
 RUN = dt.date(2025, 7, 15)
 
 
+def _with_scrape_date():
+    from pyspark.sql import types as T
+
+    return T.StructType(list(model.EXPORT_SCHEMA.fields) + [T.StructField("scrape_date", T.DateType())])
+
+
 def _write(base, name, content):
     d = os.path.join(base, RUN.isoformat())
     os.makedirs(d, exist_ok=True)
@@ -98,10 +104,39 @@ def test_landing_roundtrip(spark, tmp_dir):
 
     base = os.path.join(tmp_dir, "lines")
     rows = [(1, "Chemed", dt.date(2025, 7, 13), "hi", 1, 0, False, None, RUN)]
-    df = spark.createDataFrame(rows, model.EXPORT_SCHEMA.add("scrape_date", "date"))
+    df = spark.createDataFrame(rows, _with_scrape_date())
     write_landing(df, base)
     write_landing(df, base)  # same day again replaces, does not duplicate
     back = read_export_lines(spark, base)
     assert back.count() == 1
     r = back.first()
     assert (r.message_id, r.channel, r.scrape_date) == (1, "Chemed", RUN)
+
+
+def test_landing_lines_loader(spark, tmp_dir):
+    """I1 write -> JSON-lines day -> validate (whole-file reject) -> insert-if-absent."""
+    import datetime as dt
+
+    from chanlytics.sources.exports import write_landing
+
+    base = os.path.join(tmp_dir, "lines")
+    S = _with_scrape_date()
+    good = [(1, "Chemed", dt.date(2025, 7, 13), "hi", 1, 0, False, None, RUN),
+            (2, "Chemed", dt.date(2025, 7, 13), None, None, None, True, None, RUN),
+            (1, "TikvahPharma", dt.date(2025, 7, 14), "x", 3, 1, False, None, RUN)]
+    write_landing(spark.createDataFrame(good, S), base)
+    # a second channel folder with one bad line: the whole file is rejected
+    bad_dir = os.path.join(base, f"scrape_date={RUN.isoformat()}", "channel=Lobelia4Cosmetics")
+    os.makedirs(bad_dir)
+    with open(os.path.join(bad_dir, "part-0.json"), "w") as f:
+        f.write(json.dumps({"message_id": 5, "date": "2025-07-13", "views": 1}) + "\n")
+        f.write(json.dumps({"message_id": 6, "date": "nope", "views": 1}) + "\n")
+    raw = os.path.join(tmp_dir, "raw")
+    acc, rej = I.load_landing_day(spark, base, RUN, raw)
+    assert sum(r.recorded for r in acc.collect()) == 3
+    assert [r.reason for r in rej.collect()] == ["bad_date"]
+    got = {(r.message_id, r.channel_username, r.message_length) for r in spark.read.parquet(raw).collect()}
+    assert got == {(1, "@CheMed123", 2), (2, "@CheMed123", 0), (1, "@tikvahpharma", 1)}
+    acc2, _ = I.load_landing_day(spark, base, RUN, raw)
+    assert sum(r.recorded for r in acc2.collect()) == 0
+    assert sum(r.skipped for r in acc2.collect()) == 3
