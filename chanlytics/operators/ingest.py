@@ -81,7 +81,7 @@ def export_records(validated: DataFrame) -> DataFrame:
 
 def to_raw_messages(export: DataFrame, scrape_date: "dt.date | Column",
                     mapping: "dict[str, str] | DataFrame | None" = None) -> DataFrame:
-    """Export rows -> raw.telegram_messages rows (+ source_file, source_pos).
+    """Export rows -> the raw messages table rows (+ source_file, source_pos).
 
     ``scrape_date`` is the run date, a parameter (I7) so reruns repeat.
     """

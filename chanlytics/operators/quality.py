@@ -44,7 +44,7 @@ class Check:
 # The tests declared by the reference model, per table.
 # ---------------------------------------------------------------------------
 DECLARED_TESTS = {
-    "raw_telegram_messages": {
+    "raw_messages": {
         "not_null": ["message_id", "channel_name", "channel_username", "scrape_date", "message_date"],
     },
     "raw_image_detections": {
@@ -52,7 +52,7 @@ DECLARED_TESTS = {
                      "confidence_score", "detection_timestamp"],
         "unique": ["detection_id"],
     },
-    "stg_telegram_messages": {
+    "stg_messages": {
         "not_null": ["message_id", "channel_username", "message_sk", "message_date", "scrape_date"],
         "unique": ["message_sk"],
     },
@@ -69,7 +69,7 @@ DECLARED_TESTS = {
                      "message_date_sk", "scrape_date_sk"],
         "unique": ["message_sk"],
         "relationships": [
-            ("message_sk", "stg_telegram_messages", "message_sk"),
+            ("message_sk", "stg_messages", "message_sk"),
             ("channel_sk", "dim_channels", "channel_sk"),
             ("message_date_sk", "dim_dates", "date_sk"),
             ("scrape_date_sk", "dim_dates", "date_sk"),
@@ -85,11 +85,11 @@ DECLARED_TESTS = {
 
 # Singular and documented checks (violation predicates).
 PHOTO_FLAG_WITHOUT_PHOTO = Check(
-    "expression", "stg_telegram_messages", "has_photo",
+    "expression", "stg_messages", "has_photo",
     predicate="has_photo = false AND photo_path IS NOT NULL",
     name="custom:has_photo_false_with_photo_path")
 PHOTO_WITHOUT_PATH = Check(
-    "expression", "stg_telegram_messages", "photo_path",
+    "expression", "stg_messages", "photo_path",
     predicate="has_photo = true AND photo_path IS NULL",
     name="custom:has_photo_true_without_photo_path")
 CONFIDENCE_RANGE = Check(
@@ -219,9 +219,9 @@ def checks_sql(checks: list[Check] | None = None) -> str:
 def model_tables(marts) -> dict[str, DataFrame]:
     """The check targets of a built model (``plans.marts.Marts``)."""
     return {
-        "raw_telegram_messages": marts.raw_messages,
+        "raw_messages": marts.raw_messages,
         "raw_image_detections": marts.raw_detections,
-        "stg_telegram_messages": marts.staging,
+        "stg_messages": marts.staging,
         "dim_channels": marts.dim_channels,
         "dim_dates": marts.dim_dates,
         "fct_messages": marts.fct_messages,

@@ -195,9 +195,8 @@ def q_image_detections_msg(spark, sf_dir):
 from chanlytics.operators import quality as Q  # noqa: E402
 
 _CHECK_ALIASES = [
-    "raw_telegram_messages AS (SELECT * FROM raw_messages)",
     "raw_image_detections AS (SELECT * FROM raw_detections)",
-    "stg_telegram_messages AS (SELECT * FROM staging)",
+    "stg_messages AS (SELECT * FROM staging)",
 ]
 
 

@@ -40,7 +40,7 @@ def build_dim_channels(staging: DataFrame) -> DataFrame:
 def date_spine(lo: "F.Column", hi: "F.Column", bounds: DataFrame) -> DataFrame:
     """One row per day from lo to hi of a single-row frame (G1).
 
-    PostgreSQL yields no rows when lo > hi or a bound is NULL, whereas
+    The reference's database yields no rows when lo > hi or a bound is NULL, whereas
     Spark's ``sequence`` throws on reversed bounds, hence the guard.
     """
     return (bounds.filter(lo.isNotNull() & hi.isNotNull() & (lo <= hi))

@@ -53,7 +53,7 @@ def build_marts(spark: SparkSession, raw_messages: DataFrame, raw_detections: Da
                 layout: Layout) -> dict[str, DataFrame]:
     """Stage and model; dimensions first, so the fact joins read small stored tables."""
     staging = stage_messages(raw_messages)
-    staging.createOrReplaceTempView("stg_telegram_messages")
+    staging.createOrReplaceTempView("stg_messages")
     dim_channels = write_table(M.build_dim_channels(staging), layout.table("dim_channels"))
     dim_dates = write_table(M.build_dim_dates(staging), layout.table("dim_dates"))
     fct_messages = write_table(M.build_fct_messages(staging, dim_channels, dim_dates),
@@ -61,9 +61,9 @@ def build_marts(spark: SparkSession, raw_messages: DataFrame, raw_detections: Da
     fct_det = write_table(M.build_fct_image_detections(raw_detections, fct_messages),
                           layout.table("fct_image_detections"))
     return {
-        "raw_telegram_messages": raw_messages,
+        "raw_messages": raw_messages,
         "raw_image_detections": raw_detections,
-        "stg_telegram_messages": staging,
+        "stg_messages": staging,
         "dim_channels": dim_channels,
         "dim_dates": dim_dates,
         "fct_messages": fct_messages,
@@ -77,7 +77,7 @@ def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=Non
     from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    raw_path = layout.table("raw_telegram_messages")
+    raw_path = layout.table("raw_messages")
     det_path = layout.table("raw_image_detections")
     loader = I.load_landing_day if layout.landing_format == "lines" else I.load_exports
     accounting, rejected = loader(spark, layout.landing, run_date, raw_path,

@@ -63,7 +63,7 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_messages(spark: SparkSession, sf_dir: str,
                  mapping: "DataFrame | dict[str, str] | None" = None) -> DataFrame:
-    """documents -> raw.telegram_messages (one row per document)."""
+    """documents -> the raw messages table (one row per document)."""
     from chanlytics.operators.lookup import map_channel_with_fallback
 
     ex = export_rows(spark, sf_dir)
