@@ -216,10 +216,14 @@ def detect_objects(images: DataFrame, scorer: Scorer,
     return Detections(scored, detections, scan_log, early.unionByName(bad_id))
 
 
+ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str,
                   scan_log_path: str | None = None, mapping=None,
                   run_ts: dt.datetime | None = None, path_col: str = "path",
-                  payload_col: str = "content", image_prefix: str = "data/images/") -> Detections:
+                  payload_col: str = "content", image_prefix: str = "data/images/",
+                  batch_rows: int | None = 64) -> Detections:
     """The enrichment job: score new images and append detections (I4).
 
     Scores are checkpointed once (the model runs once per image), then
@@ -234,12 +238,23 @@ def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str
 
     ensure_checkpoint_dir(spark)
     processed = read_table(spark, detections_path, model.RAW_DETECTIONS_SCHEMA).select("image_path")
+    # images are large: score them in small Arrow batches (bounded worker memory)
     log_schema = _parse_datatype_string("image_path string, n_boxes int, scored_at timestamp_ntz")
     if scan_log_path:
         processed = processed.unionByName(
             read_table(spark, scan_log_path, log_schema).select("image_path"))
     todo, early = prepare_images(images, mapping, processed, path_col, payload_col, image_prefix)
-    scored = score_images(todo, scorer, payload_col).checkpoint(eager=True)
+    previous = spark.conf.get(ARROW_BATCH_CONF, None)
+    if batch_rows:
+        spark.conf.set(ARROW_BATCH_CONF, str(batch_rows))
+    try:
+        scored = score_images(todo, scorer, payload_col).checkpoint(eager=True)
+    finally:
+        if batch_rows:
+            if previous is None:
+                spark.conf.unset(ARROW_BATCH_CONF)
+            else:
+                spark.conf.set(ARROW_BATCH_CONF, previous)
     detections, scan_log, bad_id = flatten_scores(scored, scorer.class_names, run_ts)
     append_if_absent(spark, detections, detections_path, model.RAW_DETECTIONS_SCHEMA,
                      model.RAW_DETECTIONS_KEY, [F.col("detection_id")])

@@ -71,10 +71,16 @@ def search_messages(fct_messages: DataFrame, query: str, literal: bool = False,
             .limit(limit))
 
 
-def list_channels(dim_channels: DataFrame) -> DataFrame:
-    """All channels by name (binary order of the name, then username)."""
+def list_channels(dim_channels: DataFrame, collation: str | None = None) -> DataFrame:
+    """All channels by name, then username.
+
+    Names sort by binary order (A, B, a, b) unless a collation is given,
+    e.g. ``"UNICODE"`` (a, A, b, B) or ``"UNICODE_CI"``, closer to a
+    database's locale order.
+    """
+    name = F.col("channel_name") if collation is None else F.collate("channel_name", collation)
     return (dim_channels.select("channel_sk", "channel_username", "channel_name")
-            .orderBy("channel_name", "channel_username"))
+            .orderBy(name, "channel_username"))
 
 
 def image_detections(fct_image_detections: DataFrame, message_sk: str | None = None,

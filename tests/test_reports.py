@@ -76,6 +76,10 @@ def test_list_channels_and_detections(spark):
     dc = spark.createDataFrame([("s2", "@b", "beta"), ("s1", "@a", "Alpha"), ("s3", "@c", "alpha")],
                                "channel_sk string, channel_username string, channel_name string")
     assert [r.channel_name for r in R.list_channels(dc).collect()] == ["Alpha", "alpha", "beta"]
+    dc2 = spark.createDataFrame([("s1", "@a", "b"), ("s2", "@b", "B"), ("s3", "@c", "a")],
+                                "channel_sk string, channel_username string, channel_name string")
+    assert [r.channel_name for r in R.list_channels(dc2).collect()] == ["B", "a", "b"]
+    assert [r.channel_name for r in R.list_channels(dc2, "UNICODE").collect()] == ["a", "b", "B"]
     det = spark.createDataFrame([(f"d{i:03d}", "m1" if i % 2 else "m2", "cat", None, "p", None, 1)
                                  for i in range(150)],
                                 "image_detection_sk string, message_sk string, detected_object_class string, "
