@@ -18,3 +18,30 @@ def test_declared_suite_size():
     kinds = [c.kind for c in all_checks()]
     assert (kinds.count("not_null"), kinds.count("unique"), kinds.count("relationships")) == (32, 8, 5)
     assert len(kinds) == 48
+
+
+def test_detection_health_and_confidence_range(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from chanlytics import model
+    from chanlytics.operators.quality import CONFIDENCE_RANGE, detection_health
+
+    ts = dt.datetime(2025, 7, 15)
+    det = spark.createDataFrame([
+        ("Chemed_11_clock_0", 11, "@CheMed123", "data/images/Chemed_11.jpg", "clock", Decimal("0.4273"), ts),
+        ("Chemed_13_hot dog_0", 13, "@CheMed123", "data/images/Chemed_13.jpg", "hot dog", Decimal("0.5039"), ts),
+        ("Chemed_13_hot dog_0", 13, "@CheMed123", "data/images/Chemed_13.jpg", "hot dog", Decimal("0.3097"), ts),
+        ("Chemed_99_cup_0", 99, "@CheMed123", "data/images/Chemed_99.jpg", "cup", Decimal("1.2000"), ts),
+    ], model.RAW_DETECTIONS_SCHEMA)
+    msgs = spark.createDataFrame([(11, "@CheMed123"), (13, "@CheMed123")],
+                                 "message_id long, channel_username string")
+    h = detection_health(det, msgs)
+    assert h["total"].first().total_detections == 4
+    assert {(r.channel_username, r.detections) for r in h["by_channel"].collect()} == {("@CheMed123", 4)}
+    assert [(r.detection_id, r.n) for r in h["duplicates"].collect()] == [("Chemed_13_hot dog_0", 2)]
+    assert [r.detection_id for r in h["sample"].collect()][:2] == ["Chemed_11_clock_0", "Chemed_13_hot dog_0"]
+    assert [(r.message_id, r.channel_username) for r in h["orphans"].collect()] == [(99, "@CheMed123")]
+    fd = det.withColumnRenamed("detection_id", "image_detection_sk")
+    got = run_checks({"fct_image_detections": fd}, [CONFIDENCE_RANGE]).first()
+    assert (got.failures, got.passed) == (1, False)

@@ -78,3 +78,20 @@ def test_image_stream(spark, tmp_dir):
     logged = {r.image_path: r.n_boxes for r in spark.read.parquet(log).collect()}
     assert logged["data/images/Chemed_99.png"] == 0   # zero-box image remembered
     assert "data/images/Unknown_5.jpg" not in logged   # unmapped: never scored
+
+
+def test_batch_detection_skips_processed_images(spark, tmp_dir):
+    """J6 + E2: a second run scores nothing that is stored or logged."""
+    from chanlytics.operators.detect import read_images, run_detection
+
+    img = os.path.join(tmp_dir, "images")
+    os.makedirs(img)
+    for name, size in [("Chemed_1.jpg", 250), ("Chemed_2.jpg", 10)]:
+        with open(os.path.join(img, name), "wb") as f:
+            f.write(np.zeros(size, dtype=np.uint8).tobytes())
+    det, log = os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "log")
+    first = run_detection(spark, read_images(spark, img), LengthScorer(), det, log)
+    assert first.scored.count() == 2
+    again = run_detection(spark, read_images(spark, img), LengthScorer(), det, log)
+    assert again.scored.count() == 0
+    assert spark.read.parquet(det).count() == 2
