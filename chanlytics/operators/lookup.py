@@ -34,6 +34,29 @@ def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_RO
     return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
 
 
+def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "left",
+               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``small.join(big, keys, how)`` without shuffling ``big`` when ``small`` is small.
+
+    When ``small`` has at most ``max_rows`` rows (a bounded scan, no
+    shuffle), its distinct keys are broadcast and ``big`` is semi-joined
+    against them where it lies - scanned, never shuffled - and the found
+    rows (at most one set per small key, so bounded when ``big`` is unique
+    on ``keys``) are broadcast back for the real join.  Rows of ``big``
+    that match no key never reach the result of a left, inner, semi or
+    anti join, so the result is exactly the plain join's.  A larger
+    ``small`` side falls back to a shuffle join (AQE splits skewed keys).
+    """
+    if how not in ("left", "inner", "left_semi", "left_anti"):
+        raise ValueError(f"probe_join does not support {how!r}")
+    if small.limit(max_rows + 1).count() > max_rows:
+        return small.join(big, keys, how)
+    found = big.join(F.broadcast(small.select(*keys).distinct()), keys, "left_semi")
+    if how in ("left_semi", "left_anti"):
+        found = found.select(*keys).distinct()
+    return small.join(F.broadcast(found), keys, how)
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join a fact to a dimension; the dimension is broadcast when small."""

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chanlytics.operators.lookup import probe_join
+
 
 @dataclass(frozen=True)
 class Check:
@@ -245,7 +247,7 @@ def detection_health(detections: DataFrame, messages: DataFrame,
         "duplicates": detections.groupBy("detection_id").agg(F.count(F.lit(1)).alias("n"))
                                 .filter(F.col("n") > 1),
         "sample": detections.select(*sample_cols).orderBy("detection_id").limit(sample_size),
-        "orphans": detections.select("message_id", "channel_username")
-                             .join(messages.select("message_id", "channel_username"),
-                                   ["message_id", "channel_username"], "left_anti"),
+        "orphans": probe_join(detections.select("message_id", "channel_username"),
+                              messages.select("message_id", "channel_username"),
+                              ["message_id", "channel_username"], "left_anti"),
     }

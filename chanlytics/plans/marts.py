@@ -9,7 +9,7 @@ from chanlytics import model
 from chanlytics.functions.dates import date_attributes
 from chanlytics.functions.keys import date_key, surrogate_key
 from chanlytics.functions.text import contains_ci
-from chanlytics.operators.lookup import bounded_broadcast_all
+from chanlytics.operators.lookup import bounded_broadcast_all, probe_join
 
 DIM_DATES_COLUMNS = [
     "date_sk", "full_date", "year", "month", "month_name", "day_of_month",
@@ -95,13 +95,14 @@ def build_fct_messages(staging: DataFrame, dim_channels: DataFrame,
 def build_fct_image_detections(raw_detections: DataFrame, fct_messages: DataFrame) -> DataFrame:
     """Detection fact: raw detections ⟕ message fact on (message_id, channel_username) (M5).
 
-    This is the one large-large join of the model: both sides shuffle on
-    the composite key (high cardinality through message_id, so a hot
-    channel does not make a hot partition); AQE splits skewed partitions.
+    The one join of two fact-sized inputs.  Detections are normally far
+    fewer than messages, so ``probe_join`` probes the message fact with
+    the detections' broadcast keys in place (no shuffle of the messages);
+    beyond the size bound both sides shuffle on the composite key, which
+    is high-cardinality through message_id, with AQE splitting skew.
     """
     fm = fct_messages.select("message_id", "channel_username", "message_sk")
-    rid = raw_detections
-    joined = rid.join(fm, ["message_id", "channel_username"], "left")
+    joined = probe_join(raw_detections, fm, ["message_id", "channel_username"], "left")
     return joined.select(
         surrogate_key("detection_id", "detected_object_class").alias("image_detection_sk"),
         "message_sk", "detected_object_class", "confidence_score", "image_path",

@@ -53,3 +53,21 @@ def test_reports_prune_columns(spark, qs):
         assert "text:" not in s
     for s in _read_schemas(_plan(qs["q6_detections_by_channel"](spark, SF_SMALL))):
         assert "embedding:" not in s
+
+
+def test_detection_fact_probes_messages_in_place(spark, qs):
+    """The message fact is semi-joined against broadcast detection keys, not shuffled."""
+    p = _plan(qs["m5_fct_image_detections"](spark, SF_SMALL))
+    assert "SortMergeJoin" not in p
+    assert "LeftSemi, BuildRight" in p
+
+
+def test_probe_join_falls_back_beyond_the_bound(spark):
+    from chanlytics.operators.lookup import probe_join
+
+    small = spark.createDataFrame([(i,) for i in range(10)], "k long")
+    big = spark.range(100).withColumnRenamed("id", "k")
+    fallback = probe_join(small, big, ["k"], "left", max_rows=5)
+    assert "LeftSemi" not in _plan(fallback)
+    assert sorted(r.k for r in fallback.collect()) == list(range(10))
+    assert sorted(r.k for r in probe_join(small, big, ["k"], "left_anti").collect()) == []
