@@ -167,7 +167,9 @@ def prepare_images(images: DataFrame, mapping: "dict[str, str] | DataFrame | Non
     known, unknown = map_channel_strict(parsed.filter("name_ok"), mapping, "channel_name")
     todo = known
     if processed is not None:
-        todo = todo.join(processed.select("image_path").distinct(), "image_path", "left_anti")
+        from chanlytics.operators.ingest import new_images
+
+        todo = new_images(todo, processed)
     todo = todo.select("image_path", "stem", "channel_username", "message_ref", payload_col)
     rejects = bad_name.unionByName(
         unknown.select("image_path", F.lit("unmapped_channel").alias("reason")))

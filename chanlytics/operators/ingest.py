@@ -282,6 +282,11 @@ def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path
 
 
 def new_images(images: DataFrame, processed: DataFrame, path_col: str = "image_path") -> DataFrame:
-    """Images whose path is not yet processed."""
-    done = processed.select(path_col).distinct()
-    return images.join(done, path_col, "left_anti")
+    """Images whose path is not yet processed.
+
+    The processed set (all detections ever stored) is probed in place with
+    the new images' paths rather than shuffled.
+    """
+    from chanlytics.operators.lookup import probe_join
+
+    return probe_join(images, processed.select(path_col), [path_col], "left_anti")

@@ -196,8 +196,12 @@ def price_variation(fct_messages: DataFrame, keywords: list[str] | None = None)
     """
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
     lt = F.lower(F.col("message_text"))
+    # the regex runs only on texts that contain the keyword at all
+    none = F.array().cast("array<string>")
     per_kw = [F.struct(F.lit(kw).alias("product_name"),
-                       F.regexp_extract_all(lt, F.lit(price_pattern(kw)), 1).alias("amounts"))
+                       F.when(lt.contains(kw.lower().split()[0]),
+                              F.regexp_extract_all(lt, F.lit(price_pattern(kw)), 1))
+                       .otherwise(none).alias("amounts"))
               for kw in dict.fromkeys(keywords)]
     src = spread(fct_messages.filter(F.col("message_text").isNotNull())).select(
         "channel_username", F.explode(F.array(*per_kw)).alias("kw"))
