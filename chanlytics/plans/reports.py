@@ -149,16 +149,14 @@ def object_mix(fct_image_detections: DataFrame, fct_messages: DataFrame) -> Data
     """Detections per channel and object class.
 
     Detections are pre-aggregated per (message_sk, class) before they meet
-    the message fact, so the join carries one row per message and class,
-    and the message fact is probed in place when that side is small.
+    the message fact, so the join carries one row per message and class.
+    (No probe here: its size check would compute the aggregate twice.)
     """
-    from chanlytics.operators.lookup import probe_join
-
     per_msg = (fct_image_detections.filter(F.col("message_sk").isNotNull())
                .groupBy("message_sk", "detected_object_class")
                .agg(F.sum("detection_count").cast("long").alias("n")))
     fm = fct_messages.select("message_sk", "channel_username")
-    return (probe_join(per_msg, fm, ["message_sk"], "inner")
+    return (per_msg.join(fm, "message_sk")
             .groupBy("channel_username", "detected_object_class")
             .agg(F.sum("n").alias("detection_count")))
 
