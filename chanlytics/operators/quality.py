@@ -125,7 +125,7 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None)
     all relationship checks share one anti join of child keys that are
     counted per (check, key) first - a partial aggregate, so a foreign key
     shared by a third of the fact (a big channel, a busy day) costs one
-    row per task.  Keys are compared as text so checks of different types
+    row per task - against the parents' distinct keys.  Keys are compared as text so checks of different types
     share a shuffle.  The plan is one Spark SQL statement over the given
     DataFrames, analysed once.
     """
@@ -168,7 +168,7 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None)
             f"FROM {{{ref[c.to_table]}}}" for c in rel)
         parts.append(f"SELECT ch.check_id, sum(ch.n) AS failures FROM ("
                      f"SELECT check_id, k, count(*) AS n FROM ({child}) c WHERE k IS NOT NULL "
-                     f"GROUP BY check_id, k) ch LEFT ANTI JOIN ({parent}) p "
+                     f"GROUP BY check_id, k) ch LEFT ANTI JOIN (SELECT DISTINCT check_id, k FROM ({parent}) pu) p "
                      f"ON ch.check_id = p.check_id AND ch.k = p.k GROUP BY ch.check_id")
 
     meta = ", ".join(
