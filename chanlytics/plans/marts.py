@@ -116,7 +116,7 @@ class Marts:
 
     Used where the marts are not stored (ad-hoc runs, the registered
     queries); the daily job stores every mart as a table instead
-    (``plans.pipeline``).  The two dimensions are cached: they are small,
+    (``plans.daily``).  The two dimensions are cached: they are small,
     the size check before their broadcast fills the cache, and the fact
     build then reads it instead of computing them again.
     """

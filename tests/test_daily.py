@@ -5,7 +5,7 @@ import json
 import os
 
 from chanlytics.plans import reports as R
-from chanlytics.plans.pipeline import Layout, run_daily
+from chanlytics.plans.daily import Layout, run_daily
 
 
 def test_run_daily(spark, tmp_dir):
