@@ -41,8 +41,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     no-op.  Decided from the optimizer's estimate: no job is run.
     """
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        inputs = input_bytes(df)
+    except Exception:  # noqa: BLE001 - no JVM handles (e.g. a Spark Connect session)
+        return df
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if input_bytes(df) >= slots * split:
+    if inputs >= slots * split:
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)

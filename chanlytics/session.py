@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared folder and is always used as
     given.  Only when it is unset (local tests) do we pick a private folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server side owns checkpoints
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -83,8 +86,11 @@ def ship_package(spark: SparkSession) -> None:
     """
     import zipfile
 
-    sc = spark.sparkContext
-    key = sc.applicationId
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: ship with addArtifacts instead
+        sc = None
+    key = sc.applicationId if sc is not None else "connect"
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -95,5 +101,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(key)
