@@ -57,12 +57,6 @@ def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "le
     return small.join(F.broadcast(found), keys, how)
 
 
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a fact to a dimension; the dimension is broadcast when small."""
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
-
-
 def _map_literal(mapping: dict[str, str]) -> Column:
     items = []
     for k, v in sorted(mapping.items()):
@@ -101,11 +95,3 @@ def map_channel_strict(df: DataFrame, mapping: "DataFrame | dict[str, str]", nam
         .withColumn(out_col, F.col("__un")).drop("__ch", "__un")
     unknown = joined.filter(F.col("__un").isNull()).drop("__ch", "__un")
     return known, unknown
-
-
-def eq(left: DataFrame, right: DataFrame, *pairs: tuple[str, str]) -> Column:
-    cond = None
-    for a, b in pairs:
-        c = left[a] == right[b]
-        cond = c if cond is None else cond & c
-    return cond

@@ -69,12 +69,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint dir for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name + "-" + os.urandom(6).hex()
-
-
 _SHIPPED: set[str] = set()
 
 
