@@ -230,23 +230,28 @@ def read_landing_day(spark: SparkSession, base: str, run_date: dt.date) -> DataF
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
-def validate_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None
-                          ) -> tuple[DataFrame, DataFrame]:
-    """(accepted typed export rows, rejected files with a reason) for JSON-lines input.
+def check_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """Landing rows with a per-row ``reason`` (NULL = the row itself is fine).
+
+    Same record rules as ``validate_export_files``; a line that does not
+    parse is 'unparsable'; in this layout a missing key reads as NULL.
+    """
+    mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
+    rec = F.create_map(*[x for k in model.EXPORT_KEYS for x in (F.lit(k), F.col(k).cast("string"))])
+    reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unparsable")) \
+        .otherwise(F.expr(_reason_sql(mapping)))
+    return rows.withColumn("r", rec).withColumn("reason", reason).drop("r")
+
+
+def split_checked_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted typed export rows, rejected files with a reason).
 
-    Same record rules as ``validate_export_files`` (a line that does not
-    parse is 'unparsable'; in this layout a missing key reads as NULL).
     Any bad line rejects its whole file: the bad files are found with a
     partial aggregate per file and removed with an anti join, broadcast
     behind a size check (one row per bad file).
     """
     from chanlytics.operators.lookup import bounded_broadcast
 
-    mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
-    rec = F.create_map(*[x for k in model.EXPORT_KEYS for x in (F.lit(k), F.col(k).cast("string"))])
-    reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unparsable")) \
-        .otherwise(F.expr(_reason_sql(mapping)))
-    checked = rows.withColumn("r", rec).withColumn("reason", reason)
     bad_files = (checked.filter(F.col("reason").isNotNull()).groupBy("source_file")
                  .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_bad_records")))
     ok = checked.filter(F.col("reason").isNull()).join(
@@ -259,17 +264,28 @@ def validate_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None
     return typed, bad_files
 
 
+def validate_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None
+                          ) -> tuple[DataFrame, DataFrame]:
+    """(accepted typed export rows, rejected files) for JSON-lines input."""
+    return split_checked_rows(check_landing_rows(rows, mapping))
+
+
 def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
                      quarantine_path: str | None = None,
                      mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The loader for the JSON-lines landing layout: (accounting per file, rejected files).
 
-    In-batch first write wins by (file, then the row's values), as lines
-    carry no position.
+    The day's lines are parsed and checked once and checkpointed; every
+    later step (file rejection, the new-row tagging, the accounting) reads
+    that.  In-batch first write wins by (file, then the row's values), as
+    lines carry no position.
     """
-    rows = read_landing_day(spark, base, run_date)
-    typed, rejected = validate_landing_rows(rows, mapping)
-    rejected = rejected.checkpoint(eager=True)
+    from chanlytics.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    checked = check_landing_rows(read_landing_day(spark, base, run_date), mapping) \
+        .checkpoint(eager=True)
+    typed, rejected = split_checked_rows(checked)
     if quarantine_path:
         rejected.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(quarantine_path)
     raw = to_raw_messages(typed.withColumn("source_pos", F.lit(None).cast("long")), run_date, mapping)
