@@ -261,5 +261,7 @@ def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str
     append_if_absent(spark, detections, detections_path, model.RAW_DETECTIONS_SCHEMA,
                      model.RAW_DETECTIONS_KEY, [F.col("detection_id")])
     if scan_log_path:
-        scan_log.select(*[f.name for f in log_schema.fields]).write.mode("append").parquet(scan_log_path)
+        # keyed by image: a retried run does not log an image twice
+        append_if_absent(spark, scan_log.select(*[f.name for f in log_schema.fields]),
+                         scan_log_path, log_schema, ["image_path"], [F.col("scored_at")])
     return Detections(scored, detections, scan_log, early.unionByName(bad_id))

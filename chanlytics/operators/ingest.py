@@ -171,6 +171,16 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def write_partition(df: DataFrame, path: str, column: str, value) -> None:
+    """Write ``df`` as the ``column=value`` partition of a table, replacing only it.
+
+    Dynamic partition overwrite: a retried run rewrites its own partition
+    instead of appending a second copy.
+    """
+    (df.withColumn(column, F.lit(value)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+
+
 def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, schema,
                      keys: list[str], order: list[Column]) -> DataFrame:
     """Append the new rows of ``batch`` to the parquet table at ``target_path``.
@@ -205,7 +215,7 @@ def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: st
     rejected = validated.filter(F.col("reason").isNotNull()) \
         .select("source_file", "n_records", "reason")
     if quarantine_path:
-        rejected.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(quarantine_path)
+        write_partition(rejected, quarantine_path, "run_date", run_date)
     raw = to_raw_messages(export_records(validated), run_date, mapping)
     new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
                            model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
@@ -287,7 +297,7 @@ def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path
         .checkpoint(eager=True)
     typed, rejected = split_checked_rows(checked)
     if quarantine_path:
-        rejected.withColumn("run_date", F.lit(run_date)).write.mode("append").parquet(quarantine_path)
+        write_partition(rejected, quarantine_path, "run_date", run_date)
     raw = to_raw_messages(typed.withColumn("source_pos", F.lit(None).cast("long")), run_date, mapping)
     order = [F.col(c).asc_nulls_first() for c in
              ["source_file", "message_date", "message_text", "views", "forwards", "has_photo",

@@ -38,9 +38,10 @@ def start_export_ingest(spark: SparkSession, landing_base: str, raw_path: str,
     def ingest_batch(batch: DataFrame, epoch_id: int) -> None:
         validated = I.validate_export_files(parse_export_files(batch), mapping)
         if quarantine_path:
-            (validated.filter(F.col("reason").isNotNull())
-             .select("source_file", "n_records", "reason", F.lit(epoch_id).alias("epoch_id"))
-             .write.mode("append").parquet(quarantine_path))
+            # a retried micro-batch rewrites its own epoch partition
+            I.write_partition(validated.filter(F.col("reason").isNotNull())
+                              .select("source_file", "n_records", "reason"),
+                              quarantine_path, "epoch_id", epoch_id)
         scrape = F.to_date(F.regexp_extract("source_file", _DATE_FOLDER, 1))
         raw = I.to_raw_messages(I.export_records(validated), scrape, mapping)
         I.append_if_absent(batch.sparkSession, raw, raw_path, model.RAW_MESSAGES_SCHEMA,

@@ -95,3 +95,16 @@ def test_batch_detection_skips_processed_images(spark, tmp_dir):
     again = run_detection(spark, read_images(spark, img), LengthScorer(), det, log)
     assert again.scored.count() == 0
     assert spark.read.parquet(det).count() == 2
+
+
+def test_quarantine_rewrite_is_idempotent(spark, tmp_dir):
+    import datetime as dt
+
+    from chanlytics.operators import ingest as I
+
+    base = os.path.join(tmp_dir, "landing")
+    _write(base, "2025-07-14", "bad.json", [{"message_id": 9}])
+    q = os.path.join(tmp_dir, "quarantine")
+    for _ in range(2):  # a rerun of the same day
+        I.load_exports(spark, base, dt.date(2025, 7, 14), os.path.join(tmp_dir, "raw"), q)
+    assert spark.read.parquet(q).count() == 1
