@@ -227,16 +227,17 @@ LINES_SCHEMA = ("message_id string, date string, text string, views string, forw
                 "has_photo string, photo_path string, _corrupt_record string")
 
 
-def read_landing_day(spark: SparkSession, base: str, run_date: dt.date) -> DataFrame:
-    """One day of the JSON-lines landing layout (``write_landing``), values kept as text.
+def read_landing_day(spark: SparkSession, base: str, run_date: dt.date | None = None) -> DataFrame:
+    """One day (or all days) of the JSON-lines landing layout, values kept as text.
 
     Splittable input: a large day is read by many tasks.  ``channel`` and
     ``scrape_date`` come from the partition folders.
     """
+    path = base.rstrip("/") + (f"/scrape_date={run_date.isoformat()}" if run_date else "")
     return (spark.read.schema(LINES_SCHEMA)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
             .option("basePath", base)
-            .json(f"{base.rstrip('/')}/scrape_date={run_date.isoformat()}")
+            .json(path)
             .withColumn("source_file", F.col("_metadata.file_path")))
 
 
@@ -270,7 +271,8 @@ def split_checked_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("message_id").cast("bigint").alias("message_id"), "channel",
         F.col("date").cast("date").alias("date"), "text",
         F.col("views").cast("int").alias("views"), F.col("forwards").cast("int").alias("forwards"),
-        F.col("has_photo").cast("boolean").alias("has_photo"), "photo_path", "source_file")
+        F.col("has_photo").cast("boolean").alias("has_photo"), "photo_path", "source_file",
+        "scrape_date")
     return typed, bad_files
 
 

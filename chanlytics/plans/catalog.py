@@ -600,3 +600,32 @@ def q_key_checks(spark, sf_dir):
     """The check suite (not_null, unique, relationships, predicate) over the whole driver tables."""
     names = {c.table for c in _KEY_CHECKS} | {c.to_table for c in _KEY_CHECKS if c.to_table}
     return Q.run_checks({n: D.table(spark, sf_dir, n) for n in names}, _KEY_CHECKS)
+
+
+# --- landing connector round trip (I1, S1-S3, G2, I6) --------------------------
+
+@register("s1_i1_landing_roundtrip", """
+SELECT doc_id AS message_id, source AS channel,
+       DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) AS date,
+       text, CAST(n_chars % 500 AS INTEGER) AS views, CAST(doc_id % 7 AS INTEGER) AS forwards,
+       (doc_id % 3 = 0) AS has_photo,
+       CASE WHEN doc_id % 6 = 0
+            THEN 'data/images/' || source || '_' || CAST(doc_id AS VARCHAR) || '.jpg' END AS photo_path,
+       DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) + CAST(doc_id % 5 AS INTEGER) AS scrape_date
+FROM documents""")
+def q_landing_roundtrip(spark, sf_dir):
+    """The documents' export written by the landing writer, read back and checked.
+
+    The files go to a fresh folder under the session's checkpoint dir (the
+    shared folder on a cluster); reading uses the splittable JSON-lines
+    reader, the record checks and the whole-file rejection.
+    """
+    import uuid
+
+    from chanlytics.session import ensure_checkpoint_dir
+    from chanlytics.sources.exports import write_landing
+
+    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/landing-{uuid.uuid4().hex}"
+    write_landing(D.export_rows(spark, sf_dir), base)
+    typed, _rejected = I.validate_landing_rows(I.read_landing_day(spark, base))
+    return typed.drop("source_file")
