@@ -59,3 +59,62 @@ def test_insert_if_absent_matches_model(spark, batch, stored):
     acc = {r.source_file: (r.recorded, r.skipped) for r in I.load_accounting(bdf, new).collect()}
     assert sum(r + s for r, s in acc.values()) == len(rows)
     assert sum(r for r, _ in acc.values()) == len(want)
+
+
+@SETTINGS
+@given(st.dates(min_value=__import__("datetime").date(1990, 1, 1),
+                max_value=__import__("datetime").date(2030, 12, 31)),
+       st.integers(0, 400))
+def test_dim_dates_matches_python_calendar(spark, lo, span):
+    import calendar
+    import datetime as dt
+
+    from chanlytics.plans.marts import dim_dates_between
+
+    hi = lo + dt.timedelta(days=span)
+    b = spark.createDataFrame([(lo, hi)], "lo date, hi date")
+    rows = {r.full_date: r for r in dim_dates_between(b, F.col("lo"), F.col("hi")).collect()}
+    assert len(rows) == span + 1
+    for d, r in rows.items():
+        dow = (d.weekday() + 1) % 7  # 0 = Sunday
+        assert (r.date_sk, r.year, r.month, r.day_of_month) == (
+            d.year * 10000 + d.month * 100 + d.day, d.year, d.month, d.day)
+        assert r.month_name == calendar.month_name[d.month].ljust(9)
+        assert r.day_of_week_num == dow and r.day_of_week_name == calendar.day_name[d.weekday()].ljust(9)
+        assert r.quarter == (d.month - 1) // 3 + 1 and r.week_of_year == d.isocalendar()[1]
+        assert r.day_of_year == d.timetuple().tm_yday and r.is_weekend == (dow in (0, 6))
+        assert r.incremental_num == (d - lo).days + 1
+
+
+GOOD = {"message_id": 1, "channel": "Chemed", "date": "2025-07-13", "text": "t", "views": 1,
+        "forwards": 0, "has_photo": False, "photo_path": None}
+FLAWS = {"ok": None, "missing_views": ("del", "views"), "bad_date": ("date", "13/07/2025"),
+         "bad_views": ("views", "many"), "null_text": ("text", None), "null_id": ("message_id", None)}
+BAD_FLAWS = {"missing_views", "bad_date", "bad_views", "null_id"}
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.sampled_from(sorted(FLAWS)), max_size=4), min_size=1, max_size=8))
+def test_file_validation_matches_model(spark, files):
+    import json
+
+    from chanlytics.operators.ingest import validate_export_files
+    from chanlytics.sources.exports import parse_export_files
+
+    rows, want = [], set()
+    for i, flaws in enumerate(files):
+        recs = []
+        for j, flaw in enumerate(flaws):
+            r = dict(GOOD, message_id=j + 1)
+            if FLAWS[flaw] and FLAWS[flaw][0] == "del":
+                del r[FLAWS[flaw][1]]
+            elif FLAWS[flaw]:
+                r[FLAWS[flaw][0]] = FLAWS[flaw][1]
+            recs.append(r)
+        rows.append((f"f{i}.json", json.dumps(recs)))
+        if not BAD_FLAWS & set(flaws):
+            want.add(f"f{i}.json")
+    files_df = spark.createDataFrame(rows, "source_file string, content string")
+    got = {r.source_file for r in validate_export_files(parse_export_files(files_df))
+           .filter("reason IS NULL").collect()}
+    assert got == want
