@@ -62,7 +62,7 @@ def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
         app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001
         app = None
-    key = (app, sf_dir.rstrip("/"), stamp)
+    key = (app, id(spark), sf_dir.rstrip("/"), stamp)
     m = _MODELS.get(key) if stamp and app else None
     if m is None:
         m = M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
