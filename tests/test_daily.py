@@ -42,3 +42,28 @@ def test_run_daily(spark, tmp_dir):
     top = R.top_products(fm, limit=5)
     assert [(r.product_name, r.mention_count) for r in top.collect()] == [
         ("test kit", 3), ("tablet", 1)]
+
+
+def test_run_daily_with_scoring(spark, tmp_dir):
+    """D1 with the detector: images scored, detections linked, every check passes."""
+    import numpy as np
+
+    from tests.test_streaming import LengthScorer
+
+    day = dt.date(2025, 7, 15)
+    land = os.path.join(tmp_dir, "landing", day.isoformat())
+    os.makedirs(land)
+    with open(os.path.join(land, "Chemed.json"), "w") as f:
+        json.dump([{"message_id": 1, "channel": "Chemed", "date": "2025-07-14", "text": "insulin 200",
+                    "views": 1, "forwards": 0, "has_photo": True,
+                    "photo_path": "data/images/Chemed_1.jpg"}], f)
+    img = os.path.join(tmp_dir, "images")
+    os.makedirs(img)
+    with open(os.path.join(img, "Chemed_1.jpg"), "wb") as f:
+        f.write(np.zeros(250, dtype=np.uint8).tobytes())
+    layout = Layout(os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "landing"), images=img)
+    res = run_daily(spark, layout, day, scorer=LengthScorer())
+    fd = spark.read.parquet(res.tables["fct_image_detections"])
+    assert [(r.detected_object_class, r.message_sk is not None) for r in fd.collect()] == [
+        ("blob", True), ("blob", True)]
+    assert res.checks.filter("failures > 0").count() == 0
