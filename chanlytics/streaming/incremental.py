@@ -53,6 +53,42 @@ def start_export_ingest(spark: SparkSession, landing_base: str, raw_path: str,
     return w.start()
 
 
+def start_landing_ingest(spark: SparkSession, landing_base: str, raw_path: str,
+                         checkpoint_path: str, quarantine_path: str | None = None,
+                         mapping: dict[str, str] | None = None,
+                         available_now: bool = True,
+                         processing_time: str | None = None) -> StreamingQuery:
+    """T1 for the splittable JSON-lines landing layout (``write_landing``).
+
+    Same rules as the batch ``load_landing_day``: values read as text and
+    checked, a bad line rejects its whole file, insert-if-absent into the
+    raw table.  The scrape date is the file's ``scrape_date=`` folder.
+    """
+    stream = (spark.readStream.schema(I.LINES_SCHEMA + ", scrape_date date, channel string")
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+              .option("basePath", landing_base)
+              .json(landing_base)
+              .withColumn("source_file", F.col("_metadata.file_path")))
+
+    def ingest_batch(batch: DataFrame, epoch_id: int) -> None:
+        checked = I.check_landing_rows(batch, mapping).checkpoint(eager=True)
+        typed, rejected = I.split_checked_rows(checked)
+        if quarantine_path:
+            I.write_partition(rejected, quarantine_path, "epoch_id", epoch_id)
+        raw = I.to_raw_messages(typed.withColumn("source_pos", F.lit(None).cast("long")),
+                                F.col("scrape_date"), mapping)
+        order = [F.col(c).asc_nulls_first() for c in
+                 ["source_file", "message_date", "message_text", "views", "forwards",
+                  "has_photo", "photo_path", "channel_name"]]
+        I.append_if_absent(batch.sparkSession, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
+                           model.RAW_MESSAGES_KEY, order)
+
+    w = stream.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint_path)
+    w = w.trigger(availableNow=True) if available_now else \
+        w.trigger(processingTime=processing_time or "1 minute")
+    return w.start()
+
+
 def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_path: str,
                         checkpoint_path: str, scan_log_path: str | None = None,
                         mapping=None, run_ts=None, available_now: bool = True,

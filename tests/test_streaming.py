@@ -108,3 +108,34 @@ def test_quarantine_rewrite_is_idempotent(spark, tmp_dir):
     for _ in range(2):  # a rerun of the same day
         I.load_exports(spark, base, dt.date(2025, 7, 14), os.path.join(tmp_dir, "raw"), q)
     assert spark.read.parquet(q).count() == 1
+
+
+def test_landing_stream_equals_batch(spark, tmp_dir):
+    """T1 over the JSON-lines landing layout gives the batch loader's table."""
+    import datetime as dt
+
+    from chanlytics import model
+    from chanlytics.operators import ingest as I
+    from chanlytics.sources.exports import write_landing
+    from chanlytics.streaming import start_landing_ingest
+    from pyspark.sql import types as T
+
+    schema = T.StructType(list(model.EXPORT_SCHEMA.fields) + [T.StructField("scrape_date", T.DateType())])
+    d1, d2 = dt.date(2025, 7, 14), dt.date(2025, 7, 15)
+    rows = [(1, "Chemed", dt.date(2025, 7, 10), "a", 1, 0, False, None, d1),
+            (2, "Chemed", dt.date(2025, 7, 10), "b", 1, 0, False, None, d1),
+            (2, "Chemed", dt.date(2025, 7, 11), "b2", 9, 0, False, None, d2),
+            (3, "TikvahPharma", dt.date(2025, 7, 11), None, None, None, True, None, d2)]
+    base = os.path.join(tmp_dir, "lines")
+    write_landing(spark.createDataFrame(rows, schema), base)
+    raw_s = os.path.join(tmp_dir, "raw_s")
+    start_landing_ingest(spark, base, raw_s, os.path.join(tmp_dir, "ck")).awaitTermination(120)
+    raw_b = os.path.join(tmp_dir, "raw_b")
+    for d in (d1, d2):
+        I.load_landing_day(spark, base, d, raw_b)
+
+    def rows_of(p):
+        return sorted((r.message_id, r.channel_username, r.views, str(r.scrape_date))
+                      for r in spark.read.parquet(p).collect())
+    assert rows_of(raw_s) == rows_of(raw_b)
+    assert len(rows_of(raw_s)) == 3
