@@ -502,10 +502,13 @@ cent_dim AS (
   FROM (SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM embeddings) e
   GROUP BY label, pos
 ), cent AS (SELECT label, list(v ORDER BY pos) AS c FROM cent_dim GROUP BY label),
+model AS (SELECT list(label ORDER BY label) AS labels, list(c ORDER BY label) AS cs FROM cent),
 scored AS (
-  SELECT i.vec_id, i.channel, m.channel_username, c.label AS cls,
-         list_cosine_similarity(CAST(i.embedding AS DOUBLE[]), c.c) AS sim
-  FROM image_src i JOIN mapping m ON m.channel = i.channel CROSS JOIN cent c
+  SELECT vec_id, channel, channel_username, unnest(labels) AS cls, unnest(sims) AS sim
+  FROM (SELECT i.vec_id, i.channel, m.channel_username, (SELECT labels FROM model) AS labels,
+               list_transform((SELECT cs FROM model),
+                              lambda c: list_cosine_similarity(CAST(i.embedding AS DOUBLE[]), c)) AS sims
+        FROM image_src i JOIN mapping m ON m.channel = i.channel) s
 ), boxes AS (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, cls) - 1 AS box_idx
   FROM scored WHERE sim >= {DETECT_MIN_CONFIDENCE}
