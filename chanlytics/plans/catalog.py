@@ -33,6 +33,7 @@ def register(name: str, sql: str | None = None):
 
 
 _MODELS: dict[tuple, M.Marts] = {}
+_MAX_MODELS = 4
 
 
 def _inputs_stamp(sf_dir: str) -> tuple:
@@ -68,6 +69,8 @@ def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
         m = M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
         if stamp and app:
             _MODELS[key] = m
+            while len(_MODELS) > _MAX_MODELS:  # oldest first: release its cached dimensions
+                _MODELS.pop(next(iter(_MODELS))).release()
     return m
 
 

@@ -130,6 +130,12 @@ class Marts:
         self.staging = stage_messages(raw_messages)
         self._dc = self._dd = self._fm = self._fd = None
 
+    def release(self) -> None:
+        """Drop the cached dimensions."""
+        for df in (self._dc, self._dd):
+            if df is not None:
+                df.unpersist()
+
     @property
     def raw_detections(self) -> DataFrame | None:
         if callable(self._raw_det):
