@@ -71,3 +71,26 @@ def test_probe_join_falls_back_beyond_the_bound(spark):
     assert "LeftSemi" not in _plan(fallback)
     assert sorted(r.k for r in fallback.collect()) == list(range(10))
     assert sorted(r.k for r in probe_join(small, big, ["k"], "left_anti").collect()) == []
+
+
+def test_spread_is_a_no_op_on_large_inputs(spark):
+    """Inputs estimated above slots x maxPartitionBytes already have enough partitions."""
+    from chanlytics.operators.partitioning import spread
+
+    big = spark.range(10**12)                 # estimated ~8 TB: planned, never run
+    assert spread(big) is big
+    small = spark.range(100)
+    assert "RoundRobinPartitioning" in _plan(spread(small)) or "Exchange" in _plan(spread(small))
+
+
+def test_bounded_broadcast_falls_back(spark):
+    from chanlytics.operators.lookup import bounded_broadcast
+
+    dim = spark.range(50).withColumnRenamed("id", "k")
+    fact = spark.range(1000).selectExpr("id % 50 AS k")
+    assert "BroadcastHashJoin" in _plan(fact.join(bounded_broadcast(dim, max_rows=100), "k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in _plan(fact.join(bounded_broadcast(dim, max_rows=10), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
