@@ -35,7 +35,7 @@ def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_RO
 
 
 def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "left",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = MAX_BROADCAST_ROWS, bound: DataFrame | None = None) -> DataFrame:
     """``small.join(big, keys, how)`` without shuffling ``big`` when ``small`` is small.
 
     When ``small`` has at most ``max_rows`` rows (a bounded scan, no
@@ -46,10 +46,15 @@ def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "le
     that match no key never reach the result of a left, inner, semi or
     anti join, so the result is exactly the plain join's.  A larger
     ``small`` side falls back to a shuffle join (AQE splits skewed keys).
+
+    ``bound`` is a DataFrame with at least as many rows as ``small`` (say the
+    stored table an aggregate is computed from); the size check then scans
+    it instead of computing ``small`` twice.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"probe_join does not support {how!r}")
-    if small.limit(max_rows + 1).count() > max_rows:
+    check = small if bound is None else bound
+    if check.limit(max_rows + 1).count() > max_rows:
         return small.join(big, keys, how)
     found = big.join(F.broadcast(small.select(*keys).distinct()), keys, "left_semi")
     if how in ("left_semi", "left_anti"):

@@ -145,18 +145,25 @@ def visual_share(fct_messages: DataFrame, dim_channels: DataFrame) -> DataFrame:
                     .cast("long").alias("photo_per_mille")))
 
 
-def object_mix(fct_image_detections: DataFrame, fct_messages: DataFrame) -> DataFrame:
+def object_mix(fct_image_detections: DataFrame, fct_messages: DataFrame,
+               probe: bool = False) -> DataFrame:
     """Detections per channel and object class.
 
     Detections are pre-aggregated per (message_sk, class) before they meet
     the message fact, so the join carries one row per message and class.
-    (No probe here: its size check would compute the aggregate twice.)
+    With ``probe=True`` (for a stored detection table) the message fact is
+    probed in place instead of shuffled; the size check scans the detection
+    table, which bounds the aggregate, so nothing is computed twice.
     """
+    from chanlytics.operators.lookup import probe_join
+
     per_msg = (fct_image_detections.filter(F.col("message_sk").isNotNull())
                .groupBy("message_sk", "detected_object_class")
                .agg(F.sum("detection_count").cast("long").alias("n")))
     fm = fct_messages.select("message_sk", "channel_username")
-    return (per_msg.join(fm, "message_sk")
+    joined = (probe_join(per_msg, fm, ["message_sk"], "inner", bound=fct_image_detections)
+              if probe else per_msg.join(fm, "message_sk"))
+    return (joined
             .groupBy("channel_username", "detected_object_class")
             .agg(F.sum("n").alias("detection_count")))
 

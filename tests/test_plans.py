@@ -94,3 +94,19 @@ def test_bounded_broadcast_falls_back(spark):
         assert "BroadcastHashJoin" not in _plan(fact.join(bounded_broadcast(dim, max_rows=10), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_object_mix_probe_on_stored_tables(spark, tmp_dir):
+    """B4 with probe=True over stored tables: same rows, no shuffle of the message fact."""
+    from chanlytics.plans import reports as R
+    from chanlytics.plans.catalog import model_for
+
+    m = model_for(spark, SF_SMALL)
+    fd_path, fm_path = f"{tmp_dir}/fd", f"{tmp_dir}/fm"
+    m.fct_image_detections.write.parquet(fd_path)
+    m.fct_messages.write.parquet(fm_path)
+    fd, fm = spark.read.parquet(fd_path), spark.read.parquet(fm_path)
+    plain = sorted(tuple(r) for r in R.object_mix(fd, fm).collect())
+    probed_df = R.object_mix(fd, fm, probe=True)
+    assert sorted(tuple(r) for r in probed_df.collect()) == plain
+    assert "LeftSemi, BuildRight" in _plan(probed_df)
