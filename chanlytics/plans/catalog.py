@@ -127,39 +127,33 @@ def q_fct_detections(spark, sf_dir):
 # --- reports (R1-R5) --------------------------------------------------------
 
 def _top_products_sql(keywords: list[str], limit: int, group: bool = False) -> str:
+    """DuckDB twin of the keyword rule: words counted per token, each phrase by its own
+    aggregate (a hit adds the text's token count) - no join of texts to phrases."""
+    from chanlytics.operators.keywords import split_keywords
+
+    words, phrases = split_keywords(keywords)
     g = "channel_username, " if group else ""
-    body = f"""
-, kw(keyword) AS (VALUES {_sql_list(keywords)}),
-msgs AS (
-  SELECT {g}lower(message_text) AS lt,
-         regexp_extract_all(lower(message_text), '[\\p{{L}}\\p{{N}}_]+') AS toks
-  FROM fct_messages WHERE message_text IS NOT NULL
-),
-word_hits AS (
-  SELECT {g}w AS product_name, count(*) AS mention_count
-  FROM (SELECT {g}unnest(toks) AS w FROM msgs) t
-  WHERE w IN (SELECT keyword FROM kw WHERE len(string_split(trim(keyword), ' ')) = 1)
-  GROUP BY {g}w
-),
-phrase_hits AS (
-  SELECT {g}k.keyword AS product_name, sum(len(m.toks)) AS mention_count
-  FROM msgs m JOIN (SELECT keyword FROM kw WHERE len(string_split(trim(keyword), ' ')) > 1) k
-    ON contains(m.lt, k.keyword)
-  GROUP BY {g}k.keyword
-),
-hits AS (
-  SELECT {g}product_name, CAST(mention_count AS BIGINT) AS mention_count FROM word_hits
-  UNION ALL
-  SELECT {g}product_name, CAST(mention_count AS BIGINT) AS mention_count FROM phrase_hits
-)
-"""
-    if group:
-        tail = "SELECT * FROM hits WHERE mention_count > 0"
-    else:
-        tail = (f"SELECT * FROM hits WHERE mention_count > 0 "
-                f"ORDER BY mention_count DESC, product_name LIMIT {limit}")
-    sql = O.with_model("SELECT 1", "fct_messages")
-    return sql[: -len("SELECT 1")].rstrip() + body + tail
+    by = "GROUP BY channel_username" if group else ""
+    msgs = (f"msgs AS (SELECT {g}lower(message_text) AS lt, "
+            f"regexp_extract_all(lower(message_text), '[\\p{{L}}\\p{{N}}_]+') AS toks "
+            f"FROM fct_messages WHERE message_text IS NOT NULL)")
+    arms = []
+    if words:
+        wl = ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+        arms.append(f"SELECT {g}w AS product_name, CAST(count(*) AS BIGINT) AS mention_count "
+                    f"FROM (SELECT {g}unnest(toks) AS w FROM msgs) t WHERE w IN ({wl}) GROUP BY {g}w")
+    for p in phrases:
+        q = p.replace("'", "''")
+        arms.append(f"SELECT {g}'{q}' AS product_name, CAST(sum(len(toks)) AS BIGINT) AS mention_count "
+                    f"FROM msgs WHERE contains(lt, '{q}') {by}")
+    if not arms:
+        arms.append("SELECT CAST(NULL AS VARCHAR) AS product_name, CAST(NULL AS BIGINT) AS mention_count "
+                    "WHERE false")
+    hits = "hits AS (" + "\n  UNION ALL ".join(arms) + ")"
+    tail = "SELECT * FROM hits WHERE mention_count > 0"
+    if not group:
+        tail += f" ORDER BY mention_count DESC, product_name LIMIT {limit}"
+    return O.with_model(tail, "fct_messages", extra=[msgs, hits])
 
 
 @register("r1_top_products", _top_products_sql(PARITY_KEYWORDS, 10))
