@@ -129,11 +129,15 @@ def _phrase_hits_automaton(src: DataFrame, phrases: list[str], group_cols: list[
     schema = ", ".join([f"`{g}` {fields[g]}" for g in group_cols]
                        + ["product_name string", "n bigint"])
     token = f"phrases-{len(phrases)}-{hash(tuple(phrases))}"
+    try:  # one copy per executor instead of one per task
+        shipped, inline = src.sparkSession.sparkContext.broadcast(phrases), None
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship in the closure
+        shipped, inline = None, phrases
 
     def run(batches):
         import pandas as pd
 
-        automaton = _worker_automaton(token, phrases)
+        automaton = _worker_automaton(token, shipped.value if shipped is not None else inline)
         for pdf in batches:
             idx, names, counts = [], [], []
             for i, (lt, n) in enumerate(zip(pdf["__lt"], pdf["__n"])):
