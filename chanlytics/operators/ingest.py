@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
-from chanlytics.operators.lookup import MAX_BROADCAST_ROWS, map_channel_with_fallback
+from chanlytics.operators.lookup import (
+    MAX_BROADCAST_ROWS, bounded_broadcast, map_channel_with_fallback,
+)
 from chanlytics.operators.topk import latest_per_key
 
 
@@ -116,13 +118,14 @@ def existing_keys(target_keys: DataFrame, batch: DataFrame, keys: list[str],
     """Keys of the batch already stored.
 
     The stored table is only probed: when the batch has at most
-    ``max_rows`` rows (a bounded scan of the batch, no shuffle) its
-    distinct keys are broadcast and the target is scanned - key columns
+    ``max_rows`` rows and a bounded size of key text (one bounded scan of
+    the batch, no shuffle) its distinct keys are broadcast and the target is scanned - key columns
     only - without a shuffle.  A larger batch falls back to a shuffle semi
     join.  The result is never larger than the batch.
     """
-    cand = batch.select(*keys).distinct()
-    if batch.limit(max_rows + 1).count() <= max_rows:
+    batch_keys = batch.select(*keys)
+    cand = batch_keys.distinct()
+    if bounded_broadcast(batch_keys, max_rows) is not batch_keys:  # within both bounds
         cand = F.broadcast(cand)
     return target_keys.select(*keys).join(cand, keys, "left_semi")
 
@@ -261,8 +264,6 @@ def split_checked_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     partial aggregate per file and removed with an anti join, broadcast
     behind a size check (one row per bad file).
     """
-    from chanlytics.operators.lookup import bounded_broadcast
-
     bad_files = (checked.filter(F.col("reason").isNotNull()).groupBy("source_file")
                  .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_bad_records")))
     ok = checked.filter(F.col("reason").isNull()).join(

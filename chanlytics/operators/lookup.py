@@ -11,27 +11,42 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df``.
+# ... and in bytes of row text (JSON length of each row, measured by the check).
+MAX_BROADCAST_BYTES = 1 << 30
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even
-    when the side turns out to be large.
+
+def _row_bytes(df: DataFrame) -> Column:
+    return F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
+def _fits(n: int, b: int, max_rows: int, max_bytes: int) -> bool:
+    return n <= max_rows and b <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it holds at most ``max_rows`` rows and ``max_bytes`` of row text.
+
+    The check reads at most ``max_rows + 1`` rows in one job, so it stays
+    cheap even when the side turns out to be large; beyond either bound
+    the caller's join falls back to a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return bounded_broadcast_all([df], max_rows, max_bytes)[0]
 
 
-def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS
-                          ) -> list[DataFrame]:
+def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS,
+                          max_bytes: int = MAX_BROADCAST_BYTES) -> list[DataFrame]:
     """``bounded_broadcast`` for several sides, checked together in one job."""
     if not dfs:
         return []
     tagged = None
     for i, df in enumerate(dfs):
-        part = df.limit(max_rows + 1).select(F.lit(i).alias("__side"))
+        part = df.limit(max_rows + 1).select(F.lit(i).alias("__side"), _row_bytes(df).alias("__b"))
         tagged = part if tagged is None else tagged.unionAll(part)
-    counts = {r[0]: r[1] for r in tagged.groupBy("__side").count().collect()}
-    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(dfs)]
+    sizes = {r[0]: (r[1], r[2] or 0) for r in
+             tagged.groupBy("__side").agg(F.count(F.lit(1)), F.sum("__b")).collect()}
+    return [F.broadcast(df) if _fits(*sizes.get(i, (0, 0)), max_rows, max_bytes) else df
+            for i, df in enumerate(dfs)]
 
 
 def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "left",
@@ -54,7 +69,9 @@ def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "le
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"probe_join does not support {how!r}")
     check = small if bound is None else bound
-    if check.limit(max_rows + 1).count() > max_rows:
+    if all(k in check.columns for k in keys):
+        check = check.select(*keys)  # what is broadcast are the keys
+    if bounded_broadcast(check, max_rows) is check:  # over a bound: no broadcast
         return small.join(big, keys, how)
     found = big.join(F.broadcast(small.select(*keys).distinct()), keys, "left_semi")
     if how in ("left_semi", "left_anti"):
