@@ -8,22 +8,10 @@ import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
-from parity import TABLES, rows_key  # noqa: E402
+from parity import TABLES, duck_type, rows_key  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
-# Spark type -> DuckDB type name (decimals compared by their own text)
-TYPES = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
-         "DateType()": "DATE", "BooleanType()": "BOOLEAN", "DoubleType()": "DOUBLE",
-         "TimestampNTZType()": "TIMESTAMP"}
-
-
-def _duck_type(spark_type: str) -> str:
-    if spark_type.startswith("DecimalType("):
-        return "DECIMAL(" + spark_type[len("DecimalType("):]
-    return TYPES.get(spark_type, spark_type)
-
-
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -50,7 +38,7 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     assert sorted(cols) == sorted(dcols)
-    spark_types = {f.name: _duck_type(str(f.dataType)) for f in df.schema.fields}
+    spark_types = {f.name: duck_type(str(f.dataType)) for f in df.schema.fields}
     duck_types = {c[0]: str(c[1]) for c in res.description}
     assert spark_types == duck_types
     assert len(rows) == len(drows)
