@@ -78,6 +78,34 @@ class CentroidScorer(Scorer):
         return out
 
 
+class CentroidFileScorer(Scorer):
+    """The centroid detector with its model in a file shipped by ``addFile``.
+
+    The pattern for real model weights: the driver ships the file once
+    (``ship``), each Python worker loads it from ``SparkFiles`` on first use
+    (``load``) and keeps it for later batches.
+    """
+
+    def __init__(self, file_name: str, class_names: list[str], min_confidence: float = 0.2):
+        self.file_name = file_name
+        self.class_names = list(class_names)
+        self.min_confidence = float(min_confidence)
+        self.token = f"centroid-file-{file_name}"
+
+    @staticmethod
+    def ship(spark, centroids: np.ndarray, path: str) -> str:
+        """Save the centroids to ``path`` (an .npy file) and ship it to every worker."""
+        np.save(path, np.asarray(centroids, dtype=np.float64))
+        spark.sparkContext.addFile(path)
+        return path.rsplit("/", 1)[-1]
+
+    def load(self) -> Scorer:
+        from pyspark import SparkFiles
+
+        centroids = np.load(SparkFiles.get(self.file_name))
+        return CentroidScorer(centroids, self.class_names, self.min_confidence)
+
+
 def fit_centroids(vectors: DataFrame, label_col: str = "label", vector_col: str = "embedding",
                   max_values: int = 10_000_000) -> tuple[np.ndarray, list[int]]:
     """Class centroids computed by Spark (per label and position averages).

@@ -139,3 +139,26 @@ def test_landing_stream_equals_batch(spark, tmp_dir):
                       for r in spark.read.parquet(p).collect())
     assert rows_of(raw_s) == rows_of(raw_b)
     assert len(rows_of(raw_s)) == 3
+
+
+def test_file_shipped_scorer_equals_in_memory(spark, tmp_dir):
+    """E1 with the model shipped by addFile and loaded per worker gives the same detections."""
+    from pyspark.sql import functions as F
+
+    from chanlytics.operators.detect import (
+        CentroidFileScorer, CentroidScorer, detect_objects, fit_centroids,
+    )
+    from chanlytics.sources import driver_tables as D
+
+    sf = "/root/testdata/sf0.001"
+    cents, labels = fit_centroids(D.table(spark, sf, "embeddings"))
+    names = [f"class{k}" for k in labels]
+    images = D.image_paths(spark, sf).select(F.col("image_path").alias("path"),
+                                             F.col("embedding").alias("content"))
+    mapping = {c: c for c in [f"src{i}" for i in range(20)]}
+    name = CentroidFileScorer.ship(spark, cents, os.path.join(tmp_dir, "centroids-test.npy"))
+
+    def rows(scorer):
+        det = detect_objects(images, scorer, mapping).detections
+        return sorted((r.detection_id, str(r.confidence_score)) for r in det.collect())
+    assert rows(CentroidFileScorer(name, names)) == rows(CentroidScorer(cents, names))
