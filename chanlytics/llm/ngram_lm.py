@@ -232,7 +232,7 @@ def _ask(shards: int):
             for (keys, _, count), cut in zip(parts, cuts):
                 own = slice(cut[s], cut[s + 1])
                 body += [P.pack_keys(keys[own]), P.pack(count[own])]
-            payloads.append(_joined(body))
+            payloads.append(P.joined(body))
         number = key[0].as_py()
         return pa.table({"shard": pa.array(range(shards), pa.int32()),
                          "block": pa.array([number] * shards, pa.int32()),
@@ -240,23 +240,10 @@ def _ask(shards: int):
     return ask
 
 
-def _joined(parts: list[bytes]) -> bytes:
-    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
-
-
-def _split(data: bytes) -> list[bytes]:
-    out, at = [], 0
-    while at < len(data):
-        n = int.from_bytes(data[at:at + 8], "little")
-        out.append(data[at + 8:at + 8 + n])
-        at += 8 + n
-    return out
-
-
 def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Corpus counts for every key asked, with this shard's tokens, distinct words and the pooled statistics."""
     table = table.sort_by("block")
-    asked = [_split(x) for x in table.column("payload").to_pylist()]
+    asked = [P.split(x) for x in table.column("payload").to_pylist()]
     stats = sum(np.frombuffer(a[0], np.float64) for a in asked)
     bodies: list[list[bytes]] = [[] for _ in asked]
     tokens = kinds = 0
@@ -273,14 +260,14 @@ def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     head = np.array([tokens, kinds], np.int64).tobytes() + stats.tobytes()
     return pa.table({"shard": pa.array([key[0].as_py()] * len(asked), pa.int32()),
                      "block": table.column("block").cast(pa.int32()),
-                     "payload": pa.array([_joined([head, *b]) for b in bodies], pa.binary())})
+                     "payload": pa.array([P.joined([head, *b]) for b in bodies], pa.binary())})
 
 
 def _score(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
     if docs.num_rows == 0:
         return pa.table({f.split()[0]: [] for f in _SCORES.split(", ")}).cast(_schema())
     answers = answers.sort_by("shard")
-    got = [_split(x) for x in answers.column("payload").to_pylist()]
+    got = [P.split(x) for x in answers.column("payload").to_pylist()]
     heads = [np.frombuffer(g[0][:16], np.int64) for g in got]
     tokens, kinds = int(sum(h[0] for h in heads)), int(sum(h[1] for h in heads))
     weights = _weights(np.frombuffer(got[0][0][16:], np.float64).reshape(2, _BUCKETS, 2))

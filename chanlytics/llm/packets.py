@@ -61,3 +61,18 @@ def totals(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarra
     place[order] = at
     summed = np.bincount(place, weights=np.concatenate(weights), minlength=at[-1] + 1)
     return ranked[new], summed.astype(np.int64), place
+
+
+def joined(parts: list[bytes]) -> bytes:
+    """Several byte strings as one."""
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def split(data: bytes) -> list[bytes]:
+    """The parts of joined()."""
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at:at + 8], "little")
+        out.append(data[at + 8:at + 8 + n])
+        at += 8 + n
+    return out

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chanlytics.llm import common as C
+from chanlytics.llm import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +30,8 @@ def lm_scoring(spark, sf_dir):
     from chanlytics.llm.ngram_lm import score_texts
 
     return score_texts(C.read_table(spark, sf_dir, "documents"), C.fold_of("doc_id") == 1)
+
+
+@query("op6_substring_dedup", substring_dedup.ORACLE)
+def substring_dedup_query(spark, sf_dir):
+    return substring_dedup.remove_repeats(C.read_table(spark, sf_dir, "documents"), digest=True)
