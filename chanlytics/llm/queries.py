@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chanlytics.llm import common as C
-from chanlytics.llm import substring_dedup
+from chanlytics.llm import decontaminate, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +35,8 @@ def lm_scoring(spark, sf_dir):
 @query("op6_substring_dedup", substring_dedup.ORACLE)
 def substring_dedup_query(spark, sf_dir):
     return substring_dedup.remove_repeats(C.read_table(spark, sf_dir, "documents"), digest=True)
+
+
+@query("op5_decontamination", decontaminate.ORACLE)
+def decontamination(spark, sf_dir):
+    return decontaminate.report(C.read_table(spark, sf_dir, "documents"), C.read_table(spark, sf_dir, "benchmark"))

@@ -228,7 +228,7 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
 
 
 ORACLE = r"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
            FROM documents),
 win AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 19], ' ')) AS h
         FROM w, unnest(range(1, len(ws) - 18)) AS t(s)),
