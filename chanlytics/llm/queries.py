@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chanlytics.llm import common as C
-from chanlytics.llm import decontaminate, substring_dedup
+from chanlytics.llm import decontaminate, near_dedup, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -40,3 +41,11 @@ def substring_dedup_query(spark, sf_dir):
 @query("op5_decontamination", decontaminate.ORACLE)
 def decontamination(spark, sf_dir):
     return decontaminate.report(C.read_table(spark, sf_dir, "documents"), C.read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_near_dedup")
+def near_duplicates(spark, sf_dir):
+    """One row per document: its class, and how many documents the class has."""
+    found = near_dedup.classes(C.read_table(spark, sf_dir, "documents"))
+    sizes = found.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
+    return found.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
