@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics.llm import common as C
-from chanlytics.llm import decontaminate, near_dedup, substring_dedup
+from chanlytics.llm import decontaminate, near_dedup, quality, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,8 @@ def near_duplicates(spark, sf_dir):
     found = near_dedup.classes(C.read_table(spark, sf_dir, "documents"))
     sizes = found.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
     return found.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
+
+
+@query("op8_quality")
+def quality_scores(spark, sf_dir):
+    return quality.scored(C.read_table(spark, sf_dir, "documents"), C.read_table(spark, sf_dir, "labels"))
