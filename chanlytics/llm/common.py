@@ -44,25 +44,6 @@ def fold_of(col: str) -> Column:
     return F.pmod(F.crc32(id_text(col)), F.lit(5)).cast("int")
 
 
-def n_blocks(df: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES) -> int:
-    """Blocks for df's texts: block_bytes of text each, at least one per shuffle partition."""
-    total = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, math.ceil(total / block_bytes))
-
-
-def blocked(df: DataFrame, id_col: str, text_col: str, blocks: int, *extra: Column) -> DataFrame:
-    """(block, doc_key, doc_id, text, extra...): rows dealt evenly over the blocks.
-
-    doc_key hashes id and text, so that repeated ids with other texts stay
-    apart and null ids spread; null texts become empty.
-    """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    key = F.xxhash64(F.col(id_col), text)
-    return df.select(F.pmod(key, F.lit(blocks)).cast("int").alias("block"), key.alias("doc_key"),
-                     F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *extra)
-
-
 def tokenizer_dir() -> str:
     """Folder of the public vocabulary files (a parameter; the variable overrides it)."""
     return os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")

@@ -13,6 +13,11 @@ import numpy as np
 
 _HEAD = 4  # n, universe - 1, low bits, words of the high part
 _ONE = np.uint64(1)
+_EVERY = 16
+_ODD, _PAIRS, _NIBBLES, _BYTES, _TOPS = (np.uint64(x * 0x0101010101010101) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
+#: place of the r-th set bit of a byte: [r, byte]
+_IN_BYTE = np.array([[next((i for i in range(8) if byte >> i & 1 and bin(byte & (1 << i) - 1).count("1") == r), 0)
+                      for byte in range(256)] for r in range(8)], np.int64)
 
 
 def _packed(values: np.ndarray, bits: int) -> np.ndarray:
@@ -20,9 +25,9 @@ def _packed(values: np.ndarray, bits: int) -> np.ndarray:
     out = np.zeros(len(values) * bits // 64 + 2, np.uint64)
     at = np.arange(len(values), dtype=np.int64) * bits
     word, off = at >> 6, (at & 63).astype(np.uint64)
-    np.bitwise_or.at(out, word, values << off)
+    np.add.at(out, word, values << off)  # bits of different values never meet
     over = off + np.uint64(bits) > np.uint64(64)
-    np.bitwise_or.at(out, word[over] + 1, values[over] >> (np.uint64(64) - off[over]))
+    np.add.at(out, word[over] + 1, values[over] >> (np.uint64(64) - off[over]))
     return out
 
 
@@ -40,6 +45,8 @@ class EliasFano:
         np.cumsum(np.bitwise_count(self.high), out=ones[1:])
         self._ones = ones
         self._zeros = np.arange(high + 1, dtype=np.int64) * 64 - ones
+        self._one_at = self._sample(ones, self.n)
+        self._zero_at = self._sample(self._zeros, int(self._zeros[-1]))
 
     @staticmethod
     def build(values: np.ndarray, universe: int) -> bytes:
@@ -54,20 +61,44 @@ class EliasFano:
         low = _packed(values & np.uint64((1 << bits) - 1), bits) if bits else np.zeros(1, np.uint64)
         return np.concatenate([np.array([n, max(universe, 1) - 1, bits, len(high)], np.uint64), high, low]).tobytes()
 
-    def _select(self, directory: np.ndarray, flip: bool, rank: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _sample(directory: np.ndarray, count: int) -> np.ndarray:
+        """For every _EVERY-th one (or zero), the word that holds it."""
+        return (np.searchsorted(directory, np.arange(0, max(count, 1), _EVERY), "right") - 1).astype(np.int32)
+
+    def _select(self, flip: bool, rank: np.ndarray) -> np.ndarray:
         """Position of the rank-th one (or zero, if flip) of the high part."""
-        word = np.searchsorted(directory, rank, "right") - 1
-        left = rank - directory[word]
-        bits = ~self.high[word] if flip else self.high[word]
-        at = word << 6
-        for half in (32, 16, 8, 4, 2, 1):
-            part = bits & np.uint64((1 << half) - 1)
-            have = np.bitwise_count(part).astype(np.int64)
-            beyond = left >= have
-            left = left - np.where(beyond, have, 0)
-            bits = np.where(beyond, bits >> np.uint64(half), part)
-            at = at + np.where(beyond, half, 0)
-        return at
+        directory, sample = (self._zeros, self._zero_at) if flip else (self._ones, self._one_at)
+        word = sample[rank // _EVERY].astype(np.int64)
+        move = np.flatnonzero(directory[word + 1] <= rank)
+        while move.size:
+            word[move] += 1
+            move = move[directory[word[move] + 1] <= rank[move]]
+        left = (rank - directory[word]).astype(np.uint64)
+        bits = self.high[word]
+        if flip:
+            bits = ~bits
+        # counts of the bytes up to each byte, side by side in one word
+        sums = bits - ((bits >> np.uint64(1)) & _ODD)
+        sums = (sums & _PAIRS) + ((sums >> np.uint64(2)) & _PAIRS)
+        sums = ((sums + (sums >> np.uint64(4))) & _NIBBLES) * _BYTES
+        full = np.bitwise_count(((left * _BYTES | _TOPS) - sums) & _TOPS)  # bytes that end at or before the rank
+        shift = full.astype(np.uint64) << np.uint64(3)
+        left -= ((sums << np.uint64(8)) >> shift) & np.uint64(255)
+        return (word << 6) + shift.astype(np.int64) + _IN_BYTE[left, (bits >> shift) & np.uint64(255)]
+
+    def _run(self, at: np.ndarray) -> np.ndarray:
+        """How many ones stand in a row from bit position at."""
+        out = np.zeros(len(at), np.int64)
+        open_ = np.arange(len(at))
+        while open_.size:
+            here = at[open_] + out[open_]
+            inverse = ~(self.high[np.minimum(here >> 6, len(self.high) - 1)] >> (here & 63).astype(np.uint64))
+            length = np.bitwise_count((inverse & -inverse) - _ONE).astype(np.int64)
+            room = 64 - (here & 63)
+            out[open_] += np.minimum(length, room)
+            open_ = open_[(length >= room) & ((here >> 6) + 1 < len(self.high))]
+        return out
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -80,30 +111,37 @@ class EliasFano:
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at positions i."""
         i = np.asarray(i, np.int64)
-        high = self._select(self._ones, False, i) - i
+        high = self._select(False, i) - i
         return (high.astype(np.uint64) << np.uint64(self.bits)) | self._lows(i)
 
-    def successor(self, x: np.ndarray) -> np.ndarray:
-        """Position of the first value not below x (n, if there is none)."""
-        x = np.asarray(x, np.uint64)
-        inside = x <= np.uint64(self.last)
-        y = np.where(inside, x, np.uint64(0))
-        bucket = (y >> np.uint64(self.bits)).astype(np.int64)
-        lo = np.where(bucket > 0, self._select(self._zeros, True, np.maximum(bucket - 1, 0)) + 1 - bucket, 0)
-        hi = self._select(self._zeros, True, bucket) - bucket
-        low = y & np.uint64((1 << self.bits) - 1)
-        while (open_ := np.flatnonzero(lo < hi)).size:
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Position of the first value not below x, the end of x's bucket, x's low bits."""
+        bucket = (x >> np.uint64(self.bits)).astype(np.int64)
+        begin = np.where(bucket > 0, self._select(True, np.maximum(bucket - 1, 0)) + 1, 0)
+        lo = begin - bucket
+        end = lo + self._run(begin)
+        hi = end.copy()
+        low = x & np.uint64((1 << self.bits) - 1)
+        open_ = np.flatnonzero(lo < hi)
+        while open_.size:
             mid = (lo[open_] + hi[open_]) >> 1
             less = self._lows(mid) < low[open_]
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
-        return np.where(inside, lo, self.n)
+            open_ = open_[lo[open_] < hi[open_]]
+        return lo, end, low
+
+    def successor(self, x: np.ndarray) -> np.ndarray:
+        """Position of the first value not below x (n, if there is none)."""
+        x = np.asarray(x, np.uint64)
+        inside = x <= np.uint64(self.last)
+        return np.where(inside, self._search(np.where(inside, x, np.uint64(0)))[0], self.n)
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Position of x, or -1."""
         x = np.asarray(x, np.uint64)
         if not self.n:
             return np.full(len(x), -1, np.int64)
-        at = self.successor(x)
-        same = (at < self.n) & (self.access(np.minimum(at, self.n - 1)) == x)
-        return np.where(same, at, -1)
+        inside = x <= np.uint64(self.last)
+        at, end, low = self._search(np.where(inside, x, np.uint64(0)))
+        return np.where(inside & (at < end) & (self._lows(np.minimum(at, self.n - 1)) == low), at, -1)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chanlytics.llm import common as C
+from chanlytics.llm import blocks as B
 from chanlytics.llm import packets as P
 from chanlytics.llm.eliasfano import EliasFano
 from chanlytics.llm.words import LOWER, NOT_SPACE, Words, join_hash
@@ -74,8 +74,8 @@ class Block:
         self.vocabulary = distinct[order]
         self.V = len(order)
         self.ids = rank[place]
-        self.doc = np.repeat(np.arange(docs), self.lengths)
-        self.train = np.repeat(~table.column("held_out").to_numpy(), self.lengths) if docs else np.zeros(0, bool)
+        self.doc = np.repeat(np.arange(docs, dtype=np.int32), self.lengths)
+        self.train = np.repeat(~table.column("flag").to_numpy(), self.lengths) if docs else np.zeros(0, bool)
         # bigrams: (previous word or begin, word)
         before = np.empty(total, np.int64)
         before[1:] = self.ids[:-1]
@@ -89,20 +89,24 @@ class Block:
         back[1:] = self.bi_of[:-1]
         self.has_tri = np.ones(total, bool)
         self.has_tri[begins] = False
-        of, triples = _factorize(back[self.has_tri] * self.base + self.ids[self.has_tri])
+        at = np.flatnonzero(self.has_tri)
+        of, triples = _factorize(back[at] * self.base + self.ids[at])
         self.tri_of = np.full(total, -1, np.int64)
-        self.tri_of[self.has_tri] = of
+        self.tri_of[at] = of
         self.context, self.third = triples // self.base, triples % self.base
+        self.inner = np.empty(len(triples), np.int64)  # bigram of words 2 and 3
+        self.inner[of] = self.bi_of[at]
 
-    def keys(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each order: sorted keys, the n-gram at each key, training counts in key order."""
+    def keys(self, bits: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each order: sorted keys of so many bits, the n-gram at each key, training counts in key order."""
         name = np.append(self.vocabulary, np.uint64(0x626567))
         two = join_hash(name[self.first], name[self.second])
         three = join_hash(name[self.first[self.context]], name[self.second[self.context]], name[self.third])
         out = []
         for key, of in ((self.vocabulary, self.ids), (two, self.bi_of), (three, self.tri_of)):
             used = self.train if of is not self.tri_of else self.train & self.has_tri
-            order = np.argsort(key)
+            key = key >> np.uint64(64 - bits)
+            order = np.argsort(key, kind="stable")
             out.append((key[order], order, np.bincount(of[used], minlength=len(key))[order]))
         return out
 
@@ -167,12 +171,13 @@ class Trie:
         # level 3: where the context's last word has s successors, word 3 is one of s
         place = np.full(len(counts[1]), -1, np.int64)
         place[seen] = np.arange(len(seen))
+        begin = np.concatenate([[0], np.cumsum(children)])
         span = children[second]
-        self.before = EliasFano(EliasFano.build(np.cumsum(span) - span, int(span.sum()) + 1)) if len(seen) else None
+        offset = np.cumsum(span) - span
+        self.before = EliasFano(EliasFano.build(offset, int(span.sum()) + 1))
         tri = np.flatnonzero(counts[2] > 0)
-        context = place[block.context[tri]]
-        inner, relative = self._relative(block.second[block.context[tri]], block.third[tri])
-        code = self.before.access(context).astype(np.int64) + relative if len(tri) else np.zeros(0, np.int64)
+        context, inner = place[block.context[tri]], place[block.inner[tri]]
+        code = offset[context] + inner - begin[first[inner]]
         order = np.argsort(code)
         self.triples = EliasFano(EliasFano.build(code[order], int(span.sum()) + 1))
         b = weights[1][self.back2[context]]
@@ -187,39 +192,40 @@ class Trie:
     def value(code: np.ndarray) -> np.ndarray:
         return code / -_STEP
 
-    def _relative(self, word: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of bigram (word, after) in level 2, and its rank among the successors of word (-1: unseen)."""
-        at = self.pairs.find(word * (self.V + 1) + after)
-        return at, np.where(at >= 0, at - self.pointer.access(word).astype(np.int64), -1)
-
-    def bigrams(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """log10 p(second | first)."""
+    def bigrams(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each bigram in level 2 (-1: unseen), and log10 p(second | first)."""
         at = self.pairs.find(first * (self.V + 1) + second)
+        out = self.value(self.prob1[second]) + np.log10(self.weights[0])[self.back1[first]]
         seen = at >= 0
-        out = self.value(self.prob1[second]) + np.log10(self.weights[0][self.back1[first]])
         out[seen] = self.value(self.prob2[at[seen]])
-        return out
+        return at, out
 
-    def trigrams(self, first: np.ndarray, second: np.ndarray, third: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """log10 p(third | first second); lower: log10 p(third | second)."""
-        context = self.pairs.find(first * (self.V + 1) + second)
+    def trigrams(self, context: np.ndarray, word: np.ndarray, inner: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """log10 p of trigrams: level-2 places of words 1-2 and of words 2-3, word 2, log10 p(word 3 | word 2).
+
+        Word 3 is sought by its rank among word 2's successors.
+        """
         out = lower.copy()
         known = np.flatnonzero(context >= 0)
-        context = context[known]
-        out[known] += np.log10(self.weights[1][self.back2[context]])
-        _, relative = self._relative(second[known], third[known])
-        near = relative >= 0
-        known, context, relative = known[near], context[near], relative[near]
-        at = self.triples.find(self.before.access(context).astype(np.int64) + relative) if len(known) else known
-        out[known[at >= 0]] = self.value(self.prob3[at[at >= 0]])
+        out[known] += np.log10(self.weights[1])[self.back2[context[known]]]
+        known = known[inner[known] >= 0]
+        if len(known):
+            relative = inner[known] - self.pointer.access(word[known]).astype(np.int64)
+            at = self.triples.find(self.before.access(context[known]).astype(np.int64) + relative)
+            out[known[at >= 0]] = self.value(self.prob3[at[at >= 0]])
         return out
 
 
-def _ask(shards: int):
+def key_bits(text_bytes: int) -> int:
+    """Width of n-gram keys: at six bytes a word, under one expected pair of n-grams that meet by chance."""
+    return min(64, max(32, 2 * text_bytes.bit_length() - 4))
+
+
+def _ask(shards: int, bits: int):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        block = Block(table)
-        parts = block.keys()
-        cuts = [P.shard_cuts(key_, shards) for key_, _, _ in parts]
+        block = Block(B.documents(table))
+        parts = block.keys(bits)
+        cuts = [P.shard_cuts(key_, shards, bits) for key_, _, _ in parts]
         local = []
         for keys, order, count in parts:
             plain = np.empty(len(order), np.int64)
@@ -263,9 +269,14 @@ def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
                      "payload": pa.array([P.joined([head, *b]) for b in bodies], pa.binary())})
 
 
-def _score(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
-    if docs.num_rows == 0:
-        return pa.table({f.split()[0]: [] for f in _SCORES.split(", ")}).cast(_schema())
+def _score(bits: int):
+    def score(key: tuple[pa.Scalar, ...], dealt: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = B.documents(dealt)
+        return _scored(docs, answers, bits) if docs.num_rows else _schema().empty_table()
+    return score
+
+
+def _scored(docs: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
     answers = answers.sort_by("shard")
     got = [P.split(x) for x in answers.column("payload").to_pylist()]
     heads = [np.frombuffer(g[0][:16], np.int64) for g in got]
@@ -273,19 +284,18 @@ def _score(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.
     weights = _weights(np.frombuffer(got[0][0][16:], np.float64).reshape(2, _BUCKETS, 2))
     block = Block(docs)
     counts = []
-    for order, (keys, place, _) in enumerate(block.keys()):
+    for order, (keys, place, _) in enumerate(block.keys(bits)):
         plain = np.empty(len(keys), np.int64)
         plain[place] = np.concatenate([P.unpack(g[1 + order], np.int64) for g in got])
         counts.append(plain)
     trie = Trie(block, counts, tokens, kinds, weights)
-    ids = trie.vocabulary.find(block.vocabulary)
-    lower = trie.bigrams(np.append(ids, block.V)[block.first], ids[block.second])
-    upper = trie.trigrams(block.first[block.context], block.second[block.context], block.third,
-                          trie.bigrams(block.second[block.context], block.third))
+    ids = np.append(trie.vocabulary.find(block.vocabulary), block.V)
+    place, lower = trie.bigrams(ids[block.first], ids[block.second])
+    upper = trie.trigrams(place[block.context], ids[block.second[block.context]], place[block.inner], lower[block.inner])
     each = np.where(block.has_tri, upper[block.tri_of] if len(upper) else 0.0, lower[block.bi_of])
     n = docs.num_rows
     return pa.table({
-        "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
+        "doc_id": docs.column("doc_id"), "held_out": docs.column("flag"),
         "n_tokens": pa.array(block.lengths.astype(np.int64)),
         "n_known": pa.array(np.bincount(block.doc, (counts[0] > 0)[block.ids], n).astype(np.int64)),
         "train_tokens": pa.array(np.full(n, tokens, np.int64)),
@@ -300,7 +310,7 @@ def _schema() -> pa.Schema:
 
 
 def score_texts(df: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
-                block_bytes: int = C.BLOCK_BYTES) -> DataFrame:
+                block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """Scores every row of df with the model learnt from its rows where held_out is false.
 
     held_out: boolean Column.  Result columns: doc_id, held_out, n_tokens,
@@ -309,9 +319,9 @@ def score_texts(df: DataFrame, held_out, id_col: str = "doc_id", text_col: str =
     as false; rows with equal or null ids are scored each for itself; other
     columns are ignored.  An empty table gives an empty result.
     """
-    blocks = C.n_blocks(df, text_col, block_bytes)
-    docs = C.blocked(df, id_col, text_col, blocks, F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    docs = docs.select("block", "doc_id", "held_out", "text")
-    asked = docs.groupBy("block").applyInArrow(_ask(blocks), _PACKET)
+    total = B.text_bytes(df, text_col)
+    blocks, bits = B.count_for(df, total, block_bytes), key_bits(total)
+    docs = B.deal(df, blocks, id_col, text_col, held_out).groupBy("block")
+    asked = docs.applyInArrow(_ask(blocks, bits), _PACKET)
     answers = asked.groupBy("shard").applyInArrow(_answer, _PACKET)
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, _SCORES)
+    return docs.cogroup(answers.groupBy("block")).applyInArrow(_score(bits), _SCORES)

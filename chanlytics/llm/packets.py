@@ -39,9 +39,9 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
 
 
-def shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Positions that split sorted keys into equal ranges of the key space, one for each shard."""
-    edges = [(s << 64) // shards for s in range(1, shards)]
+def shard_cuts(keys: np.ndarray, shards: int, bits: int = 64) -> np.ndarray:
+    """Positions that split sorted keys of so many bits into equal ranges of the key space, one for each shard."""
+    edges = [(s << bits) // shards for s in range(1, shards)]
     cuts = np.searchsorted(keys, np.array(edges, np.uint64)) if edges else np.zeros(0, np.int64)
     return np.concatenate([[0], cuts, [len(keys)]]).astype(np.int64)
 

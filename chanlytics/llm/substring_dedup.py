@@ -24,9 +24,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from chanlytics.llm import common as C
+from chanlytics.llm import blocks as B
 from chanlytics.llm import packets as P
 from chanlytics.llm.words import NOT_SPACE, Words, run_hash
 
@@ -43,10 +42,6 @@ def _period(size: int) -> int:
     return max(v for v in COVERS if size - v + 1 >= max(1, size // 3))
 
 
-def _in_order(docs: pa.Table) -> pa.Table:
-    return docs.sort_by("doc_key").combine_chunks()
-
-
 def _anchors(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(word position, hash) of the anchors of every document."""
     v = _period(size)
@@ -63,8 +58,8 @@ def _rows(shards, block: int, payloads: list[bytes]) -> pa.Table:
 
 
 def _ask_anchors(size: int, shards: int):
-    def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
-        words = Words(docs.column("text"), NOT_SPACE)
+    def ask(key: tuple[pa.Scalar, ...], dealt: pa.Table) -> pa.Table:
+        words = Words(B.documents(dealt).column("text"), NOT_SPACE)
         keys, count = np.unique(_anchors(words, size)[1], return_counts=True)
         cuts = P.shard_cuts(keys, shards)
         many = np.minimum(count, 2).astype(np.uint8)
@@ -117,10 +112,10 @@ class _Windows:
 
 
 def _ask_windows(size: int, shards: int):
-    def ask(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def ask(key: tuple[pa.Scalar, ...], dealt: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = B.documents(dealt)
         if not docs.num_rows:
             return _rows([], 0, [])
-        docs = _in_order(docs)
         words = Words(docs.column("text"), NOT_SPACE)
         at, hashes = _anchors(words, size)
         keys, place = np.unique(hashes, return_inverse=True)
@@ -165,12 +160,12 @@ def _answer_windows(key: tuple[pa.Scalar, ...], asked: pa.Table) -> pa.Table:
 
 
 def _remove(size: int, digest: bool):
-    def remove(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def remove(key: tuple[pa.Scalar, ...], dealt: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = B.documents(dealt)
         if not docs.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), **({} if digest else {"doc_key": pa.array([], pa.int64())}),
                              "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()),
                              "kept_sha256" if digest else "kept": pa.array([], pa.string())})
-        docs = _in_order(docs)
         words = Words(docs.column("text"), NOT_SPACE)
         parts = [P.split(x) for x in answers.sort_by("shard").column("payload").to_pylist()]
         start = np.cumsum(P.unpack(next(p[0] for p in parts if p[0]), np.int64))
@@ -209,7 +204,7 @@ def _remove(size: int, digest: bool):
 
 
 def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text",
-                   digest: bool = False, block_bytes: int = C.BLOCK_BYTES) -> DataFrame:
+                   digest: bool = False, block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed and the kept words joined by one blank (or, with digest, their SHA-256).
 
     One row for each row of df.  Words are runs without ASCII white space.
@@ -217,9 +212,8 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
     nothing.  Null ids come after all others; rows with the same id are at
     one place, so of equal rows none is earlier.  Other columns are ignored.
     """
-    blocks = C.n_blocks(df, text_col, block_bytes)
-    docs = C.blocked(df, id_col, text_col, blocks).select("block", "doc_key", "doc_id", "text")
-    by = docs.groupBy("block")
+    blocks = B.count_for(df, B.text_bytes(df, text_col), block_bytes)
+    by = B.deal(df, blocks, id_col, text_col).groupBy("block")
     anchors = by.applyInArrow(_ask_anchors(size, blocks), _PACKET)
     known = anchors.groupBy("shard").applyInArrow(_answer_anchors, _PACKET)
     windows = by.cogroup(known.groupBy("block")).applyInArrow(_ask_windows(size, blocks), _PACKET)
