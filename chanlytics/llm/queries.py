@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics.llm import common as C
-from chanlytics.llm import decontaminate, near_dedup, quality, substring_dedup
+from chanlytics.llm import decontaminate, licenses, near_dedup, pii, quality, sharding, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +54,18 @@ def near_duplicates(spark, sf_dir):
 @query("op8_quality")
 def quality_scores(spark, sf_dir):
     return quality.scored(C.read_table(spark, sf_dir, "documents"), C.read_table(spark, sf_dir, "labels"))
+
+
+@query("op9_pii")
+def personal_data(spark, sf_dir):
+    return pii.report(C.read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_license_scan", licenses.ORACLE)
+def license_scan(spark, sf_dir):
+    return licenses.report(C.read_table(spark, sf_dir, "documents"))
+
+
+@query("op4_sharding", sharding.ORACLE)
+def shard_placement(spark, sf_dir):
+    return sharding.assign(C.read_table(spark, sf_dir, "documents").select("doc_id", "source"), F.col("doc_id"))
