@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics.llm import common as C
-from chanlytics.llm import decontaminate, licenses, near_dedup, pii, quality, sharding, substring_dedup
+from chanlytics.llm import decontaminate, licenses, near_dedup, pii, quality, sharding, substring_dedup, vamana
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,3 +69,8 @@ def license_scan(spark, sf_dir):
 @query("op4_sharding", sharding.ORACLE)
 def shard_placement(spark, sf_dir):
     return sharding.assign(C.read_table(spark, sf_dir, "documents").select("doc_id", "source"), F.col("doc_id"))
+
+
+@query("op7_nearest_neighbours")
+def nearest_neighbours(spark, sf_dir):
+    return vamana.search_table(C.read_table(spark, sf_dir, "embeddings"))
