@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics.llm import common as C
-from chanlytics.llm import decontaminate, licenses, near_dedup, pii, quality, sharding, substring_dedup, vamana
+from chanlytics.llm import decontaminate, licenses, near_dedup, pieces, pii, quality, sharding, substring_dedup, vamana
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -74,3 +74,8 @@ def shard_placement(spark, sf_dir):
 @query("op7_nearest_neighbours")
 def nearest_neighbours(spark, sf_dir):
     return vamana.search_table(C.read_table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_sentencepiece")
+def sentence_pieces(spark, sf_dir):
+    return pieces.report(C.read_table(spark, sf_dir, "documents"))
