@@ -26,14 +26,29 @@ def contains_ci(text: "Column | str", needle: str) -> Column:
 def like_ci(text: "Column | str", query: str, literal: bool = False) -> Column:
     """``lower(text) LIKE '%query%'``.
 
-    As in the reference the user's ``%`` and ``_`` stay wildcards; with
-    ``literal=True`` the query is matched as plain text instead.
+    As in the reference the user's ``%`` and ``_`` stay wildcards, and a
+    backslash makes the character after it plain (at the end of the query
+    that is the closing ``%``); with ``literal=True`` the query is matched as
+    plain text instead.
     """
     lowered = F.lower(as_col(text))
     q = query.lower()
     if literal:
         return lowered.contains(q)
-    return lowered.like("%" + q + "%")
+    return lowered.like(_like_pattern("%" + q + "%"))
+
+
+def _like_pattern(pattern: str) -> str:
+    """The same pattern with backslashes only where Spark's LIKE allows them."""
+    out, i = [], 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            i += 1
+            c = "\\" + pattern[i] if pattern[i] in "%_\\" else pattern[i]
+        out.append(c)
+        i += 1
+    return "".join(out)
 
 
 def tokens(lower_text: "Column | str") -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -100,16 +99,3 @@ IMAGE_DETECTION_REPORT_COLUMNS = [
     "image_detection_sk", "message_sk", "detected_object_class",
     "confidence_score", "image_path", "detection_timestamp",
 ]
-
-
-def channel_map_df(spark: SparkSession, mapping: dict[str, str] | None = None) -> DataFrame:
-    """Channel name -> username mapping as a two-column DataFrame."""
-    mapping = CHANNEL_USERNAMES if mapping is None else mapping
-    return spark.createDataFrame(
-        sorted(mapping.items()), "channel string, channel_username string")
-
-
-def keywords_df(spark: SparkSession, keywords: list[str] | None = None) -> DataFrame:
-    """Keyword dictionary as a one-column DataFrame (``keyword``)."""
-    keywords = DEFAULT_KEYWORDS if keywords is None else keywords
-    return spark.createDataFrame([(k,) for k in keywords], "keyword string")

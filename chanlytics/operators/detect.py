@@ -106,18 +106,16 @@ class CentroidFileScorer(Scorer):
         return CentroidScorer(centroids, self.class_names, self.min_confidence)
 
 
-def fit_centroids(vectors: DataFrame, label_col: str = "label", vector_col: str = "embedding",
-                  max_values: int = 10_000_000) -> tuple[np.ndarray, list[int]]:
+def fit_centroids(vectors: DataFrame, label_col: str = "label",
+                  vector_col: str = "embedding") -> tuple[np.ndarray, list[int]]:
     """Class centroids computed by Spark (per label and position averages).
 
-    Only the result - labels x features values, checked against
-    ``max_values`` - reaches the driver.
+    Only the model - one value for each label and feature - reaches the
+    driver, from where it is shipped to the workers whole.
     """
     per_dim = (vectors.select(label_col, F.posexplode(vector_col).alias("pos", "x"))
                .groupBy(label_col, "pos").agg(F.avg(F.col("x").cast("double")).alias("v")))
-    rows = per_dim.limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError("centroid model too large to ship to workers")
+    rows = per_dim.collect()
     labels = sorted({r[0] for r in rows})
     dim = max(r[1] for r in rows) + 1
     c = np.zeros((len(labels), dim))
@@ -128,11 +126,12 @@ def fit_centroids(vectors: DataFrame, label_col: str = "label", vector_col: str
 
 
 def parse_image_names(images: DataFrame, path_col: str = "path") -> DataFrame:
-    """``<Channel>_<message_id>[_...].<ext>`` -> stem, channel_name, message_ref, name_ok."""
+    """``<Channel>_<message_id>[_...].<ext>`` -> file_name, stem, channel_name, message_ref, name_ok."""
     stem = F.regexp_extract(F.col(path_col), r"([^/]+)\.[^./]+$", 1)
     parts = F.split(stem, "_")
     return images.select(
         "*",
+        F.regexp_extract(F.col(path_col), r"([^/]+)$", 1).alias("file_name"),
         stem.alias("stem"),
         F.get(parts, 0).alias("channel_name"),
         F.get(parts, 1).alias("message_ref"),
@@ -190,7 +189,7 @@ def prepare_images(images: DataFrame, mapping: "dict[str, str] | DataFrame | Non
     """
     mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
     parsed = parse_image_names(images, path_col).withColumn(
-        "image_path", F.concat(F.lit(image_prefix), F.regexp_extract(F.col(path_col), r"([^/]+)$", 1)))
+        "image_path", F.concat(F.lit(image_prefix), "file_name"))
     bad_name = parsed.filter(~F.col("name_ok")).select("image_path", F.lit("bad_name").alias("reason"))
     known, unknown = map_channel_strict(parsed.filter("name_ok"), mapping, "channel_name")
     todo = known
@@ -198,21 +197,23 @@ def prepare_images(images: DataFrame, mapping: "dict[str, str] | DataFrame | Non
         from chanlytics.operators.ingest import new_images
 
         todo = new_images(todo, processed)
-    todo = todo.select("image_path", "stem", "channel_username", "message_ref", payload_col)
+    todo = todo.select("image_path", "file_name", "channel_username", "message_ref", payload_col)
     rejects = bad_name.unionByName(
         unknown.select("image_path", F.lit("unmapped_channel").alias("reason")))
     return todo, rejects
 
 
 def flatten_scores(scored: DataFrame, class_names: list[str],
-                   run_ts: dt.datetime | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   run_ts: dt.datetime) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(detections, scan log, rejects) from scored images.
 
     An image with boxes whose id is not an integer is rejected
     ('bad_message_id'), as the reference fails on that image.
-    detection_id = ``<stem>_<class>_<box index>`` (reproducible).
+    detection_id = ``<file name>_<class>_<box index>``: reproducible, and
+    different for images that differ in their extension alone.  ``run_ts``
+    is the time of the run.
     """
-    ts = F.lit(run_ts or dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    ts = F.lit(run_ts).cast("timestamp_ntz")
     n_boxes = F.size("boxes")
     msg_id = F.expr("try_cast(message_ref AS BIGINT)")
     scan_log = scored.select("image_path", n_boxes.alias("n_boxes"), ts.alias("scored_at"))
@@ -220,11 +221,11 @@ def flatten_scores(scored: DataFrame, class_names: list[str],
         .select("image_path", F.lit("bad_message_id").alias("reason"))
     names = F.array(*[F.lit(n) for n in class_names])
     boxes = scored.filter(msg_id.isNotNull()).select(
-        "stem", "channel_username", "image_path", msg_id.alias("message_id"),
+        "file_name", "channel_username", "image_path", msg_id.alias("message_id"),
         F.posexplode("boxes").alias("box_idx", "box"))
     cls = F.get(names, F.col("box.class_id"))
     detections = boxes.select(
-        F.concat_ws("_", F.col("stem"), cls, F.col("box_idx").cast("string")).alias("detection_id"),
+        F.concat_ws("_", F.col("file_name"), cls, F.col("box_idx").cast("string")).alias("detection_id"),
         "message_id", "channel_username", "image_path",
         cls.alias("detected_object_class"),
         F.round(F.col("box.confidence"), 4).cast("decimal(5,4)").alias("confidence_score"),
@@ -233,10 +234,9 @@ def flatten_scores(scored: DataFrame, class_names: list[str],
     return detections, scan_log, bad_id
 
 
-def detect_objects(images: DataFrame, scorer: Scorer,
+def detect_objects(images: DataFrame, scorer: Scorer, run_ts: dt.datetime,
                    mapping: "dict[str, str] | DataFrame | None" = None,
                    processed: DataFrame | None = None,
-                   run_ts: dt.datetime | None = None,
                    path_col: str = "path", payload_col: str = "content",
                    image_prefix: str = "data/images/") -> Detections:
     """Score every new image and flatten the boxes to detection rows (E1), lazily."""
@@ -250,8 +250,8 @@ ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str,
-                  scan_log_path: str | None = None, mapping=None,
-                  run_ts: dt.datetime | None = None, path_col: str = "path",
+                  run_ts: dt.datetime, scan_log_path: str | None = None, mapping=None,
+                  path_col: str = "path",
                   payload_col: str = "content", image_prefix: str = "data/images/",
                   batch_rows: int | None = 64) -> Detections:
     """The enrichment job: score new images and append detections (I4).
@@ -287,7 +287,7 @@ def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str
                 spark.conf.set(ARROW_BATCH_CONF, previous)
     detections, scan_log, bad_id = flatten_scores(scored, scorer.class_names, run_ts)
     append_if_absent(spark, detections, detections_path, model.RAW_DETECTIONS_SCHEMA,
-                     model.RAW_DETECTIONS_KEY, [F.col("detection_id")])
+                     model.RAW_DETECTIONS_KEY, [F.col("image_path")])
     if scan_log_path:
         # keyed by image: a retried run does not log an image twice
         append_if_absent(spark, scan_log.select(*[f.name for f in log_schema.fields]),

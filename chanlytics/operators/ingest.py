@@ -17,32 +17,31 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
-from chanlytics.operators.lookup import (
-    MAX_BROADCAST_ROWS, bounded_broadcast, map_channel_with_fallback,
-)
+from chanlytics.operators.lookup import map_channel_with_fallback, map_literal
 from chanlytics.operators.topk import latest_per_key
 
 
-def _reason_sql(mapping: dict[str, str]) -> str:
-    """Per-record rejection reason as SQL over lambda variable ``r``."""
-    keys = " AND ".join(f"map_contains_key(r, '{k}')" for k in model.EXPORT_KEYS)
-    items = ", ".join(f"'{k}', '{v}'" for k, v in sorted(mapping.items()))
-    username = (f"coalesce(try_element_at(map({items}), r['channel']), r['channel'])"
-                if items else "r['channel']")
-    lim = model.VARCHAR_LIMIT
+def _reason(r: Column, mapping: dict[str, str]) -> Column:
+    """Rejection reason of a record (a map of its values as text); NULL = accepted."""
+    def value(key: str) -> Column:
+        return F.try_element_at(r, F.lit(key))
 
-    def bad(key: str, typ: str) -> str:
-        return f"(r['{key}'] IS NOT NULL AND try_cast(r['{key}'] AS {typ}) IS NULL)"
+    def bad(key: str, kind: str) -> Column:
+        return value(key).isNotNull() & value(key).try_cast(kind).isNull()
 
-    return f"""CASE
-      WHEN NOT ({keys}) THEN 'missing_key'
-      WHEN try_cast(r['message_id'] AS BIGINT) IS NULL THEN 'bad_message_id'
-      WHEN r['channel'] IS NULL THEN 'null_channel'
-      WHEN length(r['channel']) > {lim} OR length({username}) > {lim} THEN 'value_too_long'
-      WHEN {bad('date', 'DATE')} THEN 'bad_date'
-      WHEN {bad('views', 'INT')} OR {bad('forwards', 'INT')} THEN 'bad_number'
-      WHEN {bad('has_photo', 'BOOLEAN')} THEN 'bad_boolean'
-    END"""
+    missing = F.lit(False)
+    for key in model.EXPORT_KEYS:
+        missing = missing | ~F.map_contains_key(r, key)
+    channel = value("channel")
+    username = F.coalesce(F.try_element_at(map_literal(mapping), channel), channel)
+    longest = F.greatest(F.length(channel), F.length(username))
+    return (F.when(missing, "missing_key")
+            .when(value("message_id").try_cast("bigint").isNull(), "bad_message_id")
+            .when(channel.isNull(), "null_channel")
+            .when(longest > model.VARCHAR_LIMIT, "value_too_long")
+            .when(bad("date", "date"), "bad_date")
+            .when(bad("views", "int") | bad("forwards", "int"), "bad_number")
+            .when(bad("has_photo", "boolean"), "bad_boolean"))
 
 
 def validate_export_files(parsed: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -52,7 +51,7 @@ def validate_export_files(parsed: DataFrame, mapping: dict[str, str] | None = No
     per file row with higher-order functions: no shuffle.
     """
     mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
-    reasons = F.expr(f"filter(transform(records, r -> {_reason_sql(mapping)}), x -> x IS NOT NULL)")
+    reasons = F.filter(F.transform("records", lambda r: _reason(r, mapping)), lambda x: x.isNotNull())
     return parsed.select(
         "source_file", "records",
         F.size("records").alias("n_records"),
@@ -64,21 +63,12 @@ def export_records(validated: DataFrame) -> DataFrame:
     """Accepted files -> one typed row per record, with (source_file, source_pos)."""
     ok = validated.filter(F.col("reason").isNull())
     rows = ok.select("source_file", F.posexplode("records").alias("source_pos", "r"))
+    return rows.select(*_typed(F.col("r")), "source_file", F.col("source_pos").cast("long").alias("source_pos"))
 
-    def v(k: str) -> Column:
-        return F.col("r").getItem(k)
-
-    return rows.select(
-        v("message_id").cast("bigint").alias("message_id"),
-        v("channel").alias("channel"),
-        v("date").cast("date").alias("date"),
-        v("text").alias("text"),
-        v("views").cast("int").alias("views"),
-        v("forwards").cast("int").alias("forwards"),
-        v("has_photo").cast("boolean").alias("has_photo"),
-        v("photo_path").alias("photo_path"),
-        "source_file", F.col("source_pos").cast("long").alias("source_pos"),
-    )
+
+def _typed(r: Column) -> list[Column]:
+    """The export columns of an accepted record."""
+    return [r.getItem(f.name).cast(f.dataType).alias(f.name) for f in model.EXPORT_SCHEMA.fields]
 
 
 def to_raw_messages(export: DataFrame, scrape_date: "dt.date | Column",
@@ -113,28 +103,14 @@ def first_rows(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return latest_per_key(batch, keys, order)
 
 
-def existing_keys(target_keys: DataFrame, batch: DataFrame, keys: list[str],
-                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Keys of the batch already stored.
-
-    The stored table is only probed: when the batch has at most
-    ``max_rows`` rows and a bounded size of key text (one bounded scan of
-    the batch, no shuffle) its distinct keys are broadcast and the target is scanned - key columns
-    only - without a shuffle.  A larger batch falls back to a shuffle semi
-    join.  The result is never larger than the batch.
-    """
-    batch_keys = batch.select(*keys)
-    cand = batch_keys.distinct()
-    if bounded_broadcast(batch_keys, max_rows) is not batch_keys:  # within both bounds
-        cand = F.broadcast(cand)
-    return target_keys.select(*keys).join(cand, keys, "left_semi")
-
-
 def new_rows(batch: DataFrame, target_keys: DataFrame, keys: list[str],
              order: list[Column]) -> DataFrame:
-    """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` of the batch would add."""
-    first = first_rows(batch, keys, order)
-    return first.join(existing_keys(target_keys, batch, keys), keys, "left_anti")
+    """Rows an ``INSERT ... ON CONFLICT DO NOTHING`` of the batch would add.
+
+    The batch is evaluated once; the anti join against the stored keys (key
+    columns only) uses the partitioning that the first-row step has made.
+    """
+    return first_rows(batch, keys, order).join(target_keys.select(*keys), keys, "left_anti")
 
 
 def load_accounting(batch: DataFrame, new: DataFrame, file_col: str = "source_file",
@@ -185,34 +161,59 @@ def write_partition(df: DataFrame, path: str, column: str, value) -> None:
 
 
 def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, schema,
-                     keys: list[str], order: list[Column]) -> DataFrame:
+                     keys: list[str], order: list[Column], before_append=None) -> DataFrame:
     """Append the new rows of ``batch`` to the parquet table at ``target_path``.
 
     Returns the appended rows.  They are checkpointed (reliable storage)
     before the append, so they cannot change when the target grows, and a
-    retried run finds them stored and appends nothing twice.  Two
-    concurrent writers to one table are not supported.
+    retried run finds them stored and appends nothing twice.
+    ``before_append(new)`` runs between the two, so what it records cannot
+    be lost to a crash after the append.  Two concurrent writers to one
+    table are not supported.
     """
     from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     target = read_table(spark, target_path, schema)
     new = new_rows(batch, target, keys, order).checkpoint(eager=True)
+    if before_append is not None:
+        before_append(new)
     cols = [f.name for f in schema.fields]
     new.select(*cols).write.mode("append").parquet(target_path)
     return new
 
 
+def _load(spark: SparkSession, raw: DataFrame, raw_path: str, accounting_path: str | None,
+          run_date: dt.date, files: DataFrame | None) -> DataFrame:
+    """Append ``raw``; the accounting per file, stored before the append under a run id of its own."""
+    import uuid
+
+    run_id = uuid.uuid4().hex
+
+    def record(new: DataFrame) -> None:
+        if accounting_path:
+            (load_accounting(raw, new, files=files)
+             .withColumns({"run_date": F.lit(run_date).cast("date"), "run_id": F.lit(run_id)})
+             .write.mode("append").partitionBy("run_date", "run_id").parquet(accounting_path))
+
+    new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA, model.RAW_MESSAGES_KEY,
+                           [F.col("source_file"), F.col("source_pos")], record)
+    return load_accounting(raw, new, files=files)
+
+
 def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
-                 quarantine_path: str | None = None,
-                 mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+                 quarantine_path: str | None = None, mapping: dict[str, str] | None = None,
+                 accounting_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Load one day's export folder into the raw table (the loader job).
 
     Returns (accounting per file, rejected files).  Rejected files are
-    appended to ``quarantine_path`` when given.
+    appended to ``quarantine_path`` when given, the accounting of each run
+    to ``accounting_path``.  A day without a folder loads nothing.
     """
+    from chanlytics.session import ensure_checkpoint_dir
     from chanlytics.sources.exports import parse_export_files, read_export_files
 
+    ensure_checkpoint_dir(spark)
     files = read_export_files(spark, base, run_date.isoformat())
     validated = validate_export_files(parse_export_files(files), mapping).checkpoint(eager=True)
     rejected = validated.filter(F.col("reason").isNotNull()) \
@@ -220,78 +221,74 @@ def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: st
     if quarantine_path:
         write_partition(rejected, quarantine_path, "run_date", run_date)
     raw = to_raw_messages(export_records(validated), run_date, mapping)
-    new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
-                           model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
     accepted = validated.filter(F.col("reason").isNull()).select("source_file")
-    return load_accounting(raw, new, files=accepted), rejected
+    return _load(spark, raw, raw_path, accounting_path, run_date, accepted), rejected
 
 
-LINES_SCHEMA = ("message_id string, date string, text string, views string, forwards string, "
-                "has_photo string, photo_path string, _corrupt_record string")
+LINES_SCHEMA = "value string, scrape_date date, channel string"
 
 
 def read_landing_day(spark: SparkSession, base: str, run_date: dt.date | None = None) -> DataFrame:
-    """One day (or all days) of the JSON-lines landing layout, values kept as text.
+    """One day (or all days) of the JSON-lines landing layout: value, scrape_date, channel.
 
     Splittable input: a large day is read by many tasks.  ``channel`` and
-    ``scrape_date`` come from the partition folders.
+    ``scrape_date`` come from the partition folders and have declared types.
+    A day without a folder has no rows.
     """
     path = base.rstrip("/") + (f"/scrape_date={run_date.isoformat()}" if run_date else "")
-    return (spark.read.schema(LINES_SCHEMA)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-            .option("basePath", base)
-            .json(path)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LINES_SCHEMA)
+    return spark.read.schema(LINES_SCHEMA).option("basePath", base).text(path)
 
 
 def check_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
-    """Landing rows with a per-row ``reason`` (NULL = the row itself is fine).
+    """(source_file, scrape_date, r, source_pos, reason) of landing lines; reason NULL = the line is fine.
 
-    Same record rules as ``validate_export_files``; a line that does not
-    parse is 'unparsable'; in this layout a missing key reads as NULL.
+    Same record rules as ``validate_export_files``: values as text, every
+    key present (the channel is the folder's), a line that is not one JSON
+    object is 'unparsable'.  A channel's day is one export, however many
+    files hold it: source_file = <scrape_date>/<channel>.
     """
+    from chanlytics.sources.exports import parsed_json
+
     mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
-    rec = F.create_map(*[x for k in model.EXPORT_KEYS for x in (F.lit(k), F.col(k).cast("string"))])
-    reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unparsable")) \
-        .otherwise(F.expr(_reason_sql(mapping)))
-    return rows.withColumn("r", rec).withColumn("reason", reason).drop("r")
+    record = parsed_json(F.col("value"), "map<string,string>")
+    own = F.map_concat(F.map_filter(record, lambda k, _: k != "channel"),
+                       F.create_map(F.lit("channel"), F.col("channel")))
+    parsed = rows.select(F.concat_ws("/", F.col("scrape_date").cast("string"), "channel").alias("source_file"),
+                         "scrape_date", own.alias("r"))
+    return parsed.select("source_file", "scrape_date", "r",
+                         F.try_element_at("r", F.lit("source_pos")).try_cast("long").alias("source_pos"),
+                         F.when(F.col("r").isNull(), "unparsable").otherwise(_reason(F.col("r"), mapping)).alias("reason"))
 
 
 def split_checked_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted typed export rows, rejected files with a reason).
+    """(accepted typed export rows, rejected exports with a reason).
 
-    Any bad line rejects its whole file: the bad files are found with a
-    partial aggregate per file and removed with an anti join, broadcast
-    behind a size check (one row per bad file).
+    Any bad line rejects its whole export: the bad ones are found with a
+    partial aggregate per export and removed with an anti join.
     """
     bad_files = (checked.filter(F.col("reason").isNotNull()).groupBy("source_file")
                  .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_bad_records")))
     ok = checked.filter(F.col("reason").isNull()).join(
-        bounded_broadcast(bad_files.select("source_file")), "source_file", "left_anti")
-    typed = ok.select(
-        F.col("message_id").cast("bigint").alias("message_id"), "channel",
-        F.col("date").cast("date").alias("date"), "text",
-        F.col("views").cast("int").alias("views"), F.col("forwards").cast("int").alias("forwards"),
-        F.col("has_photo").cast("boolean").alias("has_photo"), "photo_path", "source_file",
-        "scrape_date")
-    return typed, bad_files
+        bad_files.select("source_file"), "source_file", "left_anti")
+    return ok.select(*_typed(F.col("r")), "source_file", "source_pos", "scrape_date"), bad_files
 
 
 def validate_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None
                           ) -> tuple[DataFrame, DataFrame]:
-    """(accepted typed export rows, rejected files) for JSON-lines input."""
+    """(accepted typed export rows, rejected exports) for JSON-lines input."""
     return split_checked_rows(check_landing_rows(rows, mapping))
 
 
 def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
-                     quarantine_path: str | None = None,
-                     mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The loader for the JSON-lines landing layout: (accounting per file, rejected files).
+                     quarantine_path: str | None = None, mapping: dict[str, str] | None = None,
+                     accounting_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The loader for the JSON-lines landing layout: (accounting per export, rejected exports).
 
     The day's lines are parsed and checked once and checkpointed; every
-    later step (file rejection, the new-row tagging, the accounting) reads
-    that.  In-batch first write wins by (file, then the row's values), as
-    lines carry no position.
+    later step reads that.  In-batch first write wins by (export, place in
+    it), as in the array layout.
     """
     from chanlytics.session import ensure_checkpoint_dir
 
@@ -301,21 +298,10 @@ def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path
     typed, rejected = split_checked_rows(checked)
     if quarantine_path:
         write_partition(rejected, quarantine_path, "run_date", run_date)
-    raw = to_raw_messages(typed.withColumn("source_pos", F.lit(None).cast("long")), run_date, mapping)
-    order = [F.col(c).asc_nulls_first() for c in
-             ["source_file", "message_date", "message_text", "views", "forwards", "has_photo",
-              "photo_path", "channel_name"]]
-    new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
-                           model.RAW_MESSAGES_KEY, order)
-    return load_accounting(raw, new), rejected
+    raw = to_raw_messages(typed, run_date, mapping)
+    return _load(spark, raw, raw_path, accounting_path, run_date, None), rejected
 
 
 def new_images(images: DataFrame, processed: DataFrame, path_col: str = "image_path") -> DataFrame:
-    """Images whose path is not yet processed.
-
-    The processed set (all detections ever stored) is probed in place with
-    the new images' paths rather than shuffled.
-    """
-    from chanlytics.operators.lookup import probe_join
-
-    return probe_join(images, processed.select(path_col), [path_col], "left_anti")
+    """Images whose path is not yet processed."""
+    return images.join(processed.select(path_col), path_col, "left_anti").select(*images.columns)

@@ -6,18 +6,15 @@ Rule (per message, on the lower-cased text):
   when it is a substring of the text (the reference tests phrases inside
   its per-token loop), so a phrase hit adds ``size(tokens)``.
 
-Plan: the dictionary is an argument, read with a bound
-(``MAX_DICTIONARY`` entries).
-* words: up to ``MAX_INLINE_WORDS`` they are a literal hash set used by a
-  higher-order ``filter`` on the token array before anything is exploded;
-  a larger word list is joined instead (tokens counted per task first,
-  then semi-joined to the list);
-* phrases: up to ``MAX_INLINE_PHRASES`` they are literal ``contains``
-  tests; more are matched in one pass per text by an Aho-Corasick
-  automaton inside ``mapInPandas`` (built once per worker), which emits
-  only real hits - never all message x phrase pairs.
-Each message emits only its (keyword, count) hits; a partial aggregate
-per task then shuffles at most one row per keyword per task.
+The dictionary is a list or a DataFrame; either way it is a relation that
+the texts are joined to, and Spark picks the join by its size.
+* words join the exploded tokens;
+* a phrase joins the texts at its first gap between words: the last
+  characters before it and the first after it (up to three each) must stand
+  side by side in the text.  Only texts that have them are tested for the
+  whole phrase, so no text meets every phrase.
+A partial aggregate per task then shuffles at most one row per keyword and
+group per task.
 """
 
 from __future__ import annotations
@@ -26,52 +23,62 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlytics.functions.text import tokens
-from chanlytics.operators.partitioning import spread
 
-MAX_DICTIONARY = 5_000_000
-MAX_INLINE_WORDS = 10_000
-MAX_INLINE_PHRASES = 64
+# The characters that the reference's language splits at.
+BLANK = ("[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+EDGE = 3  # characters on either side of a phrase's first gap
 
 
-def split_keywords(keywords: list[str]) -> tuple[list[str], list[str]]:
-    """(single words, phrases); a phrase has more than one blank-separated part."""
-    words, phrases = [], []
-    for k in dict.fromkeys(keywords):  # keep first occurrence order, drop repeats
-        (phrases if len(k.split()) > 1 else words).append(k)
-    return words, phrases
+def _parts(text: Column) -> Column:
+    """The blank-separated parts of a text."""
+    return F.array_remove(F.split(text, BLANK + "+"), "")
 
 
-def _phrase_col(c: Column) -> Column:
-    return F.size(F.split(F.trim(c), r"\s+")) > 1
+def dictionary(keywords: "DataFrame | list[str]", column: str, like: DataFrame) -> DataFrame:
+    """(product_name, parts) of the distinct non-NULL keywords."""
+    if isinstance(keywords, list):
+        listed = [(k,) for k in dict.fromkeys(keywords) if k is not None]
+        kw = like.sparkSession.createDataFrame(listed, "product_name string")
+    else:
+        kw = keywords.select(F.col(column).alias("product_name")).where("product_name is not null").distinct()
+    return kw.withColumn("parts", _parts(F.col("product_name")))
 
 
-def _resolve_keywords(keywords: "DataFrame | list[str]", column: str
-                      ) -> tuple[list[str] | None, DataFrame | None, list[str]]:
-    """(inline words or None, word DataFrame for a join or None, phrases).
+def _shapes(kw: DataFrame) -> list[tuple[int, int]]:
+    """The distinct (characters before, characters after) of the phrases' first gaps: nine at most.
 
-    A list is used as given.  A DataFrame is only collected when small:
-    words up to ``MAX_INLINE_WORDS`` are inlined, a longer word list stays
-    distributed and is joined; phrases are collected (bounded by
-    ``MAX_DICTIONARY``) because every task matches every phrase.
+    One small job over the dictionary.
     """
-    if isinstance(keywords, list):
-        words, phrases = split_keywords(keywords)
-        if len(words) > MAX_INLINE_WORDS:
-            return None, None, phrases  # caller builds the join input
-        return words, None, phrases
-    kw = keywords.select(F.col(column).alias("k")).filter(F.col("k").isNotNull())
-    word_df = kw.filter(~_phrase_col(F.col("k")))
-    phrase_rows = kw.filter(_phrase_col(F.col("k"))).limit(MAX_DICTIONARY + 1).collect()
-    if len(phrase_rows) > MAX_DICTIONARY:
-        raise ValueError(f"more than {MAX_DICTIONARY} phrases")
-    phrases = list(dict.fromkeys(r[0] for r in phrase_rows))
-    few = word_df.limit(MAX_INLINE_WORDS + 1).collect()
-    if len(few) <= MAX_INLINE_WORDS:
-        return list(dict.fromkeys(r[0] for r in few)), None, phrases
-    return None, word_df.select(F.col("k").alias("product_name")).distinct(), phrases
+    before, after = (F.least(F.length(F.get("parts", i)), F.lit(EDGE)) for i in (0, 1))
+    rows = kw.where(F.size("parts") > 1).select(before.alias("a"), after.alias("b")).distinct().collect()
+    return sorted((r[0], r[1]) for r in rows)
+
+
+def _edge(left: Column, right: Column, a: int, b: int) -> Column:
+    return F.concat(F.right(left, F.lit(a)), F.lit(" "), F.left(right, F.lit(b)))
+
+
+def _phrase_pairs(texts: DataFrame, phrases: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
+    """(text_key, product_name): phrases whose first gap's surroundings stand in the text.
+
+    texts: text_key, lt.  A gap at the text's edge or with fewer characters
+    beside it yields a shorter key, which no phrase of that shape has.
+    """
+    parts = F.col("p")
+    keys = [_gap_keys(parts, a, b) for a, b in shapes]
+    split = texts.select("text_key", _parts(F.col("lt")).alias("p")).where(F.size("p") > 1)
+    here = split.select("text_key", F.explode(F.array_distinct(F.concat(*keys))).alias("gap"))
+    first, second = F.get("parts", 0), F.get("parts", 1)
+    gap = F.lit(None).cast("string")
+    for a, b in shapes:
+        own = (F.least(F.length(first), F.lit(EDGE)) == a) & (F.least(F.length(second), F.lit(EDGE)) == b)
+        gap = F.when(own, _edge(first, second, a, b)).otherwise(gap)
+    return here.join(phrases.select("product_name", gap.alias("gap")), "gap").select("text_key", "product_name").distinct()
 
 
-_HIT_TYPE = "array<struct<k:string,n:bigint>>"
+def _gap_keys(parts: Column, a: int, b: int) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.size(parts) - 2),
+                       lambda i: _edge(F.get(parts, i), F.get(parts, i + 1), a, b))
 
 
 def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
@@ -79,121 +86,16 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
                  keyword_col: str = "keyword") -> DataFrame:
     """(group_cols..., product_name, mention_count) over non-NULL texts."""
     group_cols = group_cols or []
-    src = spread(texts.filter(F.col(text_col).isNotNull())).select(
-        *group_cols, F.lower(F.col(text_col)).alias("__lt"))
-    src = src.select(*group_cols, "__lt", tokens("__lt").alias("__tok"))
-    inline_words, word_df, phrases = _resolve_keywords(keywords, keyword_col)
-    if inline_words is None and word_df is None:  # a long python list
-        word_df = src.sparkSession.createDataFrame(
-            [(w,) for w in split_keywords(keywords)[0]], "product_name string")
-    inline_words = inline_words or []
-    inline_phrases = phrases if len(phrases) <= MAX_INLINE_PHRASES else []
-    parts: list[Column] = []
-    if inline_words:
-        hits = F.filter("__tok", lambda t: t.isin(inline_words))
-        parts.append(F.transform(hits, lambda t: F.struct(t.alias("k"), F.lit(1).cast("long").alias("n"))))
-    n_tok = F.size("__tok").cast("long")
-    for p in inline_phrases:
-        parts.append(F.when(F.col("__lt").contains(p), F.array(F.struct(F.lit(p).alias("k"), n_tok.alias("n"))))
-                     .otherwise(F.array().cast(_HIT_TYPE)))
-    results: list[DataFrame] = []
-    if parts:
-        all_hits = parts[0] if len(parts) == 1 else F.concat(*parts)
-        exploded = src.select(*group_cols, F.explode(all_hits).alias("h"))
-        results.append(exploded.select(*group_cols, F.col("h.k").alias("product_name"),
-                                       F.col("h.n").alias("n")))
-    if word_df is not None:
-        results.append(_word_hits_join(src, word_df, group_cols))
-    if phrases and not inline_phrases:
-        results.append(_phrase_hits_automaton(src, phrases, group_cols))
-    if not results:
-        return _empty(texts, group_cols)
-    hits_df = results[0]
-    for r in results[1:]:
-        hits_df = hits_df.unionByName(r)
-    return (hits_df.groupBy(*group_cols, "product_name")
-            .agg(F.sum("n").cast("long").alias("mention_count"))
-            .filter(F.col("mention_count") > 0))
-
-
-def _word_hits_join(src: DataFrame, wl: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Large word list: count tokens per task first, then keep the listed ones."""
-    counts = (src.select(*group_cols, F.explode("__tok").alias("product_name"))
-              .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("n")))
-    return counts.join(wl, "product_name", "left_semi")
-
-
-def _phrase_hits_automaton(src: DataFrame, phrases: list[str], group_cols: list[str]) -> DataFrame:
-    """Large phrase list: Aho-Corasick over each lower-cased text (exact substring hits)."""
-    fields = {f.name: f.dataType.simpleString() for f in src.schema.fields}
-    schema = ", ".join([f"`{g}` {fields[g]}" for g in group_cols]
-                       + ["product_name string", "n bigint"])
-    token = f"phrases-{len(phrases)}-{hash(tuple(phrases))}"
-    try:  # one copy per executor instead of one per task
-        shipped, inline = src.sparkSession.sparkContext.broadcast(phrases), None
-    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): ship in the closure
-        shipped, inline = None, phrases
-
-    def run(batches):
-        import pandas as pd
-
-        automaton = _worker_automaton(token, shipped.value if shipped is not None else inline)
-        for pdf in batches:
-            idx, names, counts = [], [], []
-            for i, (lt, n) in enumerate(zip(pdf["__lt"], pdf["__n"])):
-                if not n:
-                    continue
-                for p in {v for _, v in automaton.iter(lt)}:
-                    idx.append(i)
-                    names.append(p)
-                    counts.append(int(n))
-            if not idx:
-                continue
-            out = pdf.iloc[idx][group_cols].reset_index(drop=True)
-            out["product_name"] = pd.Series(names, dtype="object")
-            out["n"] = pd.Series(counts, dtype="int64")
-            yield out
-
-    return src.select(*group_cols, "__lt", F.size("__tok").cast("long").alias("__n")) \
-        .mapInPandas(run, schema)
-
-
-_AUTOMATA: dict[str, object] = {}
-
-
-def _worker_automaton(token: str, phrases: list[str]):
-    a = _AUTOMATA.get(token)
-    if a is None:
-        import ahocorasick
-
-        a = ahocorasick.Automaton()
-        for p in phrases:
-            a.add_word(p, p)
-        a.make_automaton()
-        _AUTOMATA[token] = a
-    return a
-
-
-def _empty(texts: DataFrame, group_cols: list[str]) -> DataFrame:
-    return texts.select(*group_cols, F.lit(None).cast("string").alias("product_name"),
-                        F.lit(None).cast("long").alias("mention_count")).limit(0)
-
-
-def messages_with_hits(fct_messages: DataFrame, keywords: "DataFrame | list[str]",
-                       text_col: str = "message_text") -> DataFrame:
-    """Messages with at least one keyword hit under the counting rule (a filter, no shuffle)."""
-    words, word_df, phrases = _resolve_keywords(keywords, "keyword")
-    if words is None or len(phrases) > MAX_INLINE_PHRASES:
-        hits = keyword_hits(fct_messages.select("message_sk", text_col), keywords, text_col,
-                            ["message_sk"])
-        return fct_messages.join(hits.select("message_sk").distinct(), "message_sk", "left_semi")
-    lt = F.lower(F.col(text_col))
-    cond = F.lit(False)
-    if words:
-        cond = cond | F.exists(tokens(lt), lambda t: t.isin(words))
-    for p in phrases:
-        # a phrase counts once per token, so a text without tokens adds
-        # nothing; a phrase with a word character implies a token
-        has_word_char = any(ch.isalpha() or ch.isdigit() or ch == "_" for ch in p)
-        cond = cond | (lt.contains(p) if has_word_char else lt.contains(p) & (F.size(tokens(lt)) > 0))
-    return spread(fct_messages.filter(F.col(text_col).isNotNull())).filter(cond)
+    kw = dictionary(keywords, keyword_col, texts)
+    src = texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
+    words = kw.where(F.size("parts") <= 1).select("product_name")
+    hits = (src.select(*group_cols, F.explode(tokens("lt")).alias("product_name"))
+            .join(words, "product_name").select(*group_cols, "product_name", F.lit(1).cast("long").alias("n")))
+    shapes = _shapes(kw)
+    if shapes:
+        keyed = src.withColumn("text_key", F.md5("lt"))
+        pairs = _phrase_pairs(keyed.select("text_key", "lt").distinct(), kw.where(F.size("parts") > 1), shapes)
+        found = keyed.join(pairs, "text_key").where(F.contains("lt", "product_name"))
+        hits = hits.unionByName(found.select(*group_cols, "product_name", F.size(tokens("lt")).cast("long").alias("n")))
+    return (hits.groupBy(*group_cols, "product_name").agg(F.sum("n").cast("long").alias("mention_count"))
+            .where("mention_count > 0"))

@@ -1,85 +1,17 @@
-"""Lookup joins against small dimensions, broadcast only behind a size check."""
+"""Lookup joins against channel mappings.
+
+A mapping given as a dict is a literal of the plan.  One given as a
+DataFrame is joined plainly: Spark chooses the join from real sizes (AQE),
+nothing is counted beforehand and no size changes the code path.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we are willing to ship to every executor, in rows.  A
-# dimension of channels, days or classes stays far below it; above it the
-# join falls back to a shuffle join (and AQE may still convert it).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-# ... and in bytes of row text (JSON length of each row, measured by the check).
-MAX_BROADCAST_BYTES = 1 << 30
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    return F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-
-
-def _fits(n: int, b: int, max_rows: int, max_bytes: int) -> bool:
-    return n <= max_rows and b <= max_bytes
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if it holds at most ``max_rows`` rows and ``max_bytes`` of row text.
-
-    The check reads at most ``max_rows + 1`` rows in one job, so it stays
-    cheap even when the side turns out to be large; beyond either bound
-    the caller's join falls back to a shuffle join.
-    """
-    return bounded_broadcast_all([df], max_rows, max_bytes)[0]
 
-
-def bounded_broadcast_all(dfs: list[DataFrame], max_rows: int = MAX_BROADCAST_ROWS,
-                          max_bytes: int = MAX_BROADCAST_BYTES) -> list[DataFrame]:
-    """``bounded_broadcast`` for several sides, checked together in one job."""
-    if not dfs:
-        return []
-    tagged = None
-    for i, df in enumerate(dfs):
-        part = df.limit(max_rows + 1).select(F.lit(i).alias("__side"), _row_bytes(df).alias("__b"))
-        tagged = part if tagged is None else tagged.unionAll(part)
-    sizes = {r[0]: (r[1], r[2] or 0) for r in
-             tagged.groupBy("__side").agg(F.count(F.lit(1)), F.sum("__b")).collect()}
-    return [F.broadcast(df) if _fits(*sizes.get(i, (0, 0)), max_rows, max_bytes) else df
-            for i, df in enumerate(dfs)]
-
-
-def probe_join(small: DataFrame, big: DataFrame, keys: list[str], how: str = "left",
-               max_rows: int = MAX_BROADCAST_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """``small.join(big, keys, how)`` without shuffling ``big`` when ``small`` is small.
-
-    When ``small`` has at most ``max_rows`` rows (a bounded scan, no
-    shuffle), its distinct keys are broadcast and ``big`` is semi-joined
-    against them where it lies - scanned, never shuffled - and the found
-    rows (at most one set per small key, so bounded when ``big`` is unique
-    on ``keys``) are broadcast back for the real join.  Rows of ``big``
-    that match no key never reach the result of a left, inner, semi or
-    anti join, so the result is exactly the plain join's.  A larger
-    ``small`` side falls back to a shuffle join (AQE splits skewed keys).
-
-    ``bound`` is a DataFrame with at least as many rows as ``small`` (say the
-    stored table an aggregate is computed from); the size check then scans
-    it instead of computing ``small`` twice.
-    """
-    if how not in ("left", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"probe_join does not support {how!r}")
-    check = small if bound is None else bound
-    if all(k in check.columns for k in keys):
-        check = check.select(*keys)  # what is broadcast are the keys
-    if bounded_broadcast(check, max_rows) is check:  # over a bound: no broadcast
-        return small.join(big, keys, how)
-    found = big.join(F.broadcast(small.select(*keys).distinct()), keys, "left_semi")
-    if how in ("left_semi", "left_anti"):
-        found = found.select(*keys).distinct()
-    return small.join(F.broadcast(found), keys, how)
-
-
-def _map_literal(mapping: dict[str, str]) -> Column:
+def map_literal(mapping: dict[str, str]) -> Column:
     items = []
     for k, v in sorted(mapping.items()):
         items += [F.lit(k), F.lit(v)]
@@ -88,16 +20,12 @@ def _map_literal(mapping: dict[str, str]) -> Column:
 
 def map_channel_with_fallback(df: DataFrame, mapping: "DataFrame | dict[str, str]",
                               name_col: str, out_col: str = "channel_username") -> DataFrame:
-    """Add ``out_col`` = mapped username, or the channel name when unmapped.
-
-    A dict mapping becomes a literal map lookup (no join); a DataFrame
-    mapping is joined, broadcast behind a size check.
-    """
+    """Add ``out_col`` = mapped username, or the channel name when unmapped."""
     if isinstance(mapping, dict):
-        looked_up = F.try_element_at(_map_literal(mapping), F.col(name_col))
+        looked_up = F.try_element_at(map_literal(mapping), F.col(name_col))
         return df.withColumn(out_col, F.coalesce(looked_up, F.col(name_col)))
     m = mapping.select(F.col("channel").alias("__ch"), F.col("channel_username").alias("__un"))
-    joined = df.join(bounded_broadcast(m), F.col(name_col) == F.col("__ch"), "left")
+    joined = df.join(m, F.col(name_col) == F.col("__ch"), "left")
     return joined.withColumn(out_col, F.coalesce(F.col("__un"), F.col(name_col))) \
         .drop("__ch", "__un")
 
@@ -106,12 +34,11 @@ def map_channel_strict(df: DataFrame, mapping: "DataFrame | dict[str, str]", nam
                        out_col: str = "channel_username") -> tuple[DataFrame, DataFrame]:
     """Split into (mapped rows with ``out_col``, unmapped rows)."""
     if isinstance(mapping, dict):
-        looked_up = F.try_element_at(_map_literal(mapping), F.col(name_col))
+        looked_up = F.try_element_at(map_literal(mapping), F.col(name_col))
         tagged = df.withColumn(out_col, looked_up)
         return (tagged.filter(F.col(out_col).isNotNull()),
                 tagged.filter(F.col(out_col).isNull()).drop(out_col))
     m = mapping.select(F.col("channel").alias("__ch"), F.col("channel_username").alias("__un"))
-    m = bounded_broadcast(m)
     joined = df.join(m, F.col(name_col) == F.col("__ch"), "left")
     known = joined.filter(F.col("__un").isNotNull()) \
         .withColumn(out_col, F.col("__un")).drop("__ch", "__un")

@@ -7,9 +7,7 @@ A check names a table, a column and a kind:
 * ``relationships`` failures = child rows whose non-NULL key has no parent
 * ``expression``    failures = rows matching a violation predicate
 
-All not_null checks of one table share one aggregate pass.  Unique and
-relationship checks are exact and therefore shuffle on their column
-(partial aggregation first, so a hot value costs one row per task).
+Each table is read once; see ``run_checks``.
 The result has one row per check:
 ``(test_name, table_name, column_name, failures, passed)``.
 """
@@ -20,7 +18,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chanlytics.operators.lookup import probe_join
 
 
 @dataclass(frozen=True)
@@ -120,99 +117,77 @@ def all_checks() -> list[Check]:
 def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
     """One row per check with its failure count and pass flag.
 
-    Plan: row-predicate checks (not_null, expression) of a table share one
-    aggregate pass; all unique checks share one shuffle on (check, value);
-    all relationship checks share one anti join of child keys that are
-    counted per (check, key) first - a partial aggregate, so a foreign key
-    shared by a third of the fact (a big channel, a busy day) costs one
-    row per task - against the parents' distinct keys.  Keys are compared as text so checks of different types
-    share a shuffle.  The plan is one Spark SQL statement over the given
-    DataFrames, analysed once.
+    Each table is read once.  Its predicate checks (not_null, expression)
+    become counts of a single aggregate; the keys of its unique and
+    relationship checks leave the same scan as (check, key, seen here, is
+    parent) rows.  The keys of all tables are summed in one aggregate per
+    (check, key), partial in every task, so a key shared by a third of a
+    fact (a big channel, a busy day) costs one row per task.
     """
     checks = all_checks() if checks is None else checks
     for c in checks:
         if c.kind not in ("not_null", "expression", "unique", "relationships"):
             raise ValueError(f"unknown check kind {c.kind}")
-    names = sorted({c.table for c in checks} | {c.to_table for c in checks if c.to_table})
-    ref = {n: f"t{i}" for i, n in enumerate(names)}
-    ids = {id(c): i for i, c in enumerate(checks)}
-    parts: list[str] = []
-
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind in ("not_null", "expression"):
-            by_table.setdefault(c.table, []).append(c)
-    for table, cs in by_table.items():
-        aggs = ", ".join(
-            f"count(CASE WHEN {_violation(c)} THEN 1 END) AS f{ids[id(c)]}" for c in cs)
-        pairs = ", ".join(f"{ids[id(c)]}, f{ids[id(c)]}" for c in cs)
-        parts.append(f"SELECT stack({len(cs)}, {pairs}) AS (check_id, failures) "
-                     f"FROM (SELECT {aggs} FROM {{{ref[table]}}}) a")
-
-    uniq = [c for c in checks if c.kind == "unique"]
-    if uniq:
-        vals = " UNION ALL ".join(
-            f"SELECT {ids[id(c)]} AS check_id, CAST(`{c.column}` AS STRING) AS v FROM {{{ref[c.table]}}}"
-            for c in uniq)
-        parts.append(f"SELECT check_id, count(*) AS failures FROM ("
-                     f"SELECT check_id, v FROM ({vals}) u WHERE v IS NOT NULL "
-                     f"GROUP BY check_id, v HAVING count(*) > 1) d GROUP BY check_id")
-
-    rel = [c for c in checks if c.kind == "relationships"]
-    if rel:
-        child = " UNION ALL ".join(
-            f"SELECT {ids[id(c)]} AS check_id, CAST(`{c.column}` AS STRING) AS k FROM {{{ref[c.table]}}}"
-            for c in rel)
-        parent = " UNION ALL ".join(
-            f"SELECT {ids[id(c)]} AS check_id, CAST(`{c.to_column}` AS STRING) AS k "
-            f"FROM {{{ref[c.to_table]}}}" for c in rel)
-        parts.append(f"SELECT ch.check_id, sum(ch.n) AS failures FROM ("
-                     f"SELECT check_id, k, count(*) AS n FROM ({child}) c WHERE k IS NOT NULL "
-                     f"GROUP BY check_id, k) ch LEFT ANTI JOIN (SELECT DISTINCT check_id, k FROM ({parent}) pu) p "
-                     f"ON ch.check_id = p.check_id AND ch.k = p.k GROUP BY ch.check_id")
-
-    meta = ", ".join(
-        f"({ids[id(c)]}, {_lit(c.test_name)}, {_lit(c.table)}, {_lit(c.column)})" for c in checks)
-    found = " UNION ALL ".join(f"SELECT CAST(check_id AS INT) AS check_id, "
-                               f"CAST(failures AS BIGINT) AS failures FROM ({p}) x{i}"
-                               for i, p in enumerate(parts))
-    # at most one row per check: a bounded broadcast
-    sql = f"""
-SELECT m.test_name, m.table_name, m.column_name,
-       CAST(coalesce(f.failures, 0) AS BIGINT) AS failures,
-       coalesce(f.failures, 0) = 0 AS passed
-FROM (VALUES {meta}) AS m(check_id, test_name, table_name, column_name)
-LEFT JOIN (SELECT /*+ BROADCAST(r) */ * FROM ({found}) r) f ON m.check_id = f.check_id"""
-    spark = tables[names[0]].sparkSession
-    return spark.sql(sql, **{ref[n]: tables[n] for n in names})
-
-
-def _violation(c: Check) -> str:
-    return f"`{c.column}` IS NULL" if c.kind == "not_null" else f"({c.predicate})"
-
-
-def _lit(v: str | None) -> str:
-    return "CAST(NULL AS STRING)" if v is None else "'" + v.replace("'", "''") + "'"
-
-
-def checks_sql(checks: list[Check] | None = None) -> str:
-    """The same checks as one SQL UNION over tables named like ``Check.table``."""
+    number = {id(c): i for i, c in enumerate(checks)}
+    spark = next(iter(tables.values())).sparkSession
+    found: DataFrame | None = None
+    keys: DataFrame | None = None
+    for name in sorted({c.table for c in checks} | {c.to_table for c in checks if c.to_table}):
+        own = [c for c in checks if c.table == name]
+        rules = [c for c in own if c.kind in ("not_null", "expression")]
+        if rules:
+            counts = tables[name].agg(*[F.count(F.when(_violation(c), 1)).alias(f"f{number[id(c)]}") for c in rules])
+            rows = F.array(*[F.struct(F.lit(number[id(c)]).alias("id"), F.col(f"f{number[id(c)]}").alias("failures"))
+                             for c in rules])
+            part = counts.select(F.explode(rows).alias("x")).select("x.id", "x.failures")
+            found = part if found is None else found.unionAll(part)
+        roles = [(c, c.column, True) for c in own if c.kind in ("unique", "relationships")]
+        roles += [(c, c.to_column, False) for c in checks if c.kind == "relationships" and c.to_table == name]
+        if roles:
+            entries = F.array(*[F.struct(F.lit(number[id(c)]).alias("id"), F.col(col).cast("string").alias("key"),
+                                         F.lit(int(child)).cast("long").alias("n"), F.lit(not child).alias("parent"))
+                                for c, col, child in roles])
+            part = tables[name].select(F.explode(entries).alias("x")).select("x.*").where("key is not null")
+            keys = part if keys is None else keys.unionAll(part)
+    if keys is not None:
+        unique = [number[id(c)] for c in checks if c.kind == "unique"]
+        per_key = keys.groupBy("id", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+        bad = F.when(F.col("id").isin(unique), F.when(F.col("n") > 1, 1)).otherwise(F.when(~F.col("parent"), F.col("n")))
+        part = per_key.groupBy("id").agg(F.sum(bad).alias("failures"))
+        found = part if found is None else found.unionAll(part)
+    listed = spark.createDataFrame(
+        [(i, c.test_name, c.table, c.column) for i, c in enumerate(checks)],
+        "id int, test_name string, table_name string, column_name string")
+    failures = F.coalesce("failures", F.lit(0)).cast("long")
+    if found is None:
+        found = listed.select("id", F.lit(0).cast("long").alias("failures"))
+    # one row for each check on either side
+    return listed.join(F.broadcast(found), "id", "left").select(
+        "test_name", "table_name", "column_name", failures.alias("failures"), (failures == 0).alias("passed"))
+
+
+def _violation(c: Check):
+    return F.col(c.column).isNull() if c.kind == "not_null" else F.expr(c.predicate)
+
+
+def checks_sql(checks: list[Check] | None = None, prefix: str = "") -> str:
+    """The same checks as one SQL UNION over tables named like ``Check.table``, with a prefix."""
     checks = all_checks() if checks is None else checks
     sel = []
     for c in checks:
         head = (f"SELECT '{c.test_name}' AS test_name, '{c.table}' AS table_name, "
                 f"'{c.column}' AS column_name, ")
         if c.kind == "not_null":
-            body = f"CAST(count(*) AS BIGINT) AS failures FROM {c.table} WHERE {c.column} IS NULL"
+            body = f"CAST(count(*) AS BIGINT) AS failures FROM {prefix}{c.table} WHERE {c.column} IS NULL"
         elif c.kind == "unique":
-            body = (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c.column} FROM {c.table} "
+            body = (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c.column} FROM {prefix}{c.table} "
                     f"WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING count(*) > 1) u")
         elif c.kind == "relationships":
-            body = (f"CAST(count(*) AS BIGINT) AS failures FROM {c.table} ch "
-                    f"LEFT JOIN (SELECT DISTINCT {c.to_column} AS k FROM {c.to_table}) p "
+            body = (f"CAST(count(*) AS BIGINT) AS failures FROM {prefix}{c.table} ch "
+                    f"LEFT JOIN (SELECT DISTINCT {c.to_column} AS k FROM {prefix}{c.to_table}) p "
                     f"ON ch.{c.column} = p.k WHERE ch.{c.column} IS NOT NULL AND p.k IS NULL")
         else:
-            body = f"CAST(count(*) AS BIGINT) AS failures FROM {c.table} WHERE {c.predicate}"
+            body = f"CAST(count(*) AS BIGINT) AS failures FROM {prefix}{c.table} WHERE {c.predicate}"
         sel.append(head + body)
     return ("SELECT test_name, table_name, column_name, failures, failures = 0 AS passed FROM (\n"
             + "\nUNION ALL\n".join(sel) + "\n) q")
@@ -247,7 +222,6 @@ def detection_health(detections: DataFrame, messages: DataFrame,
         "duplicates": detections.groupBy("detection_id").agg(F.count(F.lit(1)).alias("n"))
                                 .filter(F.col("n") > 1),
         "sample": detections.select(*sample_cols).orderBy("detection_id").limit(sample_size),
-        "orphans": probe_join(detections.select("message_id", "channel_username"),
-                              messages.select("message_id", "channel_username"),
-                              ["message_id", "channel_username"], "left_anti"),
+        "orphans": detections.select("message_id", "channel_username").join(
+            messages.select("message_id", "channel_username"), ["message_id", "channel_username"], "left_anti"),
     }

@@ -32,52 +32,24 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_MODELS: dict[tuple, M.Marts] = {}
-_MAX_MODELS = 4
-
-
-def _inputs_stamp(sf_dir: str) -> tuple:
-    import os
+def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
+    """The model over the driver tables, as plans."""
+    return M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
 
-    stamp = []
-    for name in ("documents", "embeddings"):
-        path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        try:
-            st = os.stat(path)
-            stamp.append((name, st.st_mtime_ns, st.st_size))
-        except OSError:  # not a local path: no stamp, no reuse
-            return ()
-    return tuple(stamp)
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's checkpoint folder (the shared one on a cluster)."""
+    import uuid
 
-def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
-    """The lazily built model over the driver tables, one per session and input.
+    from chanlytics.session import ensure_checkpoint_dir
 
-    Reports in one session share it (as they would share stored marts):
-    its DataFrames, the size checks and the cached dimensions are built
-    once.  The key includes the input files' modification times, so
-    changed inputs build a new model; non-local inputs are not shared.
-    """
-    stamp = _inputs_stamp(sf_dir)
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        app = None
-    key = (app, id(spark), sf_dir.rstrip("/"), stamp)
-    m = _MODELS.get(key) if stamp and app else None
-    if m is None:
-        m = M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
-        if stamp and app:
-            _MODELS[key] = m
-            while len(_MODELS) > _MAX_MODELS:  # oldest first: release its cached dimensions
-                _MODELS.pop(next(iter(_MODELS))).release()
-    return m
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 # Report arguments used by the registered queries (fixed values).
 ACTIVITY_CHANNEL = "src3"
 SEARCH_QUERY = "the"
-PARITY_KEYWORDS = ["the", "la", "der", "of the", "in the", "und", "data"]
+PARITY_KEYWORDS = ["the", "la", "der", "of the", "in the", "und", "data", "tablet", "test kit"]
 
 
 def _sql_list(words: list[str]) -> str:
@@ -126,12 +98,15 @@ def q_fct_detections(spark, sf_dir):
 
 # --- reports (R1-R5) --------------------------------------------------------
 
-def _top_products_sql(keywords: list[str], limit: int, group: bool = False) -> str:
-    """DuckDB twin of the keyword rule: words counted per token, each phrase by its own
-    aggregate (a hit adds the text's token count) - no join of texts to phrases."""
-    from chanlytics.operators.keywords import split_keywords
+def _words_and_phrases(keywords: list[str]) -> tuple[list[str], list[str]]:
+    own = list(dict.fromkeys(keywords))
+    return [k for k in own if " " not in k], [k for k in own if " " in k]
 
-    words, phrases = split_keywords(keywords)
+
+def _top_products_sql(keywords: list[str], limit: int, group: bool = False) -> str:
+    """The keyword rule in SQL: words counted per token, each phrase by its own
+    aggregate (a hit adds the text's token count)."""
+    words, phrases = _words_and_phrases(keywords)
     g = "channel_username, " if group else ""
     by = "GROUP BY channel_username" if group else ""
     msgs = (f"msgs AS (SELECT {g}lower(message_text) AS lt, "
@@ -156,9 +131,47 @@ def _top_products_sql(keywords: list[str], limit: int, group: bool = False) -> s
     return O.with_model(tail, "fct_messages", extra=[msgs, hits])
 
 
-@register("r1_top_products", _top_products_sql(PARITY_KEYWORDS, 10))
+@register("r1_top_products", _top_products_sql(PARITY_KEYWORDS, 3))
 def q_top_products(spark, sf_dir):
-    return R.top_products(model_for(spark, sf_dir).fct_messages, PARITY_KEYWORDS, limit=10)
+    return R.top_products(model_for(spark, sf_dir).fct_messages, PARITY_KEYWORDS, limit=3)
+
+
+# A keyword table taken from the texts: every word of the French ones, and the
+# first two words of every tenth text.
+_KEYWORD_TABLE = """
+kw AS (
+  SELECT DISTINCT k FROM (
+    SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS k FROM documents WHERE lang = 'fr'
+    UNION ALL
+    SELECT lower(p[1] || ' ' || p[2]) FROM (SELECT doc_id, string_split_regex(text, ' +') AS p FROM documents)
+    WHERE doc_id % 10 = 0 AND len(p) >= 2 AND p[1] <> '' AND p[2] <> ''
+      AND NOT regexp_matches(p[1] || p[2], '\\s')
+  ) t WHERE k IS NOT NULL
+)"""
+
+
+@register("a6_keyword_table", O.with_model("""
+SELECT product_name, CAST(sum(n) AS BIGINT) AS mention_count FROM (
+  SELECT k AS product_name, count(*) AS n
+  FROM (SELECT unnest(toks) AS w FROM msgs) t JOIN kw ON kw.k = t.w GROUP BY k
+  UNION ALL
+  SELECT k, sum(len(toks)) FROM msgs JOIN kw ON position(' ' IN k) > 0 AND contains(lt, k) GROUP BY k
+) h GROUP BY product_name HAVING sum(n) > 0""", "raw_messages", extra=[
+    """msgs AS (SELECT lower(message_text) AS lt, regexp_extract_all(lower(message_text), '[\\p{L}\\p{N}_]+') AS toks
+             FROM raw_messages WHERE message_text IS NOT NULL)""", _KEYWORD_TABLE.strip()]))
+def q_keyword_table(spark, sf_dir):
+    """Keyword frequency of a whole dictionary table: words and phrases."""
+    from chanlytics.functions.text import tokens
+    from chanlytics.operators.keywords import keyword_hits
+
+    docs = D.table(spark, sf_dir, "documents")
+    words = docs.where("lang = 'fr'").select(F.explode(tokens(F.lower("text"))).alias("keyword"))
+    p = F.split("text", " +")
+    first, second = F.get(p, 0), F.get(p, 1)
+    pairs = (docs.where(F.col("doc_id") % 10 == 0).where((F.size(p) >= 2) & (first != "") & (second != ""))
+             .where(~F.rlike(F.concat(first, second), F.lit(r"\s")))
+             .select(F.lower(F.concat(first, F.lit(" "), second)).alias("keyword")))
+    return keyword_hits(D.raw_messages(spark, sf_dir), words.union(pairs).distinct())
 
 
 @register("r1_top_products_default_keywords",
@@ -167,13 +180,9 @@ def q_top_products_default(spark, sf_dir):
     return R.top_products(model_for(spark, sf_dir).fct_messages, None, limit=10)
 
 
-@register("r2_channel_activity", O.with_model(f"""
-SELECT dd.full_date AS activity_date, count(fm.message_sk) AS message_count
-FROM fct_messages fm
-JOIN dim_channels dc ON fm.channel_sk = dc.channel_sk
-JOIN dim_dates dd ON fm.message_date_sk = dd.date_sk
-WHERE dc.channel_username = '{ACTIVITY_CHANNEL}'
-GROUP BY dd.full_date ORDER BY dd.full_date""", "fct_messages"))
+@register("r2_channel_activity", f"""
+SELECT DATE '2024-01-01' + CAST(day AS INTEGER) AS activity_date, n AS message_count
+FROM (SELECT doc_id % 90 AS day, count(*) AS n FROM documents WHERE source = '{ACTIVITY_CHANNEL}' GROUP BY 1)""")
 def q_channel_activity(spark, sf_dir):
     m = model_for(spark, sf_dir)
     return R.channel_activity(m.fct_messages, m.dim_channels, m.dim_dates, ACTIVITY_CHANNEL)
@@ -210,16 +219,18 @@ def q_image_detections(spark, sf_dir):
     return R.image_detections(model_for(spark, sf_dir).fct_image_detections)
 
 
-# The message of the smallest document id with a detection: the filter
-# value is derived from the tables, not fixed.
+DETECTION_MESSAGE = "4-src4"  # message 4 of channel src4
+
+
 @register("r5_image_detections_of_message", O.with_model(f"""
 SELECT {_DET_COLS} FROM fct_image_detections
-WHERE message_sk = (SELECT min(message_sk) FROM fct_image_detections)
+WHERE message_sk = md5('{DETECTION_MESSAGE}')
 ORDER BY image_detection_sk LIMIT 100""", "fct_image_detections"))
 def q_image_detections_msg(spark, sf_dir):
-    fd = model_for(spark, sf_dir).fct_image_detections
-    sk = fd.agg(F.min("message_sk")).first()[0]
-    return R.image_detections(fd, sk)
+    import hashlib
+
+    sk = hashlib.md5(DETECTION_MESSAGE.encode()).hexdigest()
+    return R.image_detections(model_for(spark, sf_dir).fct_image_detections, sk)
 
 
 # --- data quality (Q1-Q7) ---------------------------------------------------
@@ -233,9 +244,68 @@ _CHECK_ALIASES = [
 
 
 @register("q1_q5_q7_quality_suite",
-          O.with_model(Q.checks_sql(), "fct_image_detections", extra=_CHECK_ALIASES))
+          O.with_model(Q.checks_sql(), "fct_image_detections", "fct_messages", "staging", "dim_channels",
+                       "dim_dates", extra=_CHECK_ALIASES))
 def q_quality(spark, sf_dir):
-    return Q.run_checks(Q.model_tables(model_for(spark, sf_dir)))
+    return Q.run_checks(stored_tables(spark, sf_dir))
+
+
+def stored_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The model's tables, written once and read back, as the daily job has them."""
+    from chanlytics.plans.daily import Layout, build_marts, write_table
+
+    layout = Layout(scratch(spark, "model"), "")
+    raw = write_table(D.raw_messages(spark, sf_dir), layout.table("raw_messages"))
+    det = write_table(D.raw_detections(spark, sf_dir), layout.table("raw_image_detections"))
+    return build_marts(spark, raw, det, layout)
+
+
+# Defects for every check: copies of some rows of each table, one with each
+# declared column empty, one repeated, one with a key that no parent has.
+_SOME = {
+    "raw_messages": "message_id % 50 = 7", "raw_image_detections": "message_id % 50 = 7",
+    "stg_messages": "message_id % 50 = 7", "dim_channels": "channel_username = 'src3'",
+    "dim_dates": "day_of_month = 1", "fct_messages": "message_id % 50 = 7",
+    "fct_image_detections": "image_path LIKE '%7.jpg'",
+}
+_WRONG = {  # table -> (column, wrong value as SQL) of the predicate checks
+    "stg_messages": [("photo_path", "CASE WHEN has_photo THEN NULL ELSE 'x' END")],
+    "fct_image_detections": [("confidence_score", "CAST(1.5 AS DECIMAL(5, 4))")],
+}
+
+
+def _defects(table: str) -> list[tuple[str, str]]:
+    kinds = Q.DECLARED_TESTS[table]
+    out = [(c, "NULL") for c in kinds.get("not_null", [])]
+    out += [(c, c) for c in kinds.get("unique", [])[:1]]
+    for column, to, _ in kinds.get("relationships", []):
+        out.append((column, "-1" if to == "dim_dates" else "'orphan'"))
+    return out + _WRONG.get(table, [])
+
+
+def _defects_sql() -> str:
+    ctes = []
+    for t in Q.DECLARED_TESTS:
+        source = {"stg_messages": "staging", "raw_image_detections": "raw_detections"}.get(t, t)
+        arms = [f"SELECT * FROM {source}"]
+        arms += [f"SELECT * REPLACE ({v} AS {c}) FROM {source} WHERE {_SOME[t]}" for c, v in _defects(t)]
+        ctes.append(f"bad_{t} AS ({' UNION ALL '.join(arms)})")
+    return O.with_model(Q.checks_sql(prefix="bad_"), "fct_image_detections", "fct_messages", "staging", "dim_channels",
+                        "dim_dates", extra=ctes)
+
+
+@register("q1_q7_quality_suite_defects", _defects_sql())
+def q_quality_defects(spark, sf_dir):
+    """The 48 checks over tables in which every one of them fails."""
+    out = {}
+    for name, df in stored_tables(spark, sf_dir).items():
+        kinds = {f.name: f.dataType for f in df.schema.fields}
+        some, bad = df.where(_SOME[name]), df
+        for column, value in _defects(name):
+            wrong = F.expr(value).cast(kinds[column])
+            bad = bad.unionAll(some.select(*[wrong.alias(c) if c == column else F.col(c) for c in df.columns]))
+        out[name] = bad
+    return Q.run_checks(out)
 
 
 def _health(spark, sf_dir, part):
@@ -243,37 +313,42 @@ def _health(spark, sf_dir, part):
     return Q.detection_health(m.raw_detections, m.raw_messages)[part]
 
 
-@register("q6_detections_total", O.with_model(
-    "SELECT count(*) AS total_detections FROM raw_detections", "raw_detections"))
+_USER_OF = "CASE source WHEN 'src1' THEN '@source_one' ELSE source END"
+
+
+@register("q6_detections_total", "SELECT count(vec_id) AS total_detections FROM embeddings")
 def q_health_total(spark, sf_dir):
     return _health(spark, sf_dir, "total")
 
 
-@register("q6_detections_by_channel", O.with_model(
-    "SELECT channel_username, count(*) AS detections FROM raw_detections GROUP BY channel_username",
-    "raw_detections"))
+@register("q6_detections_by_channel", f"""
+SELECT coalesce({_USER_OF}, 'src0') AS channel_username, count(*) AS detections
+FROM embeddings LEFT JOIN documents ON doc_id = vec_id GROUP BY 1""")
 def q_health_by_channel(spark, sf_dir):
     return _health(spark, sf_dir, "by_channel")
 
 
-@register("q6_duplicate_detection_ids", O.with_model(
-    "SELECT detection_id, count(*) AS n FROM raw_detections GROUP BY detection_id HAVING count(*) > 1",
-    "raw_detections"))
+@register("q6_duplicate_detection_ids", """
+SELECT coalesce(source, 'src0') || '_' || vec_id || '.jpg_class' || label || '_0' AS detection_id, CAST(2 AS BIGINT) AS n
+FROM embeddings LEFT JOIN documents ON doc_id = vec_id WHERE vec_id % 20 = 3""")
 def q_health_dups(spark, sf_dir):
-    return _health(spark, sf_dir, "duplicates")
+    """Every twentieth detection is stored twice."""
+    det = D.raw_detections(spark, sf_dir)
+    again = det.where(F.col("message_id") % 20 == 3)
+    return Q.detection_health(det.unionAll(again), D.raw_messages(spark, sf_dir))["duplicates"]
 
 
-@register("q6_detection_sample", O.with_model(
-    "SELECT detection_id, message_id, channel_username, image_path, detected_object_class, "
-    "confidence_score FROM raw_detections ORDER BY detection_id LIMIT 5", "raw_detections"))
+@register("q6_detection_sample", O.with_model("""
+SELECT detection_id, message_id, channel_username, image_path, detected_object_class, confidence_score
+FROM (SELECT *, rank() OVER (ORDER BY detection_id) AS place FROM raw_detections) WHERE place <= 5""", "raw_detections"))
 def q_health_sample(spark, sf_dir):
     return _health(spark, sf_dir, "sample")
 
 
-@register("q6_orphan_detections", O.with_model(
-    "SELECT d.message_id, d.channel_username FROM raw_detections d "
-    "LEFT JOIN raw_messages m ON d.message_id = m.message_id AND d.channel_username = m.channel_username "
-    "WHERE m.message_id IS NULL", "raw_detections", "raw_messages"))
+# those without a document, and those of the channel that the mapping renames
+@register("q6_orphan_detections", """
+SELECT vec_id AS message_id, coalesce(source, 'src0') AS channel_username
+FROM embeddings LEFT JOIN documents ON doc_id = vec_id WHERE doc_id IS NULL OR source = 'src2'""")
 def q_health_orphans(spark, sf_dir):
     return _health(spark, sf_dir, "orphans")
 
@@ -330,7 +405,7 @@ GROUP BY source_file""")
 def q_load_accounting(spark, sf_dir):
     """A day's exports loaded into a table that already holds the English documents."""
     ex = D.export_rows(spark, sf_dir)
-    raw = I.to_raw_messages(ex, F.col("scrape_date"))
+    raw = I.to_raw_messages(ex, F.col("scrape_date"), D.CHANNEL_MAP)
     stored = D.raw_messages(spark, sf_dir).join(
         D.table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
         .select(F.col("doc_id").alias("message_id")), "message_id", "left_semi")
@@ -376,20 +451,29 @@ SELECT message_id, channel, CAST(posted_at AS DATE) AS date, coalesce(text, '')
        coalesce(media_type = 'photo', false) AS has_photo,
        CASE WHEN channel IN ({', '.join("'" + c + "'" for c in _PHOTO)}) AND coalesce(media_type = 'photo', false)
             THEN 'data/images/' || channel || '_' || CAST(message_id AS VARCHAR) || '.jpg' END AS photo_path
-FROM latest WHERE rn <= {_model.EXPORT_LIMIT_PER_CHANNEL}""")
+FROM latest WHERE rn <= 20""")
 def q_normalise_export(spark, sf_dir):
     from chanlytics.operators.export import normalise_export
 
-    export, _ = normalise_export(D.fetched_messages(spark, sf_dir), _TARGETS, _PHOTO)
-    return export
+    return normalise_export(D.fetched_messages(spark, sf_dir), _TARGETS, _PHOTO, limit=20)[0]
+
+
+@register("f10_rejected_channels", f"""
+SELECT doc_id AS message_id, '@' || source AS channel_username FROM documents
+WHERE '@' || source NOT IN ({', '.join("'" + k + "'" for k in sorted(_TARGETS))})""")
+def q_rejected_channels(spark, sf_dir):
+    """The messages of channels that are not in the exporter's list."""
+    from chanlytics.operators.export import normalise_export
+
+    rejects = normalise_export(D.fetched_messages(spark, sf_dir), _TARGETS, _PHOTO)[1]
+    return rejects.select("message_id", "channel_username")
 
 
 # --- business questions (B1-B6) ---------------------------------------------
 
-@register("b1_daily_volume", O.with_model("""
-SELECT dd.full_date AS activity_date, count(fm.message_sk) AS message_count
-FROM fct_messages fm JOIN dim_dates dd ON fm.message_date_sk = dd.date_sk
-GROUP BY dd.full_date ORDER BY dd.full_date""", "fct_messages"))
+@register("b1_daily_volume", """
+SELECT DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) AS activity_date, count(*) AS message_count
+FROM documents GROUP BY doc_id % 90""")
 def q_daily_volume(spark, sf_dir):
     m = model_for(spark, sf_dir)
     return R.daily_volume(m.fct_messages, m.dim_dates)
@@ -400,7 +484,7 @@ SELECT dc.channel_username, CAST(count(*) AS BIGINT) AS message_count,
        CAST(sum(CASE WHEN fm.has_photo THEN 1 ELSE 0 END) AS BIGINT) AS photo_count,
        CAST(floor(sum(CASE WHEN fm.has_photo THEN 1 ELSE 0 END) * 1000 / count(*)) AS BIGINT) AS photo_per_mille
 FROM fct_messages fm LEFT JOIN dim_channels dc ON fm.channel_sk = dc.channel_sk
-GROUP BY fm.channel_sk, dc.channel_username""", "fct_messages"))
+GROUP BY fm.channel_sk, dc.channel_username""", "fct_messages", "dim_channels"))
 def q_visual_share(spark, sf_dir):
     m = model_for(spark, sf_dir)
     return R.visual_share(m.fct_messages, m.dim_channels)
@@ -410,7 +494,7 @@ def q_visual_share(spark, sf_dir):
 SELECT fm.channel_username, fd.detected_object_class, CAST(sum(fd.detection_count) AS BIGINT) AS detection_count
 FROM fct_image_detections fd JOIN fct_messages fm ON fd.message_sk = fm.message_sk
 WHERE fd.message_sk IS NOT NULL
-GROUP BY fm.channel_username, fd.detected_object_class""", "fct_image_detections"))
+GROUP BY fm.channel_username, fd.detected_object_class""", "fct_image_detections", "fct_messages"))
 def q_object_mix(spark, sf_dir):
     m = model_for(spark, sf_dir)
     return R.object_mix(m.fct_image_detections, m.fct_messages)
@@ -422,9 +506,7 @@ def q_product_by_channel(spark, sf_dir):
 
 
 def _hit_filter_sql(keywords: list[str]) -> str:
-    from chanlytics.operators.keywords import split_keywords
-
-    words, phrases = split_keywords(keywords)
+    words, phrases = _words_and_phrases(keywords)
     toks = "regexp_extract_all(lower(message_text), '[\\p{L}\\p{N}_]+')"
     conds = []
     if words:
@@ -440,28 +522,38 @@ SELECT CAST(date_trunc('week', dd.full_date) AS DATE) AS week_start,
        CAST(count(*) AS BIGINT) AS message_count
 FROM fct_messages fm JOIN dim_dates dd ON fm.message_date_sk = dd.date_sk
 WHERE {_hit_filter_sql(PARITY_KEYWORDS)}
-GROUP BY 1 ORDER BY 1""", "fct_messages"))
+GROUP BY 1 ORDER BY 1""", "fct_messages", "dim_dates"))
 def q_weekly_keyword_volume(spark, sf_dir):
     m = model_for(spark, sf_dir)
     return R.weekly_keyword_volume(m.fct_messages, m.dim_dates, PARITY_KEYWORDS)
 
 
 def _price_sql(keywords: list[str]) -> str:
-    arms = []
-    for kw in dict.fromkeys(keywords):
-        pat = R.price_pattern(kw).replace("'", "''")
-        arms.append(f"SELECT channel_username, '{kw}' AS product_name, "
-                    f"unnest(regexp_extract_all(lower(message_text), '{pat}', 1)) AS amount "
-                    f"FROM fct_messages WHERE message_text IS NOT NULL")
+    """Word by word: a keyword at place i, the first amount among the next four words."""
+    kws = ", ".join(
+        "('" + k + "', [" + ", ".join("'" + x + "'" for x in k.split()) + "])" for k in dict.fromkeys(keywords))
     return O.with_model(f"""
-SELECT channel_username, product_name, count(*) AS n_prices,
-       min(price) AS min_price,
-       percentile_disc(0.5) WITHIN GROUP (ORDER BY price) AS median_price,
-       max(price) AS max_price
-FROM (SELECT channel_username, product_name,
-             TRY_CAST(replace(amount, ',', '.') AS DECIMAL(18,2)) AS price
-      FROM ({' UNION ALL '.join(arms)}) a) p
-GROUP BY channel_username, product_name""", "fct_messages")
+SELECT channel_username, product_name, count(*) AS n_prices, min(price) AS min_price,
+       quantile_disc(price, 0.5) AS median_price, max(price) AS max_price
+FROM (
+  SELECT channel_username, k AS product_name,
+         TRY_CAST(CASE WHEN regexp_full_match(t, '[0-9]+,[0-9]{{1,2}}') THEN replace(t, ',', '.')
+                       ELSE replace(t, ',', '') END AS DECIMAL(18, 2)) AS price
+  FROM (
+    SELECT channel_username, k, list_filter(ws[i + len(parts):i + len(parts) + 3], lambda x:
+             regexp_full_match(x, '[0-9]{{1,3}}(,[0-9]{{3}})+([.][0-9]{{1,2}})?')
+             OR regexp_full_match(x, '[0-9]+([.,][0-9]{{1,2}})?'))[1] AS t
+    FROM spoken, (VALUES {kws}) AS kw(k, parts), unnest(range(1, len(ws) + 1)) AS r(i)
+    WHERE ws[i:i + len(parts) - 1] = parts
+  ) m WHERE t IS NOT NULL
+) p WHERE price IS NOT NULL
+GROUP BY channel_username, product_name""", "fct_messages", extra=["""
+spoken AS (
+  SELECT channel_username, list_transform(
+           list_filter(string_split_regex(lower(message_text), '[ \\t\\r\\n]+'), lambda x: x <> ''),
+           lambda x: regexp_replace(x, '^[^\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+$', '', 'g')) AS ws
+  FROM fct_messages WHERE message_text IS NOT NULL
+)"""])
 
 
 @register("b6_price_variation", _price_sql(PARITY_KEYWORDS))
@@ -476,7 +568,6 @@ DETECT_MIN_CONFIDENCE = 0.2
 
 def _detector_inputs(spark, sf_dir):
     from chanlytics.operators.detect import CentroidScorer, fit_centroids
-    from chanlytics.operators.partitioning import spread
 
     img = D.image_paths(spark, sf_dir)
     cents, labels = fit_centroids(D.table(spark, sf_dir, "embeddings"))
@@ -484,8 +575,7 @@ def _detector_inputs(spark, sf_dir):
     # the loader's own channel mapping, derived from the messages
     mapping = D.raw_messages(spark, sf_dir).select(
         F.col("channel_name").alias("channel"), "channel_username").distinct()
-    images = spread(img.select(F.col("image_path").alias("path"),
-                               F.col("embedding").alias("content")), "path")
+    images = img.select(F.col("image_path").alias("path"), F.col("embedding").alias("content"))
     return images, scorer, mapping
 
 
@@ -493,7 +583,8 @@ _DETECT_SQL = f"""
 WITH image_src AS (
   SELECT v.vec_id, coalesce(d.source, 'src0') AS channel, v.label, v.embedding
   FROM embeddings v LEFT JOIN documents d ON d.doc_id = v.vec_id
-), mapping AS (SELECT DISTINCT source AS channel, source AS channel_username FROM documents),
+), mapping AS (SELECT DISTINCT source AS channel, CASE source WHEN 'src1' THEN '@source_one' WHEN 'src2' THEN '@source_two'
+                            ELSE source END AS channel_username FROM documents),
 cent_dim AS (
   SELECT label, pos, avg(CAST(x AS DOUBLE)) AS v
   FROM (SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM embeddings) e
@@ -510,12 +601,12 @@ scored AS (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, cls) - 1 AS box_idx
   FROM scored WHERE sim >= {DETECT_MIN_CONFIDENCE}
 )
-SELECT channel || '_' || CAST(vec_id AS VARCHAR) || '_class' || CAST(cls AS VARCHAR) || '_' || CAST(box_idx AS VARCHAR) AS detection_id,
+SELECT channel || '_' || CAST(vec_id AS VARCHAR) || '.jpg_class' || CAST(cls AS VARCHAR) || '_' || CAST(box_idx AS VARCHAR) AS detection_id,
        vec_id AS message_id, channel_username,
        'data/images/' || channel || '_' || CAST(vec_id AS VARCHAR) || '.jpg' AS image_path,
        'class' || CAST(cls AS VARCHAR) AS detected_object_class,
        CAST(round(sim, 4) AS DECIMAL(5, 4)) AS confidence_score,
-       TIMESTAMP '1970-01-01 00:00:00' AS detection_timestamp
+       TIMESTAMP '2024-04-01 00:00:00' AS detection_timestamp
 FROM boxes"""
 
 
@@ -525,21 +616,21 @@ def q_detect(spark, sf_dir):
     from chanlytics.operators.detect import detect_objects
 
     images, scorer, mapping = _detector_inputs(spark, sf_dir)
-    return detect_objects(images, scorer, mapping).detections
+    return detect_objects(images, scorer, D.DETECTION_TIME, mapping).detections
 
 
 @register("e2_scan_log", f"""
 WITH b AS ({_DETECT_SQL})
 SELECT 'data/images/' || coalesce(d.source, 'src0') || '_' || CAST(v.vec_id AS VARCHAR) || '.jpg' AS image_path,
        CAST((SELECT count(*) FROM b WHERE b.message_id = v.vec_id) AS INTEGER) AS n_boxes,
-       TIMESTAMP '1970-01-01 00:00:00' AS scored_at
+       TIMESTAMP '2024-04-01 00:00:00' AS scored_at
 FROM embeddings v LEFT JOIN documents d ON d.doc_id = v.vec_id""")
 def q_scan_log(spark, sf_dir):
     """One row per scored image, zero-box images included."""
     from chanlytics.operators.detect import detect_objects
 
     images, scorer, mapping = _detector_inputs(spark, sf_dir)
-    return detect_objects(images, scorer, mapping).scan_log
+    return detect_objects(images, scorer, D.DETECTION_TIME, mapping).scan_log
 
 
 @register("i4_insert_if_absent_detections", "WITH " + O.RAW_DETECTIONS.strip() + f""",
@@ -551,7 +642,7 @@ def q_insert_detections(spark, sf_dir):
     from chanlytics.operators.detect import detect_objects
 
     images, scorer, mapping = _detector_inputs(spark, sf_dir)
-    batch = detect_objects(images, scorer, mapping).detections
+    batch = detect_objects(images, scorer, D.DETECTION_TIME, mapping).detections
     stored = D.raw_detections(spark, sf_dir)
     return I.new_rows(batch, stored, _model.RAW_DETECTIONS_KEY, [F.col("detection_id")])
 
@@ -616,16 +707,166 @@ FROM documents""")
 def q_landing_roundtrip(spark, sf_dir):
     """The documents' export written by the landing writer, read back and checked.
 
-    The files go to a fresh folder under the session's checkpoint dir (the
-    shared folder on a cluster); reading uses the splittable JSON-lines
-    reader, the record checks and the whole-file rejection.
+    The files go to a fresh folder under the session's checkpoint folder;
+    reading uses the splittable JSON-lines reader, the record checks and the
+    whole-export rejection.
     """
-    import uuid
-
-    from chanlytics.session import ensure_checkpoint_dir
     from chanlytics.sources.exports import write_landing
 
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/landing-{uuid.uuid4().hex}"
+    base = scratch(spark, "landing")
     write_landing(D.export_rows(spark, sf_dir), base)
     typed, _rejected = I.validate_landing_rows(I.read_landing_day(spark, base))
-    return typed.drop("source_file")
+    return typed.drop("source_file", "source_pos")
+
+
+# --- the exporter's own files: one JSON array a channel and day (S1, G2, S3, I6) -
+
+# Each file has a number from its date and channel; some numbers get a defect.
+_FILE_NUMBER = ("(CAST(substr(source_file, 9, 2) AS INTEGER) + "
+                "CAST(regexp_extract(source_file, 'src([0-9]+)', 1) AS INTEGER)) % 20")
+_REASONS = {0: "unparsable", 1: "unparsable", 2: "missing_key", 3: "value_too_long", 4: "null_channel", 6: "bad_date",
+            7: "bad_message_id", 8: "bad_number", 9: "bad_boolean", 10: "value_too_long"}
+_LONG_NAME = "O'" + "x" * 300
+
+
+def _array_files(spark, sf_dir):
+    from chanlytics.sources.exports import array_files
+
+    files = array_files(D.export_rows(spark, sf_dir)).withColumn("k", F.expr(_FILE_NUMBER))
+    c = F.col("content")
+    made = {0: F.substring(c, F.lit(1), F.length(c) - 1), 1: F.concat(c, F.lit(" trailing")),
+            2: F.regexp_replace(c, '"views":', '"view":'), 3: F.regexp_replace(c, '"channel":"', '"channel":"' + "x" * 256),
+            4: F.regexp_replace(c, '"channel":"[^"]*"', '"channel":null'), 5: F.lit("[]"),
+            6: F.regexp_replace(c, '"date":"2024', '"date":"nope'),
+            7: F.regexp_replace(c, '"message_id":', '"message_id":"a",  "old":'),
+            8: F.regexp_replace(c, '"views":', '"views":1.5e99, "old":'),
+            9: F.regexp_replace(c, '"has_photo":', '"has_photo":"maybe", "old":'),
+            10: F.regexp_replace(c, '"channel":"[^"]*"', '"channel":"long"')}
+    out = c
+    for k, v in made.items():
+        out = F.when(F.col("k") == k, v).otherwise(out)
+    return files.select("source_file", out.alias("content"))
+
+
+def _validated(spark, sf_dir):
+    from chanlytics.sources.exports import parse_export_files
+
+    mapping = D.CHANNEL_MAP | {"long": _LONG_NAME, "it's": "O'Neil"}
+    return I.validate_export_files(parse_export_files(_array_files(spark, sf_dir)), mapping)
+
+
+_GOOD_EXPORT = f"""
+export_rows AS (
+  SELECT doc_id, source, text, n_chars, DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) AS date,
+         CAST(DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) + CAST(doc_id % 5 AS INTEGER) AS VARCHAR)
+           || '/' || source || '.json' AS source_file
+  FROM documents
+), numbered AS (SELECT *, {_FILE_NUMBER} AS k FROM export_rows)"""
+
+
+@register("s1_g2_array_scan", f"""
+WITH {_GOOD_EXPORT.strip()}
+SELECT doc_id AS message_id, source AS channel, date, text, CAST(n_chars % 500 AS INTEGER) AS views,
+       CAST(doc_id % 7 AS INTEGER) AS forwards, (doc_id % 3 = 0) AS has_photo,
+       CASE WHEN doc_id % 6 = 0
+            THEN 'data/images/' || source || '_' || CAST(doc_id AS VARCHAR) || '.jpg' END AS photo_path,
+       source_file, row_number() OVER (PARTITION BY source_file ORDER BY doc_id) - 1 AS source_pos
+FROM numbered WHERE k NOT IN ({', '.join(map(str, [*_REASONS, 5]))})""")
+def q_array_scan(spark, sf_dir):
+    """The records of the accepted array files; whole files with a defect are left out."""
+    return I.export_records(_validated(spark, sf_dir))
+
+
+@register("i6_rejected_files", f"""
+WITH {_GOOD_EXPORT.strip()}
+SELECT source_file, CASE WHEN k > 1 THEN CAST(count(*) AS INTEGER) END AS n_records,
+       CASE k {' '.join(f"WHEN {k} THEN '{v}'" for k, v in _REASONS.items())} END AS reason
+FROM numbered WHERE k IN ({', '.join(map(str, _REASONS))}) GROUP BY source_file, k""")
+def q_rejected_files(spark, sf_dir):
+    """The rejected files, each with its reason."""
+    return _validated(spark, sf_dir).where("reason is not null").select(
+        "source_file", F.when(F.col("reason") != "unparsable", F.col("n_records")).alias("n_records"), "reason")
+
+
+@register("s3_i5_accounting_with_empty_files", f"""
+WITH {_GOOD_EXPORT.strip()}
+SELECT source_file, CASE WHEN k = 5 THEN 0 ELSE count(*) END AS recorded, CAST(0 AS BIGINT) AS skipped
+FROM numbered WHERE k NOT IN ({', '.join(map(str, _REASONS))}) GROUP BY source_file, k""")
+def q_empty_files(spark, sf_dir):
+    """Records loaded from each accepted file; empty files count with none."""
+    ok = _validated(spark, sf_dir).where("reason is null")
+    raw = I.to_raw_messages(I.export_records(ok), F.to_date(F.substring("source_file", 1, 10)))
+    none = spark.createDataFrame([], "message_id long, channel_username string")
+    new = I.new_rows(raw, none, _model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
+    return I.load_accounting(raw, new, files=ok.select("source_file"))
+
+
+# --- the lines layout: names like numbers, repeated records -----------------------
+
+@register("i3_lines_first_write_wins", """
+SELECT CAST(doc_id % 40 AS BIGINT) AS message_id, lpad(CAST(doc_id % 3 AS VARCHAR), 3, '0') AS channel_name,
+       arg_min(text, doc_id) AS message_text
+FROM documents GROUP BY 1, 2""")
+def q_lines_first(spark, sf_dir):
+    """Channels named 000 to 002; of a message's records the first written is stored."""
+    import datetime as dt
+
+    from chanlytics.sources.exports import write_landing
+
+    base, day = scratch(spark, "landing"), dt.date(2024, 4, 10)
+    rows = D.export_rows(spark, sf_dir).select(
+        (F.col("message_id") % 40).alias("message_id"),
+        F.lpad((F.col("message_id") % 3).cast("string"), 3, "0").alias("channel"),
+        "date", "text", "views", "forwards", "has_photo", "photo_path", "source_pos", F.lit(day).alias("scrape_date"))
+    write_landing(rows, base)
+    I.load_landing_day(spark, base, day, base + "-raw")
+    return spark.read.parquet(base + "-raw").select("message_id", "channel_name", "message_text")
+
+
+# --- the jobs themselves (D1, I2, I8, T1) ------------------------------------------
+
+_DAY = "2024-04-10"
+_JOB_ROWS = f"""
+SELECT md5(doc_id || '-' || username) AS message_sk, doc_id AS message_id, username AS channel_username,
+       CAST(strftime(DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER), '%Y%m%d') AS INTEGER) AS message_date_sk,
+       CAST(strftime(DATE '{_DAY}', '%Y%m%d') AS INTEGER) AS scrape_date_sk, text AS message_text
+FROM (SELECT *, {O._MAP_CASE} AS username FROM documents) d"""
+
+
+def _landed(spark, sf_dir):
+    import datetime as dt
+
+    from chanlytics.sources.exports import write_landing
+
+    base, day = scratch(spark, "job"), dt.date.fromisoformat(_DAY)
+    write_landing(D.export_rows(spark, sf_dir).withColumn("scrape_date", F.lit(day)), base + "/landing")
+    return base, day
+
+
+@register("d1_daily_run", _JOB_ROWS)
+def q_daily_run(spark, sf_dir):
+    """The daily job over one landed day, its message fact read by name."""
+    from chanlytics.plans.daily import Layout, create_tables, run_daily
+
+    base, day = _landed(spark, sf_dir)
+    layout = Layout(base + "/warehouse", base + "/landing", landing_format="lines")
+    run_daily(spark, layout, day, mapping=D.CHANNEL_MAP)
+    database = "run_" + base.rsplit("-", 1)[-1][:12]
+    create_tables(spark, layout, database)
+    create_tables(spark, layout, database)  # a second call finds them
+    return spark.table(f"{database}.fct_messages").select(
+        "message_sk", "message_id", "channel_username", "message_date_sk", "scrape_date_sk", "message_text")
+
+
+@register("t1_incremental_ingest", f"""
+SELECT doc_id AS message_id, {O._MAP_CASE} AS channel_username, DATE '{_DAY}' AS scrape_date, text AS message_text
+FROM documents""")
+def q_incremental_ingest(spark, sf_dir):
+    """The landed files as a stream; a second start finds nothing new."""
+    from chanlytics.streaming import start_landing_ingest
+
+    base, _ = _landed(spark, sf_dir)
+    for _ in range(2):
+        start_landing_ingest(spark, base + "/landing", base + "/raw", base + "/state",
+                             mapping=D.CHANNEL_MAP).awaitTermination()
+    return spark.read.parquet(base + "/raw").select("message_id", "channel_username", "scrape_date", "message_text")

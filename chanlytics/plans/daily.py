@@ -41,6 +41,7 @@ class RunResult:
     rejected_files: DataFrame
     checks: DataFrame
     tables: dict[str, str] = field(default_factory=dict)
+    reports: dict[str, str] = field(default_factory=dict)
 
 
 def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
@@ -90,17 +91,50 @@ def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=Non
     det_path = layout.table("raw_image_detections")
     loader = I.load_landing_day if layout.landing_format == "lines" else I.load_exports
     accounting, rejected = loader(spark, layout.landing, run_date, raw_path,
-                                  layout.table("quarantine_files"), mapping)
-    accounting = write_table(accounting, layout.table(f"load_accounting/run_date={run_date}"))
+                                  layout.table("quarantine_files"), mapping,
+                                  layout.table("load_accounting"))
     if scorer is not None and layout.images:
         from chanlytics.operators.detect import read_images, run_detection
 
         run_detection(spark, read_images(spark, layout.images), scorer, det_path,
-                      layout.table("image_scan_log"), mapping,
-                      dt.datetime.combine(run_date, dt.time()))
+                      dt.datetime.combine(run_date, dt.time()), layout.table("image_scan_log"),
+                      mapping)
     raw_messages = I.read_table(spark, raw_path, model.RAW_MESSAGES_SCHEMA)
     raw_detections = I.read_table(spark, det_path, model.RAW_DETECTIONS_SCHEMA)
     tables = build_marts(spark, raw_messages, raw_detections, layout)
     checks = write_table(Q.run_checks(tables), layout.table(f"test_results/run_date={run_date}"))
     return RunResult(accounting, rejected, checks,
-                     {k: layout.table(k) for k in tables if not k.startswith("stg")})
+                     {k: layout.table(k) for k in tables if not k.startswith("stg")},
+                     write_reports(tables, layout))
+
+
+def write_reports(tables: dict[str, DataFrame], layout: Layout) -> dict[str, str]:
+    """The reports without arguments, stored as the last step of a run."""
+    from chanlytics.plans import reports as R
+
+    fm, dc, dd = tables["fct_messages"], tables["dim_channels"], tables["dim_dates"]
+    made = {
+        "top_products": R.top_products(fm),
+        "list_channels": R.list_channels(dc),
+        "daily_volume": R.daily_volume(fm, dd),
+        "visual_share": R.visual_share(fm, dc),
+        "object_mix": R.object_mix(tables["fct_image_detections"], fm),
+    }
+    paths = {name: layout.table(f"reports/{name}") for name in made}
+    for name, df in made.items():
+        df.write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
+def create_tables(spark: SparkSession, layout: Layout, database: str = "marts") -> None:
+    """The stored tables under names, for SQL: CREATE TABLE IF NOT EXISTS over their folders."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{layout.table('_database')}'")
+    stored = {"raw_messages": model.RAW_MESSAGES_SCHEMA, "raw_image_detections": model.RAW_DETECTIONS_SCHEMA}
+    for name in ("raw_messages", "raw_image_detections", "dim_channels", "dim_dates", "fct_messages",
+                 "fct_image_detections"):
+        path = layout.table(name)
+        if name not in stored and not I.path_exists(spark, path):
+            continue
+        schema = stored.get(name) or spark.read.parquet(path).schema
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet LOCATION '{path}'")

@@ -9,7 +9,6 @@ from chanlytics import model
 from chanlytics.functions.dates import date_attributes
 from chanlytics.functions.keys import date_key, surrogate_key
 from chanlytics.functions.text import contains_ci
-from chanlytics.operators.lookup import bounded_broadcast_all, probe_join
 
 DIM_DATES_COLUMNS = [
     "date_sk", "full_date", "year", "month", "month_name", "day_of_month",
@@ -23,12 +22,15 @@ def build_dim_channels(staging: DataFrame) -> DataFrame:
 
     Latest = greatest scrape_date with NULL ranked first (the reference's
     ``ORDER BY scrape_date DESC``), ties broken by the greatest message_id,
-    which is unique inside a username.  Written as a ``max_by`` aggregate:
-    it is partial per task before the shuffle, so a channel holding a
-    third of all messages costs one row per task.
+    which is unique inside a username.  The messages meet a hash aggregate
+    on numbers first (the greatest id for each name and date), so nothing is
+    sorted and a channel holding a third of all messages costs a row per
+    date and task; the pick by name works on that small result.
     """
+    per_day = staging.groupBy("channel_username", "channel_name", "scrape_date").agg(
+        F.max("message_id").alias("message_id"))
     order = F.struct(F.col("scrape_date").isNull(), F.col("scrape_date"), F.col("message_id"))
-    latest = staging.groupBy("channel_username").agg(
+    latest = per_day.groupBy("channel_username").agg(
         F.max_by("channel_name", order).alias("channel_name"))
     return latest.select(
         surrogate_key("channel_username").alias("channel_sk"),
@@ -72,12 +74,11 @@ def build_fct_messages(staging: DataFrame, dim_channels: DataFrame,
                        dim_dates: DataFrame) -> DataFrame:
     """Message fact with keys to both dimensions (M4).
 
-    Both dimensions are small (channels, days) and joined by broadcast
-    behind a row-count check; the fact is never shuffled.
+    The calendar has one row a day, a fixed bound whatever the data, and is
+    broadcast; channels join as Spark sees fit from their size.
     """
-    dc, dd = bounded_broadcast_all([
-        dim_channels.select("channel_username", "channel_sk"),
-        dim_dates.select(F.col("full_date").alias("__d"), F.col("date_sk").alias("message_date_sk"))])
+    dc = dim_channels.select("channel_username", "channel_sk")
+    dd = F.broadcast(dim_dates.select(F.col("full_date").alias("__d"), F.col("date_sk").alias("message_date_sk")))
     joined = (staging.join(dc, "channel_username", "left")
               .join(dd, F.col("message_date") == F.col("__d"), "left"))
     flags = [contains_ci("message_text", needle).alias(name)
@@ -95,14 +96,12 @@ def build_fct_messages(staging: DataFrame, dim_channels: DataFrame,
 def build_fct_image_detections(raw_detections: DataFrame, fct_messages: DataFrame) -> DataFrame:
     """Detection fact: raw detections ⟕ message fact on (message_id, channel_username) (M5).
 
-    The one join of two fact-sized inputs.  Detections are normally far
-    fewer than messages, so ``probe_join`` probes the message fact with
-    the detections' broadcast keys in place (no shuffle of the messages);
-    beyond the size bound both sides shuffle on the composite key, which
-    is high-cardinality through message_id, with AQE splitting skew.
+    The one join of two fact-sized inputs: both shuffle on the composite
+    key, high-cardinality through message_id (of the messages, three
+    columns), unless Spark finds one side small enough to broadcast.
     """
     fm = fct_messages.select("message_id", "channel_username", "message_sk")
-    joined = probe_join(raw_detections, fm, ["message_id", "channel_username"], "left")
+    joined = raw_detections.join(fm, ["message_id", "channel_username"], "left")
     return joined.select(
         surrogate_key("detection_id", "detected_object_class").alias("image_detection_sk"),
         "message_sk", "detected_object_class", "confidence_score", "image_path",
@@ -112,13 +111,11 @@ def build_fct_image_detections(raw_detections: DataFrame, fct_messages: DataFram
 
 
 class Marts:
-    """The staged model, built lazily from a raw messages/detections pair.
+    """The staged model as plans over a raw messages/detections pair.
 
     Used where the marts are not stored (ad-hoc runs, the registered
     queries); the daily job stores every mart as a table instead
-    (``plans.daily``).  The two dimensions are cached: they are small,
-    the size check before their broadcast fills the cache, and the fact
-    build then reads it instead of computing them again.
+    (``plans.daily``).  Nothing is cached or kept between calls.
     """
 
     def __init__(self, raw_messages: DataFrame, raw_detections=None):
@@ -130,12 +127,6 @@ class Marts:
         self.staging = stage_messages(raw_messages)
         self._dc = self._dd = self._fm = self._fd = None
 
-    def release(self) -> None:
-        """Drop the cached dimensions."""
-        for df in (self._dc, self._dd):
-            if df is not None:
-                df.unpersist()
-
     @property
     def raw_detections(self) -> DataFrame | None:
         if callable(self._raw_det):
@@ -145,13 +136,13 @@ class Marts:
     @property
     def dim_channels(self) -> DataFrame:
         if self._dc is None:
-            self._dc = build_dim_channels(self.staging).cache()
+            self._dc = build_dim_channels(self.staging)
         return self._dc
 
     @property
     def dim_dates(self) -> DataFrame:
         if self._dd is None:
-            self._dd = build_dim_dates(self.staging).cache()
+            self._dd = build_dim_dates(self.staging)
         return self._dd
 
     @property

@@ -8,14 +8,13 @@ deterministic; the ordered limit is planned as ``TakeOrderedAndProject``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.keys import surrogate_key
 from chanlytics.functions.text import like_ci
-from chanlytics.operators.keywords import keyword_hits
-from chanlytics.operators.partitioning import spread
+from chanlytics.operators.keywords import dictionary, keyword_hits
 
 
 def top_products(fct_messages: DataFrame, keywords: "DataFrame | list[str] | None" = None,
@@ -120,11 +119,11 @@ def weekly_keyword_volume(fct_messages: DataFrame, dim_dates: DataFrame,
     Weeks start on Monday (``date_trunc('week')``); grouping by (year,
     week_of_year) would split ISO weeks at a year end.
     """
-    from chanlytics.operators.keywords import messages_with_hits
-
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
-    hits = messages_with_hits(fct_messages, keywords)
-    per_key = hits.groupBy("message_date_sk").agg(F.count("message_sk").alias("n"))
+    hits = keyword_hits(fct_messages.select("message_sk", "message_date_sk", "message_text"), keywords,
+                        group_cols=["message_sk", "message_date_sk"])
+    per_key = (hits.select("message_sk", "message_date_sk").distinct()
+               .groupBy("message_date_sk").agg(F.count("message_sk").alias("n")))
     dd = dim_dates.select("date_sk", "full_date")
     week = F.to_date(F.date_trunc("week", F.col("full_date")))
     return (per_key.join(dd, F.col("message_date_sk") == F.col("date_sk"))
@@ -145,25 +144,17 @@ def visual_share(fct_messages: DataFrame, dim_channels: DataFrame) -> DataFrame:
                     .cast("long").alias("photo_per_mille")))
 
 
-def object_mix(fct_image_detections: DataFrame, fct_messages: DataFrame,
-               probe: bool = False) -> DataFrame:
+def object_mix(fct_image_detections: DataFrame, fct_messages: DataFrame) -> DataFrame:
     """Detections per channel and object class.
 
     Detections are pre-aggregated per (message_sk, class) before they meet
-    the message fact, so the join carries one row per message and class.
-    With ``probe=True`` (for a stored detection table) the message fact is
-    probed in place instead of shuffled; the size check scans the detection
-    table, which bounds the aggregate, so nothing is computed twice.
+    the message fact, so the join carries one row per message and class,
+    and of the message fact its two keys.
     """
-    from chanlytics.operators.lookup import probe_join
-
     per_msg = (fct_image_detections.filter(F.col("message_sk").isNotNull())
                .groupBy("message_sk", "detected_object_class")
                .agg(F.sum("detection_count").cast("long").alias("n")))
-    fm = fct_messages.select("message_sk", "channel_username")
-    joined = (probe_join(per_msg, fm, ["message_sk"], "inner", bound=fct_image_detections)
-              if probe else per_msg.join(fm, "message_sk"))
-    return (joined
+    return (per_msg.join(fct_messages.select("message_sk", "channel_username"), "message_sk")
             .groupBy("channel_username", "detected_object_class")
             .agg(F.sum("n").alias("detection_count")))
 
@@ -176,48 +167,62 @@ def product_by_channel(fct_messages: DataFrame,
                         group_cols=["channel_username"])
 
 
-# Fixed values of B6.  A price is the first amount (1-12 digits, optional
-# 1-2 decimals after '.' or ',') that follows a keyword mention within at
-# most three words.  A mention starts at a non-word character or the text
-# start and ends at whitespace.  Written to mean the same in Java regex
-# and RE2 (no look-behind, explicit whitespace class).
-_WS = "[ \\t\\r\\n]"
-PRICE_AMOUNT = r"(\d{1,12}(?:[.,]\d{1,2})?)"
-MENTION_START = r"(?:^|[^\p{L}\p{N}_])"
-
+# Fixed values of B6.  A text is read as blank-separated words; a word counts
+# without the characters at its ends that are no letters, digits or
+# underscores.  A mention is the keyword's words in a row; its price is the
+# first of the next four words that is an amount: digits with thousands
+# groups (1,500) or plain, and one or two decimals after '.' (or, without
+# groups, ',').  An amount ends where its word ends, so no number is cut.
+PRICE_REACH = 4
+_TRIM = r"^[^\p{L}\p{N}_]+|[^\p{L}\p{N}_]+$"
+_AMOUNT = r"^(\d{1,3}(,\d{3})+(\.\d{1,2})?|\d+([.,]\d{1,2})?)$"
 
-def price_pattern(keyword: str) -> str:
-    import re
 
-    kw = re.escape(keyword.lower()).replace(r"\ ", _WS + "+")
-    return MENTION_START + kw + "(?:" + _WS + "+[^ \\t\\r\\n]+){0,3}?" + _WS + "+" + PRICE_AMOUNT
+def price_mentions(fct_messages: DataFrame, keywords: "DataFrame | list[str]",
+                   keyword_col: str = "keyword") -> DataFrame:
+    """(channel_username, product_name, price) of every priced mention.
 
-
-def price_variation(fct_messages: DataFrame, keywords: list[str] | None = None) -> DataFrame:
+    Only words with an amount within reach leave the text, each with the
+    words that follow it; they join the dictionary on a keyword's first
+    word, however long the dictionary is.
+    """
+    kw = dictionary([k.lower() for k in dict.fromkeys(keywords)] if isinstance(keywords, list) else
+                    keywords.select(F.lower(keyword_col).alias(keyword_col)), keyword_col, fct_messages)
+    # the longest keyword bounds what a word carries along: one small job over the dictionary
+    longest = kw.agg(F.max(F.size("parts"))).first()[0] or 1
+    word = lambda w: F.regexp_replace(w, _TRIM, "")
+    texts = fct_messages.where("message_text is not null").select("channel_username", F.transform(
+        F.array_remove(F.split(F.lower("message_text"), r"[ \t\r\n]+"), ""), word).alias("w"))
+    reach = longest + PRICE_REACH
+    amount = lambda x: F.rlike(x, F.lit(_AMOUNT))
+    places = F.filter(F.transform("w", lambda x, i: F.struct(x.alias("first"), F.slice("w", i + 1, reach).alias("next"))),
+                      lambda s: F.exists(F.slice(s["next"], 2, reach), amount))
+    here = texts.select("channel_username", F.explode(places).alias("s")).select(
+        "channel_username", F.col("s.first").alias("first"), F.col("s.next").alias("next"))
+    n = F.size("parts")
+    text = F.get(F.filter(F.slice("next", n + 1, F.lit(PRICE_REACH)), amount), 0)
+    plain = F.when(text.rlike(r"^\d+,\d{1,2}$"), F.replace(text, F.lit(","), F.lit("."))).otherwise(
+        F.replace(text, F.lit(","), F.lit("")))
+    return (here.join(kw.where(n > 0).withColumn("first", F.get("parts", 0)), "first")
+            .where(F.slice("next", 1, n) == F.col("parts"))
+            .select("channel_username", "product_name", plain.try_cast("decimal(18,2)").alias("price"))
+            .where("price is not null"))
+
+
+def price_variation(fct_messages: DataFrame, keywords: "DataFrame | list[str] | None" = None) -> DataFrame:
     """(channel_username, product_name, n_prices, min/median/max price).
 
-    The median is the lower middle value (``percentile_disc(0.5)``),
-    exact, aggregated per (channel, product) with partial aggregation.
+    The median is the lower middle value, exact: mentions are counted per
+    (channel, product, price) first, and a running sum over a product's
+    distinct prices finds the middle.
     """
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
-    lt = F.lower(F.col("message_text"))
-    # the regex runs only on texts that contain the keyword at all
-    none = F.array().cast("array<string>")
-    per_kw = [F.struct(F.lit(kw).alias("product_name"),
-                       F.when(lt.contains(kw.lower().split()[0]),
-                              F.regexp_extract_all(lt, F.lit(price_pattern(kw)), 1))
-                       .otherwise(none).alias("amounts"))
-              for kw in dict.fromkeys(keywords)]
-    src = spread(fct_messages.filter(F.col("message_text").isNotNull())).select(
-        "channel_username", F.explode(F.array(*per_kw)).alias("kw"))
-    prices = src.select("channel_username", F.col("kw.product_name").alias("product_name"),
-                        F.explode("kw.amounts").alias("amount"))
-    prices = prices.select(
-        "channel_username", "product_name",
-        F.expr("try_cast(replace(amount, ',', '.') AS DECIMAL(18,2))").alias("price"))
-    return (prices.groupBy("channel_username", "product_name")
-            .agg(F.count(F.lit(1)).alias("n_prices"),
-                 F.min("price").alias("min_price"),
-                 F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY price)")
-                 .cast("decimal(18,2)").alias("median_price"),
+    counts = price_mentions(fct_messages, keywords).groupBy("channel_username", "product_name", "price").agg(
+        F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy("channel_username", "product_name")
+    upto = F.sum("n").over(group.orderBy("price").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.select("*", upto.alias("upto"), F.sum("n").over(group).alias("total"))
+    return (ranked.groupBy("channel_username", "product_name")
+            .agg(F.sum("n").alias("n_prices"), F.min("price").alias("min_price"),
+                 F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col("price"))).alias("median_price"),
                  F.max("price").alias("max_price")))

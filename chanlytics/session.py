@@ -51,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared folder and is always used as
-    given.  Only when it is unset (local tests) do we pick a private folder.
+    given.  Only on a local master, when it is unset, is a private folder
+    made; on any other master that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -64,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="chanlytics-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

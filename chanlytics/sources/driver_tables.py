@@ -9,7 +9,12 @@ DuckDB parity check.
 Mapping (documents -> raw messages): message_id = doc_id, channel = source,
 message_date = 2024-01-01 + doc_id % 90 days, scrape_date = message_date +
 doc_id % 5 days, text, views = n_chars % 500, forwards = doc_id % 7,
-has_photo = doc_id % 3 = 0, photo_path only when doc_id % 6 = 0.
+has_photo = doc_id % 3 = 0, photo_path only when doc_id % 6 = 0.  So that
+every rule meets rows on both sides, the raw messages have no text where
+doc_id % 19 = 0, a flag word where doc_id % 13 or 17 is 0 and products with
+prices where doc_id % 11 = 0, and two
+channels are in the mapping; detections of one of these keep its plain
+name, so they find no message.
 """
 
 from __future__ import annotations
@@ -21,7 +26,6 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
-from chanlytics.operators.partitioning import spread
 
 # Fixed values of the adapter (shared with the oracle SQL).
 BASE_DATE = dt.date(2024, 1, 1)
@@ -29,6 +33,10 @@ DATE_SPREAD_DAYS = 90
 SCRAPE_LAG_DAYS = 5
 DETECTION_TIME = dt.datetime(2024, 4, 1, 0, 0, 0)
 DEFAULT_CHANNEL = "src0"
+MAPPED_CHANNELS = {"src1": "@source_one", "src2": "@source_two"}
+PRODUCT_TEXT = " tablet 1,500 birr; test kit 12,5 or (cream) 1234567890123. Tablet 7.25, tablet v1.2.3 2,000.5!"
+ORPHAN_CHANNEL = "src2"  # its detections do not follow the mapping
+CHANNEL_MAP = model.CHANNEL_USERNAMES | MAPPED_CHANNELS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,14 +69,22 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def message_text() -> "F.Column":
+    """The text of a raw message: none, with a flag word, or as in the table."""
+    i, t = F.col("message_id"), F.col("text")
+    return (F.when(i % 19 == 0, F.lit(None)).when(i % 13 == 0, F.concat(t, F.lit(" URGENT, today")))
+            .when(i % 17 == 0, F.concat(F.lit("New Vacancy: "), t))
+            .when(i % 11 == 0, F.concat(t, F.lit(PRODUCT_TEXT))).otherwise(t))
+
+
 def raw_messages(spark: SparkSession, sf_dir: str,
                  mapping: "DataFrame | dict[str, str] | None" = None) -> DataFrame:
     """documents -> the raw messages table (one row per document)."""
     from chanlytics.operators.lookup import map_channel_with_fallback
 
     ex = export_rows(spark, sf_dir)
-    mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
-    ex = map_channel_with_fallback(ex, mapping, "channel")
+    mapping = CHANNEL_MAP if mapping is None else mapping
+    ex = map_channel_with_fallback(ex, mapping, "channel").withColumn("text", message_text())
     return ex.select(
         F.col("message_id"),
         F.col("channel").alias("channel_name"),
@@ -87,7 +103,7 @@ def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: vec_id, channel, image_path, embedding, label.  Embeddings
     without a document take the default channel.
     """
-    v = spread(table(spark, sf_dir, "embeddings"), "vec_id")
+    v = table(spark, sf_dir, "embeddings")
     d = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("vec_id"), F.col("source"))
     ch = F.coalesce(F.col("source"), F.lit(DEFAULT_CHANNEL))
@@ -100,16 +116,25 @@ def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def detection_username() -> "F.Column":
+    """The mapped name of a detection's channel, but for the channel that stays unmapped."""
+    out = F.col("channel")
+    for name, user in MAPPED_CHANNELS.items():
+        if name != ORPHAN_CHANNEL:
+            out = F.when(F.col("channel") == name, F.lit(user)).otherwise(out)
+    return out
+
+
 def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """embeddings ⟕ documents -> raw.image_detections (one box per embedding)."""
     img = image_paths(spark, sf_dir)
     cls = F.concat(F.lit("class"), F.col("label").cast("string"))
     conf = ((F.col("vec_id") * 7919) % 10000).cast("decimal(20,0)") / F.lit(10000)
     return img.select(
-        F.concat_ws("_", F.col("channel"), F.col("vec_id").cast("string"), cls, F.lit("0"))
+        F.concat(F.col("channel"), F.lit("_"), F.col("vec_id").cast("string"), F.lit(".jpg_"), cls, F.lit("_0"))
         .alias("detection_id"),
         F.col("vec_id").alias("message_id"),
-        F.col("channel").alias("channel_username"),
+        detection_username().alias("channel_username"),
         F.col("image_path"),
         cls.alias("detected_object_class"),
         conf.cast("decimal(5,4)").alias("confidence_score"),
@@ -123,7 +148,7 @@ def fetched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     posted_at = 2024-01-01 + doc_id minutes; views NULL for every 11th id;
     media: photo when doc_id % 3 = 0, document when doc_id % 3 = 1.
     """
-    d = spread(table(spark, sf_dir, "documents"), "doc_id")
+    d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("message_id"),
         F.concat(F.lit("@"), F.col("source")).alias("channel_username"),

@@ -9,7 +9,7 @@ exploded into rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics import model
@@ -19,40 +19,69 @@ from chanlytics import model
 RECORDS_TYPE = "array<map<string,string>>"
 
 
-def export_glob(base: str, date: str | None = None) -> str:
-    return f"{base.rstrip('/')}/{date or '*'}/*.json"
+def export_folder(base: str, date: str | None = None) -> str:
+    return base.rstrip("/") + (f"/{date}" if date else "")
 
 
 def read_export_files(spark: SparkSession, base: str, date: str | None = None) -> DataFrame:
-    """(source_file, content) for each export file of one date folder (or all)."""
-    df = spark.read.text(export_glob(base, date), wholetext=True)
+    """(source_file, content) for each export file of one date folder (or all).
+
+    A folder that does not exist holds no files.
+    """
+    from chanlytics.operators.ingest import path_exists
+
+    folder = export_folder(base, date)
+    if not path_exists(spark, folder):
+        return spark.range(0).select(F.lit("").alias("source_file"), F.lit("").alias("content"))
+    df = (spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
+          .text(folder, wholetext=True))
     return df.select(F.col("_metadata.file_path").alias("source_file"),
                      F.col("value").alias("content"))
 
 
+def parsed_json(text: Column, kind: str) -> Column:
+    """``text`` parsed as one JSON value of the given type; NULL if it is anything else.
+
+    A JSON reader stops at the end of the first value.  Two wrappings make
+    what follows it count: inside an object, anything after the value breaks
+    the object; inside an array, a second value makes a second element.
+    """
+    alone = F.size(F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{kind}>")) == 1
+    value = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {kind}")["v"]
+    return F.when(alone, value)
+
+
 def parse_export_files(files: DataFrame) -> DataFrame:
     """(source_file, records) where records is NULL for an unparsable file."""
-    return files.select(
-        "source_file",
-        F.from_json("content", RECORDS_TYPE, {"mode": "PERMISSIVE"}).alias("records"))
+    return files.select("source_file", parsed_json(F.col("content"), RECORDS_TYPE).alias("records"))
 
 
-def read_export_lines(spark: SparkSession, base: str) -> DataFrame:
-    """Exports written by ``write_landing`` (JSON lines, partitioned by date and channel)."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}"
-                       for f in model.EXPORT_SCHEMA.fields if f.name != "channel")
-    df = (spark.read.schema(schema + ", scrape_date date, channel string")
-          .option("basePath", base).json(base))
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+def array_files(export: DataFrame) -> DataFrame:
+    """(source_file, content): the export as the exporter's JSON arrays, one file a channel and day.
+
+    ``export``: rows with source_file and source_pos; a file's records stand
+    in the order of source_pos, with every key, NULL or not.  One file is
+    one value, as in the exporter.
+    """
+    record = F.to_json(F.struct(*model.EXPORT_KEYS), {"ignoreNullFields": "false"})
+    listed = export.groupBy("source_file").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("source_pos").alias("p"), record.alias("j")))).alias("r"))
+    return listed.select("source_file", F.concat(
+        F.lit("["), F.array_join("r.j", ","), F.lit("]")).alias("content"))
 
 
 def write_landing(export: DataFrame, base: str) -> None:
-    """Write export rows to the landing zone, one folder per date and channel.
+    """Write export rows to the landing zone as JSON lines, one folder per date and channel.
 
-    A re-export of the same day replaces only that day's channel folders
-    (dynamic partition overwrite), as the reference overwrites a file.
+    Every key is written, NULL or not, with the record's place in the export
+    (``source_pos``, when given).  Rebalancing gives a large channel-day
+    several files of the advisory size.  A re-export of the same day
+    replaces only that day's channel folders (dynamic partition overwrite),
+    as the reference overwrites a file.
     """
-    cols = [c for c in model.EXPORT_KEYS if c != "channel"] + ["scrape_date", "channel"]
-    (export.select(*cols).repartition("scrape_date", "channel")
+    if "source_pos" not in export.columns:
+        export = export.withColumn("source_pos", F.lit(None).cast("long"))
+    cols = [c for c in model.EXPORT_KEYS if c != "channel"] + ["source_pos", "scrape_date", "channel"]
+    (export.select(*cols).hint("rebalance", "scrape_date", "channel")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("scrape_date", "channel").json(base))
+     .option("ignoreNullFields", "false").partitionBy("scrape_date", "channel").json(base))

@@ -10,13 +10,15 @@ reference, a message of any date is accepted at any time.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chanlytics import model
 from chanlytics.operators import ingest as I
-from chanlytics.sources.exports import export_glob, parse_export_files
+from chanlytics.sources.exports import export_folder, parse_export_files
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -30,8 +32,8 @@ def start_export_ingest(spark: SparkSession, landing_base: str, raw_path: str,
                         available_now: bool = True,
                         processing_time: str | None = None) -> StreamingQuery:
     """New export files -> validated, insert-if-absent into the raw table."""
-    stream = (spark.readStream.option("wholetext", "true")
-              .text(export_glob(landing_base)))
+    stream = (spark.readStream.option("wholetext", "true").option("pathGlobFilter", "*.json")
+              .option("recursiveFileLookup", "true").text(export_folder(landing_base)))
     files = stream.select(F.col("_metadata.file_path").alias("source_file"),
                           F.col("value").alias("content"))
 
@@ -64,24 +66,17 @@ def start_landing_ingest(spark: SparkSession, landing_base: str, raw_path: str,
     checked, a bad line rejects its whole file, insert-if-absent into the
     raw table.  The scrape date is the file's ``scrape_date=`` folder.
     """
-    stream = (spark.readStream.schema(I.LINES_SCHEMA + ", scrape_date date, channel string")
-              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-              .option("basePath", landing_base)
-              .json(landing_base)
-              .withColumn("source_file", F.col("_metadata.file_path")))
+    stream = (spark.readStream.schema(I.LINES_SCHEMA).option("basePath", landing_base)
+              .text(landing_base))
 
     def ingest_batch(batch: DataFrame, epoch_id: int) -> None:
         checked = I.check_landing_rows(batch, mapping).checkpoint(eager=True)
         typed, rejected = I.split_checked_rows(checked)
         if quarantine_path:
             I.write_partition(rejected, quarantine_path, "epoch_id", epoch_id)
-        raw = I.to_raw_messages(typed.withColumn("source_pos", F.lit(None).cast("long")),
-                                F.col("scrape_date"), mapping)
-        order = [F.col(c).asc_nulls_first() for c in
-                 ["source_file", "message_date", "message_text", "views", "forwards",
-                  "has_photo", "photo_path", "channel_name"]]
+        raw = I.to_raw_messages(typed, F.col("scrape_date"), mapping)
         I.append_if_absent(batch.sparkSession, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
-                           model.RAW_MESSAGES_KEY, order)
+                           model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
 
     w = stream.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else \
@@ -93,15 +88,20 @@ def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_
                         checkpoint_path: str, scan_log_path: str | None = None,
                         mapping=None, run_ts=None, available_now: bool = True,
                         processing_time: str | None = None) -> StreamingQuery:
-    """New image files -> scored -> detections appended insert-if-absent."""
+    """New image files -> scored -> detections appended insert-if-absent.
+
+    Detections carry the time (UTC) at which their micro-batch ran, or
+    ``run_ts`` if one is given.
+    """
     from chanlytics.operators.detect import image_files_filter, run_detection
 
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .load(image_dir).filter(image_files_filter("path")))
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
+        now = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         run_detection(batch.sparkSession, batch.select("path", "content"), scorer,
-                      detections_path, scan_log_path, mapping, run_ts)
+                      detections_path, now, scan_log_path, mapping)
 
     w = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else \

@@ -100,14 +100,15 @@ def test_new_images(spark):
 
 
 def test_landing_roundtrip(spark, tmp_dir):
-    from chanlytics.sources.exports import read_export_lines, write_landing
+    from chanlytics.sources.exports import write_landing
 
     base = os.path.join(tmp_dir, "lines")
     rows = [(1, "Chemed", dt.date(2025, 7, 13), "hi", 1, 0, False, None, RUN)]
     df = spark.createDataFrame(rows, _with_scrape_date())
     write_landing(df, base)
     write_landing(df, base)  # same day again replaces, does not duplicate
-    back = read_export_lines(spark, base)
+    back, rejected = I.validate_landing_rows(I.read_landing_day(spark, base))
+    assert rejected.count() == 0
     assert back.count() == 1
     r = back.first()
     assert (r.message_id, r.channel, r.scrape_date) == (1, "Chemed", RUN)
@@ -125,12 +126,13 @@ def test_landing_lines_loader(spark, tmp_dir):
             (2, "Chemed", dt.date(2025, 7, 13), None, None, None, True, None, RUN),
             (1, "TikvahPharma", dt.date(2025, 7, 14), "x", 3, 1, False, None, RUN)]
     write_landing(spark.createDataFrame(good, S), base)
-    # a second channel folder with one bad line: the whole file is rejected
+    # a second channel folder with one bad line: the whole export is rejected
     bad_dir = os.path.join(base, f"scrape_date={RUN.isoformat()}", "channel=Lobelia4Cosmetics")
     os.makedirs(bad_dir)
     with open(os.path.join(bad_dir, "part-0.json"), "w") as f:
-        f.write(json.dumps({"message_id": 5, "date": "2025-07-13", "views": 1}) + "\n")
-        f.write(json.dumps({"message_id": 6, "date": "nope", "views": 1}) + "\n")
+        f.write(json.dumps(_msg(5)) + "\n")
+    with open(os.path.join(bad_dir, "part-1.json"), "w") as f:
+        f.write(json.dumps(_msg(6, date="nope")) + "\n")
     raw = os.path.join(tmp_dir, "raw")
     acc, rej = I.load_landing_day(spark, base, RUN, raw)
     assert sum(r.recorded for r in acc.collect()) == 3
@@ -140,3 +142,65 @@ def test_landing_lines_loader(spark, tmp_dir):
     acc2, _ = I.load_landing_day(spark, base, RUN, raw)
     assert sum(r.recorded for r in acc2.collect()) == 0
     assert sum(r.skipped for r in acc2.collect()) == 3
+
+
+def test_rules_are_one_for_both_layouts(spark, tmp_dir):
+    """Names like numbers, missing keys, text behind the value, quotes in the mapping, first write wins."""
+    from chanlytics.sources.exports import write_landing
+
+    mapping = {"007": "O'Neil \\ sons", "it's": "x"}
+    records = [_msg(1, "007", text="zzz first"), _msg(1, "007", text="aaa second"), _msg(2, "007", text=None)]
+    lines, arrays = os.path.join(tmp_dir, "lines"), os.path.join(tmp_dir, "arrays")
+    rows = [(r["message_id"], r["channel"], dt.date(2025, 7, 13), r["text"], 120, 2, True, None, RUN, i)
+            for i, r in enumerate(records)]
+    from pyspark.sql import types as T
+    schema = T.StructType([*_with_scrape_date().fields, T.StructField("source_pos", T.LongType())])
+    write_landing(spark.createDataFrame(rows, schema).repartition(3), lines)
+    _write(arrays, "007.json", records)
+    cut = _msg(4, "cut")
+    del cut["photo_path"]
+    for name, line in {"cut": json.dumps(cut), "tail": json.dumps(_msg(5, "tail")) + " junk",
+                       "two": json.dumps(_msg(6, "two")) + "," + json.dumps(_msg(7, "two")), "no": "{"}.items():
+        folder = os.path.join(lines, f"scrape_date={RUN}", f"channel={name}")
+        os.makedirs(folder)
+        with open(os.path.join(folder, "part-0.json"), "w") as f:
+            f.write(line + "\n")
+        _write(arrays, f"{name}.json", f"[{line}]" if name != "tail" else f"[{json.dumps(_msg(5, 'tail'))}] junk")
+    _write(arrays, "two.json", f"[{json.dumps(_msg(6, 'two'))}],[]")
+    got = {}
+    for name, load, base in (("lines", I.load_landing_day, lines), ("arrays", I.load_exports, arrays)):
+        acc, rejected = load(spark, base, RUN, os.path.join(tmp_dir, name + "_raw"), mapping=mapping)
+        stored = spark.read.parquet(os.path.join(tmp_dir, name + "_raw")).collect()
+        got[name] = (sorted((r.message_id, r.channel_name, r.channel_username, r.message_text) for r in stored if r.message_text)
+                     , sorted(r.reason for r in rejected.collect()), sorted((r.recorded, r.skipped) for r in acc.collect()))
+    assert got["lines"] == got["arrays"] == (
+        [(1, "007", "O'Neil \\ sons", "zzz first")], ["missing_key"] + ["unparsable"] * 3, [(2, 1)])
+
+
+def test_a_day_without_a_folder_loads_nothing(spark, tmp_dir):
+    for k, load in enumerate((I.load_exports, I.load_landing_day)):
+        acc, rejected = load(spark, os.path.join(tmp_dir, "none"), RUN, os.path.join(tmp_dir, f"raw{k}"))
+        assert acc.collect() == [] and rejected.collect() == []
+
+
+def test_accounting_of_reruns_is_kept(spark, tmp_dir):
+    _fixture_files(os.path.join(tmp_dir, "landing"))
+    path = os.path.join(tmp_dir, "accounting")
+    for _ in range(2):
+        I.load_exports(spark, os.path.join(tmp_dir, "landing"), RUN, os.path.join(tmp_dir, "raw"), accounting_path=path)
+    runs = spark.read.parquet(path).groupBy("run_date", "run_id").agg(F.sum("recorded").alias("n")).collect()
+    assert sorted(r.n for r in runs) == [0, 4] and {r.run_date for r in runs} == {RUN}
+
+
+def test_the_batch_is_evaluated_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    batch = spark.range(1000).selectExpr("id AS k").mapInPandas(count, "k long")
+    target = spark.range(100).selectExpr("id * 5 AS k")
+    assert I.new_rows(batch, target, ["k"], [F.col("k")]).count() == 900
+    assert seen.value == 1000

@@ -97,29 +97,59 @@ def test_price_variation(spark):
     assert (r.n_prices, str(r.min_price), str(r.median_price), str(r.max_price)) == (3, "1.00", "250.00", "300.50")
 
 
-def test_large_dictionary_paths_match_replay(spark, monkeypatch):
-    """Word join and Aho-Corasick phrase paths give the inline result."""
+def test_prices_are_whole_numbers(spark):
+    """Thousands groups, no cut numbers, the nearest amount, keywords of several words."""
+    texts = ["gel 1,500", "gel: 1,234,567.5!", "gel 3.141 then 7", "gel v1.2.3 and 20 or 30", "gel a b c d 9",
+             "gel 1234567890123", "(gel) (12.50)", "gel 12345678901234567890", "blood gel mask 40", "gel mask 50",
+             "gel 5 gel 6", "gel", None]
+    got = sorted((r.product_name, str(r.price)) for r in R.price_mentions(_fct(spark, texts), ["gel", "Gel mask", "gel"]).collect())
+    assert got == sorted([("gel", p) for p in ("1500.00", "1234567.50", "7.00", "20.00", "1234567890123.00", "12.50",
+                                               "40.00", "50.00", "5.00", "6.00")]
+                         + [("gel mask", "40.00"), ("gel mask", "50.00")])
+    table = spark.createDataFrame([("GEL",), ("gel mask",), ("gel",)], "keyword string")
+    rows = {r.product_name: r for r in R.price_variation(_fct(spark, texts), table).collect()}
+    assert (rows["gel"].n_prices, str(rows["gel"].median_price)) == (10, "20.00")
+    assert str(rows["gel mask"].median_price) == "40.00"
+
+
+def test_search_takes_backslashes_as_the_database_does(spark):
+    texts = ["C:\\dir d", "c:dir", "50% off", "50 off", "a_b", "axb", "back\\slash", "ends with %"]
+    fct = _fct(spark, texts)
+
+    def hits(query):
+        return sorted(texts[r.message_id] for r in R.search_messages(fct, query).collect())
+    assert hits("c:\\dir") == ["c:dir"]            # a backslash before a plain letter
+    assert hits("c:\\\\dir") == ["C:\\dir d"]
+    assert hits("50\\%") == ["50% off"] and hits("a\\_b") == ["a_b"]
+    assert hits("with \\") == ["ends with %"]        # at the end it takes the closing wildcard
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_a_dictionary_of_words_and_phrases_matches_replay(spark, as_table):
     from chanlytics.operators import keywords as K
 
-    texts = CASES + ["the test kit and blood pressure monitor", "contest kit", "a b c d"]
-    kws = model.DEFAULT_KEYWORDS + ["a b", "b c d", "c"]
-    fct = _fct(spark, texts)
-    monkeypatch.setattr(K, "MAX_INLINE_WORDS", 1)
-    monkeypatch.setattr(K, "MAX_INLINE_PHRASES", 1)
-    got = {(r.product_name, r.mention_count) for r in K.keyword_hits(fct, kws).collect()}
-    assert got == set(replay_counts(texts, kws).items())
-    sel = {r.message_id for r in K.messages_with_hits(fct, kws).collect()}
-    want = {i for i, t in enumerate(texts) if t and replay_counts([t], kws)}
-    assert sel == want
+    texts = CASES + ["the test kit and blood pressure monitor", "contest kit", "a b c d", "test  kit", "ab cd ef", "", "kit test",
+                     "test\u00a0kit", "the best\tkit", "x" * 9 + " yyyyy z", "n b c dd"]
+    kws = model.DEFAULT_KEYWORDS + ["a b", "b c d", "c", "b cd", "\ttablet", "test\u00a0kit", "best\tk", "xxxxx yyy", "", " ",
+                                    "st k", "t kit", "tablet", "test kit"]
+    want = dict(replay_counts(texts, list(dict.fromkeys(kws))))
+    given = spark.createDataFrame([(k,) for k in kws] + [(None,)], "keyword string") if as_table else kws
+    assert {r.product_name: r.mention_count for r in K.keyword_hits(_fct(spark, texts), given).collect()} == want
 
 
-def test_keyword_dataframe_large_word_list_stays_distributed(spark, monkeypatch):
+def test_large_dictionary(spark):
     from chanlytics.operators import keywords as K
 
-    texts = CASES + ["the test kit and blood pressure monitor"]
-    kws = model.DEFAULT_KEYWORDS + ["a b"]
-    fct = _fct(spark, texts)
-    monkeypatch.setattr(K, "MAX_INLINE_WORDS", 3)
-    kdf = spark.createDataFrame([(k,) for k in kws], "keyword string")
-    got = {(r.product_name, r.mention_count) for r in K.keyword_hits(fct, kdf).collect()}
-    assert got == set(replay_counts(texts, kws).items())
+    texts = [f"w{i} w{i + 1} tail{i % 7}" for i in range(300)]
+    kws = [f"w{i}" for i in range(0, 20_000, 3)] + [f"w{i} w{i + 1}" for i in range(0, 20_000, 2)] + ["tail1 no"]
+    got = {r.product_name: r.mention_count for r in K.keyword_hits(_fct(spark, texts), kws).collect()}
+    want = {}
+    for t in texts:
+        words = t.split()
+        for w in words[:2]:
+            if int(w[1:]) % 3 == 0:
+                want[w] = want.get(w, 0) + 1
+        for i in range(0, 302, 2):
+            if f"w{i} w{i + 1}" in t:
+                want[f"w{i} w{i + 1}"] = want.get(f"w{i} w{i + 1}", 0) + 3
+    assert got == want

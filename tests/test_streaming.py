@@ -61,7 +61,7 @@ def test_image_stream(spark, tmp_dir):
     os.makedirs(img)
     for name, size in [("Chemed_97.jpg", 250), ("Chemed_98_20230101.JPG", 120), ("Chemed_99.png", 50),
                        ("notes.txt", 300), ("Chemed.jpg", 300), ("Unknown_5.jpg", 300),
-                       ("Chemed_abc.jpg", 300)]:
+                       ("Chemed_abc.jpg", 300), ("Chemed_97.png", 100)]:
         with open(os.path.join(img, name), "wb") as f:
             f.write(np.zeros(size, dtype=np.uint8).tobytes())
     det = os.path.join(tmp_dir, "det")
@@ -71,10 +71,13 @@ def test_image_stream(spark, tmp_dir):
     rows = sorted((r.detection_id, r.message_id, r.channel_username, r.image_path)
                   for r in spark.read.parquet(det).collect())
     assert rows == [
-        ("Chemed_97_blob_0", 97, "@CheMed123", "data/images/Chemed_97.jpg"),
-        ("Chemed_97_blob_1", 97, "@CheMed123", "data/images/Chemed_97.jpg"),
-        ("Chemed_98_20230101_blob_0", 98, "@CheMed123", "data/images/Chemed_98_20230101.JPG"),
+        ("Chemed_97.jpg_blob_0", 97, "@CheMed123", "data/images/Chemed_97.jpg"),
+        ("Chemed_97.jpg_blob_1", 97, "@CheMed123", "data/images/Chemed_97.jpg"),
+        ("Chemed_97.png_blob_0", 97, "@CheMed123", "data/images/Chemed_97.png"),  # same stem, both kept
+        ("Chemed_98_20230101.JPG_blob_0", 98, "@CheMed123", "data/images/Chemed_98_20230101.JPG"),
     ]
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert all(abs(now - r.detection_timestamp) < dt.timedelta(minutes=10) for r in spark.read.parquet(det).collect())
     logged = {r.image_path: r.n_boxes for r in spark.read.parquet(log).collect()}
     assert logged["data/images/Chemed_99.png"] == 0   # zero-box image remembered
     assert "data/images/Unknown_5.jpg" not in logged   # unmapped: never scored
@@ -90,9 +93,9 @@ def test_batch_detection_skips_processed_images(spark, tmp_dir):
         with open(os.path.join(img, name), "wb") as f:
             f.write(np.zeros(size, dtype=np.uint8).tobytes())
     det, log = os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "log")
-    first = run_detection(spark, read_images(spark, img), LengthScorer(), det, log)
+    first = run_detection(spark, read_images(spark, img), LengthScorer(), det, dt.datetime(2025, 7, 15), log)
     assert first.scored.count() == 2
-    again = run_detection(spark, read_images(spark, img), LengthScorer(), det, log)
+    again = run_detection(spark, read_images(spark, img), LengthScorer(), det, dt.datetime(2025, 7, 16), log)
     assert again.scored.count() == 0
     assert spark.read.parquet(det).count() == 2
 
@@ -159,6 +162,6 @@ def test_file_shipped_scorer_equals_in_memory(spark, tmp_dir):
     name = CentroidFileScorer.ship(spark, cents, os.path.join(tmp_dir, "centroids-test.npy"))
 
     def rows(scorer):
-        det = detect_objects(images, scorer, mapping).detections
+        det = detect_objects(images, scorer, dt.datetime(2025, 7, 15), mapping).detections
         return sorted((r.detection_id, str(r.confidence_score)) for r in det.collect())
     assert rows(CentroidFileScorer(name, names)) == rows(CentroidScorer(cents, names))
