@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Edges for one partition: a round's tables are small, and are not left in more pieces than they fill.
+EDGES = 200_000
+
+
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
+    """As many edges as there were."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v").distinct())
+            .where("u <> v").coalesce(parts))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return moved.union(least.select("u", F.col("m").alias("v"))).distinct().coalesce(parts)
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -36,7 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
            .distinct().checkpoint())
     state = _state(now)
     while True:
-        now = _small_star(_large_star(now)).checkpoint()
+        parts = max(now.sparkSession.sparkContext.defaultParallelism, math.ceil(state[0] / EDGES))
+        now = _small_star(_large_star(now.coalesce(parts), parts), parts).checkpoint()
         after = _state(now)
         if after == state:
             break

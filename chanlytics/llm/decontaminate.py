@@ -194,19 +194,13 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str
     have no window; a null item id counts as the empty text.  Repeated rows
     are answered each; other columns are ignored.
     """
-    spark = docs.sparkSession
-    listed = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"),
-                          F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"))
-    windows = listed.mapInArrow(_item_windows(size), "item_id string, window long, words binary")
-    distinct = windows.groupBy("window").agg(F.min("words").alias("words"))
-    passes = max(1, math.ceil(distinct.count() / pass_windows))
+    windows, distinct, passes = _item_table(items, size, item_id, item_text, pass_windows)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.xxhash64(F.col(id_col), text).alias("doc_key"), F.col(id_col).cast("long").alias("doc_id"),
                        text.alias("text"))
     found = None
     for p in range(passes):
-        own = distinct.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == p).collect()  # pass_windows on average
-        part = _one_pass(spark, rows, [r[0] for r in own], [bytes(r[1]) for r in own], size, p)
+        part = _one_pass(rows, _index(rows, distinct, size, p, passes), p)
         found = part if found is None else found.unionByName(part)
     if passes > 1:  # equal rows of one pass collapse; copies counts them
         found = (found.groupBy("doc_key", "doc_id", "n_words")
@@ -227,19 +221,61 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, id_col: str
             .withColumn("items", F.coalesce("items", F.array().cast("array<string>"))))
 
 
-def _one_pass(spark, rows: DataFrame, keys: list[int], words: list[bytes], size: int, number: int) -> DataFrame:
-    if not keys:
+def _item_table(items: DataFrame, size: int, item_id: str, item_text: str, pass_windows: int):
+    """(windows of all items, distinct windows, passes)."""
+    listed = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"),
+                          F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"))
+    windows = listed.mapInArrow(_item_windows(size), "item_id string, window long, words binary")
+    distinct = windows.groupBy("window").agg(F.min("words").alias("words"))
+    return windows, distinct, max(1, math.ceil(distinct.count() / pass_windows))
+
+
+def _index(rows: DataFrame, distinct: DataFrame, size: int, number: int, passes: int):
+    """The broadcast index of one pass over rows (doc texts in column text), or None if it has no windows."""
+    sc = rows.sparkSession.sparkContext
+    own = distinct.where(F.pmod(F.xxhash64("window"), F.lit(passes)) == number).collect()  # pass_windows on average
+    if not own:
+        return None
+    group = _Windows([r[0] for r in own], [bytes(r[1]) for r in own], size)
+    shingles = sc.broadcast(_Lookup(group.width, group.key))
+    counts = rows.select("text").mapInArrow(_count(shingles), "shingle long, n long").groupBy("shingle").agg(F.sum("n"))
+    return sc.broadcast(_Index(group, {r[0]: r[1] for r in counts.collect()}))  # one entry a shingle
+
+
+def _one_pass(rows: DataFrame, index, number: int) -> DataFrame:
+    if index is None:
         nothing = F.array()
         return rows.mapInArrow(_match_nothing, "doc_key long, doc_id long, n_words long").select(
             "*", nothing.cast("array<struct<a:int,b:int>>").alias("spans"), nothing.cast("array<long>").alias("windows"),
             F.lit(number).alias("pass"))
-    group = _Windows(keys, words, size)
-    shingles = spark.sparkContext.broadcast(_Lookup(group.width, group.key))
-    counts = rows.select("text").mapInArrow(_count(shingles), "shingle long, n long").groupBy("shingle").agg(F.sum("n"))
-    index = spark.sparkContext.broadcast(_Index(group, {r[0]: r[1] for r in counts.collect()}))  # one entry a shingle
     return rows.mapInArrow(_match(index), _FOUND).withColumn("pass", F.lit(number))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, size: int = 10, text_col: str = "text", item_id: str = "item_id",
+               item_text: str = "text", pass_windows: int = PASS_WINDOWS) -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of an item occurs; null texts stay."""
+    _, distinct, passes = _item_table(items, size, item_id, item_text, pass_windows)
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    out = docs
+    for p in range(passes):
+        index = _index(texts, distinct, size, p, passes)
+        if index is not None:
+            out = out.mapInArrow(_clean(index, text_col), docs.schema)
+    return out
+
+
+def _clean(shared, text_col: str):
+    def clean(batches):
+        for batch in batches:
+            for part in slices(batch, text_col):
+                words = Words(part.column(text_col), ALNUM, LOWER)
+                start, _ = shared.value.matches(words)
+                good = np.ones(part.num_rows, bool)
+                good[np.searchsorted(words.word_at, start, "right") - 1] = False
+                yield part.filter(pa.array(good))
+    return clean
+
+
 def _match_nothing(batches):
     for batch in batches:
         words = Words(batch.column("text"), ALNUM, LOWER, hashes=False)

@@ -4,8 +4,8 @@ Trusted positives are rows labelled 1; the web text of the training fold,
 labels unseen, is the unlabelled sample.  A small network is fitted by
 minimising the non-negative unbiased risk
   R = pi * E_P[l(f, +1)] + max(0, E_U[l(f, -1)] - pi * E_P[l(f, -1)])
-with logistic loss l; where the second term falls below zero the step goes
-up its gradient instead.  pi, the share of positives, is estimated from the
+with the sigmoid loss l(f, y) = 1 / (1 + exp(y f)); where the second term
+falls below zero the step goes up its gradient instead.  pi, the share of positives, is estimated from the
 labelled rows of the training fold.
 
 Only the fit is bounded: at most about `positives` and `unlabelled` rows
@@ -98,15 +98,15 @@ class Model:
 
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 16, steps: int = 1500,
-        batch: int = 2048, rate: float = 0.01, seed: int = 7) -> Model:
+        batch: int = 4096, rate: float = 0.01, seed: int = 7) -> Model:
     """Minimises the non-negative risk by Adam; without any positives the model is the prior."""
     rng = np.random.default_rng(seed)
     pool = unlabelled if len(unlabelled) else np.zeros((1, N_FEATURES))
     weights = [rng.normal(0, 0.3, (N_FEATURES, hidden)), np.zeros(hidden), rng.normal(0, 0.3, hidden),
-               np.array([np.log(prior / (1 - prior))])]
+               np.zeros(1)]
     model = Model(pool.mean(axis=0), pool.std(axis=0) + 1e-3, weights)
     if not len(positive) or not len(unlabelled):
-        weights[2][:] = 0
+        weights[2][:], weights[3][:] = 0, np.log(prior / (1 - prior))
         return model
     zp, zu = model.inputs(positive), model.inputs(unlabelled)
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
@@ -114,16 +114,18 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int
     def sigmoid(f):
         return 1.0 / (1.0 + np.exp(-np.clip(f, -30, 30)))
 
+    def some(z):
+        return z if len(z) <= batch else z[rng.integers(0, len(z), batch)]
+
     for step in range(1, steps + 1):
-        p, u = zp[rng.integers(0, len(zp), batch)], zu[rng.integers(0, len(zu), batch)]
+        p, u = some(zp), some(zu)
         fp, hp = model.logit(p)
         fu, hu = model.logit(u)
-        rest = np.mean(np.logaddexp(0, fu)) - prior * np.mean(np.logaddexp(0, fp))
-        if rest >= 0:
-            gp = (prior * (sigmoid(fp) - 1) - prior * sigmoid(fp)) / batch
-            gu = sigmoid(fu) / batch
+        sp, su = sigmoid(fp), sigmoid(fu)
+        if su.mean() - prior * sp.mean() >= 0:
+            gp, gu = -2 * prior * sp * (1 - sp) / len(p), su * (1 - su) / len(u)
         else:
-            gp, gu = prior * sigmoid(fp) / batch, -sigmoid(fu) / batch
+            gp, gu = prior * sp * (1 - sp) / len(p), -su * (1 - su) / len(u)
         grads = [np.zeros_like(w) for w in weights]
         for z, h, g in ((p, hp, gp), (u, hu, gu)):
             inner = g[:, None] * weights[2] * (1 - h * h)
@@ -203,6 +205,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, schema)
 
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose text scores `threshold` or more; a null text counts as empty."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text_col):
+                good = shared.value.score(features(part.column(text_col))) >= threshold
+                yield part.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted: learnt where crc32(id) mod 5 is not 0."""
     model = train(docs, labels, C.fold_of("doc_id") != 0)

@@ -125,6 +125,7 @@ class Words:
 
 def run_hash(hashes: np.ndarray, at: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
     """Hash of the size words from each position in at."""
+    size = int(size)
     out = np.full(len(at), U64((size * 0x2545F4914F6CDD1D + salt) & (1 << 64) - 1))
     for k in range(size):
         out = mix(out * _P + hashes[at + k])
