@@ -20,7 +20,7 @@ from chanlytics.llm.words import buffers, slices
 #: Text bytes that a block should hold.  The number of packets is the square
 #: of the number of blocks: choose it as large as an executor's memory allows
 #: (a task takes about 40 times as much at its peak).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def text_bytes(df: DataFrame, text_col: str) -> int:

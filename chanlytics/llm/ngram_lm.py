@@ -101,12 +101,12 @@ class Block:
         """For each order: sorted keys of so many bits, the n-gram at each key, training counts in key order."""
         name = np.append(self.vocabulary, np.uint64(0x626567))
         two = join_hash(name[self.first], name[self.second])
-        three = join_hash(name[self.first[self.context]], name[self.second[self.context]], name[self.third])
+        three = join_hash(two[self.context], name[self.third], np.zeros(len(self.third), np.uint64))
         out = []
         for key, of in ((self.vocabulary, self.ids), (two, self.bi_of), (three, self.tri_of)):
             used = self.train if of is not self.tri_of else self.train & self.has_tri
             key = key >> np.uint64(64 - bits)
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             out.append((key[order], order, np.bincount(of[used], minlength=len(key))[order]))
         return out
 
