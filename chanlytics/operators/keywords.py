@@ -37,8 +37,9 @@ def _parts(text: Column) -> Column:
 def dictionary(keywords: "DataFrame | list[str]", column: str, like: DataFrame) -> DataFrame:
     """(product_name, parts) of the distinct non-NULL keywords."""
     if isinstance(keywords, list):
-        listed = [(k,) for k in dict.fromkeys(keywords) if k is not None]
-        kw = like.sparkSession.createDataFrame(listed, "product_name string")
+        # literals of the plan, of known size; Spark broadcasts them if they are few
+        listed = F.array(*[F.lit(k) for k in dict.fromkeys(keywords) if k is not None]).cast("array<string>")
+        kw = like.sparkSession.range(1).select(F.explode(listed).alias("product_name"))
     else:
         kw = keywords.select(F.col(column).alias("product_name")).where("product_name is not null").distinct()
     return kw.withColumn("parts", _parts(F.col("product_name")))
@@ -94,7 +95,7 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
     shapes = _shapes(kw)
     if shapes:
         keyed = src.withColumn("text_key", F.md5("lt"))
-        pairs = _phrase_pairs(keyed.select("text_key", "lt").distinct(), kw.where(F.size("parts") > 1), shapes)
+        pairs = _phrase_pairs(keyed.select("text_key", "lt"), kw.where(F.size("parts") > 1), shapes)
         found = keyed.join(pairs, "text_key").where(F.contains("lt", "product_name"))
         hits = hits.unionByName(found.select(*group_cols, "product_name", F.size(tokens("lt")).cast("long").alias("n")))
     return (hits.groupBy(*group_cols, "product_name").agg(F.sum("n").cast("long").alias("mention_count"))
