@@ -17,11 +17,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+#: Rows and bytes of an Arrow batch: texts may be long, and a task holds a batch several times.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     """Session settings, the shared checkpoint folder, and the package on the executors."""
     from chanlytics.session import configure, ship_package
 
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         where = sc.getConf().get("spark.checkpoint.dir", None)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chanlytics.llm.components import components
-from chanlytics.llm.words import LOWER, NOT_SPACE, Words, join_hash, mix, run_hash, slices
+from chanlytics.llm.words import LOWER, NOT_SPACE, Words, mix, run_hash, slices
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -88,23 +88,17 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float(np.sum(1.0 / (below[upto] / wa[both] + above[upto] / wb[both])))
 
 
-def _sign(size: int, bands: int, rows: int):
+def _sign(size: int, slots: int):
     def sign(batches):
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
                 words = Words(part.column("text"), NOT_SPACE, LOWER)
                 n = len(words.count)
-                sig = signatures(*shingles(words, size), n, bands * rows)
-                keys = np.stack([join_hash(np.full(n, b, np.uint64), *(sig[:, b * rows + r] for r in range(rows)))
-                                 for b in range(bands)], axis=1) if n else np.zeros((0, bands), np.uint64)
-                some = words.count > 0
-                off = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
+                sig = signatures(*shingles(words, size), n, slots)
                 short = (sig & np.uint64(0xFFFF)).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), part.column("doc_id"), pa.array(words.count.astype(np.int64)),
-                     pa.ListArray.from_arrays(off, pa.array(keys[some].ravel().view(np.int64))),
-                     pa.array([x.tobytes() for x in short], pa.binary())],
-                    ["node", "doc_id", "n_words", "bands", "sig"])
+                     pa.array([x.tobytes() for x in short], pa.binary())], ["node", "doc_id", "n_words", "sig"])
     return sign
 
 
@@ -213,10 +207,11 @@ def _labelled(df: DataFrame, size: int = 5, threshold: float = 0.8, bands: int =
     slots = bands * rows
     least = threshold - 4 * (threshold * (1 - threshold) / slots) ** 0.5
     signed = rows_in.mapInArrow(
-        _sign(size, bands, rows), "node binary, doc_id long, n_words long, bands array<long>, sig binary").checkpoint()
-    nodes = (signed.where("n_words > 0").groupBy("node").agg(F.min("bands").alias("bands"), F.min("sig").alias("sig"))
-             .checkpoint())
-    entries = nodes.select("node", F.explode("bands").alias("band"))
+        _sign(size, slots), "node binary, doc_id long, n_words long, sig binary").checkpoint()
+    nodes = signed.where("n_words > 0").groupBy("node").agg(F.min("sig").alias("sig")).checkpoint()
+    # a band's key: its slots, two bytes each
+    key = lambda b: F.xxhash64(b, F.substring("sig", b * (2 * rows) + 1, F.lit(2 * rows)))
+    entries = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)).alias("band"))
     lead = F.min(F.struct(F.xxhash64("node", "band").alias("h"), F.col("node").alias("node")))
     shared = (entries.groupBy("band").agg(lead["node"].alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     near = entries.join(shared, "band").checkpoint()  # nodes that share a bucket; equal texts are one node

@@ -14,10 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, batch_rows: int = C.BATCH_ROWS):
     def keep(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            C.prepare(spark)
+            C.prepare(spark, batch_rows)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql is not None:
@@ -26,14 +26,15 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
-@query("op1_lm_scoring")
+# documents dealt into blocks compress better from larger batches
+@query("op1_lm_scoring", batch_rows=10_000)
 def lm_scoring(spark, sf_dir):
     from chanlytics.llm.ngram_lm import score_texts
 
     return score_texts(C.read_table(spark, sf_dir, "documents"), C.fold_of("doc_id") == 1)
 
 
-@query("op6_substring_dedup", substring_dedup.ORACLE)
+@query("op6_substring_dedup", substring_dedup.ORACLE, batch_rows=10_000)
 def substring_dedup_query(spark, sf_dir):
     return substring_dedup.remove_repeats(C.read_table(spark, sf_dir, "documents"), digest=True)
 
