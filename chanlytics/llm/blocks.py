@@ -47,7 +47,7 @@ def deal(df: DataFrame, blocks: int, id_col: str, text_col: str, flag: Column |
 
 def _pack(batches):
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", 8 << 20):
             number = part.column("block").to_numpy()
             order = np.argsort(number, kind="stable")
             part = part.take(pa.array(order))

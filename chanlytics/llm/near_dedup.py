@@ -91,7 +91,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 def _sign(size: int, slots: int):
     def sign(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 words = Words(part.column("text"), NOT_SPACE, LOWER)
                 n = len(words.count)
                 sig = signatures(*shingles(words, size), n, slots)
@@ -171,7 +171,7 @@ def _crossing(size: int, threshold: float):
 def _verify(size: int, threshold: float):
     def verify(batches):
         for batch in batches:
-            for part in slices(batch, "ta", 4 << 20):
+            for part in slices(batch, "ta", 1 << 20):
                 (ha, wa, ca), (hb, wb, cb) = (_sets(part.column(c), size) for c in ("ta", "tb"))
                 good = [probability_jaccard((ha[ca[i]:ca[i + 1]], wa[ca[i]:ca[i + 1]]),
                                             (hb[cb[i]:cb[i + 1]], wb[cb[i]:cb[i + 1]])) >= threshold - 1e-9
@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, rows_in: DataFrame, size: int, threshold: float)
         _verify(size, threshold), "u binary, v binary").checkpoint()
 
 
-BLOCK, BLOCK_BYTES = 2048, 8 << 20  # nodes of a family, and bytes of their texts, that are compared at once
+BLOCK, BLOCK_BYTES = 1024, 4 << 20  # nodes of a family, and bytes of their texts, that are compared at once
 
 
 def _labelled(df: DataFrame, size: int = 5, threshold: float = 0.8, bands: int = 32, rows: int = 5,

@@ -49,7 +49,8 @@ def near_duplicates(spark, sf_dir):
     """One row per document: its class, and how many documents the class has."""
     found = near_dedup.classes(C.read_table(spark, sf_dir, "documents"))
     sizes = found.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    return found.join(sizes, "class_id").select("doc_id", "class_id", "class_size")
+    # a class without any id has no name; its rows count for themselves
+    return found.join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
 @query("op8_quality")

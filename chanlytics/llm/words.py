@@ -132,7 +132,7 @@ def run_hash(hashes: np.ndarray, at: np.ndarray, size: int, salt: int = 0) -> np
     return out
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 8 << 20):
+def slices(batch: pa.RecordBatch, text: str, most: int = 2 << 20):
     """Cuts a batch so that each part has at most `most` bytes of text, or one row."""
     column = batch.column(batch.schema.get_field_index(text))
     size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)) if len(column) else []

@@ -10,7 +10,7 @@ Every stage works on all rows that the one before it kept, whole texts:
   near_dedup     of each class of near duplicates the document of least id stays
   decontaminate  documents in which ten consecutive benchmark words occur go
   pii            personal data is replaced by its kind, n_chars follows
-  sentencepiece  one row for each text, or each 16,384 characters of a longer one
+  sentencepiece  one row for each text, or each 65,536 characters of a longer one
 
 Null texts count as empty; empty texts pass every stage but the first,
 which scores them like any text.  Repeated rows are one class in the second.
