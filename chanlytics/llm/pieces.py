@@ -21,9 +21,10 @@ chunks at fixed positions, wherever these fall:
   3. each chunk is traced back on its own, between its two known states.
 No task ever holds more than a chunk of a giant text.
 
-No piece of the vocabulary has anything before a blank mark inside it, nor a
-line feed (checked when it is loaded), so a lattice falls into words; equal
-words are solved once per task.
+Where two neighbouring characters stand together in no piece, every path has
+a border.  No piece has anything before a blank mark inside it, nor a line
+feed (checked when the vocabulary is loaded), so a lattice falls into words
+and smaller segments; the distinct segments of a batch are solved together.
 """
 
 from __future__ import annotations
@@ -36,14 +37,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chanlytics.llm import common as C
 from chanlytics.llm.words import Words, buffers, slices
 
 MARK = "▁"
 _OTHER = "\ud800"  # stands for a mark that the text itself holds; no valid text has it
-CHUNK = 16_384
+CHUNK = 65_536
 FAN = 64
+LONG = 256  # characters of a segment from which it is solved on its own
+REMEMBERED = 1 << 20  # segments that a task remembers, about 40 bytes each
 _STEPS = 4096
 _NONE = -(1 << 90)  # no path, among Python integers
 _FAR = -(1 << 60)  # no path, in a matrix
@@ -113,7 +117,23 @@ class Vocabulary:
             for k in range(1, len(p)):
                 self.table.setdefault(p[:k], -1)
             self.table[p] = i
-        self._known: dict[str, tuple[int, tuple[int, ...]]] = {}
+        #: whether two bytes may stand side by side in a piece (blanks as bytes 0x20, non-ASCII always)
+        self.joined = np.zeros((256, 256), bool)
+        self.joined[0x80:], self.joined[:, 0x80:] = True, True
+        for p in self.ids:
+            plain = p.replace(MARK, " ")
+            for x, y in zip(plain, plain[1:]):
+                if x < "\x80" and y < "\x80":
+                    self.joined[ord(x), ord(y)] = True
+        # the prefix tree as sorted (node, character) keys; node 0 is the empty prefix
+        prefixes = list(self.table)
+        number = {p: i for i, p in enumerate(prefixes, 1)} | {"": 0}
+        key = np.array([number[p[:-1]] << 21 | ord(p[-1]) for p in prefixes], np.int64)
+        order = np.argsort(key)
+        self.edge, self.child = key[order], order + 1
+        self.piece_at = np.array([-1, *self.table.values()], np.int64)
+        #: solved segments: hashes, where their ids begin, how many they are, the ids
+        self.memo = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 
     def fallback(self, char: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in (MARK if char == _OTHER else char).encode())
@@ -136,7 +156,7 @@ class Vocabulary:
         n, table, scores, longest = len(text), self.table, self.scores, self.longest
         best = [0] + [_NONE] * n
         back: list = [None] * (n + 1)
-        for i in range(n):  # arcs(), written out: this runs for every distinct word
+        for i in range(n):  # arcs(), written out
             here, single = best[i], True
             for j in range(i + 1, min(n, i + longest) + 1):
                 p = table.get(text[i:j])
@@ -160,14 +180,72 @@ class Vocabulary:
             end = i
         return tuple(x for part in reversed(parts) for x in part)
 
-    def word(self, text: str) -> tuple[int, tuple[int, ...]]:
-        """solve(), remembered."""
-        got = self._known.get(text)
-        if got is None:
-            if len(self._known) >= 200_000:
-                self._known.clear()
-            got = self._known[text] = self.solve(text)
-        return got
+    def solve_many(self, codes: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """solve() for many short texts, one behind another: (ids of all, how many each has).
+
+        codes: the characters as the lattice reads them.  All texts go
+        forward together, one character at a time.
+        """
+        texts, total = len(length), int(length.sum())
+        stop = np.cumsum(length)
+        text_of = np.repeat(np.arange(texts), length)
+        # arcs: walk down the prefix tree from every character
+        at, node = np.arange(total), np.zeros(total, np.int64)
+        left = stop[text_of] - at
+        single = np.zeros(total, bool)
+        arcs = []
+        for size in range(1, self.longest + 1):
+            inside = left[at] >= size
+            at, node = at[inside], node[inside]
+            key = node << 21 | codes[at + size - 1]
+            place = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            there = self.edge[place] == key
+            at, node = at[there], self.child[place[there]]
+            if not len(at):
+                break
+            piece = self.piece_at[node]
+            good = piece >= 0
+            if size == 1:
+                single[at[good]] = True
+            arcs.append((at[good], np.full(good.sum(), size), piece[good]))
+        lone = np.flatnonzero(~single)
+        arcs.append((lone, np.ones(len(lone), np.int64), np.full(len(lone), -1)))
+        start, size, piece = (np.concatenate(x) for x in zip(*arcs))
+        score = np.append(np.array(self.scores, np.int64), self.unknown)[piece]
+        # borders: a text has one more than characters
+        first = stop - length + np.arange(texts)
+        depth = start - (stop - length)[text_of[start]]
+        order = np.argsort(depth.astype(np.int16), kind="stable")  # short texts: LONG at most
+        begin, size, piece, score = (start + text_of[start])[order], size[order], piece[order], score[order]
+        cuts = np.searchsorted(depth[order], np.arange(length.max(initial=0) + 1))
+        best = np.full(total + texts, _FAR, np.int64)
+        best[first] = 0
+        back = np.zeros((2, total + texts), np.int64)
+        for a, b in zip(cuts, cuts[1:]):
+            here = begin[a:b]
+            end, value = here + size[a:b], best[here] + score[a:b]
+            good = np.flatnonzero(value > best[end])  # arcs of one depth and text end at different borders
+            best[end[good]] = value[good]
+            back[0, end[good]], back[1, end[good]] = size[a:b][good], piece[a:b][good]
+        # all texts back together
+        now, owner, borders = first + length, np.arange(texts), []
+        while len(now):
+            going = now > first[owner]
+            now, owner = now[going], owner[going]
+            borders.append(now)
+            now = now - back[0, now]
+        border = np.sort(np.concatenate(borders)) if borders else np.zeros(0, np.int64)
+        ids, owner = back[1, border], np.searchsorted(first, border, "right") - 1
+        count = np.ones(len(ids), np.int64)
+        spelt = {}
+        for k in np.flatnonzero(ids < 0).tolist():
+            spelt[k] = self.fallback(chr(codes[border[k] - owner[k] - 1]))
+            count[k] = len(spelt[k])
+        out = np.repeat(ids, count)
+        begin = np.cumsum(count) - count
+        for k, own in spelt.items():
+            out[begin[k]:begin[k] + len(own)] = own
+        return out.astype(np.int32), np.bincount(owner, count, texts).astype(np.int64)
 
     # --- one chunk of a longer text ---------------------------------------------
 
@@ -216,27 +294,28 @@ class Vocabulary:
         # what lies between the first and the last cut is the same for all states
         return _levelled(head[:, None] + tail[None, :])
 
-    @staticmethod
-    def _words(text: str, inside: list[int]) -> list[str]:
-        return [text[a:b] for a, b in zip(inside, inside[1:])]
-
-    def trace(self, text: str, begin: int, s: int, t: int) -> tuple[int, ...]:
-        """Ids between the borders begin - s and len(text) - t."""
+    def trace_ends(self, text: str, begin: int, s: int, t: int) -> tuple[tuple[int, ...], str, tuple[int, ...]]:
+        """Between the borders begin - s and len(text) - t: ids up to the first cut, the text between the first
+        and the last, which falls into segments, and ids from there."""
         start, end = begin - s, len(text) - t
         inside = [c for c in self.cuts(text) if begin < c < end]
         if not inside:
-            return self._ids(text, self._paths(text, start, begin, end)[1], start, end) if end > start else ()
-        out = list(self._ids(text, self._paths(text, start, begin, inside[0])[1], start, inside[0]))
-        for w in self._words(text, inside):
-            out += self.word(w)[1]
-        out += self._ids(text, self._paths(text, inside[-1], inside[-1], end)[1], inside[-1], end)
-        return tuple(out)
+            ids = self._ids(text, self._paths(text, start, begin, end)[1], start, end) if end > start else ()
+            return ids, "", ()
+        first, last = inside[0], inside[-1]
+        return (self._ids(text, self._paths(text, start, begin, first)[1], start, first), text[first:last],
+                self._ids(text, self._paths(text, last, last, end)[1], last, end))
+
+    def trace(self, text: str, begin: int, s: int, t: int) -> tuple[int, ...]:
+        """The ids between the borders begin - s and len(text) - t."""
+        head, middle, tail = self.trace_ends(text, begin, s, t)
+        return (*head, *self.solve(middle)[1], *tail)
 
 
 def _levelled(matrix: np.ndarray) -> np.ndarray:
     """Only differences count: entries less the largest, which stay small however long the text."""
     top = matrix.max()
-    return np.where(matrix > top + _FAR, matrix - top, _FAR).astype(np.int64)
+    return np.where(matrix > _FAR // 2, matrix - top, _FAR).astype(np.int64)
 
 
 def compose(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -282,18 +361,17 @@ def marked(text: str, begins: bool) -> str:
 
 
 class _Segments(Words):
-    """Words of a batch as the lattice cuts them: a run of blanks and what follows, or a line feed."""
-
-    def __init__(self, column):
-        raw, offsets = buffers(column)
-        some = np.flatnonzero(np.diff(offsets) > 0)
-        # the blank before the begin of each text that is not empty
-        self.raw = np.insert(raw, offsets[some], 0x20)
-        self.offsets = offsets + np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])
+    """Pieces of a batch's texts between places that no piece of the vocabulary crosses."""
+
+    def __init__(self, column, joined: np.ndarray, begins: bool):
+        self.raw, self.offsets = buffers(column)
+        if begins:  # the blank before the begin of each text that is not empty
+            some = np.diff(self.offsets) > 0
+            self.raw = np.insert(self.raw, self.offsets[:-1][some], 0x20)
+            self.offsets = self.offsets + np.concatenate([[0], np.cumsum(some)])
         data, n = self.raw, len(self.raw)
-        begin = (data == 0x20) | (data == 0x0A)
-        begin[1:] &= ~((data[1:] == 0x20) & (data[:-1] == 0x20))
-        begin[1:] |= data[:-1] == 0x0A
+        begin = np.zeros(n, bool)
+        begin[1:] = ~joined[data[:-1], data[1:]]
         begin[self.offsets[:-1][np.diff(self.offsets) > 0]] = True
         self.start = np.flatnonzero(begin)
         self.end = np.append(self.start[1:], n) if n else self.start
@@ -302,17 +380,56 @@ class _Segments(Words):
         self.hash = self._hashes(data)
 
 
-def _encode_batch(vocabulary: Vocabulary, column) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row, and where each text's begin (one more entry than texts)."""
-    cut = _Segments(column)
+def _solve(vocabulary: Vocabulary, cut: _Segments, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, how many each has) of some segments, one behind another."""
+    begin, count = cut.start[which], (cut.end - cut.start)[which]
+    chosen = cut.raw[np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+    codes = np.frombuffer(chosen.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    codes = np.where(codes == ord(MARK), ord(_OTHER), np.where(codes == 0x20, ord(MARK), codes))
+    heads = np.concatenate([[0], np.cumsum((chosen & 0xC0) != 0x80)])
+    chars = np.diff(heads[np.concatenate([[0], np.cumsum(count)])])
+    # a very long segment would hold the others up: it is solved alone
+    short = chars <= LONG
+    size = np.zeros(len(which), np.int64)
+    ids, size[short] = vocabulary.solve_many(codes[np.repeat(short, chars)], chars[short])
+    if short.all():
+        return ids, size
+    parts, a, c = [], 0, 0
+    for k, n in enumerate(chars.tolist()):
+        if short[k]:
+            parts.append(ids[a:a + size[k]])
+            a += size[k]
+        else:
+            parts.append(np.array(vocabulary.solve("".join(map(chr, codes[c:c + n])))[1], np.int32))
+            size[k] = len(parts[-1])
+        c += n
+    return np.concatenate(parts), size
+
+
+def _encode_batch(vocabulary: Vocabulary, column, begins: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, and where each text's begin (one more entry than texts).
+
+    begins: whether the texts are whole, with a blank before their begin.
+    """
+    cut = _Segments(column, vocabulary.joined, begins)
     distinct, first, place = np.unique(cut.hash, return_index=True, return_inverse=True)
-    raw = cut.raw.tobytes()
-    solved = []
-    for a, b in zip(cut.start[first].tolist(), cut.end[first].tolist()):
-        solved.append(vocabulary.word(raw[a:b].decode().replace(MARK, _OTHER).replace(" ", MARK))[1])
-    size = np.array([len(x) for x in solved], np.int64)
-    flat = np.array([i for x in solved for i in x], np.int32)
-    at = np.cumsum(size) - size
+    # segments that earlier batches of the task have solved
+    known, known_at, known_size, known_ids = vocabulary.memo
+    where = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
+    found = known[where] == distinct if len(known) else np.zeros(len(distinct), bool)
+    new = np.flatnonzero(~found)
+    at, size = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+    at[found], size[found] = known_at[where[found]], known_size[where[found]]
+    ids, size[new] = _solve(vocabulary, cut, first[new])
+    at[new] = len(known_ids) + np.cumsum(size[new]) - size[new]
+    flat = np.concatenate([known_ids, ids])
+    if len(known) + len(new) > REMEMBERED:
+        vocabulary.memo = distinct[new], at[new] - len(known_ids), size[new], ids
+    else:
+        every = np.concatenate([known, distinct[new]])
+        order = np.argsort(every, kind="stable")
+        vocabulary.memo = (every[order], np.concatenate([known_at, at[new]])[order],
+                           np.concatenate([known_size, size[new]])[order], flat)
     length = size[place] if len(distinct) else np.zeros(0, np.int64)
     ends = np.cumsum(length)
     total = int(ends[-1]) if len(ends) else 0
@@ -331,7 +448,7 @@ def _encode(shared):
     def encode(batches):
         vocabulary = _vocabulary(shared)
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", 2 << 20):
                 ids, at = _encode_batch(vocabulary, rows.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_key"), rows.column("doc_id"), pa.array(np.zeros(rows.num_rows, np.int32)),
@@ -416,18 +533,24 @@ def _trace(shared):
     def trace(batches):
         vocabulary = _vocabulary(shared)
         for batch in batches:
-            ids, size, digest = [], [0], []
-            for row in batch.to_pylist():
-                text, begin = _lattice(row, vocabulary.longest)
-                ids += vocabulary.trace(text, begin, row["s"], row["t"])
-                size.append(len(ids))
-                # the characters between the borders, without the blank before the text
-                extra = len(text) - len(row["text"])
-                own = row["text"][max(0, begin - row["s"] - extra):len(text) - row["t"] - extra]
-                digest.append(hashlib.md5(own.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_key"), batch.column("part"), pa.array(digest, pa.string()),
-                 _id_lists(np.array(ids, np.int32), np.array(size))], ["doc_key", "part", "md5", "ids"])
+            for part in slices(batch, "text"):
+                heads, middles, tails, digest = [], [], [], []
+                for row in part.to_pylist():
+                    text, begin = _lattice(row, vocabulary.longest)
+                    head, middle, tail = vocabulary.trace_ends(text, begin, row["s"], row["t"])
+                    heads.append(head)
+                    middles.append(middle.replace(MARK, " ").replace(_OTHER, MARK))
+                    tails.append(tail)
+                    # the characters between the borders, without the blank before the text
+                    extra = len(text) - len(row["text"])
+                    own = row["text"][max(0, begin - row["s"] - extra):len(text) - row["t"] - extra]
+                    digest.append(hashlib.md5(own.encode()).hexdigest())
+                ids, at = _encode_batch(vocabulary, pa.array(middles, pa.string()), begins=False)
+                whole = [np.concatenate([np.array(h, np.int32), ids[a:b], np.array(t, np.int32)])
+                         for h, a, b, t in zip(heads, at, at[1:], tails)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_key"), part.column("part"), pa.array(digest, pa.string()),
+                     _id_lists(np.concatenate(whole), np.cumsum([0, *map(len, whole)]))], ["doc_key", "part", "md5", "ids"])
     return trace
 
 
@@ -443,8 +566,15 @@ def _short(rows: DataFrame, shared, chunk: int) -> DataFrame:
             .mapInArrow(_encode(shared), _PARTS))
 
 
-def _long(rows: DataFrame, shared, chunk: int, fan: int) -> DataFrame:
-    """doc_key, part, md5, ids for each distinct longer text: the max-plus scan."""
+def _after(first, second):
+    """Two batch functions as one."""
+    def both(batches):
+        yield from second(first(batches))
+    return both
+
+
+def _traces(rows: DataFrame, shared, chunk: int, fan: int) -> DataFrame:
+    """The chunks of each distinct longer text, with the border states that the max-plus scan gives them."""
     longest = Vocabulary(shared.value).longest
     chunks = (rows.where(F.length("text") > chunk).select("doc_key", "text")
               .mapInArrow(_cut(chunk, longest - 1), _CHUNKS).dropDuplicates(["doc_key", "part"]))
@@ -454,8 +584,12 @@ def _long(rows: DataFrame, shared, chunk: int, fan: int) -> DataFrame:
     outer = groups.groupBy("doc_key").applyInArrow(_between_groups, "doc_key long, grp int, s int, t int")
     states = (matrices.groupBy("doc_key", "grp").cogroup(outer.groupBy("doc_key", "grp"))
               .applyInArrow(_between_chunks, "doc_key long, part int, s int, t int"))
-    return (chunks.join(states, ["doc_key", "part"]).select("doc_key", "part", "context", "text", "s", "t")
-            .mapInArrow(_trace(shared), "doc_key long, part int, md5 string, ids array<int>"))
+    return chunks.join(states, ["doc_key", "part"]).select("doc_key", "part", "context", "text", "s", "t")
+
+
+def _long(rows: DataFrame, shared, chunk: int, fan: int) -> DataFrame:
+    """doc_key, part, md5, ids for each distinct longer text."""
+    return _traces(rows, shared, chunk, fan).mapInArrow(_trace(shared), "doc_key long, part int, md5 string, ids array<int>")
 
 
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None,
@@ -505,7 +639,8 @@ def decode(parts: DataFrame, model: str | None = None) -> DataFrame:
     character.  Null lists decode to the empty text.
     """
     rows = parts.drop("text")
-    return rows.mapInArrow(_decode(load(parts.sparkSession, model)), rows.schema.add("text", "string"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
+    return rows.mapInArrow(_decode(load(parts.sparkSession, model)), schema)
 
 
 def _check(shared, keep: list[str]):
@@ -536,9 +671,12 @@ def report(df: DataFrame, model: str | None = None, chunk: int = CHUNK, fan: int
     shared = load(df.sparkSession, model)
     rows = _texts(df, "doc_id", "text")
     sums = "n long, a long, b long, same boolean"
-    short = _short(rows, shared, chunk).mapInArrow(_check(shared, ["doc_id"]), f"doc_id long, {sums}").select(
+    # encoding and its check in one pass: ids need not leave the task
+    short = (rows.where(F.length("text") <= chunk).select("*", F.md5("text").alias("md5"))
+             .mapInArrow(_after(_encode(shared), _check(shared, ["doc_id"])), f"doc_id long, {sums}")).select(
         "doc_id", F.col("n").alias("n_pieces"), (F.col("b") % _PRIME).alias("ids_check"), F.col("same").alias("round_trip"))
-    parts = _long(rows, shared, chunk, fan).mapInArrow(_check(shared, ["doc_key", "part"]), f"doc_key long, part int, {sums}")
+    parts = _traces(rows, shared, chunk, fan).mapInArrow(
+        _after(_trace(shared), _check(shared, ["doc_key", "part"])), f"doc_key long, part int, {sums}")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("doc_key").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
     whole = (parts.withColumn("c", (F.col("b") + before % _PRIME * (F.col("a") % _PRIME)) % _PRIME).groupBy("doc_key")
