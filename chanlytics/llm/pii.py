@@ -83,28 +83,40 @@ def _loose(kind: str, c: Column) -> Column:
             "phone": (n >= 7) & (n <= 15)}[kind]
 
 
-def _needs(kind: str) -> str:
-    """A character without which no match of the kind exists."""
-    return {"email": "@", "ip": ".", "card": "", "phone": ""}[kind]
-
-
-def _matches(rows: DataFrame, kind: str, pattern: str) -> DataFrame:
-    """doc_key, start, end, item, before (the text up to it) of every match."""
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    between = F.split("text", pattern, -1)
-    if _needs(kind):
-        rows = rows.where(F.contains("text", F.lit(_needs(kind))))
-    # one entry a match: the string, the length of the gap before it and its tail
-    entries = F.transform(F.col("m"), lambda x, i: F.struct(
-        i.alias("i"), x.alias("item"), F.length(F.get("g", i)).alias("gap"),
-        F.right(F.get("g", i), F.lit(CONTEXT)).alias("before")))
+#: A character without which a pattern has no match.
+_NEEDS = {"email": "@", "ip": ".", "phone": "+"}
+
+
+def _matches(rows: DataFrame) -> DataFrame:
+    """doc_key, kind, base, start, end, item, before (the text up to it) of every match of every pattern.
+
+    One pass over the texts; a text without a pattern's characters is not
+    searched for it.
+    """
+    patterns = [(k, True, p) for k, p in _BASE.items()] + [(k, False, p) for k, p in _LOOSE.items()]
+    digit = F.rlike("text", F.lit("[0-9]"))
+    columns = []
+    for n, (kind, base, pattern) in enumerate(patterns):
+        need = F.contains("text", F.lit(_NEEDS[kind])) if kind in _NEEDS and (base or kind == "email") else digit
+        columns += [F.when(need, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias(f"m{n}"),
+                    F.when(need, F.split("text", pattern, -1)).alias(f"g{n}")]
+
+    def entries(n: int) -> Column:  # one a match: the string, the length of the gap before it and its tail
+        none = F.array().cast("array<struct<p:int,i:int,item:string,gap:int,before:string>>")
+        return F.coalesce(F.transform(f"m{n}", lambda x, i: F.struct(
+            F.lit(n).alias("p"), i.alias("i"), x.alias("item"), F.length(F.get(f"g{n}", i)).alias("gap"),
+            F.right(F.get(f"g{n}", i), F.lit(CONTEXT)).alias("before"))), none)
+
     # an outer explode, lest Spark derive a filter that evaluates the expressions once more
-    each = (rows.select("doc_key", found.alias("m"), between.alias("g"))
-            .select("doc_key", F.explode_outer(entries).alias("e")).where("e is not null").select("doc_key", "e.*")
-            .dropDuplicates(["doc_key", "i"]))  # equal rows of documents
-    upto = Window.partitionBy("doc_key").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = F.concat(*[entries(n) for n in range(len(patterns))])
+    each = (rows.select("doc_key", *columns).select("doc_key", F.explode_outer(every).alias("e"))
+            .where("e is not null").select("doc_key", "e.*")
+            .dropDuplicates(["doc_key", "p", "i"]))  # equal rows of documents
+    upto = Window.partitionBy("doc_key", "p").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap") + F.length("item")).over(upto)
-    return each.select("doc_key", (end - F.length("item")).alias("start"), end.alias("end"), "item", "before")
+    which = lambda j: F.get(F.array(*[F.lit(x[j]) for x in patterns]), F.col("p"))
+    return each.select("doc_key", which(0).alias("kind"), which(1).alias("base"),
+                       (end - F.length("item")).alias("start"), end.alias("end"), "item", "before")
 
 
 def _pattern() -> Column:
@@ -153,19 +165,13 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.xxhash64(F.col(id_col), text).alias("doc_key"), F.col(id_col).cast("long").alias("doc_id"),
                      text.alias("text"))
-    some = rows.where(F.rlike("text", F.lit("[0-9@]")))
-    parts = []
+    item = F.col("item")
+    accepted, loose = F.lit(False), F.lit(False)
     for kind in KINDS:
-        item = F.col("item")
-        parts.append(_matches(some, kind, _BASE[kind]).select(
-            "*", F.lit(kind).alias("kind"), _accepted(kind, item).alias("seed"), _loose(kind, item).alias("loose")))
-    for kind, pattern in _LOOSE.items():
-        parts.append(_matches(some, kind, pattern).select(
-            "*", F.lit(kind).alias("kind"), F.lit(False).alias("seed"), _loose(kind, F.col("item")).alias("loose")))
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    every = every.where("seed or loose").withColumn("pattern", _pattern()).drop("before", "loose")
+        accepted = F.when(F.col("kind") == kind, _accepted(kind, item)).otherwise(accepted)
+        loose = F.when(F.col("kind") == kind, _loose(kind, item)).otherwise(loose)
+    every = (_matches(rows).withColumn("seed", F.col("base") & accepted).where(F.col("seed") | loose)
+             .withColumn("pattern", _pattern()).drop("before", "base"))
     # candidates must not touch a base span of their document
     order = Window.partitionBy("doc_key").orderBy("start", "end")
     earlier = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
