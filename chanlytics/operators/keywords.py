@@ -10,7 +10,7 @@ The dictionary is a list or a DataFrame; either way it is a relation that
 the texts are joined to, and Spark picks the join by its size.
 * words join the exploded tokens;
 * a phrase joins the texts at its first gap between words: the last
-  characters before it and the first after it (up to three each) must stand
+  characters before it and the first after it (up to two each) must stand
   side by side in the text.  Only texts that have them are tested for the
   whole phrase, so no text meets every phrase.
 A partial aggregate per task then shuffles at most one row per keyword and
@@ -26,7 +26,7 @@ from chanlytics.functions.text import tokens
 
 # The characters that the reference's language splits at.
 BLANK = ("[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
-EDGE = 3  # characters on either side of a phrase's first gap
+EDGE = 2  # characters on either side of a phrase's first gap
 
 
 def _parts(text: Column) -> Column:
@@ -46,7 +46,7 @@ def dictionary(keywords: "DataFrame | list[str]", column: str, like: DataFrame)
 
 
 def _shapes(kw: DataFrame) -> list[tuple[int, int]]:
-    """The distinct (characters before, characters after) of the phrases' first gaps: nine at most.
+    """The distinct (characters before, characters after) of the phrases' first gaps: four at most.
 
     One small job over the dictionary.
     """
@@ -56,7 +56,7 @@ def _shapes(kw: DataFrame) -> list[tuple[int, int]]:
 
 
 def _edge(left: Column, right: Column, a: int, b: int) -> Column:
-    return F.concat(F.right(left, F.lit(a)), F.lit(" "), F.left(right, F.lit(b)))
+    return F.concat(F.substring(left, -a, a), F.lit(" "), F.substring(right, 1, b))
 
 
 def _phrase_pairs(texts: DataFrame, phrases: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
@@ -94,9 +94,10 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
             .join(words, "product_name").select(*group_cols, "product_name", F.lit(1).cast("long").alias("n")))
     shapes = _shapes(kw)
     if shapes:
-        keyed = src.withColumn("text_key", F.md5("lt"))
+        # a text's tokens are counted once, however many phrases it has
+        keyed = src.withColumns({"text_key": F.md5("lt"), "n": F.size(tokens("lt")).cast("long")})
         pairs = _phrase_pairs(keyed.select("text_key", "lt"), kw.where(F.size("parts") > 1), shapes)
         found = keyed.join(pairs, "text_key").where(F.contains("lt", "product_name"))
-        hits = hits.unionByName(found.select(*group_cols, "product_name", F.size(tokens("lt")).cast("long").alias("n")))
+        hits = hits.unionByName(found.select(*group_cols, "product_name", "n"))
     return (hits.groupBy(*group_cols, "product_name").agg(F.sum("n").cast("long").alias("mention_count"))
             .where("mention_count > 0"))

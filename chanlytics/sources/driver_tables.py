@@ -43,13 +43,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """A scan in fewer pieces than there are task slots, dealt out over them.
+
+    The driver's small tables are one row group, which one task reads.  A
+    table of at least as many pieces as slots is left as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, key)
+
+
+def export_rows(spark: SparkSession, sf_dir: str, deal: bool = False) -> DataFrame:
     """documents -> landing-export records plus their file and position.
 
     A file is one channel on one scrape date (``<date>/<channel>.json``);
-    the position inside the file follows doc_id.
+    the position inside the file follows doc_id.  ``deal``: see dealt().
     """
     d = table(spark, sf_dir, "documents")
+    if deal:
+        d = dealt(d, "doc_id")
     msg_date = F.date_add(F.lit(BASE_DATE), (F.col("doc_id") % DATE_SPREAD_DAYS).cast("int"))
     scrape = F.date_add(msg_date, (F.col("doc_id") % SCRAPE_LAG_DAYS).cast("int"))
     photo = (F.col("doc_id") % 6 == 0)
@@ -78,11 +90,11 @@ def message_text() -> "F.Column":
 
 
 def raw_messages(spark: SparkSession, sf_dir: str,
-                 mapping: "DataFrame | dict[str, str] | None" = None) -> DataFrame:
+                 mapping: "DataFrame | dict[str, str] | None" = None, deal: bool = False) -> DataFrame:
     """documents -> the raw messages table (one row per document)."""
     from chanlytics.operators.lookup import map_channel_with_fallback
 
-    ex = export_rows(spark, sf_dir)
+    ex = export_rows(spark, sf_dir, deal)
     mapping = CHANNEL_MAP if mapping is None else mapping
     ex = map_channel_with_fallback(ex, mapping, "channel").withColumn("text", message_text())
     return ex.select(
