@@ -20,8 +20,11 @@ and each context a quantised back-off weight (uint8 bucket, see below).
 
 Smoothing: p(w|h) = (1 - b) c(hw)/c(h) + b p(w|h'), where b is the share
 of training tokens, among contexts of about h's frequency, whose n-gram is
-seen once (Good-Turing's unseen mass), pooled over all blocks; p(w) is the
-base (c + 0.5) / (N + 0.5 (V + 1)).  Contexts never seen have b = 1.
+seen once (Good-Turing's unseen mass).  Both "once" and the frequency are
+corpus counts: after the shards have answered, each block tallies its own
+training tokens under them, and the tallies are summed before any text is
+scored.  p(w) is the base (c + 0.5) / (N + 0.5 (V + 1)).  Contexts never
+seen have b = 1.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ _BUCKETS = 48
 _ORDERS = 3
 
 _PACKET = "shard int, block int, payload binary"
+_TALLY = "cell int, tokens long, once long"
 _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double")
 
@@ -122,13 +126,18 @@ def _bucket(count: np.ndarray) -> np.ndarray:
     return np.where(count > 0, np.minimum(1 + np.floor(2 * np.log2(np.maximum(count, 1))), _BUCKETS - 1), 0).astype(np.uint8)
 
 
-def _unseen(block: Block, counts: list[np.ndarray]) -> np.ndarray:
-    """[2, buckets, 2]: for bigrams and trigrams, by context bucket, tokens and those of n-grams seen once."""
-    out = np.zeros((2, _BUCKETS, 2))
-    for k, (c, h) in enumerate(zip(counts[1:], block.context_counts(counts))):
+def _unseen(block: Block, counts: list[np.ndarray], local: list[np.ndarray]) -> np.ndarray:
+    """[2, buckets, 2]: for bigrams and trigrams, by context bucket, the block's tokens and those of n-grams seen once.
+
+    Buckets and "once" go by the corpus counts; what is added up are the
+    block's own (``local``), so the sum over all blocks has every training
+    token once, and an n-gram seen once in the block that holds it.
+    """
+    out = np.zeros((2, _BUCKETS, 2), np.int64)
+    for k, (c, own, h) in enumerate(zip(counts[1:], local[1:], block.context_counts(counts))):
         at = _bucket(h)
-        out[k, :, 0] = np.bincount(at, c, _BUCKETS)
-        out[k, :, 1] = np.bincount(at, c == 1, _BUCKETS)
+        out[k, :, 0] = np.bincount(at, own, _BUCKETS)
+        out[k, :, 1] = np.bincount(at, (c == 1) & (own == 1), _BUCKETS)
     return out
 
 
@@ -226,15 +235,9 @@ def _ask(shards: int, bits: int):
         block = Block(B.documents(table))
         parts = block.keys(bits)
         cuts = [P.shard_cuts(key_, shards, bits) for key_, _, _ in parts]
-        local = []
-        for keys, order, count in parts:
-            plain = np.empty(len(order), np.int64)
-            plain[order] = count
-            local.append(plain)
-        stats = _unseen(block, local).tobytes()
         payloads = []
         for s in range(shards):
-            body = [stats]
+            body = []
             for (keys, _, count), cut in zip(parts, cuts):
                 own = slice(cut[s], cut[s + 1])
                 body += [P.pack_keys(keys[own]), P.pack(count[own])]
@@ -247,15 +250,14 @@ def _ask(shards: int, bits: int):
 
 
 def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Corpus counts for every key asked, with this shard's tokens, distinct words and the pooled statistics."""
+    """Corpus counts for every key asked, with this shard's tokens and distinct words."""
     table = table.sort_by("block")
     asked = [P.split(x) for x in table.column("payload").to_pylist()]
-    stats = sum(np.frombuffer(a[0], np.float64) for a in asked)
     bodies: list[list[bytes]] = [[] for _ in asked]
     tokens = kinds = 0
     for order in range(_ORDERS):
-        keys = [P.unpack_keys(a[1 + 2 * order]) for a in asked]
-        counts = [P.unpack(a[2 + 2 * order], np.int64) for a in asked]
+        keys = [P.unpack_keys(a[2 * order]) for a in asked]
+        counts = [P.unpack(a[1 + 2 * order], np.int64) for a in asked]
         _, total, place = P.totals(keys, counts)
         if order == 0:
             tokens, kinds = int(total.sum()), int((total > 0).sum())
@@ -263,12 +265,40 @@ def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         for body, k in zip(bodies, keys):
             body.append(P.pack(total[place[at:at + len(k)]]))
             at += len(k)
-    head = np.array([tokens, kinds], np.int64).tobytes() + stats.tobytes()
+    head = np.array([tokens, kinds], np.int64).tobytes()
     return pa.table({"shard": pa.array([key[0].as_py()] * len(asked), pa.int32()),
                      "block": table.column("block").cast(pa.int32()),
                      "payload": pa.array([P.joined([head, *b]) for b in bodies], pa.binary())})
 
 
+def _counted(block: Block, got: list[list[bytes]], bits: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each order, corpus counts and the block's own training counts of its n-grams."""
+    counts, local = [], []
+    for order, (_, place, own) in enumerate(block.keys(bits)):
+        for out, ranked in ((counts, np.concatenate([P.unpack(g[1 + order], np.int64) for g in got])), (local, own)):
+            plain = np.empty(len(place), np.int64)
+            plain[place] = ranked
+            out.append(plain)
+    return counts, local
+
+
+def _bodies(answers: pa.Table) -> list[list[bytes]]:
+    return [P.split(x) for x in answers.sort_by("shard").column("payload").to_pylist()]
+
+
+def _tally(bits: int):
+    def tally(key: tuple[pa.Scalar, ...], dealt: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = B.documents(dealt)
+        cells = np.zeros((0, 2), np.int64)
+        if docs.num_rows:
+            block = Block(docs)
+            cells = _unseen(block, *_counted(block, _bodies(answers), bits)).reshape(-1, 2)
+        used = np.flatnonzero(cells[:, 0])
+        return pa.table({"cell": pa.array(used, pa.int32()), "tokens": pa.array(cells[used, 0]),
+                         "once": pa.array(cells[used, 1])})
+    return tally
+
+
 def _score(bits: int):
     def score(key: tuple[pa.Scalar, ...], dealt: pa.Table, answers: pa.Table) -> pa.Table:
         docs = B.documents(dealt)
@@ -277,17 +307,15 @@ def _score(bits: int):
 
 
 def _scored(docs: pa.Table, answers: pa.Table, bits: int) -> pa.Table:
-    answers = answers.sort_by("shard")
-    got = [P.split(x) for x in answers.column("payload").to_pylist()]
-    heads = [np.frombuffer(g[0][:16], np.int64) for g in got]
+    got = _bodies(answers)
+    heads = [np.frombuffer(g[0], np.int64) for g in got]
     tokens, kinds = int(sum(h[0] for h in heads)), int(sum(h[1] for h in heads))
-    weights = _weights(np.frombuffer(got[0][0][16:], np.float64).reshape(2, _BUCKETS, 2))
+    stats = np.zeros((2 * _BUCKETS, 2))
+    for c in answers.column("cells").drop_null()[0].as_py():
+        stats[c["cell"]] = c["tokens"], c["once"]
+    weights = _weights(stats.reshape(2, _BUCKETS, 2))
     block = Block(docs)
-    counts = []
-    for order, (keys, place, _) in enumerate(block.keys(bits)):
-        plain = np.empty(len(keys), np.int64)
-        plain[place] = np.concatenate([P.unpack(g[1 + order], np.int64) for g in got])
-        counts.append(plain)
+    counts, _ = _counted(block, got, bits)
     trie = Trie(block, counts, tokens, kinds, weights)
     ids = np.append(trie.vocabulary.find(block.vocabulary), block.V)
     place, lower = trie.bigrams(ids[block.first], ids[block.second])
@@ -321,7 +349,13 @@ def score_texts(df: DataFrame, held_out, id_col: str = "doc_id", text_col: str =
     """
     total = B.text_bytes(df, text_col)
     blocks, bits = B.count_for(df, total, block_bytes), key_bits(total)
-    docs = B.deal(df, blocks, id_col, text_col, held_out).groupBy("block")
-    asked = docs.applyInArrow(_ask(blocks, bits), _PACKET)
-    answers = asked.groupBy("shard").applyInArrow(_answer, _PACKET)
-    return docs.cogroup(answers.groupBy("block")).applyInArrow(_score(bits), _SCORES)
+    docs = B.deal(df, blocks, id_col, text_col, held_out).repartition("block")
+    asked = docs.groupBy("block").applyInArrow(_ask(blocks, bits), _PACKET)
+    answers = asked.groupBy("shard").applyInArrow(_answer, _PACKET).repartition("block")
+    tallies = docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_tally(bits), _TALLY)
+    cells = tallies.groupBy("cell").agg(F.sum("tokens").alias("tokens"), F.sum("once").alias("once"))
+    # one row of 96 cells at most; a block gets it with the answer of shard 0
+    pooled = cells.agg(F.coalesce(F.min(F.lit(0)), F.lit(0)).alias("shard"),
+                       F.collect_list(F.struct("cell", "tokens", "once")).alias("cells"))
+    answers = answers.join(F.broadcast(pooled), "shard", "left")
+    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(bits), _SCORES)

@@ -105,6 +105,13 @@ def test_counts_are_the_corpus_over_many_blocks(spark):
     check(ROWS, score_texts(documents(spark), C.fold_of("doc_id") == 1, block_bytes=1 << 14).collect(), None)
 
 
+def test_back_off_weights_are_the_corpus_over_many_blocks(spark):
+    C.prepare(spark)
+    df = documents(spark)
+    assert df.count() > 8  # several blocks with documents
+    check(ROWS, score_texts(df, C.fold_of("doc_id") == 1, block_bytes=1 << 10).collect(), 2e-3)
+
+
 def test_held_out_text_is_likelier_than_by_words_alone(spark):
     C.prepare(spark)
     df = C.read_table(spark, "/root/testdata/sf0.01", "documents")
