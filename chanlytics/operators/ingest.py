@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chanlytics import model
@@ -52,18 +52,50 @@ def validate_export_files(parsed: DataFrame, mapping: dict[str, str] | None = No
     """
     mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
     reasons = F.filter(F.transform("records", lambda r: _reason(r, mapping)), lambda x: x.isNotNull())
+    key = [c for c in ("source_file", "part") if c in parsed.columns]
     return parsed.select(
-        "source_file", "records",
+        *key, "records",
         F.size("records").alias("n_records"),
         F.when(F.col("records").isNull(), F.lit("unparsable"))
          .otherwise(F.get(reasons, 0)).alias("reason"))
 
 
+def export_verdicts(parts: DataFrame) -> DataFrame:
+    """(source_file, n_records, reason) of files in parts: a bad part rejects its whole file.
+
+    ``parts``: what validate_export_files makes of files with a part.  One
+    unparsable part makes the file unparsable; else the first reason counts.
+    """
+    bad = F.when(F.col("reason").isNotNull(), F.col("part"))
+    return parts.groupBy("source_file").agg(
+        F.sum("n_records").cast("int").alias("n_records"),
+        F.coalesce(F.max(F.when(F.col("reason") == "unparsable", F.col("reason"))),
+                   F.min_by("reason", bad)).alias("reason"))
+
+
+def accepted_parts(parts: DataFrame) -> DataFrame:
+    """Parts of the accepted files, with the place of their first record in the file (first_pos).
+
+    Verdicts and places go by rows without records; each part's records stay
+    where they are.
+    """
+    ok = export_verdicts(parts).where("reason is null").select("source_file")
+    before = Window.partitionBy("source_file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = parts.select("source_file", "part", "n_records").join(ok, "source_file").select(
+        "source_file", "part", F.coalesce(F.sum("n_records").over(before), F.lit(0)).alias("first_pos"))
+    return parts.join(first, ["source_file", "part"])
+
+
 def export_records(validated: DataFrame) -> DataFrame:
-    """Accepted files -> one typed row per record, with (source_file, source_pos)."""
+    """Accepted files -> one typed row per record, with (source_file, source_pos).
+
+    Files in parts: as accepted_parts gives them.
+    """
     ok = validated.filter(F.col("reason").isNull())
-    rows = ok.select("source_file", F.posexplode("records").alias("source_pos", "r"))
-    return rows.select(*_typed(F.col("r")), "source_file", F.col("source_pos").cast("long").alias("source_pos"))
+    first = F.col("first_pos") if "first_pos" in validated.columns else F.lit(0)
+    rows = ok.select("source_file", first.alias("first_pos"), F.posexplode("records").alias("source_pos", "r"))
+    return rows.select(*_typed(F.col("r")), "source_file",
+                       (F.col("source_pos") + F.col("first_pos")).cast("long").alias("source_pos"))
 
 
 def _typed(r: Column) -> list[Column]:

@@ -745,7 +745,7 @@ def _array_files(spark, sf_dir):
     out = c
     for k, v in made.items():
         out = F.when(F.col("k") == k, v).otherwise(out)
-    return files.select("source_file", out.alias("content"))
+    return files.select("source_file", "part", out.alias("content"))
 
 
 def _validated(spark, sf_dir):
@@ -774,7 +774,7 @@ SELECT doc_id AS message_id, source AS channel, date, text, CAST(n_chars % 500 A
 FROM numbered WHERE k NOT IN ({', '.join(map(str, [*_REASONS, 5]))})""")
 def q_array_scan(spark, sf_dir):
     """The records of the accepted array files; whole files with a defect are left out."""
-    return I.export_records(_validated(spark, sf_dir))
+    return I.export_records(I.accepted_parts(_validated(spark, sf_dir)))
 
 
 @register("i6_rejected_files", f"""
@@ -784,7 +784,7 @@ SELECT source_file, CASE WHEN k > 1 THEN CAST(count(*) AS INTEGER) END AS n_reco
 FROM numbered WHERE k IN ({', '.join(map(str, _REASONS))}) GROUP BY source_file, k""")
 def q_rejected_files(spark, sf_dir):
     """The rejected files, each with its reason."""
-    return _validated(spark, sf_dir).where("reason is not null").select(
+    return I.export_verdicts(_validated(spark, sf_dir)).where("reason is not null").select(
         "source_file", F.when(F.col("reason") != "unparsable", F.col("n_records")).alias("n_records"), "reason")
 
 
@@ -794,7 +794,7 @@ SELECT source_file, CASE WHEN k = 5 THEN 0 ELSE count(*) END AS recorded, CAST(0
 FROM numbered WHERE k NOT IN ({', '.join(map(str, _REASONS))}) GROUP BY source_file, k""")
 def q_empty_files(spark, sf_dir):
     """Records loaded from each accepted file; empty files count with none."""
-    ok = _validated(spark, sf_dir).where("reason is null")
+    ok = I.accepted_parts(_validated(spark, sf_dir))
     raw = I.to_raw_messages(I.export_records(ok), F.to_date(F.substring("source_file", 1, 10)))
     none = spark.createDataFrame([], "message_id long, channel_username string")
     new = I.new_rows(raw, none, _model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])

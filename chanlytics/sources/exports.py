@@ -9,7 +9,7 @@ exploded into rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chanlytics import model
@@ -18,6 +18,9 @@ from chanlytics import model
 # the map) differs from a null value (key present, value NULL).
 RECORDS_TYPE = "array<map<string,string>>"
 
+#: Records of an array file at most: the messages the exporter takes of a channel.
+ARRAY_RECORDS = 100
+
 
 def export_folder(base: str, date: str | None = None) -> str:
     return base.rstrip("/") + (f"/{date}" if date else "")
@@ -52,21 +55,29 @@ def parsed_json(text: Column, kind: str) -> Column:
 
 
 def parse_export_files(files: DataFrame) -> DataFrame:
-    """(source_file, records) where records is NULL for an unparsable file."""
-    return files.select("source_file", parsed_json(F.col("content"), RECORDS_TYPE).alias("records"))
+    """(source_file, [part,] records) where records is NULL for an unparsable file."""
+    key = [c for c in ("source_file", "part") if c in files.columns]
+    return files.select(*key, parsed_json(F.col("content"), RECORDS_TYPE).alias("records"))
 
 
-def array_files(export: DataFrame) -> DataFrame:
-    """(source_file, content): the export as the exporter's JSON arrays, one file a channel and day.
+def array_files(export: DataFrame, records: int = ARRAY_RECORDS) -> DataFrame:
+    """(source_file, part, content): the export as JSON arrays of at most so many records, in parts 0, 1, ...
 
-    ``export``: rows with source_file and source_pos; a file's records stand
-    in the order of source_pos, with every key, NULL or not.  One file is
-    one value, as in the exporter.
+    ``export``: rows with source_file (the channel's day) and source_pos, a
+    record's own place in it.  The parts follow the order of source_pos, as
+    do the records in them, with every key, NULL or not.  Only places are
+    ranked over a whole channel-day; texts meet in their part.
     """
+    places = export.select("source_file", "source_pos").distinct()
+    rank = F.row_number().over(Window.partitionBy("source_file").orderBy("source_pos"))
+    places = places.select(F.col("source_file").alias("__f"), F.col("source_pos").alias("__p"),
+                           F.floor((rank - 1) / records).cast("int").alias("part"))
     record = F.to_json(F.struct(*model.EXPORT_KEYS), {"ignoreNullFields": "false"})
-    listed = export.groupBy("source_file").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("source_pos").alias("p"), record.alias("j")))).alias("r"))
-    return listed.select("source_file", F.concat(
+    rows = export.select("source_file", "source_pos", record.alias("j")).join(
+        places, F.col("source_file").eqNullSafe(F.col("__f")) & F.col("source_pos").eqNullSafe(F.col("__p")))
+    listed = rows.groupBy("source_file", "part").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("source_pos").alias("p"), "j"))).alias("r"))
+    return listed.select("source_file", "part", F.concat(
         F.lit("["), F.array_join("r.j", ","), F.lit("]")).alias("content"))
 
 

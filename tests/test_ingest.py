@@ -204,3 +204,21 @@ def test_the_batch_is_evaluated_once(spark, tmp_dir):
     target = spark.range(100).selectExpr("id * 5 AS k")
     assert I.new_rows(batch, target, ["k"], [F.col("k")]).count() == 900
     assert seen.value == 1000
+
+
+def test_array_files_are_bounded_and_judged_whole(spark):
+    from chanlytics.sources.exports import array_files, parse_export_files
+
+    rows = [(f"2025-07-13/{c}.json", 3 * i, i, None if c == "bad" and i == 240 else "Chemed", dt.date(2025, 7, 13), "t")
+            for c in ("good", "bad") for i in range(250)]
+    df = spark.createDataFrame(rows, "source_file string, source_pos long, message_id long, channel string, date date, text string")
+    export = df.select("*", F.lit(1).alias("views"), F.lit(2).alias("forwards"), F.lit(True).alias("has_photo"),
+                       F.lit(None).cast("string").alias("photo_path"))
+    files = array_files(export)
+    assert sorted(len(json.loads(r.content)) for r in files.collect()) == [50, 50, 100, 100, 100, 100]
+    parts = I.validate_export_files(parse_export_files(files))
+    assert {tuple(r) for r in I.export_verdicts(parts).collect()} == {
+        ("2025-07-13/good.json", 250, None), ("2025-07-13/bad.json", 250, "null_channel")}
+    got = I.export_records(I.accepted_parts(parts)).collect()
+    assert sorted((r.source_file, r.source_pos, r.message_id) for r in got) == [
+        ("2025-07-13/good.json", i, i) for i in range(250)]
