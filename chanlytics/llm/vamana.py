@@ -16,8 +16,6 @@ fill the beams; its smallest ids stand in the result.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -144,22 +142,23 @@ def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.add.accumulate(a.astype(np.float64) * b.astype(np.float64), axis=1)[:, -1]
 
 
-_INDEX = "shard int, block int, reps binary, vectors binary, graph binary, entry long"
+_INDEX = "dim int, shard int, reps binary, vectors binary, graph binary, entry long"
 
 
 def _build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     table = table.sort_by("rep")
     vectors = np.array(table.column("embedding").to_pylist(), np.float64)
     _, graph, entry = build(vectors)
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()),
+    return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
                      "reps": pa.array([np.asarray(table.column("rep"), dtype=np.int64).tobytes()], pa.binary()),
                      "vectors": pa.array([vectors.tobytes()], pa.binary()),
                      "graph": pa.array([graph.tobytes()], pa.binary()), "entry": pa.array([entry], pa.int64())})
 
 
-def _search(k: int, dim: int, beam: int):
+def _search(k: int, beam: int):
     def search(key: tuple[pa.Scalar, ...], index: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        dim = key[0].as_py()
+        empty = pa.table({"dim": pa.array([], pa.int32()), "query_id": pa.array([], pa.int64()), "rep": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not index.num_rows or not queries.num_rows:
             return empty
         row = {c: index.column(c)[0].as_py() for c in ("reps", "vectors", "graph", "entry")}
@@ -181,7 +180,7 @@ def _search(k: int, dim: int, beam: int):
             best = np.argsort(-score, axis=1, kind="stable")[:, :k]
             r, c = np.nonzero(np.isfinite(np.take_along_axis(score, best, 1)))
             at = best[r, c]
-            out.append(pa.table({"query_id": names[i:i + 512][r], "rep": reps[ids[r, at]], "score": score[r, at]}))
+            out.append(pa.table({"dim": pa.array([dim] * len(r), pa.int32()), "query_id": names[i:i + 512][r], "rep": reps[ids[r, at]], "score": score[r, at]}))
         return pa.concat_tables(out)
     return search
 
@@ -189,42 +188,44 @@ def _search(k: int, dim: int, beam: int):
 def usable(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Distinct (vec_id, embedding) of vectors that take part.
 
-    Left out: null ids, null, empty and zero vectors, vectors with null or
-    non-finite components, and vectors of another length than most have
-    (the longer, if two lengths are as frequent).
+    Left out: null ids, null, empty and zero vectors, and vectors with null
+    or non-finite components.
     """
     v = F.col(vector_col).cast("array<double>")
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = (df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("embedding"))
+    return (df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("embedding"))
             .where("vec_id is not null and embedding is not null").where(fine)
             .where(F.exists("embedding", lambda x: x != 0)).dropDuplicates(["vec_id", "embedding"]))
-    sizes = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return rows.where(F.size("embedding") == (sizes[0] if sizes else 0))
 
 
 def nearest(df: DataFrame, queries: DataFrame, k: int = 20, beam: int = QUERY_BEAM, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of df (usable() rows) found for each row of queries.
 
-    A query's own id is no candidate.  Ties go to the smaller id.  An empty
+    A query is searched among the vectors of its own length, which have
+    graphs of their own.  A query's own id is no candidate.  Ties go to the smaller id.  An empty
     table, or one without queries, gives an empty result.
     """
     # equal vectors are one point, with as many of its smallest ids as a result can hold (k and the query's own)
     ranked = df.withColumn("turn", F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id")))
     points = (ranked.where(F.col("turn") <= k + 1).groupBy("embedding")
               .agg(F.min("vec_id").alias("rep"), F.array_sort(F.collect_list("vec_id")).alias("ids")).checkpoint())
-    total, dim = points.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    asked = queries.count()
-    shards, blocks = max(1, math.ceil(total / shard_rows)), max(1, math.ceil(asked / QUERY_BLOCK))
-    index = (points.select(F.pmod(F.xxhash64("rep"), F.lit(shards)).cast("int").alias("shard"), "rep", "embedding")
-             .groupBy("shard").applyInArrow(_build, _INDEX.replace("block int, ", ""))
-             .select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
-    spread = queries.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "embedding",
-                            F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    found = (index.groupBy("shard", "block").cogroup(spread.groupBy("shard", "block"))
-             .applyInArrow(_search(k + 1, dim or 1, beam), "query_id long, rep long, score double"))
+    points = points.withColumn("dim", F.size("embedding"))
+    queries = queries.withColumn("dim", F.size("embedding"))
+    # for each length, its shards and blocks
+    deal = F.broadcast(points.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("shards")).join(
+        queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks")), "dim"))
+    index = (points.join(deal, "dim")
+             .select("dim", F.pmod(F.xxhash64("rep"), F.col("shards")).cast("int").alias("shard"), "rep", "embedding")
+             .groupBy("dim", "shard").applyInArrow(_build, _INDEX).join(deal, "dim")
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+    spread = (queries.join(deal, "dim")
+              .select("dim", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "embedding",
+                      F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")))
+    found = (index.groupBy("dim", "shard", "block").cogroup(spread.groupBy("dim", "shard", "block"))
+             .applyInArrow(_search(k + 1, beam), "dim int, query_id long, rep long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
     best = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
-    members = best.join(points.select("rep", "ids"), "rep").select("query_id", "score", F.explode("ids").alias("vec_id"))
+    members = best.join(points.select("dim", "rep", "ids"), ["dim", "rep"]).select("query_id", "score", F.explode("ids").alias("vec_id"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (members.where("vec_id <> query_id").withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -118,6 +118,16 @@ def test_small_tables_are_exact(spark):
     assert vamana.nearest(none, none).collect() == []
 
 
+def test_each_query_is_searched_among_vectors_of_its_length(spark):
+    C.prepare(spark)
+    rng = np.random.default_rng(4)
+    long, short = ([(i, rng.normal(size=d).tolist()) for i in ids] for d, ids in ((4, range(60)), (2, range(60, 90))))
+    rows = vamana.usable(vectors(spark, long + short))
+    got = vamana.nearest(rows, rows.where("vec_id % 5 = 0"), 5, shard_rows=32).collect()
+    want = sorted(x for part in (long, short) for x in brute(part, [v for v in part if v[0] % 5 == 0], 5))
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == want
+
+
 def test_recall(spark):
     C.prepare(spark)
     df = C.read_table(spark, "/root/testdata/sf0.1", "embeddings")
