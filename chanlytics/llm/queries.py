@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanlytics.llm import common as C
-from chanlytics.llm import decontaminate, licenses, near_dedup, pieces, pii, quality, sharding, substring_dedup, vamana
+from chanlytics.llm import (decontaminate, licenses, near_dedup, periodic, pieces, pii, quality, sharding, spelling, substring_dedup,
+                            url_filter, vamana)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,3 +82,18 @@ def nearest_neighbours(spark, sf_dir):
 @query("op2_sentencepiece")
 def sentence_pieces(spark, sf_dir):
     return pieces.report(C.read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_periodic_runs")
+def periodic_runs(spark, sf_dir):
+    return periodic.report(C.read_table(spark, sf_dir, "documents"))
+
+
+@query("op12_url_filter", url_filter.ORACLE)
+def url_verdicts(spark, sf_dir):
+    return url_filter.report(C.read_table(spark, sf_dir, "pages"))
+
+
+@query("op13_spelling_variants")
+def spelling_variants(spark, sf_dir):
+    return spelling.report(C.read_table(spark, sf_dir, "documents"))
