@@ -6,27 +6,38 @@ Rule (per message, on the lower-cased text):
   when it is a substring of the text (the reference tests phrases inside
   its per-token loop), so a phrase hit adds ``size(tokens)``.
 
-The dictionary is a list or a DataFrame; either way it is a relation that
-the texts are joined to, and Spark picks the join by its size.
-* words join the exploded tokens;
-* a phrase joins the texts at its first gap between words: the last
-  characters before it and the first after it (up to two each) must stand
-  side by side in the text.  Only texts that have them are tested for the
-  whole phrase, so no text meets every phrase.
-A partial aggregate per task then shuffles at most one row per keyword and
-group per task.
+The dictionary is probed inside the row.  It is a literal of the plan: an
+array of slots, indexed by crc32, with the words (or phrases) of each slot.
+* A token is looked up in its slot, and only the hits are exploded.
+* A phrase is looked up by its first gap between words: the last characters
+  before it and the first after it (up to two each).  Phrases whose gap
+  stands in the text are tested with ``contains`` in the same row.  A few
+  phrases are tested without the look-up.
+So a text never leaves its row: what shuffles is one partial sum per keyword
+and group of a task.
+
+A literal needs a bound: a dictionary of more than LITERAL_CHARS characters
+is a relation instead (``_joined_hits``), which tokens and the surroundings
+of gaps are joined to, with the same result; texts do not move there either.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlytics.functions.text import tokens
 
 # The characters that the reference's language splits at.
-BLANK = ("[\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_BLANKS = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+BLANK = f"[{_BLANKS}]"
 EDGE = 2  # characters on either side of a phrase's first gap
+FEW_PHRASES = 32  # so many phrases are tested one by one
+#: Characters of a dictionary that may be a literal of the plan.
+LITERAL_CHARS = 1 << 20
 
 
 def _parts(text: Column) -> Column:
@@ -45,59 +56,163 @@ def dictionary(keywords: "DataFrame | list[str]", column: str, like: DataFrame)
     return kw.withColumn("parts", _parts(F.col("product_name")))
 
 
-def _shapes(kw: DataFrame) -> list[tuple[int, int]]:
-    """The distinct (characters before, characters after) of the phrases' first gaps: four at most.
+def _listed(keywords: "DataFrame | list[str]", column: str, most: int) -> list[str] | None:
+    """The distinct keywords, if they have at most ``most`` characters in all."""
+    if not isinstance(keywords, list):
+        kw = keywords.select(F.col(column).alias("k")).where("k is not null").distinct()
+        if (kw.agg(F.sum(F.length("k") + 1)).first()[0] or 0) > most:
+            return None
+        return sorted(r.k for r in kw.collect())
+    own = [k for k in dict.fromkeys(keywords) if k is not None]
+    return own if sum(len(k) + 1 for k in own) <= most else None
 
-    One small job over the dictionary.
-    """
-    before, after = (F.least(F.length(F.get("parts", i)), F.lit(EDGE)) for i in (0, 1))
-    rows = kw.where(F.size("parts") > 1).select(before.alias("a"), after.alias("b")).distinct().collect()
-    return sorted((r[0], r[1]) for r in rows)
+
+class _Slots:
+    """Rows of a dictionary as a literal array of slots, indexed by crc32 of a key."""
+
+    def __init__(self, rows: list[tuple[str, object]], kind: str):
+        self.size = 1 << max(4, (2 * len(rows)).bit_length())
+        slots: list[list] = [[] for _ in range(self.size)]
+        for key, value in rows:
+            slots[zlib.crc32(key.encode()) % self.size].append(value)
+        # one foldable expression; the optimizer evaluates it once
+        self.literal = F.from_json(F.lit(json.dumps(slots)), f"array<array<{kind}>>")
+
+    def of(self, key: Column) -> Column:
+        return F.get(self.literal, (F.crc32(key) % self.size).cast("int"))
 
 
 def _edge(left: Column, right: Column, a: int, b: int) -> Column:
     return F.concat(F.substring(left, -a, a), F.lit(" "), F.substring(right, 1, b))
 
 
-def _phrase_pairs(texts: DataFrame, phrases: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
-    """(text_key, product_name): phrases whose first gap's surroundings stand in the text.
+def _shape(phrase: str) -> tuple[int, int]:
+    """Characters that a phrase has before and after its first gap, up to EDGE each."""
+    first, second = phrase.split()[:2]
+    return min(len(first), EDGE), min(len(second), EDGE)
+
+
+def _gap(phrase: str) -> str:
+    first, second = phrase.split()[:2]
+    return f"{first[-EDGE:]} {second[:EDGE]}"
 
-    texts: text_key, lt.  A gap at the text's edge or with fewer characters
-    beside it yields a shorter key, which no phrase of that shape has.
-    """
-    parts = F.col("p")
-    keys = [_gap_keys(parts, a, b) for a, b in shapes]
-    split = texts.select("text_key", _parts(F.col("lt")).alias("p")).where(F.size("p") > 1)
-    here = split.select("text_key", F.explode(F.array_distinct(F.concat(*keys))).alias("gap"))
-    first, second = F.get("parts", 0), F.get("parts", 1)
-    gap = F.lit(None).cast("string")
-    for a, b in shapes:
-        own = (F.least(F.length(first), F.lit(EDGE)) == a) & (F.least(F.length(second), F.lit(EDGE)) == b)
-        gap = F.when(own, _edge(first, second, a, b)).otherwise(gap)
-    return here.join(phrases.select("product_name", gap.alias("gap")), "gap").select("text_key", "product_name").distinct()
 
+def _gap_keys(parts: Column, shapes: list[tuple[int, int]]) -> Column:
+    """The distinct surroundings of a text's gaps, in the given shapes.
 
-def _gap_keys(parts: Column, a: int, b: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.size(parts) - 2),
-                       lambda i: _edge(F.get(parts, i), F.get(parts, i + 1), a, b))
+    A gap at the text's edge or with fewer characters beside it yields a
+    shorter key, which no phrase of that shape has.
+    """
+    def around(a, b):
+        return F.transform(F.sequence(F.lit(0), F.size(parts) - 2),
+                           lambda i: _edge(F.get(parts, i), F.get(parts, i + 1), a, b))
+    return F.when(F.size(parts) > 1, F.array_distinct(F.concat(*[around(a, b) for a, b in shapes])))
+
+
+def _phrase_hits(rows: DataFrame, phrases: list[str]) -> tuple[DataFrame, Column]:
+    """(rows with what the column needs, the phrases that the lower-cased text lt holds)."""
+    if len(phrases) <= FEW_PHRASES:
+        return rows, F.array_compact(F.array(*[F.when(F.contains("lt", F.lit(p)), F.lit(p)) for p in phrases]))
+    slots = _Slots([(_gap(p), {"g": _gap(p), "p": p}) for p in phrases], "struct<g:string,p:string>")
+    # parts are used in several places, which keeps them a column of their own
+    keyed = rows.withColumn("__parts", _parts(F.col("lt")))
+    keyed = keyed.withColumn("__gaps", F.coalesce(_gap_keys(F.col("__parts"), sorted({_shape(p) for p in phrases})),
+                                                  F.array().cast("array<string>")))
+    near = F.flatten(F.transform("__gaps", lambda k: F.filter(slots.of(k), lambda s: s["g"] == k)))
+    keyed = keyed.withColumn("__near", F.array_distinct(F.transform(near, lambda s: s["p"])))
+    return keyed, F.filter("__near", lambda p: F.contains(F.col("lt"), p))
+
+
+HIT = "struct<product_name:string,n:bigint>"
+
+
+def with_hits(texts: DataFrame, words: list[str], text_col: str, group_cols: list[str]) -> DataFrame:
+    """(group_cols..., hits): each non-NULL text's keywords as (product_name, n), found in the row."""
+    one = [k for k in words if len(k.split()) < 2]
+    phrases = [k for k in words if len(k.split()) > 1]
+    rows = texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
+    rows = rows.withColumn("toks", tokens("lt"))
+    hits = F.array().cast(f"array<{HIT}>")
+    if phrases:
+        rows, found = _phrase_hits(rows, phrases)
+        n = F.size("toks").cast("long")
+        hits = F.transform(F.when(n > 0, found), lambda p: F.struct(p.alias("product_name"), n.alias("n"))).cast(f"array<{HIT}>")
+        hits = F.coalesce(hits, F.array().cast(f"array<{HIT}>"))
+    if one:
+        slots = _Slots([(w, w) for w in one], "string")
+        own = F.filter("toks", lambda t: F.array_contains(slots.of(t), t))
+        own = F.transform(own, lambda t: F.struct(t.alias("product_name"), F.lit(1).cast("long").alias("n"))).cast(f"array<{HIT}>")
+        hits = F.concat(hits, own)
+    return rows.select(*group_cols, hits.alias("hits"))
+
+
+def _joined_hits(texts: DataFrame, kw: DataFrame, text_col: str, group_cols: list[str]) -> DataFrame:
+    """(group_cols..., product_name, n) against a dictionary of any size.
+
+    Tokens are counted per group before they meet the words.  Of a phrase's
+    candidates the surroundings of the gap travel, as many parts to either
+    side as the longest phrase has, and tell whether the phrase stands there;
+    the pairs meet the texts' digests, which carry the token counts.
+    """
+    src = texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
+    words = kw.where(F.size("parts") < 2).select("product_name")
+    hits = (src.select(*group_cols, F.explode(tokens("lt")).alias("product_name"))
+            .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("n")).join(words, "product_name")
+            .select(*group_cols, "product_name", "n"))
+    longest = kw.agg(F.max(F.size("parts"))).first()[0] or 0
+    if longest < 2:
+        return hits
+    phrases = kw.where(F.size("parts") > 1)
+    first, second = F.get("parts", 0), F.get("parts", 1)
+    # a part with the blanks after it; the text's first one with those before it too
+    pieces = F.regexp_extract_all("lt", F.lit(f"(^{BLANK}*)?[^{_BLANKS}]+{BLANK}*"), F.lit(0))
+    keyed = src.select(F.md5("lt").alias("text_key"), pieces.alias("p"), _parts(F.col("lt")).alias("parts")).where(F.size("parts") > 1)
+    around = F.transform(F.sequence(F.lit(0), F.size("parts") - 2), lambda i: F.struct(
+        F.get("parts", i).alias("l"), F.get("parts", i + 1).alias("r"),
+        F.array_join(F.slice("p", F.greatest(i + 2 - longest, F.lit(1)), F.lit(2 * longest)), "").alias("near")))
+    gaps = keyed.select("text_key", F.explode(around).alias("g"))
+    gaps = gaps.select("text_key", F.concat(F.substring("g.l", -1, 1), F.lit(" "), F.substring("g.r", 1, 1)).alias("gap"), "g.near")
+    own = F.concat(F.substring(first, -1, 1), F.lit(" "), F.substring(second, 1, 1))
+    pairs = (gaps.join(phrases.select("product_name", own.alias("gap")), "gap").where(F.contains("near", F.col("product_name")))
+             .select("text_key", "product_name").distinct())
+    counted = src.select(*group_cols, F.md5("lt").alias("text_key"), F.size(tokens("lt")).cast("long").alias("n"))
+    counted = counted.groupBy(*group_cols, "text_key").agg(F.sum("n").alias("n"))
+    return hits.unionByName(counted.join(pairs, "text_key").select(*group_cols, "product_name", "n"))
 
 
 def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
                  text_col: str = "message_text", group_cols: list[str] | None = None,
-                 keyword_col: str = "keyword") -> DataFrame:
+                 keyword_col: str = "keyword", literal_chars: int = LITERAL_CHARS) -> DataFrame:
     """(group_cols..., product_name, mention_count) over non-NULL texts."""
     group_cols = group_cols or []
-    kw = dictionary(keywords, keyword_col, texts)
-    src = texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
-    words = kw.where(F.size("parts") <= 1).select("product_name")
-    hits = (src.select(*group_cols, F.explode(tokens("lt")).alias("product_name"))
-            .join(words, "product_name").select(*group_cols, "product_name", F.lit(1).cast("long").alias("n")))
-    shapes = _shapes(kw)
-    if shapes:
-        # a text's tokens are counted once, however many phrases it has
-        keyed = src.withColumns({"text_key": F.md5("lt"), "n": F.size(tokens("lt")).cast("long")})
-        pairs = _phrase_pairs(keyed.select("text_key", "lt"), kw.where(F.size("parts") > 1), shapes)
-        found = keyed.join(pairs, "text_key").where(F.contains("lt", "product_name"))
-        hits = hits.unionByName(found.select(*group_cols, "product_name", "n"))
+    words = _listed(keywords, keyword_col, literal_chars)
+    if words is None:
+        hits = _joined_hits(texts, dictionary(keywords, keyword_col, texts), text_col, group_cols)
+    else:
+        # outer: a plain inline would have the hits computed twice, for a filter on their number
+        hits = with_hits(texts, words, text_col, group_cols).select(*group_cols, F.inline_outer("hits"))
+        hits = hits.where("product_name is not null")
     return (hits.groupBy(*group_cols, "product_name").agg(F.sum("n").cast("long").alias("mention_count"))
             .where("mention_count > 0"))
+
+
+def first_words(kw: DataFrame, literal_chars: int = LITERAL_CHARS):
+    """Column -> Column: whether a word begins a keyword of the dictionary (true for any word if that is too long)."""
+    first = kw.select(F.get("parts", 0).alias("k")).where("k is not null")
+    words = _listed(first, "k", literal_chars)
+    if words is None:
+        return lambda x: F.lit(True)
+    slots = _Slots([(w, w) for w in words], "string")
+    return lambda x: F.array_contains(slots.of(x), x)
+
+
+def mentions(texts: DataFrame, keywords: "DataFrame | list[str]", key: str, text_col: str = "message_text",
+             group_cols: list[str] | None = None, keyword_col: str = "keyword",
+             literal_chars: int = LITERAL_CHARS) -> DataFrame:
+    """(group_cols...) of each text with at least one hit; ``key`` tells texts apart where they are joined."""
+    group_cols = group_cols or []
+    words = _listed(keywords, keyword_col, literal_chars)
+    if words is not None:
+        return with_hits(texts, words, text_col, group_cols).where(F.size("hits") > 0).select(*group_cols)
+    hits = _joined_hits(texts, dictionary(keywords, keyword_col, texts), text_col, [key, *group_cols])
+    return hits.where("n > 0").select(key, *group_cols).distinct().select(*group_cols)

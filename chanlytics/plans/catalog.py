@@ -32,9 +32,9 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def model_for(spark: SparkSession, sf_dir: str, deal: bool = False) -> M.Marts:
-    """The model over the driver tables, as plans; ``deal`` for work on whole texts (D.dealt)."""
-    return M.Marts(D.raw_messages(spark, sf_dir, deal=deal), lambda: D.raw_detections(spark, sf_dir))
+def model_for(spark: SparkSession, sf_dir: str) -> M.Marts:
+    """The model over the driver tables, as plans."""
+    return M.Marts(D.raw_messages(spark, sf_dir), lambda: D.raw_detections(spark, sf_dir))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -133,18 +133,17 @@ def _top_products_sql(keywords: list[str], limit: int, group: bool = False) -> s
 
 @register("r1_top_products", _top_products_sql(PARITY_KEYWORDS, 3))
 def q_top_products(spark, sf_dir):
-    return R.top_products(model_for(spark, sf_dir, deal=True).fct_messages, PARITY_KEYWORDS, limit=3)
+    return R.top_products(model_for(spark, sf_dir).staging, PARITY_KEYWORDS, limit=3)
 
 
-# A keyword table taken from the texts: every word of the French ones, and the
-# first two words of every tenth text.
+# A keyword table taken from the texts: every word, and the first two words of each text.
 _KEYWORD_TABLE = """
 kw AS (
   SELECT DISTINCT k FROM (
-    SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS k FROM documents WHERE lang = 'fr'
+    SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) AS k FROM documents
     UNION ALL
-    SELECT lower(p[1] || ' ' || p[2]) FROM (SELECT doc_id, string_split_regex(text, ' +') AS p FROM documents)
-    WHERE doc_id % 10 = 0 AND len(p) >= 2 AND p[1] <> '' AND p[2] <> ''
+    SELECT lower(p[1] || ' ' || p[2]) FROM (SELECT string_split_regex(text, ' +') AS p FROM documents)
+    WHERE len(p) >= 2 AND p[1] <> '' AND p[2] <> ''
       AND NOT regexp_matches(p[1] || p[2], '\\s')
   ) t WHERE k IS NOT NULL
 )"""
@@ -165,19 +164,19 @@ def q_keyword_table(spark, sf_dir):
     from chanlytics.operators.keywords import keyword_hits
 
     docs = D.table(spark, sf_dir, "documents")
-    words = docs.where("lang = 'fr'").select(F.explode(tokens(F.lower("text"))).alias("keyword"))
+    words = docs.select(F.explode(tokens(F.lower("text"))).alias("keyword"))
     p = F.split("text", " +")
     first, second = F.get(p, 0), F.get(p, 1)
-    pairs = (docs.where(F.col("doc_id") % 10 == 0).where((F.size(p) >= 2) & (first != "") & (second != ""))
+    pairs = (docs.where((F.size(p) >= 2) & (first != "") & (second != ""))
              .where(~F.rlike(F.concat(first, second), F.lit(r"\s")))
              .select(F.lower(F.concat(first, F.lit(" "), second)).alias("keyword")))
-    return keyword_hits(D.raw_messages(spark, sf_dir, deal=True), words.union(pairs).distinct())
+    return keyword_hits(D.raw_messages(spark, sf_dir), words.union(pairs).distinct())
 
 
 @register("r1_top_products_default_keywords",
           _top_products_sql(__import__("chanlytics.model", fromlist=["x"]).DEFAULT_KEYWORDS, 10))
 def q_top_products_default(spark, sf_dir):
-    return R.top_products(model_for(spark, sf_dir, deal=True).fct_messages, None, limit=10)
+    return R.top_products(model_for(spark, sf_dir).staging, None, limit=10)
 
 
 @register("r2_channel_activity", f"""
@@ -502,7 +501,7 @@ def q_object_mix(spark, sf_dir):
 
 @register("b5_product_by_channel", _top_products_sql(PARITY_KEYWORDS, 0, group=True))
 def q_product_by_channel(spark, sf_dir):
-    return R.product_by_channel(model_for(spark, sf_dir, deal=True).fct_messages, PARITY_KEYWORDS)
+    return R.product_by_channel(model_for(spark, sf_dir).staging, PARITY_KEYWORDS)
 
 
 def _hit_filter_sql(keywords: list[str]) -> str:
@@ -524,8 +523,8 @@ FROM fct_messages fm JOIN dim_dates dd ON fm.message_date_sk = dd.date_sk
 WHERE {_hit_filter_sql(PARITY_KEYWORDS)}
 GROUP BY 1 ORDER BY 1""", "fct_messages", "dim_dates"))
 def q_weekly_keyword_volume(spark, sf_dir):
-    m = model_for(spark, sf_dir, deal=True)
-    return R.weekly_keyword_volume(m.fct_messages, m.dim_dates, PARITY_KEYWORDS)
+    m = model_for(spark, sf_dir)
+    return R.weekly_keyword_volume(M.with_date_key(m.staging, m.dim_dates), m.dim_dates, PARITY_KEYWORDS)
 
 
 def _price_sql(keywords: list[str]) -> str:
@@ -558,7 +557,7 @@ spoken AS (
 
 @register("b6_price_variation", _price_sql(PARITY_KEYWORDS))
 def q_price_variation(spark, sf_dir):
-    return R.price_variation(model_for(spark, sf_dir, deal=True).fct_messages, PARITY_KEYWORDS)
+    return R.price_variation(model_for(spark, sf_dir).staging, PARITY_KEYWORDS)
 
 
 # --- enrichment (E1, E2) ----------------------------------------------------

@@ -70,6 +70,12 @@ def dim_dates_between(bounds: DataFrame, lo, hi) -> DataFrame:
     )
 
 
+def with_date_key(staging: DataFrame, dim_dates: DataFrame) -> DataFrame:
+    """Staged messages with message_date_sk, NULL for a date that the calendar does not have."""
+    dd = F.broadcast(dim_dates.select(F.col("full_date").alias("__d"), F.col("date_sk").alias("message_date_sk")))
+    return staging.join(dd, F.col("message_date") == F.col("__d"), "left").drop("__d")
+
+
 def build_fct_messages(staging: DataFrame, dim_channels: DataFrame,
                        dim_dates: DataFrame) -> DataFrame:
     """Message fact with keys to both dimensions (M4).
@@ -78,9 +84,7 @@ def build_fct_messages(staging: DataFrame, dim_channels: DataFrame,
     broadcast; channels join as Spark sees fit from their size.
     """
     dc = dim_channels.select("channel_username", "channel_sk")
-    dd = F.broadcast(dim_dates.select(F.col("full_date").alias("__d"), F.col("date_sk").alias("message_date_sk")))
-    joined = (staging.join(dc, "channel_username", "left")
-              .join(dd, F.col("message_date") == F.col("__d"), "left"))
+    joined = with_date_key(staging.join(dc, "channel_username", "left"), dim_dates)
     flags = [contains_ci("message_text", needle).alias(name)
              for name, needle in model.MESSAGE_FLAGS.items()]
     return joined.select(

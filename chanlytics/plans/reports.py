@@ -8,13 +8,14 @@ deterministic; the ordered limit is planned as ``TakeOrderedAndProject``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.keys import surrogate_key
 from chanlytics.functions.text import like_ci
-from chanlytics.operators.keywords import dictionary, keyword_hits
+from chanlytics.operators.keywords import dictionary, first_words, keyword_hits, mentions
+from chanlytics.operators.quantile import lower_medians
 
 
 def top_products(fct_messages: DataFrame, keywords: "DataFrame | list[str] | None" = None,
@@ -116,14 +117,14 @@ def weekly_keyword_volume(fct_messages: DataFrame, dim_dates: DataFrame,
                           keywords: "DataFrame | list[str] | None" = None) -> DataFrame:
     """B2: weekly count of messages with at least one keyword hit.
 
-    Weeks start on Monday (``date_trunc('week')``); grouping by (year,
-    week_of_year) would split ISO weeks at a year end.
+    A test within each message, then one count per day; the few day rows meet
+    the calendar.  Weeks start on Monday (``date_trunc('week')``); grouping
+    by (year, week_of_year) would split ISO weeks at a year end.
     """
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
-    hits = keyword_hits(fct_messages.select("message_sk", "message_date_sk", "message_text"), keywords,
-                        group_cols=["message_sk", "message_date_sk"])
-    per_key = (hits.select("message_sk", "message_date_sk").distinct()
-               .groupBy("message_date_sk").agg(F.count("message_sk").alias("n")))
+    hits = mentions(fct_messages.select("message_sk", "message_date_sk", "message_text"), keywords,
+                    key="message_sk", group_cols=["message_date_sk"])
+    per_key = hits.groupBy("message_date_sk").agg(F.count(F.lit(1)).alias("n"))
     dd = dim_dates.select("date_sk", "full_date")
     week = F.to_date(F.date_trunc("week", F.col("full_date")))
     return (per_key.join(dd, F.col("message_date_sk") == F.col("date_sk"))
@@ -182,9 +183,9 @@ def price_mentions(fct_messages: DataFrame, keywords: "DataFrame | list[str]",
                    keyword_col: str = "keyword") -> DataFrame:
     """(channel_username, product_name, price) of every priced mention.
 
-    Only words with an amount within reach leave the text, each with the
-    words that follow it; they join the dictionary on a keyword's first
-    word, however long the dictionary is.
+    A keyword's first word is looked up within the text (a long dictionary
+    is only joined), and of these places those with an amount within reach
+    leave it, each with the words that follow it.
     """
     kw = dictionary([k.lower() for k in dict.fromkeys(keywords)] if isinstance(keywords, list) else
                     keywords.select(F.lower(keyword_col).alias(keyword_col)), keyword_col, fct_messages)
@@ -195,9 +196,13 @@ def price_mentions(fct_messages: DataFrame, keywords: "DataFrame | list[str]",
         F.array_remove(F.split(F.lower("message_text"), r"[ \t\r\n]+"), ""), word).alias("w"))
     reach = longest + PRICE_REACH
     amount = lambda x: F.rlike(x, F.lit(_AMOUNT))
-    places = F.filter(F.transform("w", lambda x, i: F.struct(x.alias("first"), F.slice("w", i + 1, reach).alias("next"))),
-                      lambda s: F.exists(F.slice(s["next"], 2, reach), amount))
-    here = texts.select("channel_username", F.explode(places).alias("s")).select(
+    starts = first_words(kw)
+    places = F.filter(F.transform("w", lambda x, i: F.when(starts(x), i)), lambda i: i.isNotNull())
+    # w is used twice, and so stays a column of its own
+    found = texts.select("channel_username", "w", places.alias("at")).where(F.size("at") > 0)
+    near = F.transform("at", lambda i: F.struct(F.get("w", i).alias("first"), F.slice("w", i + 1, reach).alias("next")))
+    places = F.filter(near, lambda s: F.exists(F.slice(s["next"], 2, reach), amount))
+    here = found.select("channel_username", F.explode_outer(places).alias("s")).where("s is not null").select(
         "channel_username", F.col("s.first").alias("first"), F.col("s.next").alias("next"))
     n = F.size("parts")
     text = F.get(F.filter(F.slice("next", n + 1, F.lit(PRICE_REACH)), amount), 0)
@@ -213,16 +218,14 @@ def price_variation(fct_messages: DataFrame, keywords: "DataFrame | list[str] |
     """(channel_username, product_name, n_prices, min/median/max price).
 
     The median is the lower middle value, exact: mentions are counted per
-    (channel, product, price) first, and a running sum over a product's
-    distinct prices finds the middle.
+    (channel, product, price) first, and the middle is found among these
+    counts, dealt by ranges of prices (``lower_medians``).
     """
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
-    counts = price_mentions(fct_messages, keywords).groupBy("channel_username", "product_name", "price").agg(
-        F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy("channel_username", "product_name")
-    upto = F.sum("n").over(group.orderBy("price").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.select("*", upto.alias("upto"), F.sum("n").over(group).alias("total"))
-    return (ranked.groupBy("channel_username", "product_name")
-            .agg(F.sum("n").alias("n_prices"), F.min("price").alias("min_price"),
-                 F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col("price"))).alias("median_price"),
-                 F.max("price").alias("max_price")))
+    group = ["channel_username", "product_name"]
+    counts = price_mentions(fct_messages, keywords).groupBy(*group, "price").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    totals = counts.groupBy(*group).agg(F.sum("n").alias("n_prices"), F.min("price").alias("min_price"),
+                                        F.max("price").alias("max_price"))
+    middle = lower_medians(counts, group, "price").withColumnsRenamed({c: f"__{c}" for c in group})
+    same = F.col("channel_username").eqNullSafe(F.col("__channel_username")) & (F.col("product_name") == F.col("__product_name"))
+    return totals.join(middle, same).select(*group, "n_prices", "min_price", F.col("median").alias("median_price"), "max_price")

@@ -82,3 +82,33 @@ def test_detection_fact_moves_keys_only(spark, qs):
     """Of the messages, the join's shuffle carries the key columns."""
     for s in _read_schemas(_plan(qs["m5_fct_image_detections"](spark, SF_SMALL))):
         assert "n_chars:" not in s
+
+
+def _moved(df) -> list[str]:
+    """The columns of each shuffle and broadcast of a plan."""
+    import re
+
+    text = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return re.findall(r"\(\d+\) (?:Broadcast)?Exchange\nInput \[\d+\]: \[(.*?)\]", text)
+
+
+@pytest.mark.parametrize("literal", [1 << 20, 0])
+def test_keyword_counting_moves_no_text(spark, qs, literal):
+    """A dictionary inside the row, or joined: what moves are keywords, digests, gaps and sums."""
+    from chanlytics.operators import keywords as K
+    from chanlytics.sources import driver_tables as D
+
+    raw = D.raw_messages(spark, SF_SMALL)
+    kws = spark.createDataFrame([(f"w{i}",) for i in range(50)] + [(f"w{i} x{i}",) for i in range(50)], "keyword string")
+    plan = K.keyword_hits(raw, kws, group_cols=["channel_username"], literal_chars=literal)
+    moved = _moved(plan)
+    assert moved and all(c.strip().split("#")[0] not in ("lt", "text", "message_text", "toks") for m in moved for c in m.split(","))
+    if literal:
+        assert _plan(plan).count("FileScan parquet") == 1
+
+
+def test_keyword_reports_move_no_text(spark, qs):
+    for name in ["r1_top_products", "r1_top_products_default_keywords", "b2_weekly_keyword_volume", "b5_product_by_channel"]:
+        df = qs[name](spark, SF_SMALL)
+        assert all("text" not in m and "lt#" not in m for m in _moved(df)), name
+        assert _plan(df).count("text:string") == 1, name  # one scan of the texts

@@ -124,32 +124,61 @@ def test_search_takes_backslashes_as_the_database_does(spark):
     assert hits("with \\") == ["ends with %"]        # at the end it takes the closing wildcard
 
 
-@pytest.mark.parametrize("as_table", [False, True])
-def test_a_dictionary_of_words_and_phrases_matches_replay(spark, as_table):
+@pytest.mark.parametrize("as_table,literal", [(False, None), (True, None), (True, 0)])
+def test_a_dictionary_of_words_and_phrases_matches_replay(spark, as_table, literal):
+    """As a list, as a table, and as a table too long for a literal of the plan."""
     from chanlytics.operators import keywords as K
 
     texts = CASES + ["the test kit and blood pressure monitor", "contest kit", "a b c d", "test  kit", "ab cd ef", "", "kit test",
-                     "test\u00a0kit", "the best\tkit", "x" * 9 + " yyyyy z", "n b c dd"]
+                     "test\u00a0kit", "the best\tkit", "x" * 9 + " yyyyy z", "n b c dd", "  lead kit  ", "\n a b"]
     kws = model.DEFAULT_KEYWORDS + ["a b", "b c d", "c", "b cd", "\ttablet", "test\u00a0kit", "best\tk", "xxxxx yyy", "", " ",
-                                    "st k", "t kit", "tablet", "test kit"]
-    want = dict(replay_counts(texts, list(dict.fromkeys(kws))))
+                                    "st k", "t kit", "tablet", "test kit", " lead k", "kit  ", "\n a b"]
+    want = dict(replay_counts(texts + texts[:9], list(dict.fromkeys(kws))))
     given = spark.createDataFrame([(k,) for k in kws] + [(None,)], "keyword string") if as_table else kws
-    assert {r.product_name: r.mention_count for r in K.keyword_hits(_fct(spark, texts), given).collect()} == want
+    bound = {} if literal is None else {"literal_chars": literal}
+    fct = _fct(spark, texts + texts[:9])
+    assert {r.product_name: r.mention_count for r in K.keyword_hits(fct, given, **bound).collect()} == want
+    some = [t for t in texts + texts[:9] if t is not None and replay_counts([t], list(dict.fromkeys(kws)))]
+    assert K.mentions(fct, given, key="message_sk", group_cols=["message_id"], **bound).count() == len(some)
 
 
-def test_large_dictionary(spark):
+@pytest.mark.parametrize("size", [5, 100, 20_000])
+@pytest.mark.parametrize("literal", [1 << 20, 0])
+def test_dictionaries_of_each_size_match_replay(spark, size, literal):
     from chanlytics.operators import keywords as K
 
     texts = [f"w{i} w{i + 1} tail{i % 7}" for i in range(300)]
-    kws = [f"w{i}" for i in range(0, 20_000, 3)] + [f"w{i} w{i + 1}" for i in range(0, 20_000, 2)] + ["tail1 no"]
-    got = {r.product_name: r.mention_count for r in K.keyword_hits(_fct(spark, texts), kws).collect()}
+    kws = [f"w{i}" for i in range(0, size, 3)] + [f"w{i} w{i + 1}" for i in range(0, size, 2)] + ["tail1 no", "il6"]
+    table = spark.createDataFrame([(k,) for k in kws], "keyword string")
+    got = {r.product_name: r.mention_count for r in K.keyword_hits(_fct(spark, texts), table, literal_chars=literal).collect()}
+    assert got == dict(replay_counts(texts, set(kws))) if size < 1000 else len(got) > 200
+    if size > 1000:
+        want = {}
+        for t in texts:
+            words = t.split()
+            for w in words[:2]:
+                if int(w[1:]) % 3 == 0:
+                    want[w] = want.get(w, 0) + 1
+            for i in range(0, 302, 2):
+                if f"w{i} w{i + 1}" in t:
+                    want[f"w{i} w{i + 1}"] = want.get(f"w{i} w{i + 1}", 0) + 3
+        assert got == want
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 50])
+def test_medians_of_groups_larger_than_a_piece(spark, pieces):
+    import random
+
+    from chanlytics.operators.quantile import lower_medians
+
+    rng = random.Random(pieces)
+    rows = [(g, v, rng.randrange(1, 9)) for g, many in (("a", 2000), ("b", 1), (None, 40), ("c", 2))
+            for v in rng.sample(range(10_000), many)]
+    df = spark.createDataFrame(rows, "g string, value long, n long").repartition(5)
+    got = {r.g: r.median for r in lower_medians(df, ["g"], pieces=pieces).collect()}
     want = {}
-    for t in texts:
-        words = t.split()
-        for w in words[:2]:
-            if int(w[1:]) % 3 == 0:
-                want[w] = want.get(w, 0) + 1
-        for i in range(0, 302, 2):
-            if f"w{i} w{i + 1}" in t:
-                want[f"w{i} w{i + 1}"] = want.get(f"w{i} w{i + 1}", 0) + 3
+    for g in {r[0] for r in rows}:
+        own = sorted(v for h, v, n in rows if h == g for _ in range(n))
+        want[g] = own[(len(own) - 1) // 2]
     assert got == want
+    assert lower_medians(df.where("false"), ["g"], pieces=pieces).collect() == []
