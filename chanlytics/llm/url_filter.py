@@ -105,8 +105,8 @@ def build_index(urls: DataFrame, rules: DataFrame) -> DataFrame:
     made = rules.mapInArrow(prepare, "rule string, verdict string, site boolean, pattern string, tokens array<string>")
     held = made.select("rule", "verdict", "site", "pattern", F.explode("tokens").alias("token"))
     wanted = held.select("token").distinct()
-    counts = (urls.select(F.explode(_tokens("target", "lowered")).alias("token")).join(wanted, "token", "left_semi")
-              .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
+    counts = (urls.select(F.explode(_tokens("target", "lowered")).alias("token"))
+              .groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(wanted, "token", "left_semi"))
     order = F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.length("token")).alias("l"), F.col("token").alias("token"))
     return (held.join(counts, "token", "left").groupBy("rule", "site")
             .agg(F.min(order)["token"].alias("token"), F.first("verdict").alias("verdict"), F.first("pattern").alias("pattern")))
