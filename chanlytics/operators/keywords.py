@@ -10,26 +10,29 @@ The dictionary is probed inside the row.  It is a literal of the plan: an
 array of slots, indexed by crc32, with the words (or phrases) of each slot.
 * A token is looked up in its slot, and only the hits are exploded.
 * A phrase is looked up by its first gap between words: the last characters
-  before it and the first after it (up to two each).  Phrases whose gap
-  stands in the text are tested with ``contains`` in the same row.  A few
-  phrases are tested without the look-up.
+  before it and the first after it (up to two each).  Phrases whose first
+  two words fit at the gap are tested with ``contains`` in the same row.  A
+  few phrases are tested without the look-up.
 So a text never leaves its row: what shuffles is one partial sum per keyword
 and group of a task.
 
-A literal needs a bound: a dictionary of more than LITERAL_CHARS characters
-is a relation instead (``_joined_hits``), which tokens and the surroundings
-of gaps are joined to, with the same result; texts do not move there either.
+A literal needs a bound: words, or phrases, of more than LITERAL_CHARS
+characters are a relation instead, which counted tokens (``_joined_words``)
+or the surroundings of gaps (``_joined_phrases``) are joined to, with the
+same result; texts do not move there either.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlytics.functions.text import tokens
+from chanlytics.session import ensure_checkpoint_dir
 
 # The characters that the reference's language splits at.
 _BLANKS = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -56,15 +59,19 @@ def dictionary(keywords: "DataFrame | list[str]", column: str, like: DataFrame)
     return kw.withColumn("parts", _parts(F.col("product_name")))
 
 
-def _listed(keywords: "DataFrame | list[str]", column: str, most: int) -> list[str] | None:
-    """The distinct keywords, if they have at most ``most`` characters in all."""
-    if not isinstance(keywords, list):
-        kw = keywords.select(F.col(column).alias("k")).where("k is not null").distinct()
-        if (kw.agg(F.sum(F.length("k") + 1)).first()[0] or 0) > most:
-            return None
-        return sorted(r.k for r in kw.collect())
-    own = [k for k in dict.fromkeys(keywords) if k is not None]
-    return own if sum(len(k) + 1 for k in own) <= most else None
+def _sides(keywords: "DataFrame | list[str]", column: str, like: DataFrame, most: int) -> list:
+    """[words, phrases] of a dictionary: a list of at most ``most`` characters, else a relation."""
+    if isinstance(keywords, list):
+        own = [k for k in dict.fromkeys(keywords) if k is not None]
+        sides = [[k for k in own if len(k.split()) < 2], [k for k in own if len(k.split()) > 1]]
+        if all(sum(len(k) + 1 for k in x) <= most for x in sides):
+            return sides
+    ensure_checkpoint_dir(like.sparkSession)
+    kw = dictionary(keywords, column, like).checkpoint()  # made once, whatever it is derived from
+    which = [F.size("parts") < 2, F.size("parts") > 1]
+    size = kw.agg(*[F.sum(F.when(w, F.length("product_name") + 1)) for w in which]).first()
+    return [[r[0] for r in kw.where(w).select("product_name").collect()] if (n or 0) <= most else kw.where(w)
+            for w, n in zip(which, size)]
 
 
 class _Slots:
@@ -97,87 +104,101 @@ def _gap(phrase: str) -> str:
     return f"{first[-EDGE:]} {second[:EDGE]}"
 
 
-def _gap_keys(parts: Column, shapes: list[tuple[int, int]]) -> Column:
-    """The distinct surroundings of a text's gaps, in the given shapes.
-
-    A gap at the text's edge or with fewer characters beside it yields a
-    shorter key, which no phrase of that shape has.
-    """
-    def around(a, b):
-        return F.transform(F.sequence(F.lit(0), F.size(parts) - 2),
-                           lambda i: _edge(F.get(parts, i), F.get(parts, i + 1), a, b))
-    return F.when(F.size(parts) > 1, F.array_distinct(F.concat(*[around(a, b) for a, b in shapes])))
-
-
 def _phrase_hits(rows: DataFrame, phrases: list[str]) -> tuple[DataFrame, Column]:
     """(rows with what the column needs, the phrases that the lower-cased text lt holds)."""
     if len(phrases) <= FEW_PHRASES:
         return rows, F.array_compact(F.array(*[F.when(F.contains("lt", F.lit(p)), F.lit(p)) for p in phrases]))
-    slots = _Slots([(_gap(p), {"g": _gap(p), "p": p}) for p in phrases], "struct<g:string,p:string>")
+    slots = _Slots([(_gap(p), dict(zip("fs", p.split()), p=p)) for p in phrases], "struct<f:string,s:string,p:string>")
+    shapes = sorted({_shape(p) for p in phrases})
     # parts are used in several places, which keeps them a column of their own
     keyed = rows.withColumn("__parts", _parts(F.col("lt")))
-    keyed = keyed.withColumn("__gaps", F.coalesce(_gap_keys(F.col("__parts"), sorted({_shape(p) for p in phrases})),
-                                                  F.array().cast("array<string>")))
-    near = F.flatten(F.transform("__gaps", lambda k: F.filter(slots.of(k), lambda s: s["g"] == k)))
-    keyed = keyed.withColumn("__near", F.array_distinct(F.transform(near, lambda s: s["p"])))
+
+    def at_gap(i: Column) -> Column:
+        left, right = F.get("__parts", i), F.get("__parts", i + 1)
+        own = F.flatten(F.array(*[slots.of(_edge(left, right, a, b)) for a, b in shapes]))
+        return F.transform(F.filter(own, lambda x: F.endswith(left, x["f"]) & F.startswith(right, x["s"])), lambda x: x["p"])
+
+    near = F.flatten(F.transform(F.sequence(F.lit(0), F.size("__parts") - 2), at_gap))
+    none = F.array().cast("array<string>")
+    keyed = keyed.withColumn("__near", F.when(F.size("__parts") > 1, F.array_distinct(near)).otherwise(none))
     return keyed, F.filter("__near", lambda p: F.contains(F.col("lt"), p))
 
 
 HIT = "struct<product_name:string,n:bigint>"
 
 
-def with_hits(texts: DataFrame, words: list[str], text_col: str, group_cols: list[str]) -> DataFrame:
+def _with_hits(texts: DataFrame, words: list[str], phrases: list[str], text_col: str, group_cols: list[str]) -> DataFrame:
     """(group_cols..., hits): each non-NULL text's keywords as (product_name, n), found in the row."""
-    one = [k for k in words if len(k.split()) < 2]
-    phrases = [k for k in words if len(k.split()) > 1]
-    rows = texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
-    rows = rows.withColumn("toks", tokens("lt"))
-    hits = F.array().cast(f"array<{HIT}>")
+    rows = _texts(texts, text_col, group_cols).withColumn("toks", tokens("lt"))
+    none = F.array().cast(f"array<{HIT}>")
+    hits = none
     if phrases:
         rows, found = _phrase_hits(rows, phrases)
         n = F.size("toks").cast("long")
         hits = F.transform(F.when(n > 0, found), lambda p: F.struct(p.alias("product_name"), n.alias("n"))).cast(f"array<{HIT}>")
-        hits = F.coalesce(hits, F.array().cast(f"array<{HIT}>"))
-    if one:
-        slots = _Slots([(w, w) for w in one], "string")
+        hits = F.coalesce(hits, none)
+    if words:
+        slots = _Slots([(w, w) for w in words], "string")
         own = F.filter("toks", lambda t: F.array_contains(slots.of(t), t))
         own = F.transform(own, lambda t: F.struct(t.alias("product_name"), F.lit(1).cast("long").alias("n"))).cast(f"array<{HIT}>")
         hits = F.concat(hits, own)
     return rows.select(*group_cols, hits.alias("hits"))
 
 
-def _joined_hits(texts: DataFrame, kw: DataFrame, text_col: str, group_cols: list[str]) -> DataFrame:
-    """(group_cols..., product_name, n) against a dictionary of any size.
+def _texts(texts: DataFrame, text_col: str, group_cols: list[str]) -> DataFrame:
+    return texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
+
 
-    Tokens are counted per group before they meet the words.  Of a phrase's
-    candidates the surroundings of the gap travel, as many parts to either
-    side as the longest phrase has, and tell whether the phrase stands there;
-    the pairs meet the texts' digests, which carry the token counts.
+def _joined_words(src: DataFrame, words: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Tokens are counted per group before they meet the words."""
+    # outer: a plain explode would have the tokens made twice, for a filter on their number
+    return (src.select(*group_cols, F.explode_outer(tokens("lt")).alias("product_name")).where("product_name is not null")
+            .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("n"))
+            .join(words.select("product_name"), "product_name").select(*group_cols, "product_name", "n"))
+
+
+def _joined_phrases(src: DataFrame, phrases: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Of a gap its surroundings travel, as many parts to either side as the longest phrase has.
+
+    They tell whether the phrase stands there; the pairs of text digest and
+    phrase meet the digests' token counts, summed per group, so a text that
+    is repeated often is one row.
     """
-    src = texts.where(F.col(text_col).isNotNull()).select(*group_cols, F.lower(F.col(text_col)).alias("lt"))
-    words = kw.where(F.size("parts") < 2).select("product_name")
-    hits = (src.select(*group_cols, F.explode(tokens("lt")).alias("product_name"))
-            .groupBy(*group_cols, "product_name").agg(F.count(F.lit(1)).alias("n")).join(words, "product_name")
-            .select(*group_cols, "product_name", "n"))
-    longest = kw.agg(F.max(F.size("parts"))).first()[0] or 0
-    if longest < 2:
-        return hits
-    phrases = kw.where(F.size("parts") > 1)
-    first, second = F.get("parts", 0), F.get("parts", 1)
+    first, second = (F.get("parts", i) for i in (0, 1))
+    shape = F.struct(*[F.least(F.length(x), F.lit(EDGE)).alias(c) for c, x in (("a", first), ("b", second))])
+    facts = phrases.agg(F.max(F.size("parts")), F.collect_set(shape)).first()
+    longest, shapes = facts[0] or 0, sorted((x.a, x.b) for x in facts[1])
     # a part with the blanks after it; the text's first one with those before it too
     pieces = F.regexp_extract_all("lt", F.lit(f"(^{BLANK}*)?[^{_BLANKS}]+{BLANK}*"), F.lit(0))
-    keyed = src.select(F.md5("lt").alias("text_key"), pieces.alias("p"), _parts(F.col("lt")).alias("parts")).where(F.size("parts") > 1)
+    keyed = src.select(F.md5("lt").alias("text_key"), pieces.alias("p"), _parts(F.col("lt")).alias("parts"))
     around = F.transform(F.sequence(F.lit(0), F.size("parts") - 2), lambda i: F.struct(
-        F.get("parts", i).alias("l"), F.get("parts", i + 1).alias("r"),
+        F.array_distinct(F.array(*[_edge(F.get("parts", i), F.get("parts", i + 1), a, b) for a, b in shapes])).alias("gaps"),
         F.array_join(F.slice("p", F.greatest(i + 2 - longest, F.lit(1)), F.lit(2 * longest)), "").alias("near")))
-    gaps = keyed.select("text_key", F.explode(around).alias("g"))
-    gaps = gaps.select("text_key", F.concat(F.substring("g.l", -1, 1), F.lit(" "), F.substring("g.r", 1, 1)).alias("gap"), "g.near")
-    own = F.concat(F.substring(first, -1, 1), F.lit(" "), F.substring(second, 1, 1))
+    gaps = keyed.select("text_key", F.explode_outer(F.when(F.size("parts") > 1, around)).alias("g")).where("g is not null")
+    gaps = gaps.select("text_key", "g.near", F.explode("g.gaps").alias("gap"))
+    own = F.lit(None).cast("string")
+    for a, b in shapes:
+        own = F.when(shape == F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")), _edge(first, second, a, b)).otherwise(own)
     pairs = (gaps.join(phrases.select("product_name", own.alias("gap")), "gap").where(F.contains("near", F.col("product_name")))
              .select("text_key", "product_name").distinct())
     counted = src.select(*group_cols, F.md5("lt").alias("text_key"), F.size(tokens("lt")).cast("long").alias("n"))
     counted = counted.groupBy(*group_cols, "text_key").agg(F.sum("n").alias("n"))
-    return hits.unionByName(counted.join(pairs, "text_key").select(*group_cols, "product_name", "n"))
+    return counted.join(pairs, "text_key").select(*group_cols, "product_name", "n")
+
+
+def _hits(texts: DataFrame, sides: list, text_col: str, group_cols: list[str]) -> list[DataFrame]:
+    """(group_cols..., product_name, n): in the row for the sides that are lists, joined for the others."""
+    lists = [x if isinstance(x, list) else [] for x in sides]
+    out = []
+    if any(lists) or all(isinstance(x, list) for x in sides):
+        # outer, as above
+        hits = _with_hits(texts, *lists, text_col, group_cols).select(*group_cols, F.inline_outer("hits"))
+        out.append(hits.where("product_name is not null"))
+    src = _texts(texts, text_col, group_cols)
+    for side, joined in zip(sides, (_joined_words, _joined_phrases)):
+        if not isinstance(side, list):
+            out.append(joined(src, side, group_cols))
+    return out
 
 
 def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
@@ -185,34 +206,32 @@ def keyword_hits(texts: DataFrame, keywords: "DataFrame | list[str]",
                  keyword_col: str = "keyword", literal_chars: int = LITERAL_CHARS) -> DataFrame:
     """(group_cols..., product_name, mention_count) over non-NULL texts."""
     group_cols = group_cols or []
-    words = _listed(keywords, keyword_col, literal_chars)
-    if words is None:
-        hits = _joined_hits(texts, dictionary(keywords, keyword_col, texts), text_col, group_cols)
-    else:
-        # outer: a plain inline would have the hits computed twice, for a filter on their number
-        hits = with_hits(texts, words, text_col, group_cols).select(*group_cols, F.inline_outer("hits"))
-        hits = hits.where("product_name is not null")
+    sides = _sides(keywords, keyword_col, texts, literal_chars)
+    hits = reduce(DataFrame.unionByName, _hits(texts, sides, text_col, group_cols))
     return (hits.groupBy(*group_cols, "product_name").agg(F.sum("n").cast("long").alias("mention_count"))
             .where("mention_count > 0"))
 
 
 def first_words(kw: DataFrame, literal_chars: int = LITERAL_CHARS):
     """Column -> Column: whether a word begins a keyword of the dictionary (true for any word if that is too long)."""
-    first = kw.select(F.get("parts", 0).alias("k")).where("k is not null")
-    words = _listed(first, "k", literal_chars)
-    if words is None:
+    first = kw.select(F.get("parts", 0).alias("k")).where("k is not null").distinct()
+    if (first.agg(F.sum(F.length("k") + 1)).first()[0] or 0) > literal_chars:
         return lambda x: F.lit(True)
-    slots = _Slots([(w, w) for w in words], "string")
+    slots = _Slots([(r.k, r.k) for r in first.collect()], "string")
     return lambda x: F.array_contains(slots.of(x), x)
 
 
 def mentions(texts: DataFrame, keywords: "DataFrame | list[str]", key: str, text_col: str = "message_text",
              group_cols: list[str] | None = None, keyword_col: str = "keyword",
              literal_chars: int = LITERAL_CHARS) -> DataFrame:
-    """(group_cols...) of each text with at least one hit; ``key`` tells texts apart where they are joined."""
+    """(group_cols..., mentioned): texts and whether they have a hit; texts without one may be missing.
+
+    ``key`` tells texts apart where they are joined.
+    """
     group_cols = group_cols or []
-    words = _listed(keywords, keyword_col, literal_chars)
-    if words is not None:
-        return with_hits(texts, words, text_col, group_cols).where(F.size("hits") > 0).select(*group_cols)
-    hits = _joined_hits(texts, dictionary(keywords, keyword_col, texts), text_col, [key, *group_cols])
-    return hits.where("n > 0").select(key, *group_cols).distinct().select(*group_cols)
+    sides = _sides(keywords, keyword_col, texts, literal_chars)
+    if all(isinstance(x, list) for x in sides):
+        # a column, not a filter, which would be moved down and find the hits again
+        return _with_hits(texts, *sides, text_col, group_cols).select(*group_cols, (F.size("hits") > 0).alias("mentioned"))
+    hits = reduce(DataFrame.unionByName, _hits(texts, sides, text_col, [key, *group_cols]))
+    return hits.where("n > 0").select(key, *group_cols).distinct().select(*group_cols, F.lit(True).alias("mentioned"))

@@ -124,7 +124,7 @@ def weekly_keyword_volume(fct_messages: DataFrame, dim_dates: DataFrame,
     keywords = model.DEFAULT_KEYWORDS if keywords is None else keywords
     hits = mentions(fct_messages.select("message_sk", "message_date_sk", "message_text"), keywords,
                     key="message_sk", group_cols=["message_date_sk"])
-    per_key = hits.groupBy("message_date_sk").agg(F.count(F.lit(1)).alias("n"))
+    per_key = hits.groupBy("message_date_sk").agg(F.count_if("mentioned").alias("n")).where("n > 0")
     dd = dim_dates.select("date_sk", "full_date")
     week = F.to_date(F.date_trunc("week", F.col("full_date")))
     return (per_key.join(dd, F.col("message_date_sk") == F.col("date_sk"))
@@ -199,7 +199,7 @@ def price_mentions(fct_messages: DataFrame, keywords: "DataFrame | list[str]",
     starts = first_words(kw)
     places = F.filter(F.transform("w", lambda x, i: F.when(starts(x), i)), lambda i: i.isNotNull())
     # w is used twice, and so stays a column of its own
-    found = texts.select("channel_username", "w", places.alias("at")).where(F.size("at") > 0)
+    found = texts.select("channel_username", "w", places.alias("at"))
     near = F.transform("at", lambda i: F.struct(F.get("w", i).alias("first"), F.slice("w", i + 1, reach).alias("next")))
     places = F.filter(near, lambda s: F.exists(F.slice(s["next"], 2, reach), amount))
     here = found.select("channel_username", F.explode_outer(places).alias("s")).where("s is not null").select(
