@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.functions.text import message_length
+from chanlytics.operators.keyed import KeyedTable, id_block
 from chanlytics.operators.lookup import map_channel_with_fallback, map_literal
 from chanlytics.operators.topk import latest_per_key
 
@@ -52,7 +53,7 @@ def validate_export_files(parsed: DataFrame, mapping: dict[str, str] | None = No
     """
     mapping = model.CHANNEL_USERNAMES if mapping is None else mapping
     reasons = F.filter(F.transform("records", lambda r: _reason(r, mapping)), lambda x: x.isNotNull())
-    key = [c for c in ("source_file", "part") if c in parsed.columns]
+    key = [c for c in ("source_file", "part", "scrape_date") if c in parsed.columns]
     return parsed.select(
         *key, "records",
         F.size("records").alias("n_records"),
@@ -93,9 +94,10 @@ def export_records(validated: DataFrame) -> DataFrame:
     """
     ok = validated.filter(F.col("reason").isNull())
     first = F.col("first_pos") if "first_pos" in validated.columns else F.lit(0)
-    rows = ok.select("source_file", first.alias("first_pos"), F.posexplode("records").alias("source_pos", "r"))
+    more = [c for c in ("scrape_date",) if c in validated.columns]
+    rows = ok.select("source_file", *more, first.alias("first_pos"), F.posexplode("records").alias("source_pos", "r"))
     return rows.select(*_typed(F.col("r")), "source_file",
-                       (F.col("source_pos") + F.col("first_pos")).cast("long").alias("source_pos"))
+                       (F.col("source_pos") + F.col("first_pos")).cast("long").alias("source_pos"), *more)
 
 
 def _typed(r: Column) -> list[Column]:
@@ -177,8 +179,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table's own columns (a keyed table has a block column besides); an absent table is empty."""
     if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     return spark.createDataFrame([], schema)
 
 
@@ -192,9 +195,24 @@ def write_partition(df: DataFrame, path: str, column: str, value) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
 
 
+# The block of a key: message ids lie close together in a day's batch.  Ids of
+# detections and paths of images hold the message id after the channel.
+_NAMED_ID = "try_cast(regexp_extract({}, '[^/_]*_([0-9]{{1,18}})[^/]*$', 1) AS BIGINT)"
+KEY_BLOCKS = {
+    "message_id": id_block("message_id"),
+    "detection_id": id_block(_NAMED_ID.format("detection_id")),
+    "image_path": id_block(_NAMED_ID.format("image_path")),
+}
+
+
+def keyed_table(spark: SparkSession, path: str, schema, keys: list[str], buckets: int | None = None) -> KeyedTable:
+    """The stored table of a key (its first column decides the block)."""
+    return KeyedTable(spark, path, schema, tuple(keys), KEY_BLOCKS.get(keys[0], "0"), buckets)
+
+
 def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, schema,
                      keys: list[str], order: list[Column], before_append=None) -> DataFrame:
-    """Append the new rows of ``batch`` to the parquet table at ``target_path``.
+    """Append the new rows of ``batch`` to the keyed table at ``target_path``.
 
     Returns the appended rows.  They are checkpointed (reliable storage)
     before the append, so they cannot change when the target grows, and a
@@ -206,12 +224,11 @@ def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, sc
     from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    target = read_table(spark, target_path, schema)
-    new = new_rows(batch, target, keys, order).checkpoint(eager=True)
+    target = keyed_table(spark, target_path, schema, keys)
+    new = target.absent(batch, order).checkpoint(eager=True)
     if before_append is not None:
         before_append(new)
-    cols = [f.name for f in schema.fields]
-    new.select(*cols).write.mode("append").parquet(target_path)
+    target.append(new)
     return new
 
 
@@ -233,44 +250,60 @@ def _load(spark: SparkSession, raw: DataFrame, raw_path: str, accounting_path: s
     return load_accounting(raw, new, files=files)
 
 
-def load_exports(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
+def judge_exports(files: DataFrame, mapping: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(typed records, accepted exports, rejected exports) of array files.
+
+    The one rule of the loader, the stream and the queries: an export is all
+    its parts, and a bad record in any of them rejects it whole (I6).  The
+    parts are parsed and checked once and checkpointed.
+    """
+    from chanlytics.session import ensure_checkpoint_dir
+    from chanlytics.sources.exports import parse_export_files
+
+    ensure_checkpoint_dir(files.sparkSession)
+    parts = validate_export_files(parse_export_files(files), mapping).checkpoint(eager=True)
+    verdicts = export_verdicts(parts)
+    rejected = verdicts.where("reason is not null").select("source_file", "n_records", "reason")
+    accepted = verdicts.where("reason is null").select("source_file")
+    return export_records(accepted_parts(parts)), accepted, rejected
+
+
+def load_exports(spark: SparkSession, base: str, run_date: dt.date | None, raw_path: str,
                  quarantine_path: str | None = None, mapping: dict[str, str] | None = None,
                  accounting_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Load one day's export folder into the raw table (the loader job).
+    """Load one day's exports into the raw table (the loader job); run_date None: all days, each with its own date.
 
-    Returns (accounting per file, rejected files).  Rejected files are
-    appended to ``quarantine_path`` when given, the accounting of each run
+    Returns (accounting per export, rejected exports).  Rejected exports are
+    written to ``quarantine_path`` when given, the accounting of each run
     to ``accounting_path``.  A day without a folder loads nothing.
     """
-    from chanlytics.session import ensure_checkpoint_dir
-    from chanlytics.sources.exports import parse_export_files, read_export_files
+    from chanlytics.sources.exports import read_export_files
 
-    ensure_checkpoint_dir(spark)
-    files = read_export_files(spark, base, run_date.isoformat())
-    validated = validate_export_files(parse_export_files(files), mapping).checkpoint(eager=True)
-    rejected = validated.filter(F.col("reason").isNotNull()) \
-        .select("source_file", "n_records", "reason")
+    files = read_export_files(spark, base, run_date.isoformat() if run_date else None)
+    records, accepted, rejected = judge_exports(files, mapping)
     if quarantine_path:
         write_partition(rejected, quarantine_path, "run_date", run_date)
-    raw = to_raw_messages(export_records(validated), run_date, mapping)
-    accepted = validated.filter(F.col("reason").isNull()).select("source_file")
+    raw = to_raw_messages(records, run_date or F.col("scrape_date"), mapping)
     return _load(spark, raw, raw_path, accounting_path, run_date, accepted), rejected
 
 
 LINES_SCHEMA = "value string, scrape_date date, channel string"
 
 
-def read_landing_day(spark: SparkSession, base: str, run_date: dt.date | None = None) -> DataFrame:
-    """One day (or all days) of the JSON-lines landing layout: value, scrape_date, channel.
+def read_landing_day(spark: SparkSession, base: str, run_date: "dt.date | list[dt.date] | None" = None) -> DataFrame:
+    """One day (or some, or all) of the JSON-lines landing layout: value, scrape_date, channel.
 
     Splittable input: a large day is read by many tasks.  ``channel`` and
     ``scrape_date`` come from the partition folders and have declared types.
     A day without a folder has no rows.
     """
-    path = base.rstrip("/") + (f"/scrape_date={run_date.isoformat()}" if run_date else "")
-    if not path_exists(spark, path):
+    root = base.rstrip("/")
+    days = run_date if isinstance(run_date, list) else [run_date]
+    paths = [root + (f"/scrape_date={d.isoformat()}" if d else "") for d in days]
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
         return spark.createDataFrame([], LINES_SCHEMA)
-    return spark.read.schema(LINES_SCHEMA).option("basePath", base).text(path)
+    return spark.read.schema(LINES_SCHEMA).option("basePath", base).text(paths)
 
 
 def check_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -322,18 +355,29 @@ def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path
     later step reads that.  In-batch first write wins by (export, place in
     it), as in the array layout.
     """
-    from chanlytics.session import ensure_checkpoint_dir
+    def keep(rejected: DataFrame) -> None:
+        if quarantine_path:
+            write_partition(rejected, quarantine_path, "run_date", run_date)
 
-    ensure_checkpoint_dir(spark)
-    checked = check_landing_rows(read_landing_day(spark, base, run_date), mapping) \
-        .checkpoint(eager=True)
-    typed, rejected = split_checked_rows(checked)
-    if quarantine_path:
-        write_partition(rejected, quarantine_path, "run_date", run_date)
-    raw = to_raw_messages(typed, run_date, mapping)
+    raw, rejected = judge_landing(read_landing_day(spark, base, run_date), mapping, keep)
     return _load(spark, raw, raw_path, accounting_path, run_date, None), rejected
 
 
+def judge_landing(rows: DataFrame, mapping: dict[str, str] | None = None, keep_rejected=None) -> tuple[DataFrame, DataFrame]:
+    """(raw rows, rejected exports) of landing lines, parsed and checked once and checkpointed.
+
+    The one rule of the loader and the stream.  ``keep_rejected(rejected)``
+    runs before any row is stored.
+    """
+    from chanlytics.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(rows.sparkSession)
+    typed, rejected = split_checked_rows(check_landing_rows(rows, mapping).checkpoint(eager=True))
+    if keep_rejected is not None:
+        keep_rejected(rejected)
+    return to_raw_messages(typed, F.col("scrape_date"), mapping), rejected
+
+
 def new_images(images: DataFrame, processed: DataFrame, path_col: str = "image_path") -> DataFrame:
     """Images whose path is not yet processed."""
     return images.join(processed.select(path_col), path_col, "left_anti").select(*images.columns)

@@ -380,6 +380,23 @@ def q_insert_if_absent(spark, sf_dir):
     return new.select(*_LINEITEM_COLS)
 
 
+@register("i3_keyed_target", f"""
+SELECT doc_id AS message_id, {O._MAP_CASE} AS channel_username, text AS message_text,
+       CASE WHEN doc_id % 3 = 0 THEN DATE '2024-04-11' ELSE DATE '2024-04-10' END AS scrape_date
+FROM documents""")
+def q_keyed_target(spark, sf_dir):
+    """Two loads into a stored table: two thirds of the messages, then all of them, each twice; the first write stays."""
+    path = scratch(spark, "keyed")
+    for day, part in (("2024-04-10", "message_id % 3 <> 0"), ("2024-04-11", "true")):
+        export = D.export_rows(spark, sf_dir).where(part)
+        again = export.withColumns({"source_pos": F.col("source_pos") + 1, "text": F.lit("a later copy")})
+        batch = I.to_raw_messages(export.unionByName(again), F.lit(day).cast("date"), D.CHANNEL_MAP)
+        I.append_if_absent(spark, batch, path, _model.RAW_MESSAGES_SCHEMA, _model.RAW_MESSAGES_KEY,
+                           [F.col("source_file"), F.col("source_pos")])
+    stored = I.read_table(spark, path, _model.RAW_MESSAGES_SCHEMA)
+    return stored.select("message_id", "channel_username", "message_text", "scrape_date")
+
+
 _EXPORT_ROWS_SQL = """
 export_rows AS (
   SELECT doc_id AS message_id, source AS channel,
@@ -728,8 +745,9 @@ _REASONS = {0: "unparsable", 1: "unparsable", 2: "missing_key", 3: "value_too_lo
 _LONG_NAME = "O'" + "x" * 300
 
 
-def _array_files(spark, sf_dir):
-    from chanlytics.sources.exports import array_files
+def _array_files(spark, sf_dir) -> str:
+    """The documents' exports as array files in a fresh folder, some of them spoilt."""
+    from chanlytics.sources.exports import array_files, write_exports
 
     files = array_files(D.export_rows(spark, sf_dir)).withColumn("k", F.expr(_FILE_NUMBER))
     c = F.col("content")
@@ -744,14 +762,18 @@ def _array_files(spark, sf_dir):
     out = c
     for k, v in made.items():
         out = F.when(F.col("k") == k, v).otherwise(out)
-    return files.select("source_file", "part", out.alias("content"))
+    base = scratch(spark, "arrays")
+    write_exports(files.select("source_file", "part", out.alias("content")), base)
+    return base
+
 
+_ARRAY_CHANNELS = D.CHANNEL_MAP | {"long": _LONG_NAME, "it's": "O'Neil"}
 
-def _validated(spark, sf_dir):
-    from chanlytics.sources.exports import parse_export_files
 
-    mapping = D.CHANNEL_MAP | {"long": _LONG_NAME, "it's": "O'Neil"}
-    return I.validate_export_files(parse_export_files(_array_files(spark, sf_dir)), mapping)
+def _judged(spark, sf_dir):
+    from chanlytics.sources.exports import read_export_files
+
+    return I.judge_exports(read_export_files(spark, _array_files(spark, sf_dir)), _ARRAY_CHANNELS)
 
 
 _GOOD_EXPORT = f"""
@@ -773,7 +795,7 @@ SELECT doc_id AS message_id, source AS channel, date, text, CAST(n_chars % 500 A
 FROM numbered WHERE k NOT IN ({', '.join(map(str, [*_REASONS, 5]))})""")
 def q_array_scan(spark, sf_dir):
     """The records of the accepted array files; whole files with a defect are left out."""
-    return I.export_records(I.accepted_parts(_validated(spark, sf_dir)))
+    return _judged(spark, sf_dir)[0].drop("scrape_date")
 
 
 @register("i6_rejected_files", f"""
@@ -783,7 +805,7 @@ SELECT source_file, CASE WHEN k > 1 THEN CAST(count(*) AS INTEGER) END AS n_reco
 FROM numbered WHERE k IN ({', '.join(map(str, _REASONS))}) GROUP BY source_file, k""")
 def q_rejected_files(spark, sf_dir):
     """The rejected files, each with its reason."""
-    return I.export_verdicts(_validated(spark, sf_dir)).where("reason is not null").select(
+    return _judged(spark, sf_dir)[2].select(
         "source_file", F.when(F.col("reason") != "unparsable", F.col("n_records")).alias("n_records"), "reason")
 
 
@@ -792,12 +814,9 @@ WITH {_GOOD_EXPORT.strip()}
 SELECT source_file, CASE WHEN k = 5 THEN 0 ELSE count(*) END AS recorded, CAST(0 AS BIGINT) AS skipped
 FROM numbered WHERE k NOT IN ({', '.join(map(str, _REASONS))}) GROUP BY source_file, k""")
 def q_empty_files(spark, sf_dir):
-    """Records loaded from each accepted file; empty files count with none."""
-    ok = I.accepted_parts(_validated(spark, sf_dir))
-    raw = I.to_raw_messages(I.export_records(ok), F.to_date(F.substring("source_file", 1, 10)))
-    none = spark.createDataFrame([], "message_id long, channel_username string")
-    new = I.new_rows(raw, none, _model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
-    return I.load_accounting(raw, new, files=ok.select("source_file"))
+    """The loader over all days' files: records loaded from each accepted file; empty files count with none."""
+    base = _array_files(spark, sf_dir)
+    return I.load_exports(spark, base, None, base + "-raw", mapping=_ARRAY_CHANNELS)[0]
 
 
 # --- the lines layout: names like numbers, repeated records -----------------------
@@ -869,3 +888,38 @@ def q_incremental_ingest(spark, sf_dir):
         start_landing_ingest(spark, base + "/landing", base + "/raw", base + "/state",
                              mapping=D.CHANNEL_MAP).awaitTermination()
     return spark.read.parquet(base + "/raw").select("message_id", "channel_username", "scrape_date", "message_text")
+
+
+@register("t1_sealed_exports", f"""
+SELECT doc_id AS message_id, {O._MAP_CASE} AS channel_username, DATE '{_DAY}' AS scrape_date, text AS message_text
+FROM documents WHERE CAST(substr(source, 4) AS INTEGER) % 4 <> 1""")
+def q_sealed_exports(spark, sf_dir):
+    """Exports whose files arrive in three steps, some with a bad line in the last; a stream is started after each.
+
+    Nothing is stored before the seals, and then what the batch loader stores.
+    """
+    import datetime as dt
+
+    from chanlytics.sources.exports import seal_exports, write_landing
+    from chanlytics.streaming import start_landing_ingest
+
+    base, day = scratch(spark, "job"), dt.date.fromisoformat(_DAY)
+    rows = D.export_rows(spark, sf_dir).withColumn("scrape_date", F.lit(day))
+    landing = base + "/landing"
+    seal_exports(rows.where("false"), landing)
+
+    def stream():
+        start_landing_ingest(spark, landing, base + "/raw", base + "/state", mapping=D.CHANNEL_MAP).awaitTermination()
+
+    for step in range(2):
+        write_landing(rows.where(F.col("message_id") % 2 == step), f"{base}/step{step}", seal=False)
+        (I.read_landing_day(spark, f"{base}/step{step}").write.mode("append")
+         .partitionBy("scrape_date", "channel").text(landing))
+        stream()
+    late = rows.where(F.substring("channel", 4, 9).cast("int") % 4 == 1).select("channel").distinct()
+    (late.select(F.lit('{"message_id": "no number"').alias("value"), F.lit(day).alias("scrape_date"), "channel")
+     .write.mode("append").partitionBy("scrape_date", "channel").text(landing))
+    stream()
+    seal_exports(rows, landing)
+    stream()
+    return spark.read.parquet(base + "/raw").select("message_id", "channel_username", "scrape_date", "message_text")

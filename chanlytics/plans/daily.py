@@ -129,12 +129,20 @@ def write_reports(tables: dict[str, DataFrame], layout: Layout) -> dict[str, str
 def create_tables(spark: SparkSession, layout: Layout, database: str = "marts") -> None:
     """The stored tables under names, for SQL: CREATE TABLE IF NOT EXISTS over their folders."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{layout.table('_database')}'")
-    stored = {"raw_messages": model.RAW_MESSAGES_SCHEMA, "raw_image_detections": model.RAW_DETECTIONS_SCHEMA}
+    stored = {"raw_messages": (model.RAW_MESSAGES_SCHEMA, model.RAW_MESSAGES_KEY),
+              "raw_image_detections": (model.RAW_DETECTIONS_SCHEMA, model.RAW_DETECTIONS_KEY)}
     for name in ("raw_messages", "raw_image_detections", "dim_channels", "dim_dates", "fct_messages",
                  "fct_image_detections"):
         path = layout.table(name)
-        if name not in stored and not I.path_exists(spark, path):
+        if name in stored:
+            # views of the keyed tables, whose folders have blocks and buckets
+            keyed = I.keyed_table(spark, path, *stored[name])
+            keyed.ensure()
+            columns = ", ".join(f"`{c}`" for c in keyed.schema.names)
+            spark.sql(f"CREATE VIEW IF NOT EXISTS `{database}`.`{name}` AS SELECT {columns} FROM {keyed.name}")
             continue
-        schema = stored.get(name) or spark.read.parquet(path).schema
+        if not I.path_exists(spark, path):
+            continue
+        schema = spark.read.parquet(path).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet LOCATION '{path}'")

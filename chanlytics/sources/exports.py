@@ -26,20 +26,48 @@ def export_folder(base: str, date: str | None = None) -> str:
     return base.rstrip("/") + (f"/{date}" if date else "")
 
 
+FILES_SCHEMA = "source_file string, part int, content string, scrape_date date"
+_PARTS_SCHEMA = "value string, export_date date, export string, part int"
+
+
 def read_export_files(spark: SparkSession, base: str, date: str | None = None) -> DataFrame:
-    """(source_file, content) for each export file of one date folder (or all).
+    """(source_file, part, content, scrape_date) for each export file of one date (or all).
 
-    A folder that does not exist holds no files.
+    Two layouts, side by side: the exporter's ``<date>/<Channel>.json``, an
+    export in one file (part 0), and exports in parts as ``write_exports``
+    leaves them, ``export_date=<date>/export=<Channel>/part=<n>``, whose
+    source_file is ``<date>/<Channel>.json`` as well.  A folder that does not
+    exist holds no files.
     """
     from chanlytics.operators.ingest import path_exists
 
-    folder = export_folder(base, date)
-    if not path_exists(spark, folder):
-        return spark.range(0).select(F.lit("").alias("source_file"), F.lit("").alias("content"))
-    df = (spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
-          .text(folder, wholetext=True))
-    return df.select(F.col("_metadata.file_path").alias("source_file"),
-                     F.col("value").alias("content"))
+    root = base.rstrip("/")
+    out = spark.createDataFrame([], FILES_SCHEMA)
+    if path_exists(spark, export_folder(root, date)):
+        files = (spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
+                 .text(export_folder(root, date), wholetext=True))
+        path = F.col("_metadata.file_path")
+        out = out.unionByName(files.select(
+            path.alias("source_file"), F.lit(0).alias("part"), F.col("value").alias("content"),
+            F.regexp_extract(path, DATE_FOLDER, 1).try_cast("date").alias("scrape_date")))
+    days = f"{root}/export_date={date}" if date else f"{root}/export_date=*"
+    if path_exists(spark, root if not date else days) and (date or _has_parts(spark, root)):
+        parts = spark.read.schema(_PARTS_SCHEMA).option("basePath", root).text(days, wholetext=True)
+        name = F.concat(F.col("export_date").cast("string"), F.lit("/"), "export", F.lit(".json"))
+        out = out.unionByName(parts.select(name.alias("source_file"), "part", F.col("value").alias("content"),
+                                           F.col("export_date").alias("scrape_date")))
+    return out
+
+
+# The scrape date of an export file is the date folder it was exported to.
+DATE_FOLDER = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
+
+
+def _has_parts(spark: SparkSession, root: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root}/export_date=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return bool(found)
 
 
 def parsed_json(text: Column, kind: str) -> Column:
@@ -55,8 +83,8 @@ def parsed_json(text: Column, kind: str) -> Column:
 
 
 def parse_export_files(files: DataFrame) -> DataFrame:
-    """(source_file, [part,] records) where records is NULL for an unparsable file."""
-    key = [c for c in ("source_file", "part") if c in files.columns]
+    """(source_file, [part, scrape_date,] records) where records is NULL for an unparsable file."""
+    key = [c for c in ("source_file", "part", "scrape_date") if c in files.columns]
     return files.select(*key, parsed_json(F.col("content"), RECORDS_TYPE).alias("records"))
 
 
@@ -81,14 +109,46 @@ def array_files(export: DataFrame, records: int = ARRAY_RECORDS) -> DataFrame:
         F.lit("["), F.array_join("r.j", ","), F.lit("]")).alias("content"))
 
 
-def write_landing(export: DataFrame, base: str) -> None:
+def write_exports(files: DataFrame, base: str) -> None:
+    """Array files as array_files makes them, each to a file of its own (I1, the exporter's layout in parts).
+
+    source_file: ``<date>/<Channel>.json``.  A written day replaces only its own exports.
+    """
+    name = F.split("source_file", "/")
+    (files.select(F.col("content").alias("value"), F.get(name, 0).alias("export_date"),
+                  F.regexp_replace(F.get(name, 1), r"\.json$", "").alias("export"), "part")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1)
+     .partitionBy("export_date", "export", "part").text(base))
+
+
+def seals_folder(base: str) -> str:
+    """Where the seals of a landing zone stand: beside it, as its own folders are data."""
+    return base.rstrip("/") + "_seals"
+
+
+SEAL_SCHEMA = "scrape_date date, channel string"
+
+
+def seal_exports(exports: DataFrame, base: str) -> None:
+    """Declares exports (scrape_date, channel) of the lines layout complete, however many files they have.
+
+    A stream judges an export when its seal arrives, never by some of its
+    files.  An export that is written again is sealed again.
+    """
+    (exports.select("scrape_date", "channel").distinct().coalesce(1)
+     .write.mode("append").json(seals_folder(base)))
+
+
+def write_landing(export: DataFrame, base: str, seal: bool = True) -> None:
     """Write export rows to the landing zone as JSON lines, one folder per date and channel.
 
     Every key is written, NULL or not, with the record's place in the export
     (``source_pos``, when given).  Rebalancing gives a large channel-day
     several files of the advisory size.  A re-export of the same day
     replaces only that day's channel folders (dynamic partition overwrite),
-    as the reference overwrites a file.
+    as the reference overwrites a file.  When the data is written its exports
+    are sealed (``seal=False`` leaves that to the caller, for exports that
+    are written in several steps).
     """
     if "source_pos" not in export.columns:
         export = export.withColumn("source_pos", F.lit(None).cast("long"))
@@ -96,3 +156,5 @@ def write_landing(export: DataFrame, base: str) -> None:
     (export.select(*cols).hint("rebalance", "scrape_date", "channel")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy("scrape_date", "channel").json(base))
+    if seal:
+        seal_exports(export, base)

@@ -18,41 +18,43 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chanlytics import model
 from chanlytics.operators import ingest as I
-from chanlytics.sources.exports import export_folder, parse_export_files
+from chanlytics.sources.exports import DATE_FOLDER, SEAL_SCHEMA, export_folder, seals_folder
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
-# The scrape date of a streamed file is the date folder it was exported to.
-_DATE_FOLDER = r"/(\d{4}-\d{2}-\d{2})/[^/]+$"
-
-
 def start_export_ingest(spark: SparkSession, landing_base: str, raw_path: str,
                         checkpoint_path: str, quarantine_path: str | None = None,
                         mapping: dict[str, str] | None = None,
                         available_now: bool = True,
                         processing_time: str | None = None) -> StreamingQuery:
-    """New export files -> validated, insert-if-absent into the raw table."""
+    """New export files -> validated, insert-if-absent into the raw table.
+
+    For the exporter's layout, where an export is one file, which is complete
+    when it appears.
+    """
     stream = (spark.readStream.option("wholetext", "true").option("pathGlobFilter", "*.json")
               .option("recursiveFileLookup", "true").text(export_folder(landing_base)))
-    files = stream.select(F.col("_metadata.file_path").alias("source_file"),
-                          F.col("value").alias("content"))
+    path = F.col("_metadata.file_path")
+    files = stream.select(path.alias("source_file"), F.lit(0).alias("part"), F.col("value").alias("content"),
+                          F.to_date(F.regexp_extract(path, DATE_FOLDER, 1)).alias("scrape_date"))
 
     def ingest_batch(batch: DataFrame, epoch_id: int) -> None:
-        validated = I.validate_export_files(parse_export_files(batch), mapping)
+        records, _, rejected = I.judge_exports(batch, mapping)
         if quarantine_path:
             # a retried micro-batch rewrites its own epoch partition
-            I.write_partition(validated.filter(F.col("reason").isNotNull())
-                              .select("source_file", "n_records", "reason"),
-                              quarantine_path, "epoch_id", epoch_id)
-        scrape = F.to_date(F.regexp_extract("source_file", _DATE_FOLDER, 1))
-        raw = I.to_raw_messages(I.export_records(validated), scrape, mapping)
+            I.write_partition(rejected, quarantine_path, "epoch_id", epoch_id)
+        raw = I.to_raw_messages(records, F.col("scrape_date"), mapping)
         I.append_if_absent(batch.sparkSession, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
                            model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
 
-    w = files.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint_path)
-    w = w.trigger(availableNow=True) if available_now else \
-        w.trigger(processingTime=processing_time or "1 minute")
-    return w.start()
+    return _start(files.writeStream.foreachBatch(ingest_batch), checkpoint_path, available_now, processing_time)
+
+
+def _start(writer, checkpoint_path: str, available_now: bool, processing_time: str | None) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint_path)
+    if available_now:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=processing_time or "1 minute").start()
 
 
 def start_landing_ingest(spark: SparkSession, landing_base: str, raw_path: str,
@@ -62,26 +64,32 @@ def start_landing_ingest(spark: SparkSession, landing_base: str, raw_path: str,
                          processing_time: str | None = None) -> StreamingQuery:
     """T1 for the splittable JSON-lines landing layout (``write_landing``).
 
-    Same rules as the batch ``load_landing_day``: values read as text and
-    checked, a bad line rejects its whole file, insert-if-absent into the
-    raw table.  The scrape date is the file's ``scrape_date=`` folder.
+    An export may have many files, which arrive one after the other, and a
+    bad line in any of them rejects it whole.  So the stream is of seals: a
+    micro-batch reads the exports whose seals have arrived, all their files,
+    and judges them as the batch loader does (``judge_landing``).  Files
+    without a seal wait.  Nothing is kept between micro-batches, and a
+    retried one reads and appends the same.
     """
-    stream = (spark.readStream.schema(I.LINES_SCHEMA).option("basePath", landing_base)
-              .text(landing_base))
+    seals = spark.readStream.schema(SEAL_SCHEMA).json(seals_folder(landing_base))
 
     def ingest_batch(batch: DataFrame, epoch_id: int) -> None:
-        checked = I.check_landing_rows(batch, mapping).checkpoint(eager=True)
-        typed, rejected = I.split_checked_rows(checked)
-        if quarantine_path:
-            I.write_partition(rejected, quarantine_path, "epoch_id", epoch_id)
-        raw = I.to_raw_messages(typed, F.col("scrape_date"), mapping)
+        own = batch.select("scrape_date", "channel").where("scrape_date is not null").distinct().checkpoint()
+        days = [r.scrape_date for r in own.select("scrape_date").distinct().collect()]
+        if not days:
+            return
+        rows = I.read_landing_day(batch.sparkSession, landing_base, sorted(days))
+        rows = rows.join(own, ["scrape_date", "channel"], "left_semi").select("value", "scrape_date", "channel")
+
+        def keep(rejected: DataFrame) -> None:
+            if quarantine_path:
+                I.write_partition(rejected, quarantine_path, "epoch_id", epoch_id)
+
+        raw, _ = I.judge_landing(rows, mapping, keep)
         I.append_if_absent(batch.sparkSession, raw, raw_path, model.RAW_MESSAGES_SCHEMA,
                            model.RAW_MESSAGES_KEY, [F.col("source_file"), F.col("source_pos")])
 
-    w = stream.writeStream.foreachBatch(ingest_batch).option("checkpointLocation", checkpoint_path)
-    w = w.trigger(availableNow=True) if available_now else \
-        w.trigger(processingTime=processing_time or "1 minute")
-    return w.start()
+    return _start(seals.writeStream.foreachBatch(ingest_batch), checkpoint_path, available_now, processing_time)
 
 
 def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_path: str,
@@ -103,7 +111,4 @@ def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_
         run_detection(batch.sparkSession, batch.select("path", "content"), scorer,
                       detections_path, now, scan_log_path, mapping)
 
-    w = stream.writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint_path)
-    w = w.trigger(availableNow=True) if available_now else \
-        w.trigger(processingTime=processing_time or "1 minute")
-    return w.start()
+    return _start(stream.writeStream.foreachBatch(score_batch), checkpoint_path, available_now, processing_time)

@@ -144,6 +144,70 @@ def test_landing_stream_equals_batch(spark, tmp_dir):
     assert len(rows_of(raw_s)) == 3
 
 
+def _lines(base, name, values, channel="Chemed", day="2025-07-14"):
+    folder = os.path.join(base, f"scrape_date={day}", f"channel={channel}")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.writelines(v if isinstance(v, str) else json.dumps(v | {"source_pos": v["message_id"]}) + "\n" for v in values)
+
+
+def test_an_export_is_judged_whole_however_its_files_arrive(spark, tmp_dir):
+    """Three files, the second with a bad line: the stream stores nothing of the export, as the batch does."""
+    from chanlytics.sources.exports import seal_exports
+    from chanlytics.streaming import start_landing_ingest
+
+    base, raw = os.path.join(tmp_dir, "lines"), os.path.join(tmp_dir, "raw_s")
+    quarantine = os.path.join(tmp_dir, "quarantine")
+    day = dt.date(2025, 7, 14)
+
+    def seal(*channels):
+        seal_exports(spark.createDataFrame([(day, c) for c in channels], "scrape_date date, channel string"), base)
+
+    def stream():
+        start_landing_ingest(spark, base, raw, os.path.join(tmp_dir, "ck"), quarantine).awaitTermination(120)
+
+    seal()  # the folder of seals exists before the first export is complete
+    for name, values in [("a.txt", [_m(1), _m(2)]), ("b.txt", [_m(3), "{broken\n", _m(4)]), ("c.txt", [_m(5)])]:
+        _lines(base, name, values)
+        _lines(base, name, [v | {"message_id": v["message_id"] + 100} for v in values if isinstance(v, dict)], "TikvahPharma")
+        stream()
+        assert I.read_table(spark, raw, __import__("chanlytics.model", fromlist=["x"]).RAW_MESSAGES_SCHEMA).count() == 0
+    seal("Chemed")
+    seal("TikvahPharma")
+    stream()
+    I.load_landing_day(spark, base, day, os.path.join(tmp_dir, "raw_b"))
+
+    def rows_of(p):
+        return sorted((r.message_id, r.channel_username) for r in spark.read.parquet(p).collect())
+    assert rows_of(raw) == rows_of(os.path.join(tmp_dir, "raw_b"))
+    assert [i for i, _ in rows_of(raw)] == [101, 102, 103, 104, 105]
+    assert [r.source_file for r in spark.read.parquet(quarantine).collect()] == ["2025-07-14/Chemed"]
+    stream()
+    assert len(rows_of(raw)) == 5
+
+
+def test_parts_of_an_export_are_judged_together(spark, tmp_dir):
+    """The loader over array files in parts: a bad part rejects its export; the exporter's own layout beside it."""
+    from chanlytics.sources.exports import write_exports
+
+    base, raw = os.path.join(tmp_dir, "arrays"), os.path.join(tmp_dir, "raw")
+    files = [("2025-07-14/Chemed.json", 0, json.dumps([_m(1), _m(2)])), ("2025-07-14/Chemed.json", 1, "[{broken"),
+             ("2025-07-14/TikvahPharma.json", 0, json.dumps([_m(3, "TikvahPharma")])),
+             ("2025-07-14/TikvahPharma.json", 1, json.dumps([_m(4, "TikvahPharma"), _m(3, "TikvahPharma", views=9)])),
+             ("2025-07-15/Chemed.json", 0, json.dumps([_m(6)]))]
+    write_exports(spark.createDataFrame(files, "source_file string, part int, content string"), base)
+    _write(base, "2025-07-14", "Lobelia4Cosmetics.json", [_m(7, "Lobelia4Cosmetics")])
+    acc, rejected = I.load_exports(spark, base, dt.date(2025, 7, 14), raw)
+    assert [(r.source_file, r.reason) for r in rejected.collect()] == [("2025-07-14/Chemed.json", "unparsable")]
+    got = sorted((r.message_id, r.views) for r in spark.read.parquet(raw).collect())
+    assert got == [(3, 1), (4, 1), (7, 1)]
+    assert {r.source_file.rsplit("/", 1)[-1]: (r.recorded, r.skipped) for r in acc.collect()} == {
+        "TikvahPharma.json": (2, 1), "Lobelia4Cosmetics.json": (1, 0)}
+    I.load_exports(spark, base, None, raw)  # all days
+    rows = spark.read.parquet(raw).collect()
+    assert {(r.message_id, r.scrape_date.day) for r in rows} == {(3, 14), (4, 14), (7, 14), (6, 15)}
+
+
 def test_file_shipped_scorer_equals_in_memory(spark, tmp_dir):
     """E1 with the model shipped by addFile and loaded per worker gives the same detections."""
     from pyspark.sql import functions as F
