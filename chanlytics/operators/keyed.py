@@ -91,8 +91,10 @@ class KeyedTable:
         n = self.ensure()
         blocks = sorted(r[0] for r in batch.select(F.expr(self.block).alias("b")).distinct().collect())
         first = first_rows(batch, list(self.keys), order).repartition(n, *self.keys)
-        # the batch is the smaller side, but it is the one that moves: stored keys are never broadcast or sorted anew
-        return first.join(self.stored_keys(blocks).hint("merge"), list(self.keys), "left_anti")
+        # an anti join would be moved below the repartition, and the stored keys into the batch's partitions;
+        # a key is stored once, so an outer join adds no rows
+        stored = self.stored_keys(blocks).withColumn("__stored", F.lit(True)).hint("merge")
+        return first.join(stored, list(self.keys), "left").where("__stored is null").select(*batch.columns)
 
     def append(self, new: DataFrame) -> None:
         """Adds rows whose keys the table does not hold."""
