@@ -14,6 +14,9 @@ example from ``SparkFiles``).
 from __future__ import annotations
 
 import datetime as dt
+import math
+import re
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,6 +109,13 @@ class CentroidFileScorer(Scorer):
         return CentroidScorer(centroids, self.class_names, self.min_confidence)
 
 
+class CentroidBytesScorer(CentroidScorer):
+    """The centroid detector over image files that hold a feature vector as float32."""
+
+    def predict(self, payloads: pd.Series) -> list[list[tuple[int, float]]]:
+        return super().predict(payloads.map(lambda b: np.frombuffer(b, dtype="<f4")))
+
+
 def fit_centroids(vectors: DataFrame, label_col: str = "label",
                   vector_col: str = "embedding") -> tuple[np.ndarray, list[int]]:
     """Class centroids computed by Spark (per label and position averages).
@@ -145,12 +155,69 @@ def image_files_filter(path_col: str = "path"):
     return ext.isin(model.IMAGE_EXTENSIONS) & F.col(path_col).contains(".")
 
 
+def list_images(spark, image_dir: str) -> DataFrame:
+    """The paths of one folder's files (not recursive) with an image extension; no file is opened."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(image_dir)
+    return df.select("path").filter(image_files_filter("path"))
+
+
 def read_images(spark, image_dir: str) -> DataFrame:
-    """Files of one folder (not recursive) with an image extension."""
+    """S4 with contents, for callers that want every image."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(image_dir)
     return df.filter(image_files_filter("path"))
 
 
+_PATTERN_CHARACTERS = r"[\[\]{}*?\\]"
+
+
+def _content_scan(spark, paths: list[str]) -> DataFrame:
+    """(path, content) of these files and no others.
+
+    The reader takes paths as patterns; a character that means something
+    there is matched by '?', and what else that meets is left out.
+    """
+    odd = any(re.search(_PATTERN_CHARACTERS, p) for p in paths)
+    asked = sorted({re.sub(_PATTERN_CHARACTERS, "?", p) for p in paths})
+    files = spark.read.format("binaryFile").load(asked).select("path", "content")
+    return files.where(F.col("path").isin(paths)) if odd else files
+
+
+def score_files(spark, paths: DataFrame, scorer: Scorer, batch_paths: int) -> DataFrame:
+    """(path, boxes) of the files at ``paths``, read for the scoring alone.
+
+    The paths are dealt by hash into batches of about ``batch_paths``, the
+    bound of what the driver holds; a batch's files are one binaryFile scan
+    whose rows go to the model in the same task, so contents are never
+    shuffled and no other file is read.  Each batch is checkpointed.
+    """
+    batches = max(1, math.ceil(paths.count() / batch_paths))
+    number = F.pmod(F.xxhash64("path"), F.lit(batches))
+    out = spark.createDataFrame([], f"path string, boxes {BOXES_TYPE}")
+    # one listing task a path is the default; a few a slot do
+    slots = str(4 * spark.sparkContext.defaultParallelism)
+    with _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", slots):
+        for k in range(batches):
+            own = [r.path for r in paths.where(number == k).select("path").distinct().collect()]
+            if own:
+                scored = score_images(_content_scan(spark, own), scorer, "content").checkpoint(eager=True)
+                # a file that two patterns meet is read twice
+                out = out.unionByName(scored.dropDuplicates(["path"]) if any(map(re.compile(_PATTERN_CHARACTERS).search, own)) else scored)
+    return out
+
+
+@contextmanager
+def _setting(spark, key: str, value: str | None):
+    """A session setting for the jobs of a block; None leaves it as it is."""
+    before = spark.conf.get(key, None)
+    if value is not None:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if value is not None:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 @dataclass
 class Detections:
     scored: DataFrame      # one row per scored image with its boxes
@@ -193,11 +260,12 @@ def prepare_images(images: DataFrame, mapping: "dict[str, str] | DataFrame | Non
     bad_name = parsed.filter(~F.col("name_ok")).select("image_path", F.lit("bad_name").alias("reason"))
     known, unknown = map_channel_strict(parsed.filter("name_ok"), mapping, "channel_name")
     todo = known
+    keep = [c for c in (payload_col, path_col) if c in images.columns]
     if processed is not None:
         from chanlytics.operators.ingest import new_images
 
         todo = new_images(todo, processed)
-    todo = todo.select("image_path", "file_name", "channel_username", "message_ref", payload_col)
+    todo = todo.select("image_path", "file_name", "channel_username", "message_ref", *keep)
     rejects = bad_name.unionByName(
         unknown.select("image_path", F.lit("unmapped_channel").alias("reason")))
     return todo, rejects
@@ -241,7 +309,7 @@ def detect_objects(images: DataFrame, scorer: Scorer, run_ts: dt.datetime,
                    image_prefix: str = "data/images/") -> Detections:
     """Score every new image and flatten the boxes to detection rows (E1), lazily."""
     todo, early = prepare_images(images, mapping, processed, path_col, payload_col, image_prefix)
-    scored = score_images(todo, scorer, payload_col)
+    scored = score_images(todo.drop(path_col), scorer, payload_col)
     detections, scan_log, bad_id = flatten_scores(scored, scorer.class_names, run_ts)
     return Detections(scored, detections, scan_log, early.unionByName(bad_id))
 
@@ -249,14 +317,21 @@ def detect_objects(images: DataFrame, scorer: Scorer, run_ts: dt.datetime,
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+#: Image files that one scan of the enrichment job opens, and of which the driver holds the paths.
+BATCH_PATHS = 50_000
+
+
 def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str,
                   run_ts: dt.datetime, scan_log_path: str | None = None, mapping=None,
                   path_col: str = "path",
                   payload_col: str = "content", image_prefix: str = "data/images/",
-                  batch_rows: int | None = 64) -> Detections:
+                  batch_rows: int | None = 64, batch_paths: int = BATCH_PATHS) -> Detections:
     """The enrichment job: score new images and append detections (I4).
 
-    Scores are checkpointed once (the model runs once per image), then
+    ``images``: paths (``list_images``).  Names, channels and the processed
+    set are settled on these, and only the files of new images are opened
+    (``score_files``).  A frame that has the payloads already is scored as it
+    is.  Scores are checkpointed once (the model runs once per image), then
     detections are appended insert-if-absent on detection_id.  With
     ``scan_log_path`` images with zero boxes are remembered too and are
     not scored again next run (E2).
@@ -273,18 +348,14 @@ def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str
     if scan_log_path:
         processed = processed.unionByName(
             read_table(spark, scan_log_path, log_schema).select("image_path"))
+    by_path = payload_col not in images.columns
     todo, early = prepare_images(images, mapping, processed, path_col, payload_col, image_prefix)
-    previous = spark.conf.get(ARROW_BATCH_CONF, None)
-    if batch_rows:
-        spark.conf.set(ARROW_BATCH_CONF, str(batch_rows))
-    try:
-        scored = score_images(todo, scorer, payload_col).checkpoint(eager=True)
-    finally:
-        if batch_rows:
-            if previous is None:
-                spark.conf.unset(ARROW_BATCH_CONF)
-            else:
-                spark.conf.set(ARROW_BATCH_CONF, previous)
+    with _setting(spark, ARROW_BATCH_CONF, str(batch_rows) if batch_rows else None):
+        if by_path:
+            todo = todo.withColumnRenamed(path_col, "path").checkpoint(eager=True)
+            scored = todo.join(score_files(spark, todo.select("path"), scorer, batch_paths), "path").drop("path")
+        else:
+            scored = score_images(todo.drop(path_col), scorer, payload_col).checkpoint(eager=True)
     detections, scan_log, bad_id = flatten_scores(scored, scorer.class_names, run_ts)
     append_if_absent(spark, detections, detections_path, model.RAW_DETECTIONS_SCHEMA,
                      model.RAW_DETECTIONS_KEY, [F.col("image_path")])

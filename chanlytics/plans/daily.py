@@ -94,9 +94,9 @@ def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=Non
                                   layout.table("quarantine_files"), mapping,
                                   layout.table("load_accounting"))
     if scorer is not None and layout.images:
-        from chanlytics.operators.detect import read_images, run_detection
+        from chanlytics.operators.detect import list_images, run_detection
 
-        run_detection(spark, read_images(spark, layout.images), scorer, det_path,
+        run_detection(spark, list_images(spark, layout.images), scorer, det_path,
                       dt.datetime.combine(run_date, dt.time()), layout.table("image_scan_log"),
                       mapping)
     raw_messages = I.read_table(spark, raw_path, model.RAW_MESSAGES_SCHEMA)

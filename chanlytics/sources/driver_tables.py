@@ -116,6 +116,28 @@ def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_image_files(images: DataFrame, folder: str) -> int:
+    """One file per image, named like its path, holding the embedding as float32; the number of files.
+
+    images: image_path, embedding.  Tasks write through pyarrow's file
+    systems; a retried task writes the same files again.
+    """
+    def write(batches):
+        import numpy as np
+        import pandas as pd
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        store.create_dir(root, recursive=True)
+        for pdf in batches:
+            for path, vector in zip(pdf["image_path"], pdf["embedding"]):
+                with store.open_output_stream(f"{root}/{path.rsplit('/', 1)[-1]}") as out:
+                    out.write(np.asarray(vector, dtype="<f4").tobytes())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return images.select("image_path", "embedding").mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def detection_username() -> "F.Column":
     """The mapped name of a detection's channel, but for the channel that stays unmapped."""
     out = F.col("channel")

@@ -98,17 +98,19 @@ def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_
                         processing_time: str | None = None) -> StreamingQuery:
     """New image files -> scored -> detections appended insert-if-absent.
 
+    The stream is of paths; a micro-batch opens only the files that it scores.
+
     Detections carry the time (UTC) at which their micro-batch ran, or
     ``run_ts`` if one is given.
     """
     from chanlytics.operators.detect import image_files_filter, run_detection
 
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .load(image_dir).filter(image_files_filter("path")))
+              .load(image_dir).select("path").filter(image_files_filter("path")))
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
         now = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        run_detection(batch.sparkSession, batch.select("path", "content"), scorer,
+        run_detection(batch.sparkSession, batch, scorer,
                       detections_path, now, scan_log_path, mapping)
 
     return _start(stream.writeStream.foreachBatch(score_batch), checkpoint_path, available_now, processing_time)

@@ -85,7 +85,7 @@ def test_image_stream(spark, tmp_dir):
 
 def test_batch_detection_skips_processed_images(spark, tmp_dir):
     """J6 + E2: a second run scores nothing that is stored or logged."""
-    from chanlytics.operators.detect import read_images, run_detection
+    from chanlytics.operators.detect import list_images, read_images, run_detection
 
     img = os.path.join(tmp_dir, "images")
     os.makedirs(img)
@@ -95,11 +95,41 @@ def test_batch_detection_skips_processed_images(spark, tmp_dir):
     det, log = os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "log")
     first = run_detection(spark, read_images(spark, img), LengthScorer(), det, dt.datetime(2025, 7, 15), log)
     assert first.scored.count() == 2
-    again = run_detection(spark, read_images(spark, img), LengthScorer(), det, dt.datetime(2025, 7, 16), log)
-    assert again.scored.count() == 0
+    for images in (read_images(spark, img), list_images(spark, img)):
+        again = run_detection(spark, images, LengthScorer(), det, dt.datetime(2025, 7, 16), log)
+        assert again.scored.count() == 0
     assert spark.read.parquet(det).count() == 2
 
 
+def test_only_new_images_are_opened(spark, tmp_dir):
+    """A processed image, one of an unknown channel and one with a bad name are larger than a read may be."""
+    from chanlytics.operators.detect import list_images, run_detection
+
+    img = os.path.join(tmp_dir, "images")
+    os.makedirs(img)
+
+    def put(name, size):
+        with open(os.path.join(img, name), "wb") as f:
+            f.write(bytes(size))
+    for name in ("Chemed_1.jpg", "Chemed_2.jpg", "Chemed_2_[a]*.jpg"):
+        put(name, 250)
+    det, log = os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "log")
+    run_detection(spark, list_images(spark, img), LengthScorer(), det, dt.datetime(2025, 7, 15), log)
+    for name in ("Chemed_1.jpg", "Chemed_2.jpg", "Unknown_5.jpg", "Chemed.jpg", "Chemed_9.txt"):
+        put(name, 5000)
+    for k in range(7):
+        put(f"Chemed_{10 + k}.png", 100)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        again = run_detection(spark, list_images(spark, img), LengthScorer(), det, dt.datetime(2025, 7, 16), log, batch_paths=2)
+        assert again.scored.count() == 7
+        assert {r.reason for r in again.rejects.collect()} == {"unmapped_channel", "bad_name"}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    ids = sorted(r.detection_id for r in spark.read.parquet(det).collect())
+    assert len(ids) == 13 and "Chemed_2_[a]*.jpg_blob_1" in ids and "Chemed_16.png_blob_0" in ids
+
+
 def test_quarantine_rewrite_is_idempotent(spark, tmp_dir):
     import datetime as dt
 
