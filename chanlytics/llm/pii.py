@@ -5,14 +5,16 @@ digit counts).  They seed a bootstrap:
   - a candidate is a string of an identifier's loose shape that no base
     pattern accepts (a card number that fails its checksum, a phone number
     without its country prefix, an address without a dotted domain, ...);
-  - a pattern is the lexical context of a string: the two words before it on
-    its line, lower-cased;
+  - a pattern is a lexical context of a string: the two words before it, or
+    the two words after it, on its line, lower-cased;
   - patterns and distinct strings form a bipartite graph.  A pattern's
-    confidence for a kind is the mean score of the strings it extracts for
-    that kind; a string's score is 1 for seeds and else the noisy-or of its
-    kept patterns.  A pattern is kept from a confidence and a number of
-    different accepted strings upwards.  Scores and patterns are computed in
-    turn for a fixed number of rounds, in Spark.
+    confidence for a kind is the accepted share of the strings it extracts
+    for that kind, where a string that is not accepted counts UNKNOWN: it
+    speaks against the pattern, but less than an accepted one for it.  A
+    string's score is 1 for seeds and else the noisy-or of its kept patterns.
+    A pattern is kept from a confidence and a number of different accepted
+    strings upwards.  Scores and patterns are computed in turn, in Spark,
+    until no further string is accepted, or for a number of rounds.
   - occurrences of strings that end above the threshold are added, unless
     they overlap a base span.
 
@@ -44,7 +46,8 @@ _LOOSE = {
     "email": r"(?:\G|(?<![^\x00-\x20@]))[^\x00-\x20@]++@[^\x00-\x20@]++",
     "phone": r"(?:\G|(?<![0-9+]))\(?[0-9][\x20().0-9-]+[0-9]",
 }
-CONTEXT = 64  # characters before a string that a pattern may use
+CONTEXT = 64  # characters before and after a string that a pattern may use
+UNKNOWN = 0.25  # weight of a string that is not accepted in its patterns' confidence
 
 
 def _digits(c: Column) -> Column:
@@ -88,7 +91,7 @@ _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 
 
 def _matches(rows: DataFrame) -> DataFrame:
-    """doc_key, kind, base, start, end, item, before (the text up to it) of every match of every pattern.
+    """doc_key, kind, base, start, end, item, before, after (the text next to it) of every match of every pattern.
 
     One pass over the texts; a text without a pattern's characters is not
     searched for it.
@@ -102,10 +105,11 @@ def _matches(rows: DataFrame) -> DataFrame:
                     F.when(need, F.split("text", pattern, -1)).alias(f"g{n}")]
 
     def entries(n: int) -> Column:  # one a match: the string, the length of the gap before it and its tail
-        none = F.array().cast("array<struct<p:int,i:int,item:string,gap:int,before:string>>")
+        none = F.array().cast("array<struct<p:int,i:int,item:string,gap:int,before:string,after:string>>")
         return F.coalesce(F.transform(f"m{n}", lambda x, i: F.struct(
             F.lit(n).alias("p"), i.alias("i"), x.alias("item"), F.length(F.get(f"g{n}", i)).alias("gap"),
-            F.right(F.get(f"g{n}", i), F.lit(CONTEXT)).alias("before"))), none)
+            F.right(F.get(f"g{n}", i), F.lit(CONTEXT)).alias("before"),
+            F.left(F.get(f"g{n}", i + 1), F.lit(CONTEXT)).alias("after"))), none)
 
     # an outer explode, lest Spark derive a filter that evaluates the expressions once more
     every = F.concat(*[entries(n) for n in range(len(patterns))])
@@ -116,14 +120,17 @@ def _matches(rows: DataFrame) -> DataFrame:
     end = F.sum(F.col("gap") + F.length("item")).over(upto)
     which = lambda j: F.get(F.array(*[F.lit(x[j]) for x in patterns]), F.col("p"))
     return each.select("doc_key", which(0).alias("kind"), which(1).alias("base"),
-                       (end - F.length("item")).alias("start"), end.alias("end"), "item", "before")
+                       (end - F.length("item")).alias("start"), end.alias("end"), "item", "before", "after")
 
 
-def _pattern() -> Column:
-    """The two words before, on the string's own line; null without any."""
+def _patterns() -> Column:
+    """The two words before and the two words after, on the string's own line; those that there are."""
     line = F.lower(F.element_at(F.split("before", "\n", -1), -1))
     left = F.regexp_extract(line, r"(\S+\s+\S+|\S+)\s*$", 1)
-    return F.when(left != "", F.regexp_replace(left, r"\s+", " "))
+    line = F.lower(F.get(F.split("after", "\n", -1), 0))
+    right = F.regexp_extract(line, r"^\s*(\S+\s+\S+)", 1)
+    shown = lambda x, side: F.when(x != "", F.concat(F.lit(side), F.regexp_replace(x, r"\s+", " ")))
+    return F.array_compact(F.array(shown(left, "before "), shown(right, "after ")))
 
 
 def _ordered(spans: DataFrame) -> DataFrame:
@@ -133,29 +140,37 @@ def _ordered(spans: DataFrame) -> DataFrame:
         F.struct(rank.alias("rank"), "start", "end", "kind"))).alias("spans"))
 
 
-def bootstrap(strings: DataFrame, rounds: int = 3, confidence: float = 0.95, support: int = 5) -> DataFrame:
+def bootstrap(strings: DataFrame, rounds: int = 6, confidence: float = 0.95, support: int = 5,
+              unknown: float = UNKNOWN) -> DataFrame:
     """(kind, item) of candidates that patterns accept.
 
-    strings: doc_key, kind, item, seed (boolean), pattern.  A string counts
+    strings: doc_key, kind, item, seed (boolean), patterns.  A string counts
     once for a pattern, however many documents repeat it.
     """
-    edges = (strings.where("pattern is not null").groupBy("pattern", "kind", "item")
-             .agg(F.max("seed").alias("seed")).checkpoint())
-    scores = edges.groupBy("kind", "item").agg(F.max("seed").cast("double").alias("score"))
+    edges = (strings.select("kind", "item", "seed", F.explode("patterns").alias("pattern"))
+             .groupBy("pattern", "kind", "item").agg(F.max("seed").alias("seed")).checkpoint())
+    scores = edges.groupBy("kind", "item").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
+    accepted = 0
     for _ in range(rounds):
+        yes = F.sum(F.when(F.col("score") >= confidence, 1).otherwise(0))
         judged = (edges.select("pattern", "kind", "item").join(scores, ["kind", "item"]).groupBy("pattern", "kind")
-                  .agg(F.avg("score").alias("conf"), F.sum(F.when(F.col("score") >= confidence, 1).otherwise(0)).alias("n"))
-                  .where((F.col("conf") >= confidence) & (F.col("n") >= support)))
+                  .agg(yes.alias("n"), F.count(F.lit(1)).alias("all"))
+                  .withColumn("conf", F.col("n") / (F.col("n") + unknown * (F.col("all") - F.col("n"))))
+                  .where((F.col("n") >= support) & (F.col("conf") >= confidence)))
         # a candidate's noisy-or over the kept patterns that extract it; seeds stay at 1
         doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.coalesce("conf", F.lit(0.0)))))
         scores = (edges.join(judged.select("pattern", "kind", "conf"), ["pattern", "kind"], "left")
                   .groupBy("kind", "item").agg(F.max("seed").alias("seed"), (1 - F.exp(doubt)).alias("p"))
                   .select("kind", "item", "seed", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.col("p")).alias("score"))
                   .checkpoint())
+        now = scores.where(~F.col("seed") & (F.col("score") >= confidence)).count()
+        if now == accepted:
+            break
+        accepted = now
     return scores.where(~F.col("seed") & (F.col("score") >= confidence)).select("kind", "item")
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, confidence: float = 0.95,
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 6, confidence: float = 0.95,
          support: int = 5) -> DataFrame:
     """doc_key, doc_id, base and spans (arrays of rank, start, end, kind) for each row of df.
 
@@ -171,7 +186,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds:
         accepted = F.when(F.col("kind") == kind, _accepted(kind, item)).otherwise(accepted)
         loose = F.when(F.col("kind") == kind, _loose(kind, item)).otherwise(loose)
     every = (_matches(rows).withColumn("seed", F.col("base") & accepted).where(F.col("seed") | loose)
-             .withColumn("pattern", _pattern()).drop("before", "base"))
+             .withColumn("patterns", _patterns()).drop("before", "after", "base"))
     # candidates must not touch a base span of their document
     order = Window.partitionBy("doc_key").orderBy("start", "end")
     earlier = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -151,10 +151,17 @@ def _vectors(batches):
 
 
 def _sample(rows: DataFrame, most: int) -> DataFrame:
-    """About `most` rows of a table with a hash column `key`, or all if there are fewer."""
+    """`most` rows of a table with a hash column `key`, those of the least second hash, or all if there are fewer.
+
+    A threshold on the 64-bit hash, with room to spare, leaves few more than
+    `most` rows at any size of the table; only these are ordered.
+    """
     total = rows.count()
-    share = int(min(1.0, most / max(total, 1)) * (1 << 20))
-    return rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < share)
+    wanted = 2 * most + 64
+    order = F.xxhash64("key", F.lit("sample"))
+    if wanted < total:
+        rows = rows.where(order < F.lit(wanted * (1 << 64) // total - (1 << 63)))
+    return rows.orderBy(order, "key").limit(most)
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",

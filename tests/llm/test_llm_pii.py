@@ -71,6 +71,20 @@ def test_bootstrap_finds_strings_in_learnt_contexts(spark):
         assert [(s.kind, s.start, s.end) for s in found[i].base] == base(t)
 
 
+def test_contexts_with_some_unknown_strings_are_learnt(spark):
+    """18 seeds and one local number before or after the same words; numbers that fail the checksum stay out."""
+    C.prepare(spark)
+    rows = [(i, f"k{i} call me at +1 202 555 {1000 + i} x{i} y") for i in range(18)] + [(50, "now call me at 202 555 7777")]
+    rows += [(100 + i, f"q{i} z{i} +49 30 55{1000 + i} office hours only") for i in range(18)] + [(150, "v w 030 551 7777 office hours")]
+    good = [f"{x:016d}" for x in range(4111111111110000, 4111111111110600) if luhn(f"{x:016d}")][:10]
+    bad = [f"{x:016d}" for x in range(4111111111120000, 4111111111120600) if not luhn(f"{x:016d}")][:10]
+    rows += [(200 + i, f"order number {n} was sent") for i, n in enumerate(good + bad)]
+    text = dict(rows)
+    found = {r.doc_id: [text[r.doc_id][s.start:s.end] for s in r.spans if s not in r.base]
+             for r in pii.find(documents(spark, rows)).collect()}
+    assert {i: a for i, a in found.items() if a} == {50: ["202 555 7777"], 150: ["030 551 7777"]}
+
+
 def test_masking(spark):
     C.prepare(spark)
     rows = planted() + MORE

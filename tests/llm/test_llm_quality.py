@@ -42,6 +42,39 @@ def test_held_out_accuracy(spark):
     assert got.score.between(0, 1).all() and ((got.score >= 0.3) == (got.predicted == 1)).all()
 
 
+def test_sample_of_a_millionth(spark):
+    """The bound holds however large the table is: 2 of 3,000,000 rows, and a fit on so few."""
+    rows = spark.range(3_000_000).select(F.xxhash64("id").alias("key"))
+    for most in (2, 100):
+        assert Q._sample(rows, most).count() == most
+    assert Q._sample(rows.limit(5), 100).count() == 5 and Q._sample(rows.limit(0), 100).count() == 0
+    some = np.random.default_rng(1).normal(size=(4, Q.N_FEATURES))
+    assert np.isfinite(Q.fit(some[:2], some[2:], 0.5, steps=20).score(some)).all()
+
+
+def _plain_risk(weights, zp, zu, prior):
+    """The non-negative risk of the sigmoid loss, row by row."""
+    def loss(z, y):
+        out = 0.0
+        for row in z:
+            hidden = np.tanh(np.array([sum(row[i] * weights[0][i, j] for i in range(len(row))) + weights[1][j]
+                                       for j in range(len(weights[1]))]))
+            out += 1 / (1 + np.exp(y * (float(hidden @ weights[2]) + weights[3][0])))
+        return out / len(z)
+    return prior * loss(zp, 1) + max(0.0, loss(zu, -1) - prior * loss(zp, -1))
+
+
+def test_fit_lowers_the_plain_risk():
+    rng = np.random.default_rng(5)
+    good, bad = rng.normal(0, 1, (60, Q.N_FEATURES)), rng.normal(0, 1, (30, Q.N_FEATURES)) + 2
+    unlabelled = np.concatenate([good[30:], bad])
+    risks = []
+    for steps in (1, 50, 400):
+        model = Q.fit(good[:30], unlabelled, 0.5, steps=steps)
+        risks.append(_plain_risk(model.weights, model.inputs(good[:30]), model.inputs(unlabelled), 0.5))
+    assert risks[0] > risks[1] > risks[2] and risks[2] < 0.1
+
+
 def test_edge_rows(spark):
     C.prepare(spark)
     labels = spark.createDataFrame([(6, 1), (7, 1), (7, 0), (None, 1), (9, None), (12, 0)], "doc_id long, quality int")
