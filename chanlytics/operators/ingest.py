@@ -211,29 +211,32 @@ def keyed_table(spark: SparkSession, path: str, schema, keys: list[str], buckets
 
 
 def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, schema,
-                     keys: list[str], order: list[Column], before_append=None) -> DataFrame:
+                     keys: list[str], order: list[Column], before_append=None, totals: dict | None = None) -> DataFrame:
     """Append the new rows of ``batch`` to the keyed table at ``target_path``.
 
     Returns the appended rows.  They are checkpointed (reliable storage)
     before the append, so they cannot change when the target grows, and a
     retried run finds them stored and appends nothing twice.
     ``before_append(new)`` runs between the two, so what it records cannot
-    be lost to a crash after the append.  Two concurrent writers to one
-    table are not supported.
+    be lost to a crash after the append.  ``totals`` receives the numbers of
+    rows, recorded and skipped (I5), observed in the jobs that run anyway.
+    Two concurrent writers to one table are not supported.
     """
     from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     target = keyed_table(spark, target_path, schema, keys)
-    new = target.absent(batch, order).checkpoint(eager=True)
+    totals = {} if totals is None else totals
+    new = target.absent(batch, order, totals).checkpoint(eager=True)
     if before_append is not None:
         before_append(new)
-    target.append(new)
+    target.append(new, totals)
+    totals["skipped"] = totals["rows"] - totals["recorded"]
     return new
 
 
 def _load(spark: SparkSession, raw: DataFrame, raw_path: str, accounting_path: str | None,
-          run_date: dt.date, files: DataFrame | None) -> DataFrame:
+          run_date: dt.date, files: DataFrame | None, totals: dict | None = None) -> DataFrame:
     """Append ``raw``; the accounting per file, stored before the append under a run id of its own."""
     import uuid
 
@@ -246,7 +249,7 @@ def _load(spark: SparkSession, raw: DataFrame, raw_path: str, accounting_path: s
              .write.mode("append").partitionBy("run_date", "run_id").parquet(accounting_path))
 
     new = append_if_absent(spark, raw, raw_path, model.RAW_MESSAGES_SCHEMA, model.RAW_MESSAGES_KEY,
-                           [F.col("source_file"), F.col("source_pos")], record)
+                           [F.col("source_file"), F.col("source_pos")], record, totals)
     return load_accounting(raw, new, files=files)
 
 
@@ -255,13 +258,12 @@ def judge_exports(files: DataFrame, mapping: dict[str, str] | None = None) -> tu
 
     The one rule of the loader, the stream and the queries: an export is all
     its parts, and a bad record in any of them rejects it whole (I6).  The
-    parts are parsed and checked once and checkpointed.
+    parts are parsed and checked once and stored.
     """
-    from chanlytics.session import ensure_checkpoint_dir
+    from chanlytics.session import stored
     from chanlytics.sources.exports import parse_export_files
 
-    ensure_checkpoint_dir(files.sparkSession)
-    parts = validate_export_files(parse_export_files(files), mapping).checkpoint(eager=True)
+    parts = stored(validate_export_files(parse_export_files(files), mapping), "exports")
     verdicts = export_verdicts(parts)
     rejected = verdicts.where("reason is not null").select("source_file", "n_records", "reason")
     accepted = verdicts.where("reason is null").select("source_file")
@@ -270,12 +272,13 @@ def judge_exports(files: DataFrame, mapping: dict[str, str] | None = None) -> tu
 
 def load_exports(spark: SparkSession, base: str, run_date: dt.date | None, raw_path: str,
                  quarantine_path: str | None = None, mapping: dict[str, str] | None = None,
-                 accounting_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+                 accounting_path: str | None = None, totals: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Load one day's exports into the raw table (the loader job); run_date None: all days, each with its own date.
 
     Returns (accounting per export, rejected exports).  Rejected exports are
     written to ``quarantine_path`` when given, the accounting of each run
-    to ``accounting_path``.  A day without a folder loads nothing.
+    to ``accounting_path``, the run's totals to the dict ``totals``.  A day
+    without a folder loads nothing.
     """
     from chanlytics.sources.exports import read_export_files
 
@@ -284,7 +287,7 @@ def load_exports(spark: SparkSession, base: str, run_date: dt.date | None, raw_p
     if quarantine_path:
         write_partition(rejected, quarantine_path, "run_date", run_date)
     raw = to_raw_messages(records, run_date or F.col("scrape_date"), mapping)
-    return _load(spark, raw, raw_path, accounting_path, run_date, accepted), rejected
+    return _load(spark, raw, raw_path, accounting_path, run_date, accepted, totals), rejected
 
 
 LINES_SCHEMA = "value string, scrape_date date, channel string"
@@ -348,11 +351,11 @@ def validate_landing_rows(rows: DataFrame, mapping: dict[str, str] | None = None
 
 def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path: str,
                      quarantine_path: str | None = None, mapping: dict[str, str] | None = None,
-                     accounting_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+                     accounting_path: str | None = None, totals: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """The loader for the JSON-lines landing layout: (accounting per export, rejected exports).
 
-    The day's lines are parsed and checked once and checkpointed; every
-    later step reads that.  In-batch first write wins by (export, place in
+    The day's lines are parsed and checked once and stored; every later step
+    reads that.  In-batch first write wins by (export, place in
     it), as in the array layout.
     """
     def keep(rejected: DataFrame) -> None:
@@ -360,19 +363,18 @@ def load_landing_day(spark: SparkSession, base: str, run_date: dt.date, raw_path
             write_partition(rejected, quarantine_path, "run_date", run_date)
 
     raw, rejected = judge_landing(read_landing_day(spark, base, run_date), mapping, keep)
-    return _load(spark, raw, raw_path, accounting_path, run_date, None), rejected
+    return _load(spark, raw, raw_path, accounting_path, run_date, None, totals), rejected
 
 
 def judge_landing(rows: DataFrame, mapping: dict[str, str] | None = None, keep_rejected=None) -> tuple[DataFrame, DataFrame]:
-    """(raw rows, rejected exports) of landing lines, parsed and checked once and checkpointed.
+    """(raw rows, rejected exports) of landing lines, parsed and checked once and stored.
 
     The one rule of the loader and the stream.  ``keep_rejected(rejected)``
     runs before any row is stored.
     """
-    from chanlytics.session import ensure_checkpoint_dir
+    from chanlytics.session import stored
 
-    ensure_checkpoint_dir(rows.sparkSession)
-    typed, rejected = split_checked_rows(check_landing_rows(rows, mapping).checkpoint(eager=True))
+    typed, rejected = split_checked_rows(stored(check_landing_rows(rows, mapping), "lines"))
     if keep_rejected is not None:
         keep_rejected(rejected)
     return to_raw_messages(typed, F.col("scrape_date"), mapping), rejected

@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,6 +32,11 @@ def id_block(expression: str, ids: int = BLOCK_IDS) -> str:
     return f"CAST(coalesce(pmod(({expression}) div {ids}, {BLOCKS}), 0) AS INT)"
 
 
+def _observed(metrics: Observation, name: str) -> int:
+    """A count; 0 where the optimizer has found the frame empty and left the metrics out."""
+    return metrics.get[name] if metrics._jo.getRow().size() else 0
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A stored table with a key; ``block``: SQL over the key columns, an int from 0 to BLOCKS - 1."""
@@ -79,25 +84,32 @@ class KeyedTable:
         self.ensure()
         return self.spark.table(self.name).where(F.col(BLOCK).isin(blocks)).select(*self.keys)
 
-    def absent(self, batch: DataFrame, order: list) -> DataFrame:
+    def absent(self, batch: DataFrame, order: list, totals: dict | None = None) -> DataFrame:
         """The batch's rows that the table does not hold: the first of each key under ``order``.
 
-        The batch's distinct blocks, BLOCKS at most, are collected first.  Its
-        first rows per key go to the table's buckets; the stored keys stay
-        where they are.
+        The batch's distinct blocks, BLOCKS at most, are collected first (and
+        ``totals["rows"]`` observed on the way).  Its first rows per key go to
+        the table's buckets; the stored keys stay where they are.
         """
         from chanlytics.operators.ingest import first_rows
 
         n = self.ensure()
-        blocks = sorted(r[0] for r in batch.select(F.expr(self.block).alias("b")).distinct().collect())
+        seen = Observation()
+        rows = batch.select(F.expr(self.block).alias("b")).observe(seen, F.count(F.lit(1)).alias("rows"))
+        blocks = sorted(r[0] for r in rows.distinct().collect())
+        if totals is not None:
+            totals["rows"] = _observed(seen, "rows")
         first = first_rows(batch, list(self.keys), order).repartition(n, *self.keys)
         # an anti join would be moved below the repartition, and the stored keys into the batch's partitions;
         # a key is stored once, so an outer join adds no rows
         stored = self.stored_keys(blocks).withColumn("__stored", F.lit(True)).hint("merge")
         return first.join(stored, list(self.keys), "left").where("__stored is null").select(*batch.columns)
 
-    def append(self, new: DataFrame) -> None:
-        """Adds rows whose keys the table does not hold."""
+    def append(self, new: DataFrame, totals: dict | None = None) -> None:
+        """Adds rows whose keys the table does not hold; ``totals["recorded"]`` is observed on the write itself."""
         self.ensure()
+        written = Observation()
         (new.select(*self.schema.names, F.expr(self.block).alias(BLOCK))
-         .write.mode("append").insertInto(self.name))
+         .observe(written, F.count(F.lit(1)).alias("recorded")).write.mode("append").insertInto(self.name))
+        if totals is not None:
+            totals["recorded"] = _observed(written, "recorded")

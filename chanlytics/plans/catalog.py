@@ -910,15 +910,30 @@ def q_daily_run(spark, sf_dir):
     from chanlytics.plans.daily import Layout, create_tables, run_daily
 
     base, day = _landed(spark, sf_dir)
-    layout = Layout(base + "/warehouse", base + "/landing", landing_format="lines")
+    layout = Layout(base + "/warehouse", base + "/landing", landing_format="lines", database="run_" + base.rsplit("-", 1)[-1][:12])
     run_daily(spark, layout, day, mapping=D.CHANNEL_MAP)
-    database = "run_" + base.rsplit("-", 1)[-1][:12]
-    create_tables(spark, layout, database)
-    create_tables(spark, layout, database)  # a second call finds them
-    return spark.table(f"{database}.fct_messages").select(
+    create_tables(spark, layout)  # the run has published its tables; a second call finds them
+    return spark.table(f"{layout.database}.fct_messages").select(
         "message_sk", "message_id", "channel_username", "message_date_sk", "scrape_date_sk", "message_text")
 
 
+@register("i9_staging_view", f"""
+SELECT doc_id AS message_id, {O._MAP_CASE} AS channel_username, source AS channel_name,
+       DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER) AS message_date, DATE '{_DAY}' AS scrape_date, text AS message_text,
+       CAST(length(coalesce(text, '')) AS INTEGER) AS message_length, md5(doc_id || '-' || ({O._MAP_CASE})) AS message_sk
+FROM documents""")
+def q_staging_view(spark, sf_dir):
+    """The stored staging view, by name, after a load."""
+    from chanlytics.plans.daily import Layout, create_tables
+
+    base, day = _landed(spark, sf_dir)
+    layout = Layout(base + "/warehouse", base + "/landing", landing_format="lines", database="stg_" + base.rsplit("-", 1)[-1][:12])
+    I.load_landing_day(spark, layout.landing, day, layout.table("raw_messages"), mapping=D.CHANNEL_MAP)
+    create_tables(spark, layout)
+    return spark.table(f"{layout.database}.stg_messages").select(
+        "message_id", "channel_username", "channel_name", "message_date", "scrape_date", "message_text", "message_length", "message_sk")
+
+
 @register("t1_incremental_ingest", f"""
 SELECT doc_id AS message_id, {O._MAP_CASE} AS channel_username, DATE '{_DAY}' AS scrape_date, text AS message_text
 FROM documents""")
@@ -955,9 +970,7 @@ def q_sealed_exports(spark, sf_dir):
         start_landing_ingest(spark, landing, base + "/raw", base + "/state", mapping=D.CHANNEL_MAP).awaitTermination()
 
     for step in range(2):
-        write_landing(rows.where(F.col("message_id") % 2 == step), f"{base}/step{step}", seal=False)
-        (I.read_landing_day(spark, f"{base}/step{step}").write.mode("append")
-         .partitionBy("scrape_date", "channel").text(landing))
+        write_landing(rows.where(F.col("message_id") % 2 == step), landing, seal=False, append=True)
         stream()
     late = rows.where(F.substring("channel", 4, 9).cast("int") % 4 == 1).select("channel").distinct()
     (late.select(F.lit('{"message_id": "no number"').alias("value"), F.lit(day).alias("scrape_date"), "channel")

@@ -3,12 +3,19 @@
 One Spark application runs the steps in order; each mart is written as a
 parquet table (full rebuild, I8) and read back for the next step, so
 lineage is cut at every table and a lost executor costs at most the step
-in progress.  Staging is a temp view (I9).
+in progress.
+
+A rebuild goes to folders of its own version.  When all of them are written,
+the run is published: the named tables are pointed at the new version one by
+one, so a reader of a name always sees one complete table, the old one or
+the new.  Old versions stay until ``drop_old_versions``.  Staging is a
+persistent view (I9) over the raw messages.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +24,7 @@ from chanlytics import model
 from chanlytics.operators import ingest as I
 from chanlytics.operators import quality as Q
 from chanlytics.plans import marts as M
-from chanlytics.plans.staging import stage_messages
+from chanlytics.plans.staging import stage_messages, staging_sql
 
 
 @dataclass
@@ -30,10 +37,14 @@ class Layout:
     # "array": one JSON array per channel and day (the exporter's files);
     # "lines": the splittable JSON-lines layout written by write_landing
     landing_format: str = "array"
+    database: str = "marts"
 
     def table(self, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{name}"
 
+    def version(self, name: str, run: str) -> str:
+        return f"{self.table(name)}/version-{run}"
+
 
 @dataclass
 class RunResult:
@@ -42,6 +53,16 @@ class RunResult:
     checks: DataFrame
     tables: dict[str, str] = field(default_factory=dict)
     reports: dict[str, str] = field(default_factory=dict)
+    totals: dict[str, int] = field(default_factory=dict)  # rows, recorded, skipped of the load
+
+
+#: Tables that every run builds anew, in versions.
+MARTS = ("dim_channels", "dim_dates", "fct_messages", "fct_image_detections")
+
+
+def new_run() -> str:
+    """A name for a run's versions; later runs sort later."""
+    return f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
@@ -58,18 +79,18 @@ def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -
 
 
 def build_marts(spark: SparkSession, raw_messages: DataFrame, raw_detections: DataFrame,
-                layout: Layout) -> dict[str, DataFrame]:
-    """Stage and model; dimensions first, so the fact joins read small stored tables."""
+                layout: Layout, run: str | None = None) -> dict[str, DataFrame]:
+    """Stage and model into a version of its own, which is not published yet; dimensions first, so the fact joins read small stored tables."""
+    run = run or new_run()
     staging = stage_messages(raw_messages)
-    staging.createOrReplaceTempView("stg_messages")
-    dim_channels = write_table(M.build_dim_channels(staging), layout.table("dim_channels"))
-    dim_dates = write_table(M.build_dim_dates(staging), layout.table("dim_dates"))
+    dim_channels = write_table(M.build_dim_channels(staging), layout.version("dim_channels", run))
+    dim_dates = write_table(M.build_dim_dates(staging), layout.version("dim_dates", run))
     # clustered for the reports: channel activity filters channel_sk,
     # detections-by-message filters message_sk
     fct_messages = write_table(M.build_fct_messages(staging, dim_channels, dim_dates),
-                               layout.table("fct_messages"), ["channel_sk", "message_date_sk"])
+                               layout.version("fct_messages", run), ["channel_sk", "message_date_sk"])
     fct_det = write_table(M.build_fct_image_detections(raw_detections, fct_messages),
-                          layout.table("fct_image_detections"), ["message_sk"])
+                          layout.version("fct_image_detections", run), ["message_sk"])
     return {
         "raw_messages": raw_messages,
         "raw_image_detections": raw_detections,
@@ -83,16 +104,17 @@ def build_marts(spark: SparkSession, raw_messages: DataFrame, raw_detections: Da
 
 def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=None,
               mapping: dict[str, str] | None = None) -> RunResult:
-    """Ingest the day's exports, score new images, rebuild the marts, run the checks."""
+    """Ingest the day's exports, score new images, rebuild the marts, run the checks, publish."""
     from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
+    run, totals = new_run(), {}
     raw_path = layout.table("raw_messages")
     det_path = layout.table("raw_image_detections")
     loader = I.load_landing_day if layout.landing_format == "lines" else I.load_exports
     accounting, rejected = loader(spark, layout.landing, run_date, raw_path,
                                   layout.table("quarantine_files"), mapping,
-                                  layout.table("load_accounting"))
+                                  layout.table("load_accounting"), totals)
     if scorer is not None and layout.images:
         from chanlytics.operators.detect import list_images, run_detection
 
@@ -101,14 +123,15 @@ def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=Non
                       mapping)
     raw_messages = I.read_table(spark, raw_path, model.RAW_MESSAGES_SCHEMA)
     raw_detections = I.read_table(spark, det_path, model.RAW_DETECTIONS_SCHEMA)
-    tables = build_marts(spark, raw_messages, raw_detections, layout)
+    tables = build_marts(spark, raw_messages, raw_detections, layout, run)
     checks = write_table(Q.run_checks(tables), layout.table(f"test_results/run_date={run_date}"))
-    return RunResult(accounting, rejected, checks,
-                     {k: layout.table(k) for k in tables if not k.startswith("stg")},
-                     write_reports(tables, layout))
+    reports = write_reports(tables, layout, run)
+    publish(spark, layout, run)
+    paths = {k: layout.version(k, run) if k in MARTS else layout.table(k) for k in tables if not k.startswith("stg")}
+    return RunResult(accounting, rejected, checks, paths, reports, totals)
 
 
-def write_reports(tables: dict[str, DataFrame], layout: Layout) -> dict[str, str]:
+def write_reports(tables: dict[str, DataFrame], layout: Layout, run: str) -> dict[str, str]:
     """The reports without arguments, stored as the last step of a run."""
     from chanlytics.plans import reports as R
 
@@ -120,29 +143,65 @@ def write_reports(tables: dict[str, DataFrame], layout: Layout) -> dict[str, str
         "visual_share": R.visual_share(fm, dc),
         "object_mix": R.object_mix(tables["fct_image_detections"], fm),
     }
-    paths = {name: layout.table(f"reports/{name}") for name in made}
+    paths = {name: layout.version(f"reports/{name}", run) for name in made}
     for name, df in made.items():
         df.write.mode("overwrite").parquet(paths[name])
     return paths
 
 
-def create_tables(spark: SparkSession, layout: Layout, database: str = "marts") -> None:
-    """The stored tables under names, for SQL: CREATE TABLE IF NOT EXISTS over their folders."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{layout.table('_database')}'")
+REPORTS = ("top_products", "list_channels", "daily_volume", "visual_share", "object_mix")
+
+
+def publish(spark: SparkSession, layout: Layout, run: str) -> None:
+    """Makes a run's versions the current ones: a marker in the warehouse, then the names."""
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(layout.table(f"_published/{run}"))
+    create_tables(spark, layout)
+
+
+def _runs(spark: SparkSession, layout: Layout) -> list[str]:
+    """The published runs, oldest first."""
+    folder = layout.table("_published")
+    if not I.path_exists(spark, folder):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return sorted(f.getPath().getName() for f in found)
+
+
+def create_tables(spark: SparkSession, layout: Layout, database: str | None = None) -> None:
+    """The stored tables under names, for SQL; what is absent is created, what has a newer version follows it.
+
+    Raw tables and staging are views over the keyed tables.  The marts and
+    reports are tables over the folders of the last published run.
+    """
+    db = database or layout.database
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{layout.table('_database')}'")
     stored = {"raw_messages": (model.RAW_MESSAGES_SCHEMA, model.RAW_MESSAGES_KEY),
               "raw_image_detections": (model.RAW_DETECTIONS_SCHEMA, model.RAW_DETECTIONS_KEY)}
-    for name in ("raw_messages", "raw_image_detections", "dim_channels", "dim_dates", "fct_messages",
-                 "fct_image_detections"):
-        path = layout.table(name)
-        if name in stored:
-            # views of the keyed tables, whose folders have blocks and buckets
-            keyed = I.keyed_table(spark, path, *stored[name])
-            keyed.ensure()
-            columns = ", ".join(f"`{c}`" for c in keyed.schema.names)
-            spark.sql(f"CREATE VIEW IF NOT EXISTS `{database}`.`{name}` AS SELECT {columns} FROM {keyed.name}")
-            continue
-        if not I.path_exists(spark, path):
-            continue
-        schema = spark.read.parquet(path).schema
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}) USING parquet LOCATION '{path}'")
+    for name, (schema, keys) in stored.items():
+        keyed = I.keyed_table(spark, layout.table(name), schema, keys)
+        keyed.ensure()
+        columns = ", ".join(f"`{c}`" for c in schema.names)
+        spark.sql(f"CREATE VIEW IF NOT EXISTS `{db}`.`{name}` AS SELECT {columns} FROM {keyed.name}")
+    spark.sql(f"CREATE VIEW IF NOT EXISTS `{db}`.`stg_messages` AS {staging_sql(f'`{db}`.`raw_messages`')}")
+    runs = _runs(spark, layout)
+    if not runs:
+        return
+    for name, folder in [(n, n) for n in MARTS] + [(f"report_{n}", f"reports/{n}") for n in REPORTS]:
+        path = layout.version(folder, runs[-1])
+        if not spark.catalog.tableExists(f"{db}.{name}"):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{db}`.`{name}` ({columns}) USING parquet LOCATION '{path}'")
+        else:
+            spark.sql(f"ALTER TABLE `{db}`.`{name}` SET LOCATION '{path}'")
+            spark.catalog.refreshTable(f"{db}.{name}")
+
+
+def drop_old_versions(spark: SparkSession, layout: Layout, keep: int = 2) -> list[str]:
+    """Deletes the folders of published runs but the last ``keep``; the names of the runs that went."""
+    old = _runs(spark, layout)[:-keep] if keep > 0 else []
+    for run in old:
+        for path in [layout.version(n, run) for n in (*MARTS, *(f"reports/{r}" for r in REPORTS))] + [layout.table(f"_published/{run}")]:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return old

@@ -30,3 +30,10 @@ def stage_messages(raw: DataFrame) -> DataFrame:
     """
     cols = [F.col(c).cast(t).alias(c) for c, t in STAGING_COLUMNS]
     return raw.select(*cols, surrogate_key("message_id", "channel_username").alias("message_sk"))
+
+
+def staging_sql(table: str) -> str:
+    """The same projection as SQL, for the stored view."""
+    columns = ", ".join(f"CAST(`{c}` AS {t}) AS `{c}`" for c, t in STAGING_COLUMNS)
+    key = "md5(concat_ws('-', coalesce(CAST(message_id AS STRING), ''), coalesce(CAST(channel_username AS STRING), '')))"
+    return f"SELECT {columns}, {key} AS message_sk FROM {table}"

@@ -139,7 +139,7 @@ def seal_exports(exports: DataFrame, base: str) -> None:
      .write.mode("append").json(seals_folder(base)))
 
 
-def write_landing(export: DataFrame, base: str, seal: bool = True) -> None:
+def write_landing(export: DataFrame, base: str, seal: bool = True, append: bool = False) -> None:
     """Write export rows to the landing zone as JSON lines, one folder per date and channel.
 
     Every key is written, NULL or not, with the record's place in the export
@@ -147,14 +147,15 @@ def write_landing(export: DataFrame, base: str, seal: bool = True) -> None:
     several files of the advisory size.  A re-export of the same day
     replaces only that day's channel folders (dynamic partition overwrite),
     as the reference overwrites a file.  When the data is written its exports
-    are sealed (``seal=False`` leaves that to the caller, for exports that
-    are written in several steps).
+    are sealed.  An export that is written in several steps is appended to
+    (``append``), and sealed by the caller at the end (``seal=False``,
+    ``seal_exports``).
     """
     if "source_pos" not in export.columns:
         export = export.withColumn("source_pos", F.lit(None).cast("long"))
     cols = [c for c in model.EXPORT_KEYS if c != "channel"] + ["source_pos", "scrape_date", "channel"]
     (export.select(*cols).hint("rebalance", "scrape_date", "channel")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy("scrape_date", "channel").json(base))
     if seal:
         seal_exports(export, base)

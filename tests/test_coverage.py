@@ -18,7 +18,7 @@ QUERIES = {
     "q6_duplicate_detection_ids": "F7 A5 Q6", "q6_orphan_detections": "F8 J7", "q6_detections_total": "A3",
     "q6_detections_by_channel": "A4", "q6_detection_sample": "L6", "b1_daily_volume": "B1", "b2_weekly_keyword_volume": "B2",
     "b3_visual_share": "B3", "b4_object_mix": "B4", "b5_product_by_channel": "B5", "b6_price_variation": "B6",
-    "t1_incremental_ingest": "T1", "t1_sealed_exports": "T1", "s4_image_scan": "S4", "t2_incremental_detection": "T2 E1", "i3_keyed_target": "I3 J8",
+    "t1_incremental_ingest": "T1", "t1_sealed_exports": "T1", "i9_staging_view": "I9", "s4_image_scan": "S4", "t2_incremental_detection": "T2 E1", "i3_keyed_target": "I3 J8",
 }
 
 def test_every_survey_id_runs():

@@ -25,6 +25,7 @@ def test_run_daily(spark, tmp_dir):
     layout = Layout(warehouse=os.path.join(tmp_dir, "wh"), landing=landing)
     res = run_daily(spark, layout, day)
     assert [(r.recorded, r.skipped) for r in res.accounting.collect()] == [(3, 0)]
+    assert res.totals == {"rows": 3, "recorded": 3, "skipped": 0}
     checks = {r.test_name: r.failures for r in res.checks.collect()}
     assert len(checks) == 48
     # no detections were loaded: every detection check passes on an empty table
@@ -67,3 +68,50 @@ def test_run_daily_with_scoring(spark, tmp_dir):
     assert [(r.detected_object_class, r.message_sk is not None) for r in fd.collect()] == [
         ("blob", True), ("blob", True)]
     assert res.checks.filter("failures > 0").count() == 0
+
+
+def test_readers_see_complete_versions(spark, tmp_dir):
+    """By name: the old tables until a run is published, then the new; a table is never missing or half written."""
+    import threading
+
+    from chanlytics import model
+    from chanlytics.plans import daily as P
+
+    landing = os.path.join(tmp_dir, "landing")
+
+    def export(day, ids):
+        os.makedirs(os.path.join(landing, day))
+        rows = [{"message_id": i, "channel": "Chemed", "date": "2025-07-13", "text": f"gel {i}", "views": 1, "forwards": 0,
+                 "has_photo": False, "photo_path": None} for i in ids]
+        with open(os.path.join(landing, day, "Chemed.json"), "w") as f:
+            json.dump(rows, f)
+
+    layout = Layout(os.path.join(tmp_dir, "wh"), landing, database="versions")
+    export("2025-07-14", range(4))
+    export("2025-07-15", range(2, 9))
+    run_daily(spark, layout, dt.date(2025, 7, 14))
+    names = ("fct_messages", "dim_channels", "dim_dates", "report_top_products", "stg_messages")
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(tuple(spark.table(f"versions.{n}").count() for n in names[:4]))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    res = run_daily(spark, layout, dt.date(2025, 7, 15))
+    stop.set()
+    reader.join()
+    assert res.totals == {"rows": 7, "recorded": 5, "skipped": 2}
+    assert {s[0] for s in seen} <= {4, 9} and seen[0][0] == 4 and {s[1] for s in seen} == {1} and {s[2] for s in seen} <= {2, 3}
+    assert [spark.table(f"versions.{n}").count() for n in names] == [9, 1, 3, 1, 9]
+    # the view's key is the model's
+    own = {r.message_sk for r in spark.table("versions.stg_messages").collect()}
+    assert own == {r.message_sk for r in spark.table("versions.fct_messages").collect()}
+    # a catalog without the names finds the last published run in the warehouse
+    spark.sql("DROP DATABASE versions CASCADE")
+    P.create_tables(spark, layout)
+    assert spark.table("versions.fct_messages").count() == 9
+    run_daily(spark, layout, dt.date(2025, 7, 15))
+    assert len(P.drop_old_versions(spark, layout, keep=2)) == 1 and spark.table("versions.fct_messages").count() == 9
+    assert spark.table("versions.raw_messages").columns == model.RAW_MESSAGES_SCHEMA.names
