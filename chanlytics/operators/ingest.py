@@ -214,20 +214,19 @@ def append_if_absent(spark: SparkSession, batch: DataFrame, target_path: str, sc
                      keys: list[str], order: list[Column], before_append=None, totals: dict | None = None) -> DataFrame:
     """Append the new rows of ``batch`` to the keyed table at ``target_path``.
 
-    Returns the appended rows.  They are checkpointed (reliable storage)
-    before the append, so they cannot change when the target grows, and a
-    retried run finds them stored and appends nothing twice.
+    Returns the appended rows.  They are stored below the shared checkpoint
+    folder before the append, so they cannot change when the target grows,
+    and a retried run finds them in the target and appends nothing twice.
     ``before_append(new)`` runs between the two, so what it records cannot
     be lost to a crash after the append.  ``totals`` receives the numbers of
     rows, recorded and skipped (I5), observed in the jobs that run anyway.
     Two concurrent writers to one table are not supported.
     """
-    from chanlytics.session import ensure_checkpoint_dir
+    from chanlytics.session import stored
 
-    ensure_checkpoint_dir(spark)
     target = keyed_table(spark, target_path, schema, keys)
     totals = {} if totals is None else totals
-    new = target.absent(batch, order, totals).checkpoint(eager=True)
+    new = stored(target.absent(batch, order, totals), "new_rows")
     if before_append is not None:
         before_append(new)
     target.append(new, totals)
