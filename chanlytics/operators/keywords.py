@@ -9,10 +9,11 @@ Rule (per message, on the lower-cased text):
 The dictionary is probed inside the row.  It is a literal of the plan: an
 array of slots, indexed by crc32, with the words (or phrases) of each slot.
 * A token is looked up in its slot, and only the hits are exploded.
-* A phrase is looked up by its first gap between words: the last characters
-  before it and the first after it (up to two each).  Phrases whose first
-  two words fit at the gap are tested with ``contains`` in the same row.  A
-  few phrases are tested without the look-up.
+* A few phrases are tested one by one.  Of many, an Aho-Corasick automaton
+  finds those that a text holds in one pass, in Arrow batches.  Where its
+  package is not installed, a phrase is looked up by its first gap between
+  words instead: the last characters before it and the first after it (up
+  to two each); phrases whose first two words fit there are tested.
 So a text never leaves its row: what shuffles is one partial sum per keyword
 and group of a task.
 
@@ -24,10 +25,13 @@ same result; texts do not move there either.
 
 from __future__ import annotations
 
+import importlib.util
 import json
 import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,10 +108,29 @@ def _gap(phrase: str) -> str:
     return f"{first[-EDGE:]} {second[:EDGE]}"
 
 
-def _phrase_hits(rows: DataFrame, phrases: list[str]) -> tuple[DataFrame, Column]:
+def _automaton(phrases: list[str]):
+    """A function of texts: the phrases that each holds, in one pass over it."""
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for p in phrases:
+            automaton.add_word(p, p)
+        automaton.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda t: list({p for _, p in automaton.iter(t)}))
+    return found
+
+
+def _phrase_hits(rows: DataFrame, phrases: list[str], automaton: bool | None = None) -> tuple[DataFrame, Column]:
     """(rows with what the column needs, the phrases that the lower-cased text lt holds)."""
+    if automaton is None:
+        automaton = importlib.util.find_spec("ahocorasick") is not None
     if len(phrases) <= FEW_PHRASES:
         return rows, F.array_compact(F.array(*[F.when(F.contains("lt", F.lit(p)), F.lit(p)) for p in phrases]))
+    if automaton:
+        return rows.withColumn("__found", _automaton(phrases)("lt")), F.col("__found")
     slots = _Slots([(_gap(p), dict(zip("fs", p.split()), p=p)) for p in phrases], "struct<f:string,s:string,p:string>")
     shapes = sorted({_shape(p) for p in phrases})
     # parts are used in several places, which keeps them a column of their own

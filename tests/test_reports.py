@@ -165,6 +165,20 @@ def test_dictionaries_of_each_size_match_replay(spark, size, literal):
         assert got == want
 
 
+def test_phrases_by_automaton_and_by_gap(spark):
+    """The same phrases, with the automaton's package and without."""
+    from chanlytics.operators import keywords as K
+    from pyspark.sql import functions as F
+
+    texts = [t.lower() for t in CASES if t] + ["ab cd ef", "test  kit", "test\u00a0kit", "", "a b", "xa bx", " ab  cd", "one"]
+    phrases = [f"w{i} x{i}" for i in range(60)] + ["ab cd", "b cd", "test kit", "a b", "t\u00a0k", "cd e", "ab  cd", "blood pressure monitor"]
+    rows = spark.createDataFrame([(t,) for t in texts], "lt string")
+    for automaton in (True, False):
+        keyed, found = K._phrase_hits(rows, phrases, automaton)
+        got = {r.lt: sorted(r.f) for r in keyed.select("lt", found.alias("f")).collect()}
+        assert got == {t: sorted(p for p in phrases if p in t) for t in texts}, automaton
+
+
 @pytest.mark.parametrize("pieces", [1, 3, 50])
 def test_medians_of_groups_larger_than_a_piece(spark, pieces):
     import random
