@@ -182,8 +182,8 @@ def create_tables(spark: SparkSession, layout: Layout, database: str | None = No
         keyed = I.keyed_table(spark, layout.table(name), schema, keys)
         keyed.ensure()
         columns = ", ".join(f"`{c}`" for c in schema.names)
-        spark.sql(f"CREATE VIEW IF NOT EXISTS `{db}`.`{name}` AS SELECT {columns} FROM {keyed.name}")
-    spark.sql(f"CREATE VIEW IF NOT EXISTS `{db}`.`stg_messages` AS {staging_sql(f'`{db}`.`raw_messages`')}")
+        spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`{name}` AS SELECT {columns} FROM {keyed.name}")
+    spark.sql(f"CREATE OR REPLACE VIEW `{db}`.`stg_messages` AS {staging_sql(f'`{db}`.`raw_messages`')}")
     runs = _runs(spark, layout)
     if not runs:
         return
