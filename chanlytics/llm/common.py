@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text bytes that one block (one task's group of documents) should hold.
-BLOCK_BYTES = 16 << 20
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
