@@ -200,6 +200,24 @@ def q_search(spark, sf_dir):
     return R.search_messages(model_for(spark, sf_dir).fct_messages, SEARCH_QUERY)
 
 
+WILD_QUERY = "t_e%ion\\s"  # wildcards, and a backslash that makes the next character plain
+
+
+@register("r3_search_wildcards", O.with_model(f"""
+SELECT {_FCT_COLS} FROM fct_messages
+WHERE lower(message_text) LIKE '%{WILD_QUERY}%' ESCAPE '\\'
+ORDER BY message_date_sk DESC NULLS FIRST, message_sk LIMIT 100""", "fct_messages"))
+def q_search_wildcards(spark, sf_dir):
+    return R.search_messages(model_for(spark, sf_dir).fct_messages, WILD_QUERY)
+
+
+@register("r4_list_channels_by_language", O.with_model(
+    "SELECT channel_sk, channel_username, channel_name FROM dim_channels", "dim_channels"))
+def q_list_channels_by_language(spark, sf_dir):
+    """Channels in the order of a language's collation."""
+    return R.list_channels(model_for(spark, sf_dir).dim_channels, "UNICODE")
+
+
 @register("r4_list_channels", O.with_model(
     "SELECT channel_sk, channel_username, channel_name FROM dim_channels "
     "ORDER BY channel_name, channel_username", "dim_channels"))
