@@ -56,11 +56,15 @@ class KeyedTable:
         from chanlytics.operators.ingest import path_exists
 
         marker = f"{self.path.rstrip('/')}/_buckets"
-        if not path_exists(self.spark, marker):
-            n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            self.spark.range(1).select(F.lit(str(n))).coalesce(1).write.mode("overwrite").text(marker)
-            return n
-        return int(self.spark.read.text(marker).first()[0])
+        known = path_exists(self.spark, marker)
+        if not known and path_exists(self.spark, self.path):
+            raise ValueError(f"{self.path} holds a table that is not stored by key")
+        row = self.spark.read.text(marker).first() if known else None
+        if row is not None:
+            return int(row[0])
+        n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spark.range(1).select(F.lit(str(n))).coalesce(1).write.mode("overwrite").text(marker)
+        return n
 
     def ensure(self) -> int:
         """Registers the table if this session's catalog lacks it; the number of its buckets."""

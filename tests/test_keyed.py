@@ -72,6 +72,15 @@ def test_odd_keys(spark, tmp_dir):
     assert I.append_if_absent(spark, _batch(spark, []), path, SCHEMA, KEYS, ORDER).count() == 0
 
 
+def test_a_plain_table_is_refused(spark, tmp_dir):
+    import pytest
+
+    path = os.path.join(tmp_dir, "plain")
+    _batch(spark, [1]).write.parquet(path)
+    with pytest.raises(ValueError, match="not stored by key"):
+        I.append_if_absent(spark, _batch(spark, [1]), path, SCHEMA, KEYS, ORDER)
+
+
 def test_blocks_of_named_ids(spark):
     df = spark.createDataFrame([("Che_med", "Chemed_250001.jpg_pill_0"), ("x", "a.jpg"), ("x", "data/images/Chemed_250001_2.jpg")],
                                "c string, detection_id string")
