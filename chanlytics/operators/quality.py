@@ -118,11 +118,13 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None)
     """One row per check with its failure count and pass flag.
 
     Each table is read once.  Its predicate checks (not_null, expression)
-    become counts of a single aggregate; the keys of its unique and
-    relationship checks leave the same scan as (check, key, seen here, is
-    parent) rows.  The keys of all tables are summed in one aggregate per
-    (check, key), partial in every task, so a key shared by a third of a
-    fact (a big channel, a busy day) costs one row per task.
+    become counts of a single aggregate.  Columns that relationships connect
+    share a domain, and a key column sends its keys once, as 128 bits of
+    hashes of their text, whatever the number of unique and relationship
+    checks that ask for it.  One aggregate per (domain, key) counts each
+    column's rows, partial in every task, so a key shared by a third of a
+    fact (a big channel, a busy day) costs one row per task; all checks are
+    read from these counts.
     """
     checks = all_checks() if checks is None else checks
     for c in checks:
@@ -132,28 +134,33 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None)
     spark = next(iter(tables.values())).sparkSession
     found: DataFrame | None = None
     keys: DataFrame | None = None
+    slots = _key_slots(checks)
+    width = 1 + max((slot for _, slot in slots.values()), default=0)
     for name in sorted({c.table for c in checks} | {c.to_table for c in checks if c.to_table}):
-        own = [c for c in checks if c.table == name]
-        rules = [c for c in own if c.kind in ("not_null", "expression")]
+        rules = [c for c in checks if c.table == name and c.kind in ("not_null", "expression")]
         if rules:
             counts = tables[name].agg(*[F.count(F.when(_violation(c), 1)).alias(f"f{number[id(c)]}") for c in rules])
-            rows = F.array(*[F.struct(F.lit(number[id(c)]).alias("id"), F.col(f"f{number[id(c)]}").alias("failures"))
-                             for c in rules])
-            part = counts.select(F.explode(rows).alias("x")).select("x.id", "x.failures")
+            part = _as_rows(counts, [number[id(c)] for c in rules])
             found = part if found is None else found.unionAll(part)
-        roles = [(c, c.column, True) for c in own if c.kind in ("unique", "relationships")]
-        roles += [(c, c.to_column, False) for c in checks if c.kind == "relationships" and c.to_table == name]
-        if roles:
-            entries = F.array(*[F.struct(F.lit(number[id(c)]).alias("id"), F.col(col).cast("string").alias("key"),
-                                         F.lit(int(child)).cast("long").alias("n"), F.lit(not child).alias("parent"))
-                                for c, col, child in roles])
-            part = tables[name].select(F.explode(entries).alias("x")).select("x.*").where("key is not null")
+        own = [(column, *place) for (table, column), place in slots.items() if table == name]
+        if own:
+            entries = F.array(*[_key_entry(column, domain, slot, width) for column, domain, slot in own])
+            part = tables[name].select(F.explode(entries).alias("x")).select("x.*").where("high is not null")
             keys = part if keys is None else keys.unionAll(part)
     if keys is not None:
-        unique = [number[id(c)] for c in checks if c.kind == "unique"]
-        per_key = keys.groupBy("id", "key").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
-        bad = F.when(F.col("id").isin(unique), F.when(F.col("n") > 1, 1)).otherwise(F.when(~F.col("parent"), F.col("n")))
-        part = per_key.groupBy("id").agg(F.sum(bad).alias("failures"))
+        per_key = keys.groupBy("domain", "high", "low").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(width)])
+        failures = []
+        for c in checks:
+            if c.kind not in ("unique", "relationships"):
+                continue
+            domain, slot = slots[c.table, c.column]
+            here = F.col("domain") == domain
+            if c.kind == "unique":
+                bad = F.when(here & (F.col(f"n{slot}") > 1), 1)
+            else:
+                bad = F.when(here & (F.col(f"n{slots[c.to_table, c.to_column][1]}") == 0), F.col(f"n{slot}"))
+            failures.append((number[id(c)], F.sum(bad).cast("long")))
+        part = _as_rows(per_key.agg(*[total.alias(f"f{i}") for i, total in failures]), [i for i, _ in failures])
         found = part if found is None else found.unionAll(part)
     listed = spark.createDataFrame(
         [(i, c.test_name, c.table, c.column) for i, c in enumerate(checks)],
@@ -166,6 +173,32 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check] | None = None)
         "test_name", "table_name", "column_name", failures.alias("failures"), (failures == 0).alias("passed"))
 
 
+def _key_slots(checks: list[Check]) -> dict[tuple[str, str], tuple[int, int]]:
+    """(domain, slot) of each key column: columns that relationships connect are one domain."""
+    group: dict[tuple[str, str], set] = {}
+    for c in checks:
+        if c.kind in ("unique", "relationships"):
+            ends = [(c.table, c.column)] + ([(c.to_table, c.to_column)] if c.kind == "relationships" else [])
+            merged = set(ends).union(*[group.get(e, set()) for e in ends])
+            group.update({e: merged for e in merged})
+    domains = sorted({tuple(sorted(g)) for g in group.values()})
+    return {column: (d, s) for d, domain in enumerate(domains) for s, column in enumerate(domain)}
+
+
+def _key_entry(column: str, domain: int, slot: int, width: int):
+    """A row's key in one column: the domain, 128 bits for the key (NULL for none), 1 in the column's own count."""
+    key = F.col(column).cast("string")
+    counts = [F.lit(int(i == slot)).cast("long").alias(f"n{i}") for i in range(width)]
+    return F.struct(F.lit(domain).alias("domain"), F.when(key.isNotNull(), F.xxhash64(key)).alias("high"),
+                    F.when(key.isNotNull(), F.xxhash64(F.lit(1), key)).alias("low"), *counts)
+
+
+def _as_rows(counts: DataFrame, ids: list[int]) -> DataFrame:
+    """One row of counts f<id> as (id, failures) rows."""
+    rows = F.array(*[F.struct(F.lit(i).alias("id"), F.col(f"f{i}").alias("failures")) for i in ids])
+    return counts.select(F.explode(rows).alias("x")).select("x.id", "x.failures")
+
+
 def _violation(c: Check):
     return F.col(c.column).isNull() if c.kind == "not_null" else F.expr(c.predicate)
 

@@ -14,6 +14,31 @@ def test_each_kind_fails(spark):
                    "relationships:t.id->p.id": (2, False), "custom:v_is_c": (1, False)}
 
 
+def test_keys_of_connected_columns(spark):
+    """One column in several checks, a column without a parent row, other types, empty tables, no checks."""
+    a = spark.createDataFrame([(1,), (1,), (2,), (None,), (9,)], "k int")
+    b = spark.createDataFrame([("1",), ("2",), ("2",), ("3",)], "k string")
+    c = spark.createDataFrame([(3,), (9,), (9,)], "k long")
+    checks = [Check("unique", "a", "k"), Check("unique", "b", "k"), Check("unique", "c", "k"),
+              Check("relationships", "a", "k", "b", "k"), Check("relationships", "c", "k", "b", "k"),
+              Check("relationships", "c", "k", "a", "k")]
+    got = [r.failures for r in run_checks({"a": a, "b": b, "c": c}, checks).collect()]
+    assert sorted(got) == sorted([1, 1, 1, 1, 2, 1])
+    by = {r.test_name: r.failures for r in run_checks({"a": a, "b": b, "c": c}, checks).collect()}
+    assert by["relationships:a.k->b.k"] == 1 and by["relationships:c.k->b.k"] == 2 and by["relationships:c.k->a.k"] == 1
+    none = {n: df.where("false") for n, df in (("a", a), ("b", b), ("c", c))}
+    assert [r.failures for r in run_checks(none, checks).collect()] == [0] * 6
+
+
+def test_a_key_column_is_sent_once(spark):
+    from chanlytics.operators.quality import _key_slots
+
+    slots = _key_slots(all_checks())
+    assert slots["stg_messages", "message_sk"][0] == slots["fct_image_detections", "message_sk"][0]
+    assert slots["dim_dates", "date_sk"][0] != slots["dim_dates", "full_date"][0]
+    assert len(set(slots.values())) == len(slots) == 12
+
+
 def test_declared_suite_size():
     kinds = [c.kind for c in all_checks()]
     assert (kinds.count("not_null"), kinds.count("unique"), kinds.count("relationships")) == (32, 8, 5)
