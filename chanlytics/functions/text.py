@@ -51,6 +51,23 @@ def _like_pattern(pattern: str) -> str:
     return "".join(out)
 
 
+def like_runs(query: str, literal: bool = False) -> list[str]:
+    """The runs of plain characters that every lower-cased text holds which ``like_ci`` finds."""
+    if literal:
+        return [query.lower()]
+    runs, pattern, i = [""], _like_pattern("%" + query.lower() + "%"), 0
+    while i < len(pattern):
+        if pattern[i] == "\\" and i + 1 < len(pattern):
+            i += 1
+            runs[-1] += pattern[i]
+        elif pattern[i] in "%_":
+            runs.append("")
+        else:
+            runs[-1] += pattern[i]
+        i += 1
+    return [r for r in runs if r]
+
+
 def tokens(lower_text: "Column | str") -> Column:
     """Array of the words of an already lower-cased text."""
     return F.regexp_extract_all(as_col(lower_text), F.lit(TOKEN_PATTERN), 0)

@@ -211,6 +211,24 @@ def q_search_wildcards(spark, sf_dir):
     return R.search_messages(model_for(spark, sf_dir).fct_messages, WILD_QUERY)
 
 
+RARE_QUERY = "qu_osta"  # in a few texts: most files lack one of its trigrams
+
+
+@register("r3_search_postings", O.with_model(f"""
+SELECT {_FCT_COLS} FROM fct_messages
+WHERE lower(message_text) LIKE '%{RARE_QUERY}%'
+ORDER BY message_date_sk DESC NULLS FIRST, message_sk LIMIT 100""", "fct_messages"))
+def q_search_postings(spark, sf_dir):
+    """The fact stored in files by message, with the postings of its trigrams; then a search."""
+    from chanlytics.operators.search_index import write_postings
+    from chanlytics.plans.daily import write_table
+
+    folder = scratch(spark, "search")
+    fct = write_table(model_for(spark, sf_dir).fct_messages.repartition(64, "message_sk"), f"{folder}/fct_messages")
+    postings = write_postings(spark, f"{folder}/fct_messages", f"{folder}/trigrams")
+    return R.search_messages(fct, RARE_QUERY, postings=postings)
+
+
 @register("r4_list_channels_by_language", O.with_model(
     "SELECT channel_sk, channel_username, channel_name FROM dim_channels", "dim_channels"))
 def q_list_channels_by_language(spark, sf_dir):

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chanlytics import model
 from chanlytics.operators import ingest as I
 from chanlytics.operators import quality as Q
+from chanlytics.operators.search_index import write_postings
 from chanlytics.plans import marts as M
 from chanlytics.plans.staging import stage_messages, staging_sql
 
@@ -38,6 +39,8 @@ class Layout:
     # "lines": the splittable JSON-lines layout written by write_landing
     landing_format: str = "array"
     database: str = "marts"
+    # trigram postings of fct_messages are built with it, for searches that read few files
+    search_postings: bool = False
 
     def table(self, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{name}"
@@ -58,6 +61,8 @@ class RunResult:
 
 #: Tables that every run builds anew, in versions.
 MARTS = ("dim_channels", "dim_dates", "fct_messages", "fct_image_detections")
+#: Built with the marts where the layout asks for it.
+POSTINGS = "fct_message_trigrams"
 
 
 def new_run() -> str:
@@ -91,6 +96,8 @@ def build_marts(spark: SparkSession, raw_messages: DataFrame, raw_detections: Da
                                layout.version("fct_messages", run), ["channel_sk", "message_date_sk"])
     fct_det = write_table(M.build_fct_image_detections(raw_detections, fct_messages),
                           layout.version("fct_image_detections", run), ["message_sk"])
+    if layout.search_postings:
+        write_postings(spark, layout.version("fct_messages", run), layout.version(POSTINGS, run))
     return {
         "raw_messages": raw_messages,
         "raw_image_detections": raw_detections,
@@ -187,7 +194,8 @@ def create_tables(spark: SparkSession, layout: Layout, database: str | None = No
     runs = _runs(spark, layout)
     if not runs:
         return
-    for name, folder in [(n, n) for n in MARTS] + [(f"report_{n}", f"reports/{n}") for n in REPORTS]:
+    marts = MARTS + ((POSTINGS,) if I.path_exists(spark, layout.version(POSTINGS, runs[-1])) else ())
+    for name, folder in [(n, n) for n in marts] + [(f"report_{n}", f"reports/{n}") for n in REPORTS]:
         path = layout.version(folder, runs[-1])
         if not spark.catalog.tableExists(f"{db}.{name}"):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
@@ -201,7 +209,7 @@ def drop_old_versions(spark: SparkSession, layout: Layout, keep: int = 2) -> lis
     """Deletes the folders of published runs but the last ``keep``; the names of the runs that went."""
     old = _runs(spark, layout)[:-keep] if keep > 0 else []
     for run in old:
-        for path in [layout.version(n, run) for n in (*MARTS, *(f"reports/{r}" for r in REPORTS))] + [layout.table(f"_published/{run}")]:
+        for path in [layout.version(n, run) for n in (*MARTS, POSTINGS, *(f"reports/{r}" for r in REPORTS))] + [layout.table(f"_published/{run}")]:
             p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     return old

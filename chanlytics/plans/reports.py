@@ -16,6 +16,7 @@ from chanlytics.functions.keys import surrogate_key
 from chanlytics.functions.text import like_ci
 from chanlytics.operators.keywords import dictionary, first_words, keyword_hits, mentions
 from chanlytics.operators.quantile import lower_medians
+from chanlytics.operators.search_index import prune
 
 
 def top_products(fct_messages: DataFrame, keywords: "DataFrame | list[str] | None" = None,
@@ -57,14 +58,17 @@ def channel_activity(fct_messages: DataFrame, dim_channels: DataFrame,
 
 
 def search_messages(fct_messages: DataFrame, query: str, literal: bool = False,
-                    limit: int = model.REPORT_ROW_LIMIT) -> DataFrame:
+                    limit: int = model.REPORT_ROW_LIMIT, postings: DataFrame | None = None) -> DataFrame:
     """Messages whose lower-cased text is LIKE ``%query%``, latest 100.
 
     Order: message_date_sk DESC with NULL first (the reference's database
-    order), then message_sk.
+    order), then message_sk.  With the trigram postings of a stored fact
+    (``operators.search_index``) only the files that may hold the query are read.
     """
     if query is None or len(query) < model.SEARCH_MIN_QUERY_LENGTH:
         raise ValueError(f"query must have at least {model.SEARCH_MIN_QUERY_LENGTH} characters")
+    if postings is not None:
+        fct_messages = prune(fct_messages, postings, query, literal)
     hits = fct_messages.filter(like_ci("message_text", query, literal))
     return (hits.select(*model.FCT_MESSAGES_COLUMNS)
             .orderBy(F.col("message_date_sk").desc_nulls_first(), F.col("message_sk"))

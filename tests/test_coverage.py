@@ -12,7 +12,7 @@ QUERIES = {
     "i6_rejected_files": "I6", "m3_dim_dates": "M3 P4 P5 P6 P7 P8 P9 P10 P11 P12 P13 G1 W2 A1",
     "e1_detect_objects": "E1 P17 P23 P24 P25 P26 P27 P31 G3", "e2_scan_log": "E2 A8", "e3_normalise_export": "E3 P19 P20 P21 P22 L7 F10",
     "r1_top_products": "R1 L1 A6", "a6_keyword_table": "P29 P30 F9 J9 J10 G4 U3", "r2_channel_activity": "R2 F2 J4 J5 A2 L2",
-    "r3_search_messages": "R3 F4 L3 P28", "r4_list_channels": "R4 L4", "r5_image_detections": "R5 L5",
+    "r3_search_messages": "R3 F4 L3 P28", "r3_search_postings": "R3 F4", "r4_list_channels": "R4 L4", "r5_image_detections": "R5 L5",
     "r5_image_detections_of_message": "F3", "w1_latest_event_per_user": "F5 W1", "m2_dim_channels": "M2",
     "m5_fct_image_detections": "M5 J3", "q1_q7_quality_suite_defects": "F6 J11 Q1 Q2 Q3 Q4 Q5 Q7", "f10_rejected_channels": "J12",
     "q6_duplicate_detection_ids": "F7 A5 Q6", "q6_orphan_detections": "F8 J7", "q6_detections_total": "A3",

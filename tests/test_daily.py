@@ -115,3 +115,23 @@ def test_readers_see_complete_versions(spark, tmp_dir):
     run_daily(spark, layout, dt.date(2025, 7, 15))
     assert len(P.drop_old_versions(spark, layout, keep=2)) == 1 and spark.table("versions.fct_messages").count() == 9
     assert spark.table("versions.raw_messages").columns == model.RAW_MESSAGES_SCHEMA.names
+
+
+def test_search_postings_are_published_with_the_fact(spark, tmp_dir):
+    from chanlytics.operators.search_index import candidate_files
+    from chanlytics.plans import daily as P
+    from chanlytics.plans import reports as R
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(os.path.join(landing, "2025-07-14"))
+    with open(os.path.join(landing, "2025-07-14", "Chemed.json"), "w") as f:
+        json.dump([{"message_id": i, "channel": "Chemed", "date": "2025-07-13", "text": f"blood kit {i}", "views": 1,
+                    "forwards": 0, "has_photo": False, "photo_path": None} for i in range(5)], f)
+    layout = Layout(os.path.join(tmp_dir, "wh"), landing, database="searched", search_postings=True)
+    run_daily(spark, layout, dt.date(2025, 7, 14))
+    fct, postings = spark.table("searched.fct_messages"), spark.table("searched.fct_message_trigrams")
+    assert [r.message_text for r in R.search_messages(fct, "kit 3", postings=postings).collect()] == ["blood kit 3"]
+    assert candidate_files(fct, postings, "tablet") == [] and R.search_messages(fct, "tablet", postings=postings).count() == 0
+    run_daily(spark, layout, dt.date(2025, 7, 14))
+    assert len(P.drop_old_versions(spark, layout, keep=1)) == 1
+    assert spark.table("searched.fct_message_trigrams").where("trigram = 'blo'").count() == 1
