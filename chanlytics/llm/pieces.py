@@ -344,14 +344,14 @@ def load(spark: SparkSession, path: str | None = None):
         return spark.sparkContext.broadcast(f.read())
 
 
-_VOCABULARY: dict[int, Vocabulary] = {}
+_VOCABULARY: dict[bytes, Vocabulary] = {}  # the last vocabulary, by the file's bytes
 
 
 def _vocabulary(shared) -> Vocabulary:
-    key = id(shared)
+    key = shared.value
     if key not in _VOCABULARY:
         _VOCABULARY.clear()
-        _VOCABULARY[key] = Vocabulary(shared.value)
+        _VOCABULARY[key] = Vocabulary(key)
     return _VOCABULARY[key]
 
 

@@ -134,3 +134,17 @@ def test_empty_table(spark):
     C.prepare(spark)
     assert P.encode(empty(spark)).collect() == [] and P.report(empty(spark)).collect() == []
     assert P.encode(documents(spark).where(F.lit(False))).collect() == []
+
+
+def test_a_worker_keeps_the_vocabulary_it_was_given(monkeypatch):
+    """Files of other bytes are other vocabularies, also where one broadcast takes another's place."""
+    class Shared:
+        value = b"one"
+
+    made = []
+    monkeypatch.setattr(P, "Vocabulary", lambda data: made.append(data) or data)
+    monkeypatch.setattr(P, "_VOCABULARY", {})
+    shared = Shared()
+    assert P._vocabulary(shared) == P._vocabulary(Shared()) == b"one" and made == [b"one"]
+    shared.value = b"two"
+    assert P._vocabulary(shared) == b"two" and len(P._VOCABULARY) == 1
