@@ -14,6 +14,7 @@ example from ``SparkFiles``).
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import math
 import re
 from contextlib import contextmanager
@@ -29,11 +30,15 @@ from chanlytics.operators.lookup import map_channel_strict
 
 BOXES_TYPE = "array<struct<class_id:int,confidence:double>>"
 
-_WORKER_MODELS: dict[str, object] = {}
+_WORKER_MODELS: dict[tuple[str, str, str], object] = {}
 
 
 class Scorer:
-    """Base class: subclasses implement ``predict``; ``token`` keys the worker cache."""
+    """Base class: subclasses implement ``predict``; ``token`` keys the worker cache.
+
+    Workers outlive a query, so the token has to tell apart what the scorers
+    of a class hold: it is made from that, not from where an object lies.
+    """
 
     class_names: list[str] = []
     token: str = "scorer"
@@ -46,12 +51,17 @@ class Scorer:
 
 
 def _worker_model(scorer: Scorer) -> Scorer:
-    m = _WORKER_MODELS.get(scorer.token)
+    key = (type(scorer).__module__, type(scorer).__qualname__, scorer.token)
+    m = _WORKER_MODELS.get(key)
     if m is None:
-        m = _WORKER_MODELS[scorer.token] = scorer.load()
+        m = _WORKER_MODELS[key] = scorer.load()
     return m
 
 
+def _content_token(kind: str, *parts: object) -> str:
+    return f"{kind}-" + hashlib.sha256(repr(parts).encode()).hexdigest()
+
+
 class CentroidScorer(Scorer):
     """Stand-in detector: cosine similarity of a feature vector to class centroids.
 
@@ -65,7 +75,7 @@ class CentroidScorer(Scorer):
         self.unit = c / np.linalg.norm(c, axis=1, keepdims=True)
         self.class_names = list(class_names)
         self.min_confidence = float(min_confidence)
-        self.token = f"centroid-{id(self)}-{c.shape}"
+        self.token = _content_token("centroid", c.shape, c.tobytes(), self.class_names, self.min_confidence)
 
     def predict(self, payloads: pd.Series) -> list[list[tuple[int, float]]]:
         if len(payloads) == 0:
@@ -93,7 +103,7 @@ class CentroidFileScorer(Scorer):
         self.file_name = file_name
         self.class_names = list(class_names)
         self.min_confidence = float(min_confidence)
-        self.token = f"centroid-file-{file_name}"
+        self.token = _content_token("centroid-file", file_name, self.class_names, self.min_confidence)
 
     @staticmethod
     def ship(spark, centroids: np.ndarray, path: str) -> str:

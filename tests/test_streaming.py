@@ -259,3 +259,29 @@ def test_file_shipped_scorer_equals_in_memory(spark, tmp_dir):
         det = detect_objects(images, scorer, dt.datetime(2025, 7, 15), mapping).detections
         return sorted((r.detection_id, str(r.confidence_score)) for r in det.collect())
     assert rows(CentroidFileScorer(name, names)) == rows(CentroidScorer(cents, names))
+
+
+def test_worker_models_go_by_content():
+    """A worker keeps a model for scorers of the same content and class only, wherever these lie in memory."""
+    import numpy as np
+    import pandas as pd
+
+    from chanlytics.operators import detect
+    from chanlytics.operators.detect import CentroidBytesScorer, CentroidFileScorer, CentroidScorer
+
+    c = np.eye(2)
+    vector = np.array([1.0, 0.0], dtype="<f4")
+    held = {}
+    plain, of_bytes = CentroidScorer(c, ["a", "b"]), CentroidBytesScorer(c, ["a", "b"])
+    # an address is given again after its object is freed, to another scorer
+    assert plain.token == CentroidScorer(c.copy(), ["a", "b"]).token
+    for other in (CentroidScorer(c[::-1], ["a", "b"]), CentroidScorer(c, ["b", "a"]), CentroidScorer(c, ["a", "b"], 0.5)):
+        assert other.token != plain.token
+    assert CentroidFileScorer("x.npy", ["a"], 0.2).token != CentroidFileScorer("x.npy", ["a"], 0.5).token
+    before, detect._WORKER_MODELS = detect._WORKER_MODELS, held
+    try:
+        assert detect._worker_model(plain).predict(pd.Series([vector])) == [[(0, 1.0)]]
+        assert detect._worker_model(of_bytes).predict(pd.Series([vector.tobytes()])) == [[(0, 1.0)]]
+        assert len(held) == 2
+    finally:
+        detect._WORKER_MODELS = before
