@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.operators.lookup import map_channel_strict
+from chanlytics.session import LISTING_CONF, listing_tasks
 
 BOXES_TYPE = "array<struct<class_id:int,confidence:double>>"
 
@@ -203,9 +204,7 @@ def score_files(spark, paths: DataFrame, scorer: Scorer, batch_paths: int) -> Da
     batches = max(1, math.ceil(paths.count() / batch_paths))
     number = F.pmod(F.xxhash64("path"), F.lit(batches))
     out = spark.createDataFrame([], f"path string, boxes {BOXES_TYPE}")
-    # one listing task a path is the default; a few a slot do
-    slots = str(4 * spark.sparkContext.defaultParallelism)
-    with _setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", slots):
+    with _setting(spark, LISTING_CONF, listing_tasks(spark)):
         for k in range(batches):
             own = [r.path for r in paths.where(number == k).select("path").distinct().collect()]
             if own:

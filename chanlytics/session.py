@@ -20,6 +20,8 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+LISTING_CONF = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "chanlytics") -> SparkSession:
@@ -35,7 +37,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -45,9 +47,20 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the session settings the library needs to a caller's session."""
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    tasks = listing_tasks(spark)
+    if tasks is not None:
+        spark.conf.set(LISTING_CONF, tasks)
     return spark
 
 
+def listing_tasks(spark: SparkSession) -> str | None:
+    """A few tasks a slot for listing many files; the default is one a path, 10,000 at most."""
+    try:
+        return str(4 * spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's default stays
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -120,7 +120,8 @@ def write_image_files(images: DataFrame, folder: str) -> int:
     """One file per image, named like its path, holding the embedding as float32; the number of files.
 
     images: image_path, embedding.  Tasks write through pyarrow's file
-    systems; a retried task writes the same files again.
+    systems; a retried task writes the same files again.  The rows are
+    dealt to a few tasks a slot: their bytes are few, but each is a file.
     """
     def write(batches):
         import numpy as np
@@ -135,7 +136,8 @@ def write_image_files(images: DataFrame, folder: str) -> int:
                     out.write(np.asarray(vector, dtype="<f4").tobytes())
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    return images.select("image_path", "embedding").mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
+    tasks = 2 * images.sparkSession.sparkContext.defaultParallelism
+    return images.select("image_path", "embedding").repartition(tasks, "image_path").mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def detection_username() -> "F.Column":

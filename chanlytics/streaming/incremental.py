@@ -99,6 +99,8 @@ def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_
     """New image files -> scored -> detections appended insert-if-absent.
 
     The stream is of paths; a micro-batch opens only the files that it scores.
+    They are listed first, in tasks that the caller's session bounds
+    (``session.configure``): a file source keeps the session it was made in.
 
     Detections carry the time (UTC) at which their micro-batch ran, or
     ``run_ts`` if one is given.

@@ -285,3 +285,23 @@ def test_worker_models_go_by_content():
         assert len(held) == 2
     finally:
         detect._WORKER_MODELS = before
+
+
+def test_image_stream_lists_in_few_tasks(spark, tmp_dir):
+    """The number of tasks that list a micro-batch's files does not grow with the files."""
+    img, files = os.path.join(tmp_dir, "img"), 40
+    os.makedirs(img)
+    for i in range(files):
+        with open(os.path.join(img, f"Chemed_{i}.jpg"), "wb") as f:
+            f.write(b"x" * i)
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    q = start_image_scoring(spark, img, LengthScorer(), os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "ck"),
+                            os.path.join(tmp_dir, "log"))
+    q.awaitTermination()
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup(str(q.runId)) for s in status.getJobInfo(j).stageIds]
+    tasks = [i.numTasks for i in map(status.getStageInfo, stages) if i is not None]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism < files
+    assert spark.conf.get(key) == before
+    assert spark.read.parquet(os.path.join(tmp_dir, "log")).count() == files
