@@ -333,10 +333,14 @@ def split_checked_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted typed export rows, rejected exports with a reason).
 
     Any bad line rejects its whole export: the bad ones are found with a
-    partial aggregate per export and removed with an anti join.
+    partial aggregate per export and removed with an anti join.  They are
+    stored first, so the join goes by their real size and the lines of the
+    others, a few exports at times, are not dealt out by export.
     """
-    bad_files = (checked.filter(F.col("reason").isNotNull()).groupBy("source_file")
-                 .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_bad_records")))
+    from chanlytics.session import stored
+
+    bad_files = stored(checked.filter(F.col("reason").isNotNull()).groupBy("source_file")
+                       .agg(F.min("reason").alias("reason"), F.count(F.lit(1)).alias("n_bad_records")), "rejected")
     ok = checked.filter(F.col("reason").isNull()).join(
         bad_files.select("source_file"), "source_file", "left_anti")
     return ok.select(*_typed(F.col("r")), "source_file", "source_pos", "scrape_date"), bad_files

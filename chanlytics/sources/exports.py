@@ -139,12 +139,31 @@ def seal_exports(exports: DataFrame, base: str) -> None:
      .write.mode("append").json(seals_folder(base)))
 
 
+#: Text of a channel-day that one key of the landing writer's shuffle should hold.
+CELL_BYTES = 16 << 20
+_RECORD_BYTES = 200  # of a record besides its text
+
+
+def _in_cells(rows: DataFrame) -> DataFrame:
+    """Rows with a number, __cell, that deals large channel-days out evenly; the others have 0."""
+    from chanlytics.session import stored
+
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + _RECORD_BYTES)
+    sizes = rows.groupBy("scrape_date", "channel").agg(F.ceil(size / CELL_BYTES).alias("__cells")).where("__cells > 1")
+    large = stored(sizes, "sizes").withColumnsRenamed({"scrape_date": "__d", "channel": "__c"})
+    own = F.col("scrape_date").eqNullSafe(F.col("__d")) & F.col("channel").eqNullSafe(F.col("__c"))
+    cell = F.pmod(F.xxhash64(*rows.columns), F.coalesce("__cells", F.lit(1)))
+    return rows.join(large, own, "left").select(*rows.columns, cell.alias("__cell"))
+
+
 def write_landing(export: DataFrame, base: str, seal: bool = True, append: bool = False) -> None:
     """Write export rows to the landing zone as JSON lines, one folder per date and channel.
 
     Every key is written, NULL or not, with the record's place in the export
     (``source_pos``, when given).  Rebalancing gives a large channel-day
-    several files of the advisory size.  A re-export of the same day
+    several files of the advisory size; it can split what a task has read no
+    further than by key, so such a channel-day has a key for each CELL_BYTES
+    of text.  A re-export of the same day
     replaces only that day's channel folders (dynamic partition overwrite),
     as the reference overwrites a file.  When the data is written its exports
     are sealed.  An export that is written in several steps is appended to
@@ -154,7 +173,8 @@ def write_landing(export: DataFrame, base: str, seal: bool = True, append: bool
     if "source_pos" not in export.columns:
         export = export.withColumn("source_pos", F.lit(None).cast("long"))
     cols = [c for c in model.EXPORT_KEYS if c != "channel"] + ["source_pos", "scrape_date", "channel"]
-    (export.select(*cols).hint("rebalance", "scrape_date", "channel")
+    rows = _in_cells(export.select(*cols)).hint("rebalance", "scrape_date", "channel", "__cell")
+    (rows.drop("__cell")
      .write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy("scrape_date", "channel").json(base))
     if seal:

@@ -222,3 +222,40 @@ def test_array_files_are_bounded_and_judged_whole(spark):
     got = I.export_records(I.accepted_parts(parts)).collect()
     assert sorted((r.source_file, r.source_pos, r.message_id) for r in got) == [
         ("2025-07-13/good.json", i, i) for i in range(250)]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_of_few_exports_are_not_dealt_by_export(spark, tmp_dir):
+    """Rejected exports are joined by their real size: the lines, of a few exports at times, stay in their tasks."""
+    lines = [(json.dumps({**{k: None for k in model.EXPORT_KEYS}, "message_id": i, "source_pos": i}), RUN, ch)
+             for i in range(20) for ch in ("a", "b")] + [("no json", RUN, "b"), ("no json", RUN, None)]
+    rows = spark.createDataFrame(lines, I.LINES_SCHEMA)
+    ok, bad = I.validate_landing_rows(rows, {})
+    assert "hashpartitioning(source_file" not in _plan(ok)
+    assert sorted(r.message_id for r in ok.collect()) == list(range(20))
+    # a line of no channel is of the export <date>
+    assert sorted((r.source_file, r.reason, r.n_bad_records) for r in bad.collect()) == [
+        (RUN.isoformat(), "unparsable", 1), (f"{RUN}/b", "unparsable", 1)]
+
+
+def test_large_channel_day_is_dealt_out(spark, tmp_dir, monkeypatch):
+    """One task's rows of a large channel-day have several keys for the landing's shuffle; small ones have one."""
+    from chanlytics.sources import exports as E
+
+    monkeypatch.setattr(E, "CELL_BYTES", 2000)
+    schema = ("message_id long, channel string, date date, text string, views int, forwards int, has_photo boolean, "
+              "photo_path string, scrape_date date, source_pos long")
+    rows = [(i, ch, RUN, None if i % 7 == 0 else "x" * 40, 1, 1, False, None, RUN, i)
+            for ch, n in (("big", 200), ("small", 5), (None, 200)) for i in range(n)]
+    df = spark.createDataFrame(rows + rows[:1], schema).coalesce(1)
+    cells = {r.channel: r.n for r in E._in_cells(df).groupBy("channel").agg(F.countDistinct("__cell").alias("n")).collect()}
+    assert cells["big"] > 10 and cells[None] > 10 and cells["small"] == 1
+    base = os.path.join(tmp_dir, "landing")
+    E.write_landing(df, base)
+    back = spark.read.schema("message_id long, text string, scrape_date date, channel string").json(base)
+    named = back.where("channel is not null").select("message_id", "channel", "text")
+    assert sorted(map(tuple, named.collect()), key=str) == sorted([(r[0], r[1], r[3]) for r in rows + rows[:1] if r[1]], key=str)
+    assert back.count() == len(rows) + 1
