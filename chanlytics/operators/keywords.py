@@ -19,8 +19,9 @@ and group of a task.
 
 A literal needs a bound: words, or phrases, of more than LITERAL_CHARS
 characters are a relation instead, which counted tokens (``_joined_words``)
-or the surroundings of gaps (``_joined_phrases``) are joined to, with the
-same result; texts do not move there either.
+or counted candidates (``_joined_phrases``: spans of a text that a bitmap of
+the phrases lets through) are joined to, with the same result; texts do not
+move there either.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ import zlib
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chanlytics.functions.text import tokens
-from chanlytics.session import ensure_checkpoint_dir
+from chanlytics.session import stored
 
 # The characters that the reference's language splits at.
 _BLANKS = "\\t-\\r\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -70,8 +72,7 @@ def _sides(keywords: "DataFrame | list[str]", column: str, like: DataFrame, most
         sides = [[k for k in own if len(k.split()) < 2], [k for k in own if len(k.split()) > 1]]
         if all(sum(len(k) + 1 for k in x) <= most for x in sides):
             return sides
-    ensure_checkpoint_dir(like.sparkSession)
-    kw = dictionary(keywords, column, like).checkpoint()  # made once, whatever it is derived from
+    kw = stored(dictionary(keywords, column, like), "keywords")  # made once, whatever it is derived from
     which = [F.size("parts") < 2, F.size("parts") > 1]
     size = kw.agg(*[F.sum(F.when(w, F.length("product_name") + 1)) for w in which]).first()
     return [[r[0] for r in kw.where(w).select("product_name").collect()] if (n or 0) <= most else kw.where(w)
@@ -180,33 +181,143 @@ def _joined_words(src: DataFrame, words: DataFrame, group_cols: list[str]) -> Da
             .join(words.select("product_name"), "product_name").select(*group_cols, "product_name", "n"))
 
 
+_BLANK_TABLE = np.zeros(0x3001, bool)
+_BLANK_TABLE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = True
+_P = np.uint64(0x9E3779B97F4A7C15)
+_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
+#: Bits of the filter for a phrase, and in all; with more phrases it lets more candidates through.
+FILTER_BITS, MOST_FILTER_BITS = 128, 1 << 27
+_FIRST, _LAST, _WHOLE = (np.uint64(x) for x in (0x1000193, 0x2000193, 0x3000193))
+_CHUNK = 1 << 20  # characters whose hashes are made at once
+
+
+class _Spans:
+    """Some texts as code points, with the hash of any span of them."""
+
+    def __init__(self, texts: list[str]):
+        self.text = "\n".join(texts)
+        code = np.frombuffer(self.text.encode("utf-32-le"), np.uint32)
+        self.begin = np.cumsum([0] + [len(t) + 1 for t in texts])  # of each text; one character lies between two
+        power = np.full(len(code) + 1, _P)
+        power[0] = 1
+        power = np.multiply.accumulate(power)
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum((code.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)])
+        back = np.full(len(code) + 1, _P_INV)
+        back[0] = 1
+        self.back = np.multiply.accumulate(back)
+        word = ~_BLANK_TABLE[np.minimum(code, 0x3000)] | (code > 0x3000)
+        edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
+        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.of = np.searchsorted(self.begin, self.start, "right") - 1
+
+    def bits(self, start: np.ndarray, end: np.ndarray, kind: np.uint64, bits: int) -> np.ndarray:
+        """The filter's bit of each span, for one kind of key."""
+        x = (self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64) * kind
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return ((x ^ (x >> np.uint64(31))) % np.uint64(bits)).astype(np.int64)
+
+
+def _chunks(texts: list[str]) -> Iterator[list[str]]:
+    """Texts side by side, of about _CHUNK characters, or one."""
+    own, size = [], 0
+    for t in texts:
+        if own and size + len(t) > _CHUNK:
+            yield own
+            own, size = [], 0
+        own.append(t)
+        size += len(t) + 1
+    if own:
+        yield own
+
+
+def _phrase_filter(phrases: DataFrame) -> tuple[bytes, int, list[tuple[int, ...]]]:
+    """(bitmap, its bits, shapes): what a task needs to find candidates for the phrases.
+
+    The bitmap holds a bit for each phrase, its first and its last part.  A
+    shape: how many blanks lead, characters of the first part, parts,
+    characters of the last part, blanks at the end.
+    """
+    name = F.col("product_name")
+    shape = F.struct(F.length(F.regexp_extract(name, f"^{BLANK}*", 0)), F.length(F.get("parts", 0)), F.size("parts"),
+                     F.length(F.element_at("parts", -1)), F.length(F.regexp_extract(name, f"{BLANK}*$", 0)))
+    n, shapes = phrases.agg(F.count(F.lit(1)), F.collect_set(shape)).first()
+    bits = min(MOST_FILTER_BITS, max(1 << 16, 1 << (FILTER_BITS * n).bit_length()))
+
+    @F.pandas_udf("long")
+    def bit(keys: pd.Series, kind: pd.Series) -> pd.Series:
+        out = []
+        for own in _chunks(keys.tolist()):
+            spans = _Spans(own)
+            out.append((spans.begin[:-1], spans.begin[1:] - 1, spans))
+        found = [spans.bits(a, b, np.uint64(kind.iloc[0]), bits) for a, b, spans in out]
+        return pd.Series(np.concatenate(found) if found else np.zeros(0, np.int64))
+
+    # numbered from 1, as the bitmap functions have it
+    keys = [phrases.select((bit(key, F.lit(int(kind))) + 1).alias("b"))
+            for key, kind in ((F.get("parts", 0), _FIRST), (F.element_at("parts", -1), _LAST), (name, _WHOLE))]
+    rows = (reduce(DataFrame.union, keys).groupBy(F.bitmap_bucket_number("b").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m")).collect())
+    bitmap = bytearray(bits // 8)
+    for r in rows:
+        bitmap[(r.k - 1) * 4096:(r.k - 1) * 4096 + len(r.m)] = r.m
+    return bytes(bitmap[:bits // 8]), bits, sorted(map(tuple, shapes))
+
+
+def _candidates(texts: list[str], bitmap: np.ndarray, bits: int, shapes: list[tuple[int, ...]]) -> list[list[str]]:
+    """For each text, its distinct spans of a phrase's shape that the filter lets through: every phrase it holds, and a few more.
+
+    A phrase stands where its first part ends a part of the text, and its last one begins a part.
+    """
+    spans = _Spans(texts)
+    start, end, of = spans.start, spans.end, spans.of
+    known: dict[tuple, np.ndarray] = {}
+
+    def passes(a: np.ndarray, b: np.ndarray, kind: np.uint64) -> np.ndarray:
+        at = spans.bits(a, b, kind, bits)
+        return bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 > 0
+
+    def parts(kind: np.uint64, size: int) -> np.ndarray:
+        """Whether each part ends with a first part, or begins with a last one, of so many characters."""
+        if (kind, size) not in known:
+            out, long = np.zeros(len(start), bool), np.flatnonzero(end - start >= size)
+            a = end[long] - size if kind == _FIRST else start[long]
+            out[long] = passes(a, a + size, kind)
+            known[kind, size] = out
+        return known[kind, size]
+
+    found: list[set[str]] = [set() for _ in texts]
+    for lead, first, count, last, trail in shapes:
+        at = np.flatnonzero(parts(_FIRST, first)[:len(start) - count + 1]) if len(start) >= count else np.zeros(0, np.int64)
+        at = at[parts(_LAST, last)[at + count - 1]]
+        a, b = end[at] - first - lead, start[at + count - 1] + last + trail
+        inside = (of[at] == of[at + count - 1]) & (a >= spans.begin[of[at]]) & (b < spans.begin[of[at] + 1])
+        at, a, b = at[inside], a[inside], b[inside]
+        hit = passes(a, b, _WHOLE)
+        for d, i, j in zip(of[at[hit]].tolist(), a[hit].tolist(), b[hit].tolist()):
+            found[d].add(spans.text[i:j])
+    return [list(x) for x in found]
+
+
 def _joined_phrases(src: DataFrame, phrases: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Of a gap its surroundings travel, as many parts to either side as the longest phrase has.
+    """A text's candidates are counted per group before they meet the phrases.
 
-    They tell whether the phrase stands there; the pairs of text digest and
-    phrase meet the digests' token counts, summed per group, so a text that
-    is repeated often is one row.
+    A filter of bounded size goes to the tasks instead of the phrases; what
+    it lets through wrongly, the join takes out.  Texts do not move.
     """
-    first, second = (F.get("parts", i) for i in (0, 1))
-    shape = F.struct(*[F.least(F.length(x), F.lit(EDGE)).alias(c) for c, x in (("a", first), ("b", second))])
-    facts = phrases.agg(F.max(F.size("parts")), F.collect_set(shape)).first()
-    longest, shapes = facts[0] or 0, sorted((x.a, x.b) for x in facts[1])
-    # a part with the blanks after it; the text's first one with those before it too
-    pieces = F.regexp_extract_all("lt", F.lit(f"(^{BLANK}*)?[^{_BLANKS}]+{BLANK}*"), F.lit(0))
-    keyed = src.select(F.md5("lt").alias("text_key"), pieces.alias("p"), _parts(F.col("lt")).alias("parts"))
-    around = F.transform(F.sequence(F.lit(0), F.size("parts") - 2), lambda i: F.struct(
-        F.array_distinct(F.array(*[_edge(F.get("parts", i), F.get("parts", i + 1), a, b) for a, b in shapes])).alias("gaps"),
-        F.array_join(F.slice("p", F.greatest(i + 2 - longest, F.lit(1)), F.lit(2 * longest)), "").alias("near")))
-    gaps = keyed.select("text_key", F.explode_outer(F.when(F.size("parts") > 1, around)).alias("g")).where("g is not null")
-    gaps = gaps.select("text_key", "g.near", F.explode("g.gaps").alias("gap"))
-    own = F.lit(None).cast("string")
-    for a, b in shapes:
-        own = F.when(shape == F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")), _edge(first, second, a, b)).otherwise(own)
-    pairs = (gaps.join(phrases.select("product_name", own.alias("gap")), "gap").where(F.contains("near", F.col("product_name")))
-             .select("text_key", "product_name").distinct())
-    counted = src.select(*group_cols, F.md5("lt").alias("text_key"), F.size(tokens("lt")).cast("long").alias("n"))
-    counted = counted.groupBy(*group_cols, "text_key").agg(F.sum("n").alias("n"))
-    return counted.join(pairs, "text_key").select(*group_cols, "product_name", "n")
+    bitmap, bits, shapes = _phrase_filter(phrases)
+
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held = np.frombuffer(bitmap, np.uint8)
+        for texts in batches:
+            own = [c for some in _chunks(texts.tolist()) for c in _candidates(some, held, bits, shapes)]
+            yield pd.Series(own, dtype=object)
+
+    rows = src.select(*group_cols, F.size(tokens("lt")).cast("long").alias("n"), found("lt").alias("p"))
+    return (rows.select(*group_cols, "n", F.explode_outer("p").alias("product_name")).where("product_name is not null")
+            .groupBy(*group_cols, "product_name").agg(F.sum("n").alias("n"))
+            .join(phrases.select("product_name"), "product_name").select(*group_cols, "product_name", "n"))
 
 
 def _hits(texts: DataFrame, sides: list, text_col: str, group_cols: list[str]) -> list[DataFrame]:

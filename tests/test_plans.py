@@ -112,3 +112,15 @@ def test_keyword_reports_move_no_text(spark, qs):
         df = qs[name](spark, SF_SMALL)
         assert all("text" not in m and "lt#" not in m for m in _moved(df)), name
         assert _plan(df).count("text:string") == 1, name  # one scan of the texts
+
+
+def test_phrases_move_counted_candidates_alone(spark):
+    """Of a dictionary too long for a literal, what moves of a text is summed phrases, not a row for each of its gaps."""
+    from chanlytics.operators import keywords as K
+
+    raw = spark.createDataFrame([(f"a{i} b{i} c d",) for i in range(50)], "message_text string")
+    kws = spark.createDataFrame([(f"a{i} b{i}",) for i in range(0, 50, 2)] + [("one",)], "keyword string")
+    hits = K.keyword_hits(raw, kws, literal_chars=0)
+    names = {c.strip().split("#")[0] for m in _moved(hits) for c in m.split(",")}
+    assert names and names <= {"product_name", "sum", "n", "count"}, names
+    assert hits.count() == 25

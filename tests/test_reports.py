@@ -196,3 +196,21 @@ def test_medians_of_groups_larger_than_a_piece(spark, pieces):
         want[g] = own[(len(own) - 1) // 2]
     assert got == want
     assert lower_medians(df.where("false"), ["g"], pieces=pieces).collect() == []
+
+
+def test_joined_phrases_of_every_shape(spark):
+    """Random phrases, cut from texts at any place, are found as substrings are."""
+    import random
+
+    from chanlytics.operators import keywords as K
+
+    r = random.Random(7)
+    texts = ["".join(r.choice(["a", "b", "\u1234", "\U0001F600", " ", "  ", "\u00a0", "\n"]) for _ in range(r.randrange(60))) for _ in range(80)]
+    texts += ["", " ", "x" * 3000 + " y", "a b"] + texts[:5]
+    cut = [t[i:i + r.randrange(2, 12)] for t in texts for i in range(0, len(t), 3)]
+    phrases = sorted({p for p in cut if len(p.split()) > 1} | {"a zz", "zz b", "x y", "b a "})
+    assert len(phrases) > 200
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, lt string")
+    kw = K.dictionary(spark.createDataFrame([(p,) for p in phrases], "keyword string"), "keyword", rows)
+    got = {(x.i, x.product_name) for x in K._joined_phrases(rows, kw, ["i"]).collect()}
+    assert got == {(i, p) for i, t in enumerate(texts) for p in phrases if p in t}
