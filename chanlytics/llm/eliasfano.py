@@ -14,6 +14,7 @@ import numpy as np
 _HEAD = 4  # n, universe - 1, low bits, words of the high part
 _ONE = np.uint64(1)
 _EVERY = 16
+_PIECE = 1 << 13
 _ODD, _PAIRS, _NIBBLES, _BYTES, _TOPS = (np.uint64(x * 0x0101010101010101) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
 #: place of the r-th set bit of a byte: [r, byte]
 _IN_BYTE = np.array([[next((i for i in range(8) if byte >> i & 1 and bin(byte & (1 << i) - 1).count("1") == r), 0)
@@ -109,10 +110,16 @@ class EliasFano:
         return ((self.low[word] >> off) | upper) & np.uint64((1 << self.bits) - 1)
 
     def access(self, i: np.ndarray) -> np.ndarray:
-        """The values at positions i."""
+        """The values at positions i; of more positions than values, each value is read once."""
         i = np.asarray(i, np.int64)
-        high = self._select(False, i) - i
-        return (high.astype(np.uint64) << np.uint64(self.bits)) | self._lows(i)
+        if self.n < len(i):
+            return self.access(np.arange(self.n))[i]
+        out = np.empty(len(i), np.uint64)
+        for k in range(0, len(i), _PIECE):
+            own = i[k:k + _PIECE]
+            high = self._select(False, own) - own
+            out[k:k + _PIECE] = (high.astype(np.uint64) << np.uint64(self.bits)) | self._lows(own)
+        return out
 
     def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Position of the first value not below x, the end of x's bucket, x's low bits."""
@@ -138,10 +145,18 @@ class EliasFano:
         return np.where(inside, self._search(np.where(inside, x, np.uint64(0)))[0], self.n)
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Position of x, or -1."""
+        """Position of x, or -1; looked up in order, in pieces whose arrays stay in the processor's cache."""
         x = np.asarray(x, np.uint64)
+        out = np.full(len(x), -1, np.int64)
         if not self.n:
-            return np.full(len(x), -1, np.int64)
+            return out
+        order = np.argsort(x)
+        for i in range(0, len(x), _PIECE):
+            own = order[i:i + _PIECE]
+            out[own] = self._find(x[own])
+        return out
+
+    def _find(self, x: np.ndarray) -> np.ndarray:
         inside = x <= np.uint64(self.last)
         at, end, low = self._search(np.where(inside, x, np.uint64(0)))
         return np.where(inside & (at < end) & (self._lows(np.minimum(at, self.n - 1)) == low), at, -1)
