@@ -68,3 +68,21 @@ def test_elias_fano_reads_a_mapped_file(tmp_path):
     seq = EliasFano(np.memmap(path, np.uint8, "r"))
     assert (seq.access(np.arange(5000)) == values).all()
     assert seq.nbytes < 0.95 * values.nbytes
+
+
+def test_elias_fano_in_pieces():
+    """More positions than a piece, in any order: each is found, and each value is read once."""
+    from chanlytics.llm import eliasfano
+
+    r = np.random.default_rng(3)
+    values = np.sort(r.integers(0, 1 << 40, 3 * eliasfano._PIECE)).astype(np.uint64)
+    sequence = EliasFano(EliasFano.build(values, 1 << 40))
+    asked = r.permutation(np.concatenate([values, r.integers(0, 1 << 40, 1000).astype(np.uint64)]))
+    at = np.searchsorted(values, asked)
+    held = values[np.minimum(at, len(values) - 1)] == asked
+    assert (sequence.find(asked) == np.where(held, at, -1)).all()
+    places, read = r.integers(0, len(values), 2 * len(values)), []
+    select = sequence._select
+    sequence._select = lambda flip, rank: read.append(len(rank)) or select(flip, rank)
+    assert (sequence.access(places) == values[places]).all()
+    assert sum(read) == len(values) and max(read) <= eliasfano._PIECE
