@@ -16,8 +16,11 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from chanlytics import model
@@ -83,6 +86,18 @@ def write_table(df: DataFrame, path: str, cluster_by: list[str] | None = None) -
     return df.sparkSession.read.parquet(path)
 
 
+def side_by_side(spark: SparkSession, steps: list[Callable]) -> list:
+    """What the steps return; their jobs run at once, so one fills the slots that another's last tasks leave.
+
+    The steps must not need each other.  All of them end before an error of one is raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        # the caller's job group and tags are the steps' too; without pinned threads this gives the session back
+        own = [inheritable_thread_target(spark) for _ in steps]
+        running = [pool.submit(step if wrap is spark else wrap(step)) for wrap, step in zip(own, steps)]
+    return [r.result() for r in running]
+
+
 def build_marts(spark: SparkSession, raw_messages: DataFrame, raw_detections: DataFrame,
                 layout: Layout, run: str | None = None) -> dict[str, DataFrame]:
     """Stage and model into a version of its own, which is not published yet; dimensions first, so the fact joins read small stored tables."""
@@ -131,8 +146,9 @@ def run_daily(spark: SparkSession, layout: Layout, run_date: dt.date, scorer=Non
     raw_messages = I.read_table(spark, raw_path, model.RAW_MESSAGES_SCHEMA)
     raw_detections = I.read_table(spark, det_path, model.RAW_DETECTIONS_SCHEMA)
     tables = build_marts(spark, raw_messages, raw_detections, layout, run)
-    checks = write_table(Q.run_checks(tables), layout.table(f"test_results/run_date={run_date}"))
-    reports = write_reports(tables, layout, run)
+    checks, reports = side_by_side(spark, [
+        lambda: write_table(Q.run_checks(tables), layout.table(f"test_results/run_date={run_date}")),
+        lambda: write_reports(tables, layout, run)])
     publish(spark, layout, run)
     paths = {k: layout.version(k, run) if k in MARTS else layout.table(k) for k in tables if not k.startswith("stg")}
     return RunResult(accounting, rejected, checks, paths, reports, totals)
@@ -151,8 +167,8 @@ def write_reports(tables: dict[str, DataFrame], layout: Layout, run: str) -> dic
         "object_mix": R.object_mix(tables["fct_image_detections"], fm),
     }
     paths = {name: layout.version(f"reports/{name}", run) for name in made}
-    for name, df in made.items():
-        df.write.mode("overwrite").parquet(paths[name])
+    side_by_side(fm.sparkSession, [lambda df=df, path=paths[name]: df.write.mode("overwrite").parquet(path)
+                                   for name, df in made.items()])
     return paths
 
 

@@ -117,6 +117,40 @@ def test_readers_see_complete_versions(spark, tmp_dir):
     assert spark.table("versions.raw_messages").columns == model.RAW_MESSAGES_SCHEMA.names
 
 
+def test_checks_and_reports_run_at_once(spark, tmp_dir, monkeypatch):
+    """Each waits for the other to have begun; an error in one is raised, and nothing is published."""
+    import threading
+
+    import pytest
+
+    from chanlytics.plans import daily as P
+
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(os.path.join(landing, "2025-07-14"))
+    with open(os.path.join(landing, "2025-07-14", "Chemed.json"), "w") as f:
+        json.dump([{"message_id": 1, "channel": "Chemed", "date": "2025-07-13", "text": "gel", "views": 1,
+                    "forwards": 0, "has_photo": False, "photo_path": None}], f)
+    met = threading.Barrier(2, timeout=30)
+    run_checks, write_reports = P.Q.run_checks, P.write_reports
+
+    def failing(tables, layout, run):
+        met.wait()
+        raise KeyError("report")
+
+    monkeypatch.setattr(P.Q, "run_checks", lambda tables: (met.wait(), run_checks(tables))[1])
+    monkeypatch.setattr(P, "write_reports", lambda *args: (met.wait(), write_reports(*args))[1])
+    layout = Layout(os.path.join(tmp_dir, "wh"), landing, database="at_once")
+    spark.sparkContext.setLocalProperty("chanlytics.test", "caller")
+    res = run_daily(spark, layout, dt.date(2025, 7, 14))
+    assert res.checks.count() == 48 and set(res.reports) == set(P.REPORTS)
+    assert P.side_by_side(spark, [lambda: spark.sparkContext.getLocalProperty("chanlytics.test")] * 2) == ["caller"] * 2
+    spark.sparkContext.setLocalProperty("chanlytics.test", None)
+    monkeypatch.setattr(P, "write_reports", failing)
+    with pytest.raises(KeyError):
+        run_daily(spark, layout, dt.date(2025, 7, 14))
+    assert len(P._runs(spark, layout)) == 1
+
+
 def test_search_postings_are_published_with_the_fact(spark, tmp_dir):
     from chanlytics.operators.search_index import candidate_files
     from chanlytics.plans import daily as P
