@@ -17,6 +17,7 @@ import datetime as dt
 import hashlib
 import math
 import re
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from chanlytics import model
 from chanlytics.operators.lookup import map_channel_strict
-from chanlytics.session import LISTING_CONF, listing_tasks
+from chanlytics.session import LISTING_CONF, ensure_checkpoint_dir, listing_tasks
 
 BOXES_TYPE = "array<struct<class_id:int,confidence:double>>"
 
@@ -199,19 +200,27 @@ def score_files(spark, paths: DataFrame, scorer: Scorer, batch_paths: int) -> Da
     The paths are dealt by hash into batches of about ``batch_paths``, the
     bound of what the driver holds; a batch's files are one binaryFile scan
     whose rows go to the model in the same task, so contents are never
-    shuffled and no other file is read.  Each batch is checkpointed.
+    shuffled and no other file is read.  A scan has a few tasks a slot, and
+    its listing is not kept.  Each batch's paths and scores are stored below
+    the checkpoint folder.
     """
     batches = max(1, math.ceil(paths.count() / batch_paths))
-    number = F.pmod(F.xxhash64("path"), F.lit(batches))
-    out = spark.createDataFrame([], f"path string, boxes {BOXES_TYPE}")
-    with _setting(spark, LISTING_CONF, listing_tasks(spark)):
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    asked = paths.select("path").distinct().withColumn("batch", F.pmod(F.xxhash64("path"), F.lit(batches)))
+    asked.repartition("batch").write.partitionBy("batch").parquet(f"{out}/paths")
+    asked = spark.read.schema("path string, batch bigint").parquet(f"{out}/paths")
+    schema = f"path string, boxes {BOXES_TYPE}"
+    spark.createDataFrame([], schema).write.parquet(f"{out}/boxes")
+    tasks = listing_tasks(spark)
+    with _setting(spark, LISTING_CONF, tasks), _setting(spark, SCAN_TASKS_CONF, tasks), _setting(spark, LISTING_CACHE_CONF, "0"):
         for k in range(batches):
-            own = [r.path for r in paths.where(number == k).select("path").distinct().collect()]
+            own = [r.path for r in asked.where(F.col("batch") == k).select("path").collect()]
             if own:
-                scored = score_images(_content_scan(spark, own), scorer, "content").checkpoint(eager=True)
-                # a file that two patterns meet is read twice
-                out = out.unionByName(scored.dropDuplicates(["path"]) if any(map(re.compile(_PATTERN_CHARACTERS).search, own)) else scored)
-    return out
+                scored = score_images(_content_scan(spark, own), scorer, "content")
+                if any(map(re.compile(_PATTERN_CHARACTERS).search, own)):
+                    scored = scored.dropDuplicates(["path"])  # a file that two patterns meet is read twice
+                scored.write.mode("append").parquet(f"{out}/boxes")
+    return spark.read.schema(schema).parquet(f"{out}/boxes")
 
 
 @contextmanager
@@ -324,10 +333,12 @@ def detect_objects(images: DataFrame, scorer: Scorer, run_ts: dt.datetime,
 
 
 ARROW_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SCAN_TASKS_CONF = "spark.sql.files.maxPartitionNum"
+LISTING_CACHE_CONF = "spark.sql.hive.filesourcePartitionFileCacheSize"
 
 
 #: Image files that one scan of the enrichment job opens, and of which the driver holds the paths.
-BATCH_PATHS = 50_000
+BATCH_PATHS = 10_000
 
 
 def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str,
@@ -348,7 +359,6 @@ def run_detection(spark, images: DataFrame, scorer: Scorer, detections_path: str
     from pyspark.sql.types import _parse_datatype_string
 
     from chanlytics.operators.ingest import append_if_absent, read_table
-    from chanlytics.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     processed = read_table(spark, detections_path, model.RAW_DETECTIONS_SCHEMA).select("image_path")

@@ -1,8 +1,8 @@
 """Incremental ingest as file streams.
 
-The file source remembers which files it has seen (in the checkpoint),
-and each micro-batch runs the same batch operator as the daily job inside
-``foreachBatch``.  The state that matters - which keys are stored - lives
+The file source remembers which files it has seen (in the checkpoint);
+of image files, which are many, a table there does.  Each micro-batch
+runs the same batch operator as the daily job inside ``foreachBatch``.  The state that matters - which keys are stored - lives
 in the target table (insert-if-absent), so nothing grows in a state store
 and a retried micro-batch appends nothing twice.  No watermark: as in the
 reference, a message of any date is accepted at any time.
@@ -20,7 +20,6 @@ from chanlytics import model
 from chanlytics.operators import ingest as I
 from chanlytics.sources.exports import DATE_FOLDER, SEAL_SCHEMA, export_folder, seals_folder
 
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 def start_export_ingest(spark: SparkSession, landing_base: str, raw_path: str,
                         checkpoint_path: str, quarantine_path: str | None = None,
@@ -98,21 +97,26 @@ def start_image_scoring(spark: SparkSession, image_dir: str, scorer, detections_
                         processing_time: str | None = None) -> StreamingQuery:
     """New image files -> scored -> detections appended insert-if-absent.
 
-    The stream is of paths; a micro-batch opens only the files that it scores.
-    They are listed first, in tasks that the caller's session bounds
-    (``session.configure``): a file source keeps the session it was made in.
+    A file source keeps each path of its folder in the driver several times
+    over, so the stream is a clock's: a micro-batch lists the folder in pieces
+    and scores the files that no earlier one has listed (``new_files``, below
+    the checkpoint).  A retried one does the same again, and what it has
+    stored already is skipped.
 
     Detections carry the time (UTC) at which their micro-batch ran, or
     ``run_ts`` if one is given.
     """
     from chanlytics.operators.detect import image_files_filter, run_detection
+    from chanlytics.sources.folders import folder_roots, new_files
 
-    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .load(image_dir).select("path").filter(image_files_filter("path")))
+    folder_roots(spark, image_dir)  # an absent folder is the caller's error, not the stream's
+    state = checkpoint_path.rstrip("/")
+    clock = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
         now = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        run_detection(batch.sparkSession, batch, scorer,
+        images = new_files(batch.sparkSession, image_dir, f"{state}/images", epoch_id)
+        run_detection(batch.sparkSession, images.filter(image_files_filter("path")), scorer,
                       detections_path, now, scan_log_path, mapping)
 
-    return _start(stream.writeStream.foreachBatch(score_batch), checkpoint_path, available_now, processing_time)
+    return _start(clock.writeStream.foreachBatch(score_batch), f"{state}/clock", available_now, processing_time)

@@ -6,6 +6,7 @@ import os
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from chanlytics.operators import ingest as I
 from chanlytics.operators.detect import Scorer
@@ -309,3 +310,125 @@ def test_image_stream_lists_in_few_tasks(spark, tmp_dir):
     # images of so few bytes hold no box, but each is logged
     assert {r.image_path for r in I.read_table(spark, os.path.join(tmp_dir, "log"), log).collect()} == {
         f"data/images/Chemed_{i}.jpg" for i in range(files)}
+
+
+class KeepingScorer(Scorer):
+    """Test detector: no boxes; each image leaves a file in a folder."""
+
+    class_names = ["blob"]
+
+    def __init__(self, folder):
+        self.folder, self.token = folder, f"keeping-{folder}"
+
+    def predict(self, payloads: pd.Series):
+        import uuid
+
+        for p in payloads:
+            with open(os.path.join(self.folder, f"{len(p)}-{uuid.uuid4().hex}"), "wb"):
+                pass
+        return [[] for _ in payloads]
+
+
+def _images(folder, sizes):
+    os.makedirs(folder, exist_ok=True)
+    for i in sizes:
+        with open(os.path.join(folder, f".Chemed_{i}.jpg"), "wb") as f:
+            f.write(b"x" * i)
+        os.replace(f.name, os.path.join(folder, f"Chemed_{i}.jpg"))  # a running stream sees whole files
+
+
+def test_image_stream_leaves_paths_out_of_the_driver(spark, tmp_dir):
+    """The driver's own logs name no image, and without a scan log an image is still scored once."""
+    img, seen, ck = (os.path.join(tmp_dir, n) for n in ("img", "seen", "ck"))
+    os.makedirs(seen)
+    for sizes in (range(1, 13), range(13, 16), ()):
+        _images(img, sizes)
+        start_image_scoring(spark, img, KeepingScorer(seen), os.path.join(tmp_dir, "det"), ck).awaitTermination()
+    assert sorted(int(n.split("-")[0]) for n in os.listdir(seen)) == list(range(1, 16))
+    for folder, _, names in os.walk(ck):
+        for n in names:
+            if ".parquet" not in n:
+                with open(os.path.join(folder, n), "rb") as f:
+                    assert b"Chemed_" not in f.read(), n
+
+
+def test_image_stream_with_a_processing_time(spark, tmp_dir):
+    """Images that arrive while the stream runs are scored, each once."""
+    import time
+
+    img, seen = os.path.join(tmp_dir, "img"), os.path.join(tmp_dir, "seen")
+    os.makedirs(seen)
+    _images(img, [1, 2])
+    q = start_image_scoring(spark, img, KeepingScorer(seen), os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "ck"),
+                            available_now=False, processing_time="1 second")
+    try:
+        for sizes, count in (([], 2), ([3, 4, 5], 5)):
+            _images(img, sizes)
+            until = time.time() + 120
+            while len(os.listdir(seen)) < count and q.isActive and time.time() < until:
+                time.sleep(0.5)
+        q.processAllAvailable() if not q.isActive else time.sleep(3)  # a failed stream raises here
+    finally:
+        q.stop()
+    assert sorted(int(n.split("-")[0]) for n in os.listdir(seen)) == [1, 2, 3, 4, 5]
+
+
+def test_image_scan_is_small_and_its_listing_is_not_kept(spark, tmp_dir, monkeypatch):
+    """A scan of the stream opens 10,000 files at most, in a few tasks a slot, and Spark caches no listing of it."""
+    import inspect
+
+    from chanlytics.operators import detect
+
+    img, seen = os.path.join(tmp_dir, "img"), []
+    _images(img, range(1, 41))
+    scan = detect._content_scan
+
+    def watched(session, paths):
+        cache, tasks = "spark.sql.hive.filesourcePartitionFileCacheSize", session.conf.get("spark.sql.files.maxPartitionNum", None)
+        files = scan(session, paths)
+        seen.append((session.conf.get(cache), int(tasks), files.rdd.getNumPartitions()))
+        return files
+    monkeypatch.setattr(detect, "_content_scan", watched)
+    start_image_scoring(spark, img, LengthScorer(), os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "ck")).awaitTermination()
+    assert [(c, t) for c, t, _ in seen] == [("0", 4 * spark.sparkContext.defaultParallelism)]
+    assert all(n <= t for _, t, n in seen)
+    assert inspect.signature(detect.run_detection).parameters["batch_paths"].default <= 10_000
+
+
+def test_new_files_of_a_folder(spark, tmp_dir):
+    from pyspark.errors import AnalysisException
+
+    from chanlytics.sources.folders import folder_files, new_files
+
+    img, state = os.path.join(tmp_dir, "img"), os.path.join(tmp_dir, "state")
+
+    def put(*names):
+        for n in names:
+            os.makedirs(os.path.dirname(os.path.join(img, n)), exist_ok=True)
+            with open(os.path.join(img, n), "wb") as f:
+                f.write(b"x")
+
+    def new(number):
+        return sorted(r.path.removeprefix(f"file:{img}/") for r in new_files(spark, img, state, number, 2).collect())
+    put("a b.jpg", "c%20d.jpg", "é[1].jpg", "e.txt", "f", ".hidden.jpg", "_hidden.jpg", "sub/g.jpg")
+    first = ["a b.jpg", "c%20d.jpg", "e.txt", "f", "é[1].jpg"]
+    assert new(0) == new(0) == first
+    put("h.jpg")
+    assert new(0) == sorted([*first, "h.jpg"])  # a listing that is made again has what has come since
+    assert new(1) == []
+    put("i.jpg")
+    assert new(2) == new(2) == ["i.jpg"]
+    os.remove(os.path.join(img, "a b.jpg"))
+    assert new(3) == []
+    put("a b.jpg", "j.jpg")  # as of the file source, a path is new once
+    assert new(4) == ["j.jpg"] and new(5) == []
+    assert len(os.listdir(os.path.join(state, "seen"))) <= 3
+    # the same paths as Spark's readers have, of a local folder, of another store, of a pattern, and of partition folders
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.folders.link./in", f"file://{tmp_dir}")
+    put("../parts/day=1/k.jpg", "../parts/day=2/l.jpg")
+    for name in (os.path.join(tmp_dir, "parts"), "viewfs://folders/in/parts", "viewfs://folders/in/img", img, os.path.join(img, "s*")):
+        want = {r.path for r in spark.read.format("binaryFile").load(name).select("path").collect()}
+        assert set(folder_files(spark, name)) == want and want, name
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        start_image_scoring(spark, os.path.join(tmp_dir, "none"), LengthScorer(), os.path.join(tmp_dir, "det"), os.path.join(tmp_dir, "ck"))
